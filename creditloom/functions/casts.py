@@ -40,8 +40,8 @@ def retype(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     out = []
     for field in df.schema.fields:
         kind = wanted.get(field.name.lower())
-        column = quoted(field.name)
-        out.append(tolerant_cast(column, field.dataType, kind).alias(field.name) if kind else column)
+        name = backticked(field.name)
+        out.append(tolerant_cast(F.col(name), field.dataType, kind).alias(field.name) if kind else name)
     return df.select(out)
 
 
@@ -50,6 +50,10 @@ def digits_to_float(text: Column) -> Column:
     return F.regexp_replace(text, r"[^0-9.]", "").try_cast("float")
 
 
+def backticked(name: str) -> str:
+    """A literal column name as `select` takes it, also when it holds dots or other special characters."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """Column by its literal name, also when the name holds dots or other special characters."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(backticked(name))

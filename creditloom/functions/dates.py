@@ -26,9 +26,9 @@ def months_spanned(df: DataFrame, date: str) -> DataFrame:
 
 
 def expand_months(bounds: DataFrame, start: str, end: str) -> DataFrame:
-    first = F.trunc(F.col(start), "MM")
-    months = F.sequence(first, F.col(end).cast("date"), F.expr("interval 1 month"))
-    return bounds.where(first <= F.col(end)).select(F.explode(months).alias("snapshot_date"))
+    first, last = F.trunc(F.col(start), "MM"), F.col(end).cast("date")
+    months = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month")))
+    return bounds.select(F.explode(months).alias("snapshot_date"))
 
 
 def is_month_start(date: Column) -> Column:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.functions.casts import digits_to_float, quoted, retype, tolerant_cast
+from creditloom.functions.casts import backticked, digits_to_float, quoted, retype, tolerant_cast
 from creditloom.functions.flags import flag, null_if_in
 
 # Text patterns and sentinels of the source data.
@@ -109,15 +110,16 @@ def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     present = df.na.drop(subset=list(keys))
     required = set(keys)
     return present.select(
-        [_never_null(field) if field.name in required else quoted(field.name) for field in present.schema.fields]
+        [_never_null(field) if field.name in required else backticked(field.name) for field in present.schema.fields]
     )
 
 
-def _never_null(field: T.StructField):
+def _never_null(field: T.StructField) -> Column:
     """The column typed as non-nullable; the literal at the end only serves the type and is never reached."""
     failure = F.raise_error(F.lit(f"NULL in key column {field.name}")).cast(field.dataType)
-    zero = F.lit(dict.fromkeys(["date", "timestamp", "timestamp_ntz"], "1970-01-01").get(field.dataType.typeName(), "0"))
-    return F.coalesce(quoted(field.name), failure, zero.cast(field.dataType)).alias(field.name)
+    literals = {T.StringType: "", T.DateType: dt.date(1970, 1, 1), T.TimestampType: dt.datetime(1970, 1, 1)}
+    zero = F.lit(literals.get(type(field.dataType), 0)).cast(field.dataType)
+    return F.coalesce(quoted(field.name), failure, zero).alias(field.name)
 
 
 def typed_clicks(df: DataFrame, types: dict[str, str], keys: Sequence[str]) -> DataFrame:

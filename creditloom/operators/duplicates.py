@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.flags import flag
-from creditloom.operators.skew import balanced_join, hot_keys
+from creditloom.operators.skew import ROWS_PER_TASK, balanced_left_join
 
 
 def shared_count(
-    df: DataFrame, column: str = "name", count: str = "name_shared_count", shared: str = "is_name_shared"
+    df: DataFrame,
+    column: str = "name",
+    count: str = "name_shared_count",
+    shared: str = "is_name_shared",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """How many rows carry the same value, and whether more than one does.
 
@@ -20,7 +24,7 @@ def shared_count(
     over a window, which would put all rows of a common value into one task.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(count))
-    joined = balanced_join(df, counts, [column], hot=hot_keys(counts, [column], rows=count))
+    joined = balanced_left_join(df, counts, [column], unique_right=True, rows_per_task=rows_per_task)
     return joined.withColumn(shared, flag(F.col(count) > 1))
 
 
@@ -45,6 +49,7 @@ def keys_with_many(
 
 def assert_unique(df: DataFrame, *keys: str) -> None:
     """Raise if a key occurs twice; only one offending key comes to the driver."""
-    repeated = df.na.drop(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(1)
+    counted = df.na.drop(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    repeated = counted.where(F.col("__rows") > 1).take(1)
     if repeated:
         raise ValueError(f"key {keys} is not unique, for example {repeated[0].asDict()}")

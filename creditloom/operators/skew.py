@@ -1,92 +1,157 @@
-"""Joins that stay balanced when single keys hold a large share of the rows.
+"""Left joins that stay balanced when single keys hold a large share of the rows of either side.
 
-Adaptive execution splits a skewed partition only for a join whose result is not needed in the same
-partitioning further up. The mart chains joins on one key, so hot keys are spread here: a hot key gets a
-number of salts that grows with its row count, its rows on the long side are dealt out over the salts by a
-hash of the row, and its rows on the other side are repeated once per salt. The salt depends on the data
-only, so a recomputed task produces the same rows. Rows with a NULL key match nothing and are dealt out too.
+Adaptive execution splits a skewed partition only on the outer side of a left join, and only where the
+result is not needed in the same partitioning further up. The mart chains joins on one key, so hot keys are
+spread here. Each hot key is owned by the side on which it has most rows. The owner deals its rows for the
+key out over a number of salts by a hash of the row; every other side repeats its rows for the key once per
+salt; the join is on key and salt. The salt depends on the data only, so a recomputed task gives the same
+rows. Rows of the left side with a NULL key match nothing and are dealt out too.
+
+Where the right side owns a key, some salts may have no row on the right. The copies of a left row on such
+salts are dropped: the key does occur on the right, so the left row has its matches on other salts.
+
+Without hot keys the joins are plain ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.functions.casts import quoted
+from creditloom.functions.casts import backticked
 
-ROWS_PER_TASK = 1_000_000  # a key with more rows than this is hot
-MAX_HOT_KEYS = 10_000  # bound of the broadcast list; any key beyond it holds under 0.01 % of the rows
+ROWS_PER_TASK = 1_000_000  # a key with more rows than this on one side is hot
+LISTED_KEYS = 1_000  # most frequent keys looked at per side; any other holds under 0.1 % of its rows
+TRACKED_KEYS = 10_000  # size of the frequency sketch
 MAX_SALTS = 1_000
-NULL_SALTS = 200
 
-SALT = "__salt"
+CODE = "__key"
+OWNER = "__owner"
 SALTS = "__salts"
-ROWS = "__rows"
-
-
-def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per key; only the keys are read, and counts are combined before the shuffle."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
-
-
-def hot_keys(
-    counts: DataFrame, keys: Sequence[str], rows: str = ROWS, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """The hottest keys, at most MAX_HOT_KEYS, with the number of salts for each. Ties are cut by the key."""
-    salts = F.least(F.ceil(F.col(rows) / rows_per_task), F.lit(MAX_SALTS)).cast("int")
-    return (
-        counts.where(F.col(rows) > rows_per_task)
-        .na.drop(subset=list(keys))
-        .orderBy(F.desc(rows), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, salts.alias(SALTS))
+SALT = "__salt"
+MATCHED = "__matched"
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Hot keys of a join with owner and salts: at most LISTED_KEYS per side, so small enough to broadcast."""
+
+    keys: tuple[str, ...]
+    table: DataFrame
+    null_salts: dict[str, int]
+
+
+def find_hot_keys(
+    *joins: tuple[Sequence[str], Mapping[str, DataFrame]], rows_per_task: int = ROWS_PER_TASK
+) -> list[HotKeys | None]:
+    """Hot keys of each join, given as its keys and its sides by name; None for a join without any.
+
+    One job sketches the most frequent keys of all sides. It reads the key columns only and shuffles one
+    sketch per task. The list is fixed here, so all sides of a join use the same one. The sketch may miss a
+    key with few rows, which then simply is not spread; results never depend on it.
+    """
+    coded = [
+        df.select(F.lit(f"{i}/{side}").alias("side"), key_code(keys).alias(CODE))
+        for i, (keys, sides) in enumerate(joins)
+        for side, df in sides.items()
+    ]
+    sketches = (
+        reduce(DataFrame.unionAll, coded)
+        .groupBy("side")
+        .agg(
+            F.expr(f"approx_top_k({CODE}, {LISTED_KEYS}, {TRACKED_KEYS})").alias("top"),
+            F.count_if(F.col(CODE).isNull()).alias("missing"),
+        )
     )
+    found = {row.side: row for row in sketches.collect()}
+    spark = coded[0].sparkSession
+    hot: list[HotKeys | None] = []
+    for i, (keys, sides) in enumerate(joins):
+        rows: dict[str, tuple[int, str]] = {}
+        missing = dict.fromkeys(sides, 1)
+        for side in sides:
+            sketch = found.get(f"{i}/{side}")
+            if sketch is None:
+                continue
+            missing[side] = _salts(sketch.missing, rows_per_task)
+            for item, count in sketch.top:
+                if item is not None and count > rows_per_task:
+                    rows[item] = max(rows.get(item, (0, side)), (count, side))
+        if not rows and max(missing.values()) == 1:
+            hot.append(None)
+            continue
+        listed = [(key, side, _salts(count, rows_per_task)) for key, (count, side) in rows.items()]
+        table = spark.createDataFrame(listed, f"{CODE} string, {OWNER} string, {SALTS} int")
+        hot.append(HotKeys(tuple(keys), table, missing))
+    return hot
+
+
+def key_code(keys: Sequence[str]) -> Column:
+    """The key as one text, different for different keys; NULL if any part is NULL."""
+    *front, last = [F.col(k).cast("string") for k in keys]
+    parts = [part for k in front for part in (F.length(k).cast("string"), F.lit(":"), k)]
+    return F.concat(*parts, last) if parts else last
+
+
+def spread(df: DataFrame, side: str, hot: HotKeys | None, by: Sequence[str] | None = None) -> DataFrame:
+    """Add salt and owner to one side. `by` names columns that vary within a key; default all hashable ones."""
+    if hot is None:
+        return df
+    by = list(by) if by is not None else _hashable(df)
+    marked = df.join(F.broadcast(hot.table), key_code(hot.keys) == F.col(CODE), "left").drop(CODE)
+    missing = key_code(hot.keys).isNull()
+    dealt = F.pmod(
+        F.xxhash64(*[backticked(c) for c in by]), F.when(missing, hot.null_salts.get(side, 1)).otherwise(F.col(SALTS))
+    ).cast("int")
+    all_salts = F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)
+    salts = F.when(missing | (F.col(OWNER) == side), F.array(dealt)).otherwise(all_salts)
+    return marked.withColumn(SALT, F.explode(salts)).drop(SALTS)
 
 
-def deal_out(df: DataFrame, keys: Sequence[str], hot: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
-    """Add the salt to the long side. `by` names columns that vary within a key; default all hashable ones."""
-    by = list(by) if by is not None else _hashable(df)
-    row_hash = F.xxhash64(*[quoted(c) for c in by])
-    key_missing: Column = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    salt = (
-        F.when(key_missing, F.pmod(row_hash, F.lit(NULL_SALTS)))
-        .when(F.col(SALTS).isNotNull(), F.pmod(row_hash, F.col(SALTS)))
-        .otherwise(0)
-        .cast("int")
-    )
-    return df.join(F.broadcast(hot), list(keys), "left").withColumn(SALT, salt).drop(SALTS)
+def join_keys(keys: Sequence[str], hot: HotKeys | None) -> list[str]:
+    return list(keys) if hot is None else [*keys, SALT]
 
 
-def repeat(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Repeat the rows of hot keys once per salt on the other side."""
-    salts = F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)
-    return df.join(F.broadcast(hot), list(keys), "left").withColumn(SALT, F.explode(salts)).drop(SALTS)
+def attach(left: DataFrame, right: DataFrame, side: str, keys: Sequence[str], hot: HotKeys | None) -> DataFrame:
+    """Left join of an already spread frame to `right`, the side named `side`."""
+    if hot is None:
+        return left.join(right, list(keys), "left")
+    marked = spread(right, side, hot).drop(OWNER).withColumn(MATCHED, F.lit(True))
+    joined = left.join(marked, join_keys(keys, hot), "left")
+    no_row_on_salt = F.col(MATCHED).isNull() & F.col(OWNER).eqNullSafe(F.lit(side))
+    return joined.where(~no_row_on_salt).drop(MATCHED)
 
 
-def balanced_join(
-    long: DataFrame,
-    other: DataFrame,
+def balanced_left_join(
+    left: DataFrame,
+    right: DataFrame,
     keys: Sequence[str],
-    how: str = "left",
-    hot: DataFrame | None = None,
+    unique_right: bool = False,
     by: Sequence[str] | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """`long` joined to `other` (left or inner) with hot keys of `long` spread over tasks."""
-    if how not in ("left", "inner"):
-        raise ValueError("only left and inner joins can repeat the other side")
-    keys = list(keys)
-    added = [c for c in other.columns if c not in keys]
-    shared = set(long.columns) & set(added)
+    """`left` joined to `right` with hot keys of both spread over tasks.
+
+    `unique_right` tells that keys do not repeat on the right, so only the left is searched for hot ones.
+    """
+    added = [c for c in right.columns if c not in keys]
+    shared = set(left.columns) & set(added)
     if shared:
         raise ValueError(f"both sides have columns {sorted(shared)}")
-    hot = hot_keys(key_counts(long, keys), keys) if hot is None else hot
-    salted = deal_out(long, keys, hot, by)
-    joined = salted.join(repeat(other, keys, hot), [*keys, SALT], how)
-    return joined.select([quoted(c) for c in [*long.columns, *added]])
+    sides = {"left": left} if unique_right else {"left": left, "right": right}
+    (hot,) = find_hot_keys((keys, sides), rows_per_task=rows_per_task)
+    joined = attach(spread(left, "left", hot, by), right, "right", keys, hot)
+    return joined.select([backticked(c) for c in [*left.columns, *added]])
+
+
+def _salts(rows: int, rows_per_task: int) -> int:
+    return min(max(ceil(rows / rows_per_task), 1), MAX_SALTS)
 
 
 def _hashable(df: DataFrame) -> list[str]:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from creditloom.operators.features import activity_profile, loan_features, risk_flags
+from creditloom.operators.features import activity_profile, latest_owner, loan_features, risk_flags
 from creditloom.operators.labels import DEFAULT_DPD, DEFAULT_MOB, at_month_on_book, default_label
-from creditloom.operators.skew import SALT, deal_out, hot_keys, key_counts, repeat
+from creditloom.operators.skew import CODE, OWNER, ROWS_PER_TASK, SALT, attach, find_hot_keys, spread
 from creditloom.sources.schemas import CLICK_FEATURES, CUSTOMER, SNAPSHOT
 
 # Columns that do not reach the feature store.
@@ -34,13 +35,14 @@ def feature_store(
     clicks: DataFrame,
     mob: int = DEFAULT_MOB,
     exclude: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Loans at month `mob` with the customer's attributes, financials and clicks of the same snapshot.
 
     All snapshots are built at once: the click join has the snapshot in its key. It comes first, while the
     rows are narrow; the two customer tables follow on one key, so loans move twice and no table more than
-    once. Loans of hot customers are dealt out over tasks for all three joins. A customer that occurs twice
-    in a customer table repeats its loans; check with `assert_unique` first where that must not happen.
+    once. Keys with more than `rows_per_task` rows in any table are spread over tasks. A customer that occurs
+    twice in a customer table repeats its loans; check with `assert_unique` first where that must not happen.
 
     The state of the label month (missed installments, overdue amount, both flags) is part of the features.
     Name it in `exclude` to keep it away from a model that predicts this month's label.
@@ -48,13 +50,17 @@ def feature_store(
     base = at_month_on_book(loans, mob).transform(risk_flags).drop(*LOAN_COLUMNS_DROPPED)
     attributes = attributes.drop(SNAPSHOT)
     financials = financials.drop(*FINANCIAL_COLUMNS_DROPPED)
-    customer, monthly = [CUSTOMER], [CUSTOMER, SNAPSHOT]
-    hot = hot_keys(key_counts(base, customer), customer)
+    customer, monthly, by = [CUSTOMER], [CUSTOMER, SNAPSHOT], ["loan_id", SNAPSHOT]
+    hot_months, hot_customers = find_hot_keys(
+        (monthly, {"loans": base, "clicks": clicks}),
+        (customer, {"loans": base, "attributes": attributes, "financials": financials}),
+        rows_per_task=rows_per_task,
+    )
+    with_clicks = spread(base, "loans", hot_months, by).transform(attach, clicks, "clicks", monthly, hot_months)
     joined = (
-        deal_out(base, customer, hot, by=["loan_id", SNAPSHOT])
-        .join(repeat(clicks, customer, hot), [*monthly, SALT], "left")
-        .join(repeat(attributes, customer, hot), [CUSTOMER, SALT], "left")
-        .join(repeat(financials, customer, hot), [CUSTOMER, SALT], "left")
+        spread(with_clicks.drop(SALT, OWNER), "loans", hot_customers, by)
+        .transform(attach, attributes, "attributes", customer, hot_customers)
+        .transform(attach, financials, "financials", customer, hot_customers)
     )
     order = [
         *base.columns,
@@ -69,24 +75,36 @@ def customer_matrix(
     financials: DataFrame,
     clicks: DataFrame,
     features: Sequence[str] = CLICK_FEATURES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Click profile of every customer with one row per loan, holding loan, attribute and financial features.
 
-    Customers without loans keep one row with NULL loan, attribute and financial columns. Loans are the long
-    side, so the profile is matched to them and customers without a loan are added.
+    Customers without loans keep one row with NULL loan, attribute and financial columns. The loans are the
+    long side and keep one partitioning through all three joins.
     """
-    profile = activity_profile(clicks, features)
-    per_loan = loan_features(loans)
     customer = [CUSTOMER]
-    hot = hot_keys(key_counts(per_loan, customer), customer)
     attributes = attributes.drop(SNAPSHOT)
     financials = financials.drop(*FINANCIAL_COLUMNS_DROPPED)
-    with_loans = (
-        deal_out(per_loan, customer, hot, by=["loan_id"])
-        .join(repeat(profile, customer, hot), [CUSTOMER, SALT], "inner")
-        .join(repeat(attributes, customer, hot), [CUSTOMER, SALT], "left")
-        .join(repeat(financials, customer, hot), [CUSTOMER, SALT], "left")
-        .drop(SALT)
+    owners = latest_owner(loans)
+    (hot,) = find_hot_keys(
+        (customer, {"loans": owners, "attributes": attributes, "financials": financials}),
+        rows_per_task=rows_per_task,
+    )
+    per_loan = (
+        spread(loan_features(loans), "loans", hot, by=["loan_id"])
+        .transform(attach, attributes, "attributes", customer, hot)
+        .transform(attach, financials, "financials", customer, hot)
+        .drop(OWNER)
+    )
+    profile = activity_profile(clicks, features)
+    if hot is None:
+        return per_loan.join(profile, customer, "right")
+    # A hot customer's profile is repeated per salt. Copies that meet no loan are dropped where the customer
+    # has loans, and kept once where it has none.
+    lending = hot.table.select(F.col(CODE).alias(CUSTOMER)).join(owners, customer, "left_semi")
+    copies = spread(profile, "profile", hot).drop(OWNER).join(
+        F.broadcast(lending.distinct().withColumn("__has_loans", F.lit(True))), customer, "left"
     )
-    without_loans = profile.join(per_loan.select(CUSTOMER).distinct(), CUSTOMER, "left_anti")
-    return with_loans.unionByName(without_loans, allowMissingColumns=True)
+    joined = per_loan.withColumn("__loan", F.lit(True)).join(copies, [CUSTOMER, SALT], "right")
+    kept = F.col("__loan").isNotNull() | (F.col("__has_loans").isNull() & (F.col(SALT) == 0))
+    return joined.where(kept).drop(SALT, "__loan", "__has_loans")

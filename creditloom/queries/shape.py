@@ -6,17 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.functions.casts import quoted
-
 
 def widened(df: DataFrame) -> DataFrame:
     return df.select(
         [
-            quoted(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.FloatType) else quoted(f.name)
+            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.FloatType) else f.name
             for f in df.schema.fields
         ]
     )
 
 
 def rounded(df: DataFrame, endings: tuple[str, ...] = ("_mean", "_std"), digits: int = 6) -> DataFrame:
-    return df.select([F.round(c, digits).alias(c) if c.endswith(endings) else quoted(c) for c in df.columns])
+    return df.select([F.round(c, digits).alias(c) if c.endswith(endings) else c for c in df.columns])

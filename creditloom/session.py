@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording the Python line of every column expression makes tables with hundreds of columns slow to plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import pytest
+
+from creditloom.operators.cleaning import (
+    duration_months,
+    flag_pattern,
+    keep_age_range,
+    known_occupation,
+    mask_pattern,
+    null_sentinels,
+    payment_behaviour,
+    require_keys,
+    typed_clicks,
+    valid_age,
+    yes_flag,
+)
+from creditloom.plans.silver import clean_financials, silver_attributes
+
+
+def column(df, name):
+    return [r[name] for r in df.collect()]
+
+
+def test_valid_age(spark):
+    df = valid_age(spark.createDataFrame([("27_",), ("15",), (None,), ("-500",), ("130",), ("14.9",)], "age string"))
+    assert column(df, "age") == [None, 15, None, -500, 130, 14]
+    assert column(df, "age_valid") == [0, 1, 0, 0, 1, 0]
+
+
+def test_valid_age_with_upper_bound(spark):
+    df = valid_age(spark.createDataFrame([("130",), ("100",)], "age string"), max_age=100)
+    assert column(df, "age_valid") == [0, 1]
+
+
+def test_keep_age_range(spark):
+    df = spark.createDataFrame([("14",), ("15",), ("100",), ("101",), ("x",), (None,)], "age string")
+    assert column(keep_age_range(df), "age_int") == [15, 100]
+
+
+def test_known_occupation(spark):
+    raw = spark.createDataFrame([("_______",), (" ",), (None,), (" Doctor",)], "occupation string")
+    df = known_occupation(raw)
+    assert column(df, "occupation") == [None, None, None, "Doctor"]
+    assert column(df, "occupation_known") == [0, 0, 0, 1]
+
+
+def test_ssn_flag_and_mask(spark):
+    raw = spark.createDataFrame([("123-45-6789",), ("#F%$D@*&8",), (None,), ("1123-45-6789",)], "ssn string")
+    assert column(flag_pattern(raw), "ssn_valid") == [1, 0, 0, 0]
+    masked = mask_pattern(raw)
+    assert column(masked, "ssn") == ["123-45-6789", None, None, None]
+    assert column(masked, "ssn_valid") == [1, 0, 0, 0]
+
+
+def test_credit_history(spark):
+    texts = ["22 Years and 1 Months", "3 Years", "5 Months", None, "0 Years and 11 Months"]
+    df = duration_months(spark.createDataFrame([(t,) for t in texts], "credit_history_age string"))
+    assert column(df, "credit_history_years") == [22, 3, None, None, 0]
+    assert column(df, "credit_history_months") == [1, None, 5, None, 11]
+    assert column(df, "credit_history_total_months") == [265, 36, None, None, 11]
+
+
+def test_yes_flag(spark):
+    raw = spark.createDataFrame([("Yes",), ("No",), ("NM",), (None,), ("yes",)], "payment_of_min_amount string")
+    assert column(yes_flag(raw), "payment_of_min_amount") == [1, 0, 0, 0, 0]
+
+
+def test_payment_behaviour(spark):
+    raw = spark.createDataFrame([("!@9#%8",), ("HIGH_x",), (None,)], "payment_behaviour string")
+    parity = payment_behaviour(raw)
+    assert column(parity, "payment_behaviour") == ["0", "high_x", None]
+    assert column(parity, "has_valid_payment_behavior") == [1, 1, 0]
+    void = payment_behaviour(raw, junk_as=None)
+    assert column(void, "payment_behaviour") == [None, "high_x", None]
+    assert column(void, "has_valid_payment_behavior") == [0, 1, 0]
+
+
+def test_null_sentinels(spark):
+    raw = spark.createDataFrame([("NULL",), ("Not Specified",), (None,), ("Auto Loan",)], "t string")
+    assert column(null_sentinels(raw, "t", ["NULL", "Not Specified"]), "t") == [None, None, None, "Auto Loan"]
+
+
+def test_required_keys_are_declared_not_null(spark):
+    raw = spark.createDataFrame([("a", None), (None, "2023-01-01"), ("b", "2023-01-01")], "k string, d string")
+    df = require_keys(raw.selectExpr("k", "cast(d as date) as d", "1 as v"), ["k", "d"])
+    assert [f.nullable for f in df.schema.fields][:2] == [False, False]
+    assert [(r.k, str(r.d)) for r in df.collect()] == [("b", "2023-01-01")]
+
+
+def test_typed_clicks(spark):
+    raw = spark.createDataFrame(
+        [("1", "x", "c1", "2023-01-01", "e"), ("2.7", None, "c2", "bad", "e"), ("3", "4", None, "2023-01-01", "e")],
+        "fe_1 string, fe_2 string, customer_id string, snapshot_date string, extra string",
+    )
+    types = {"fe_1": "int", "fe_2": "int", "customer_id": "string", "snapshot_date": "date"}
+    df = typed_clicks(raw, types, ["customer_id", "snapshot_date"])
+    assert df.columns == list(types)
+    assert [(r.fe_1, r.fe_2, r.customer_id) for r in df.collect()] == [(1, None, "c1")]
+
+
+def test_silver_attributes_drops_personal_columns(spark):
+    raw = spark.createDataFrame(
+        [("1", " A ", "20", "123-45-6789", "x"), ("2", "A", "9", "bad", "_______"), ("3", None, None, None, None)],
+        "customer_id string, name string, age string, ssn string, occupation string",
+    )
+    df = silver_attributes(raw)
+    assert not {"name", "ssn"} & set(df.columns)
+    shared = {r.customer_id: (r.name_shared_count, r.is_name_shared) for r in df.collect()}
+    assert shared == {"1": (2, 1), "2": (2, 1), "3": (None, 0)}
+
+
+def test_other_measures_keep_their_underscores_and_fail(spark):
+    raw = spark.createDataFrame(
+        [("12_", "5_", "5_", "Yes", None, None, None)],
+        "monthly_balance string, annual_income string, num_of_loan string, payment_of_min_amount string,"
+        " credit_history_age string, credit_mix string, payment_behaviour string",
+    )
+    row = clean_financials(raw).first()
+    assert row.monthly_balance is None and row.num_of_loan is None and row.annual_income == pytest.approx(5.0)
