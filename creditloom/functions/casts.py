@@ -18,10 +18,11 @@ WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 def text_to_int(text: Column, kind: str = "int") -> Column:
     """Whole part of a number in text: '15.7' is 15 and '.5' is 0. Other text and overflow are NULL.
 
-    A bare `try_cast` would reject every value with a decimal point.
+    A bare `try_cast` would reject every value with a decimal point. Plain digits take it all the same; only
+    what it rejects is matched against a pattern.
     """
     whole = F.regexp_extract(text, WHOLE_NUMBER, 1).try_cast(kind)
-    return F.coalesce(whole, F.when(text.rlike(FRACTION_ONLY), F.lit(0).cast(kind)))
+    return F.coalesce(text.try_cast(kind), whole, F.when(text.rlike(FRACTION_ONLY), F.lit(0).cast(kind)))
 
 
 def tolerant_cast(value: Column, source: T.DataType, target: str) -> Column:

@@ -20,15 +20,16 @@ from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.functions.casts import backticked
 
 ROWS_PER_TASK = 1_000_000  # a key with more rows than this on one side is hot
-LISTED_KEYS = 1_000  # most frequent keys looked at per side; any other holds under 0.1 % of its rows
-TRACKED_KEYS = 10_000  # size of the frequency sketch
+BUCKETS = 64  # sketches per side, by key hash, so that many tasks merge them
+LISTED_KEYS = 100  # hot keys kept per sketch
+TRACKED_KEYS = 128  # keys counted per sketch: together some 8,000, the most frequent of each side
 MAX_SALTS = 1_000
 
 CODE = "__key"
@@ -40,7 +41,10 @@ MATCHED = "__matched"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hot keys of a join with owner and salts: at most LISTED_KEYS per side, so small enough to broadcast."""
+    """Hot keys of a join with owner and salts.
+
+    At most BUCKETS * LISTED_KEYS per side, each with over ROWS_PER_TASK rows: small enough to broadcast.
+    """
 
     keys: tuple[str, ...]
     table: DataFrame
@@ -52,44 +56,47 @@ def find_hot_keys(
 ) -> list[HotKeys | None]:
     """Hot keys of each join, given as its keys and its sides by name; None for a join without any.
 
-    One job sketches the most frequent keys of all sides. It reads the key columns only and shuffles one
-    sketch per task. The list is fixed here, so all sides of a join use the same one. The sketch may miss a
-    key with few rows, which then simply is not spread; results never depend on it.
+    One job counts the most frequent keys of all sides in bounded sketches. It reads the key columns only and
+    shuffles sketches, not keys. The list is fixed here, so all sides of a join use the same one. A key that a
+    sketch misses has a small share of the rows and is not spread; results never depend on it.
     """
     coded = [
-        df.select(F.lit(f"{i}/{side}").alias("side"), key_code(keys).alias(CODE))
+        df.select(F.lit(i).alias("join"), F.lit(side).alias("side"), key_code(keys).alias(CODE))
         for i, (keys, sides) in enumerate(joins)
         for side, df in sides.items()
     ]
     sketches = (
         reduce(DataFrame.unionAll, coded)
-        .groupBy("side")
+        .groupBy("join", "side", F.pmod(F.xxhash64(CODE), F.lit(BUCKETS)).alias("bucket"))
         .agg(
             F.expr(f"approx_top_k({CODE}, {LISTED_KEYS}, {TRACKED_KEYS})").alias("top"),
             F.count_if(F.col(CODE).isNull()).alias("missing"),
         )
+        .select("join", "side", "missing", F.filter("top", lambda t: t["count"] > rows_per_task).alias("top"))
+        .where((F.size("top") > 0) | (F.col("missing") > rows_per_task))
+        .collect()
     )
-    found = {row.side: row for row in sketches.collect()}
     spark = coded[0].sparkSession
-    hot: list[HotKeys | None] = []
-    for i, (keys, sides) in enumerate(joins):
-        rows: dict[str, tuple[int, str]] = {}
-        missing = dict.fromkeys(sides, 1)
-        for side in sides:
-            sketch = found.get(f"{i}/{side}")
-            if sketch is None:
-                continue
-            missing[side] = _salts(sketch.missing, rows_per_task)
-            for item, count in sketch.top:
-                if item is not None and count > rows_per_task:
-                    rows[item] = max(rows.get(item, (0, side)), (count, side))
-        if not rows and max(missing.values()) == 1:
-            hot.append(None)
-            continue
-        listed = [(key, side, _salts(count, rows_per_task)) for key, (count, side) in rows.items()]
-        table = spark.createDataFrame(listed, f"{CODE} string, {OWNER} string, {SALTS} int")
-        hot.append(HotKeys(tuple(keys), table, missing))
-    return hot
+    return [
+        _hot_keys(spark, keys, [row for row in sketches if row["join"] == i], rows_per_task)
+        for i, (keys, _) in enumerate(joins)
+    ]
+
+
+def _hot_keys(spark: SparkSession, keys: Sequence[str], sketches: list, rows_per_task: int) -> HotKeys | None:
+    """Give every hot key to the side with most rows."""
+    if not sketches:
+        return None
+    null_salts: dict[str, int] = {}
+    owners: dict[str, tuple[int, str]] = {}
+    for row in sketches:
+        null_salts[row.side] = max(null_salts.get(row.side, 1), _salts(row.missing, rows_per_task))
+        for key, count in row.top:
+            if key is not None:
+                owners[key] = max(owners.get(key, (0, row.side)), (count, row.side))
+    listed = [(key, side, _salts(count, rows_per_task)) for key, (count, side) in owners.items()]
+    table = spark.createDataFrame(listed, f"{CODE} string, {OWNER} string, {SALTS} int")
+    return HotKeys(tuple(keys), table, null_salts)
 
 
 def key_code(keys: Sequence[str]) -> Column:

@@ -1,0 +1,135 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from creditloom.operators.profiling import catalog_counts, null_counts, row_audit, row_count
+from creditloom.session import shared_folder
+from creditloom.sources.readers import (
+    at_snapshot,
+    list_files,
+    load_catalog,
+    lookup,
+    lower_names,
+    read_raw,
+    read_snapshots,
+)
+from creditloom.sources.writers import write_snapshots, write_table
+from helpers import bag, plan_text
+
+
+def months(spark, *rows):
+    return spark.createDataFrame(
+        [(k, v, dt.date.fromisoformat(m)) for k, v, m in rows], "k string, v int, snapshot_date date"
+    )
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    root = str(tmp_path / "store")
+    write_snapshots(months(spark, ("a", 1, "2023-01-01"), ("b", 2, "2023-02-01"), ("c", 3, "2023-03-01")), root)
+    return root
+
+
+def test_only_written_months_are_replaced(spark, store):
+    audit = write_snapshots(months(spark, ("x", 9, "2023-02-01"), ("y", 8, "2023-02-01")), store)
+    assert (audit.rows, audit.snapshots) == (2, [dt.date(2023, 2, 1)])
+    assert sorted(r.k for r in read_snapshots(spark, store).collect()) == ["a", "c", "x", "y"]
+
+
+def test_writing_twice_changes_nothing(spark, store):
+    before = bag(read_snapshots(spark, store))
+    again = months(spark, ("a", 1, "2023-01-01"), ("b", 2, "2023-02-01"), ("c", 3, "2023-03-01"))
+    write_snapshots(again, store, "2023-01-01", "2023-03-01")
+    assert bag(read_snapshots(spark, store)) == before
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_months_of_the_range_without_rows_are_emptied(spark, tmp_path, fmt):
+    root = str(tmp_path / fmt)
+    rows = months(spark, ("a", 1, "2023-01-01"), ("b", 2, "2023-02-01"), ("c", 3, "2023-03-01"))
+    write_snapshots(rows, root, "2023-01-01", "2023-03-01", fmt)
+    write_snapshots(rows.where("k = 'a'"), root, "2023-01-01", "2023-02-01", fmt)
+    assert sorted(r.k for r in read_snapshots(spark, root, fmt=fmt).collect()) == ["a", "c"]
+    write_snapshots(rows, root, "2023-01-01", "2023-03-01", fmt)
+    assert sorted(r.k for r in read_snapshots(spark, root, fmt=fmt).collect()) == ["a", "b", "c"]
+
+
+def test_a_range_reads_only_its_partitions(spark, store):
+    df = read_snapshots(spark, store, "2023-02-01", "2023-02-28")
+    assert [r.k for r in df.collect()] == ["b"]
+    partition_filters = plan_text(df).split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "snapshot_date" in partition_filters and "2023-02-01" in partition_filters
+
+
+def test_one_file_per_small_month(spark, store, tmp_path):
+    wide = spark.range(0, 4000, 1, 16).selectExpr("id", "add_months(date'2023-01-01', int(id % 4)) snapshot_date")
+    root = str(tmp_path / "wide")
+    audit = write_snapshots(wide, root)
+    assert audit.rows == 4000 and len(audit.snapshots) == 4
+    assert len(spark.read.parquet(root).inputFiles()) == 4
+
+
+def test_snapshots_with_different_columns(spark, tmp_path):
+    root = str(tmp_path / "drift")
+    write_snapshots(months(spark, ("a", 1, "2023-01-01")), root)
+    write_snapshots(months(spark, ("b", 2, "2023-02-01")).withColumn("extra", F.lit(7)), root)
+    rows = {r.k: r.extra for r in read_snapshots(spark, root, merge_schema=True).collect()}
+    assert rows == {"a": None, "b": 7}
+
+
+def test_raw_text_and_inferred_types(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    (tmp_path / "t.csv").write_text('Customer_ID,Age,Note\nC1,27_,"a, b"\nC2,30,\n')
+    raw = read_raw(spark, path)
+    assert raw.dtypes == [("customer_id", "string"), ("age", "string"), ("note", "string")]
+    assert [tuple(r) for r in raw.collect()] == [("C1", "27_", "a, b"), ("C2", "30", None)]
+    (tmp_path / "n.csv").write_text("N,D\n1,2023-01-01\n")
+    assert [t for _, t in read_raw(spark, str(tmp_path / "n.csv"), infer=True).dtypes] == ["int", "date"]
+    assert read_raw(spark, path, "a string, b string, c string").columns == ["a", "b", "c"]
+    assert read_raw(spark, [path, path]).count() == 4
+
+
+def test_names_that_coincide(spark):
+    with pytest.raises(ValueError, match="coincide"):
+        lower_names(spark.range(1).selectExpr("id AS A", "id AS a"))
+
+
+def test_folder_sweep(spark, tmp_path):
+    for name, rows in {"one": 1, "two": 2}.items():
+        (tmp_path / f"{name}.csv").write_text("x\n" + "1\n" * rows)
+    (tmp_path / "other.txt").write_text("no table")
+    assert sorted(list_files(spark, str(tmp_path))) == ["one", "two"]
+    with pytest.raises(ValueError, match="more than 1"):
+        list_files(spark, str(tmp_path), limit=1)
+    frames = load_catalog(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in catalog_counts(frames).collect()) == [("one", 1), ("two", 2)]
+    assert spark.sql("SELECT COUNT(*) FROM two").first()[0] == 2
+
+
+def test_lookup_and_snapshot(spark):
+    df = months(spark, ("a", 1, "2023-01-01"), ("b", 2, "2023-02-01"))
+    assert [r.v for r in lookup(df, "k", "b").collect()] == [2]
+    assert [r.v for r in at_snapshot(df, "2023-01-01").collect()] == [1]
+
+
+def test_counts(spark):
+    df = spark.createDataFrame([(1, None), (None, None)], "a int, b int")
+    assert null_counts(df, ["a", "b"]).first().asDict() == {"a_nulls": 1, "b_nulls": 2}
+    assert row_count(df).first()[0] == 2
+    assert {r.b: r.row_count for r in row_audit(df, "b").collect()} == {None: 2}
+
+
+def test_static_table_write_counts_rows(spark, tmp_path):
+    path = str(tmp_path / "static")
+    assert write_table(spark.range(7), path).rows == 7
+    assert write_table(spark.range(3), path, "csv").rows == 3
+    assert read_raw(spark, path).count() == 3
+
+
+def test_shared_folder_is_below_the_clusters(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_folder(spark), shared_folder(spark)
+    assert first.startswith(root) and first != second
