@@ -48,6 +48,7 @@ class HotKeys:
 
     keys: tuple[str, ...]
     table: DataFrame
+    owners: frozenset[str]
     null_salts: dict[str, int]
 
 
@@ -96,7 +97,7 @@ def _hot_keys(spark: SparkSession, keys: Sequence[str], sketches: list, rows_per
                 owners[key] = max(owners.get(key, (0, row.side)), (count, row.side))
     listed = [(key, side, _salts(count, rows_per_task)) for key, (count, side) in owners.items()]
     table = spark.createDataFrame(listed, f"{CODE} string, {OWNER} string, {SALTS} int")
-    return HotKeys(tuple(keys), table, null_salts)
+    return HotKeys(tuple(keys), table, frozenset(side for _, side, _ in listed), null_salts)
 
 
 def key_code(keys: Sequence[str]) -> Column:
@@ -116,21 +117,21 @@ def spread(df: DataFrame, side: str, hot: HotKeys | None, by: Sequence[str] | No
     dealt = F.pmod(
         F.xxhash64(*[backticked(c) for c in by]), F.when(missing, hot.null_salts.get(side, 1)).otherwise(F.col(SALTS))
     ).cast("int")
+    own = missing | (F.col(OWNER) == side)
+    if hot.owners <= {side}:
+        return marked.withColumn(SALT, F.when(own, dealt).otherwise(0)).drop(SALTS)
     all_salts = F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)
-    salts = F.when(missing | (F.col(OWNER) == side), F.array(dealt)).otherwise(all_salts)
-    return marked.withColumn(SALT, F.explode(salts)).drop(SALTS)
-
-
-def join_keys(keys: Sequence[str], hot: HotKeys | None) -> list[str]:
-    return list(keys) if hot is None else [*keys, SALT]
+    return marked.withColumn(SALT, F.explode(F.when(own, F.array(dealt)).otherwise(all_salts))).drop(SALTS)
 
 
 def attach(left: DataFrame, right: DataFrame, side: str, keys: Sequence[str], hot: HotKeys | None) -> DataFrame:
     """Left join of an already spread frame to `right`, the side named `side`."""
     if hot is None:
         return left.join(right, list(keys), "left")
-    marked = spread(right, side, hot).drop(OWNER).withColumn(MATCHED, F.lit(True))
-    joined = left.join(marked, join_keys(keys, hot), "left")
+    salted = spread(right, side, hot).drop(OWNER)
+    if side not in hot.owners:
+        return left.join(salted, [*keys, SALT], "left")
+    joined = left.join(salted.withColumn(MATCHED, F.lit(True)), [*keys, SALT], "left")
     no_row_on_salt = F.col(MATCHED).isNull() & F.col(OWNER).eqNullSafe(F.lit(side))
     return joined.where(~no_row_on_salt).drop(MATCHED)
 
