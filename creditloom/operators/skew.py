@@ -61,11 +61,13 @@ def find_hot_keys(
     shuffles sketches, not keys. The list is fixed here, so all sides of a join use the same one. A key that a
     sketch misses has a small share of the rows and is not spread; results never depend on it.
     """
-    coded = [
-        df.select(F.lit(i).alias("join"), F.lit(side).alias("side"), key_code(keys).alias(CODE))
-        for i, (keys, sides) in enumerate(joins)
-        for side, df in sides.items()
-    ]
+    frames: dict[int, tuple[DataFrame, list[Column]]] = {}
+    for i, (keys, sides) in enumerate(joins):
+        for side, df in sides.items():
+            part = F.struct(F.lit(i).alias("join"), F.lit(side).alias("side"), key_code(keys).alias(CODE))
+            frames.setdefault(id(df), (df, []))[1].append(part)
+    # A table that takes part in several joins is read once.
+    coded = [df.select(F.explode(F.array(*parts)).alias("part")).select("part.*") for df, parts in frames.values()]
     sketches = (
         reduce(DataFrame.unionAll, coded)
         .groupBy("join", "side", F.pmod(F.xxhash64(CODE), F.lit(BUCKETS)).alias("bucket"))

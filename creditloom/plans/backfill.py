@@ -68,6 +68,10 @@ def bronze_table(spark: SparkSession, mart: Mart, table: str) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
+    """Type and clean. The monthly tables are row by row from month to month, so they need no shuffle.
+
+    Loans are ordered by month on book, the column that gold filters on.
+    """
     attributes = silver_attributes(read_raw(spark, mart.path("bronze", "features_attributes")))
     financials = silver_financials(read_raw(spark, mart.path("bronze", "features_financials")))
     clicks = silver_clicks(bronze_table(spark, mart, "feature_clickstream"))
@@ -76,8 +80,10 @@ def build_silver(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
         f"silver/{name}": write_table(df, mart.path("silver", name))
         for name, df in {"features_attributes": attributes, "features_financials": financials}.items()
     }
-    for name, df in {"feature_clickstream": clicks, "lms_loan_daily": loans}.items():
-        audits[f"silver/{name}"] = write_snapshots(df, mart.path("silver", name), **mart.months)
+    for name, df, order in (("feature_clickstream", clicks, [CUSTOMER]), ("lms_loan_daily", loans, ["mob", CUSTOMER])):
+        audits[f"silver/{name}"] = write_snapshots(
+            df, mart.path("silver", name), rebalance=False, sort_by=order, **mart.months
+        )
     return audits
 
 

@@ -85,9 +85,8 @@ def customer_matrix(
     customer = [CUSTOMER]
     attributes = attributes.drop(SNAPSHOT)
     financials = financials.drop(*FINANCIAL_COLUMNS_DROPPED)
-    owners = latest_owner(loans)
     (hot,) = find_hot_keys(
-        (customer, {"loans": owners, "attributes": attributes, "financials": financials}),
+        (customer, {"loans": loans, "attributes": attributes, "financials": financials}),
         rows_per_task=rows_per_task,
     )
     per_loan = (
@@ -101,9 +100,12 @@ def customer_matrix(
         return per_loan.join(profile, customer, "right")
     # A hot customer's profile is repeated per salt. Copies that meet no loan are dropped where the customer
     # has loans, and kept once where it has none.
-    lending = hot.table.select(F.col(CODE).alias(CUSTOMER)).join(owners, customer, "left_semi")
-    copies = spread(profile, "profile", hot).drop(OWNER).join(
-        F.broadcast(lending.distinct().withColumn("__has_loans", F.lit(True))), customer, "left"
+    hot_customers = F.broadcast(hot.table.select(F.col(CODE).alias(CUSTOMER)))
+    lending = latest_owner(loans).join(hot_customers, customer, "left_semi").select(CUSTOMER).distinct()
+    copies = (
+        spread(profile, "profile", hot)
+        .drop(OWNER)
+        .join(F.broadcast(lending.withColumn("__has_loans", F.lit(True))), customer, "left")
     )
     joined = per_loan.withColumn("__loan", F.lit(True)).join(copies, [CUSTOMER, SALT], "right")
     kept = F.col("__loan").isNotNull() | (F.col("__has_loans").isNull() & (F.col(SALT) == 0))

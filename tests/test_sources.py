@@ -72,6 +72,17 @@ def test_one_file_per_small_month(spark, store, tmp_path):
     assert len(spark.read.parquet(root).inputFiles()) == 4
 
 
+def test_rows_are_ordered_within_files_without_a_shuffle(spark, store, tmp_path):
+    rows = spark.range(0, 4000, 1, 4).selectExpr("id", "int(id * 7919 % 12) mob", "date'2023-01-01' snapshot_date")
+    root = str(tmp_path / "ordered")
+    write_snapshots(rows, root, rebalance=False, sort_by=["mob"])
+    files = spark.read.parquet(root).inputFiles()
+    assert len(files) == 4
+    for file in files:
+        months_on_book = [r.mob for r in spark.read.parquet(file).collect()]
+        assert months_on_book == sorted(months_on_book) and len(set(months_on_book)) == 12
+
+
 def test_snapshots_with_different_columns(spark, tmp_path):
     root = str(tmp_path / "drift")
     write_snapshots(months(spark, ("a", 1, "2023-01-01")), root)
