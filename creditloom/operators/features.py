@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from creditloom.functions.casts import backticked
 from creditloom.functions.dates import vintage
 from creditloom.functions.flags import flag
+from creditloom.operators.skew import ROWS_PER_TASK, gather
 
 VINTAGES = ["old", "mid", "new"]
 
@@ -113,18 +114,23 @@ def _ends(columns: Sequence[str], order: str, ties: Sequence[str]) -> tuple[dict
     return {c: F.min_by(c, by) for c in columns}, {c: F.max_by(c, by) for c in columns}
 
 
+def _deltas(columns: Sequence[str], order: str, ties: Sequence[str]) -> list[Column]:
+    first, last = _ends(columns, order, ties)
+    return [(last[c] - first[c]).alias(f"{c}_delta") for c in columns]
+
+
 def first_last(
     df: DataFrame,
     columns: Sequence[str],
     key: str = "customer_id",
     order: str = "snapshot_date",
     ties: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Value at the first and at the last date per key, NULL included. No window and no sort are needed."""
     first, last = _ends(columns, order, ties)
-    return df.groupBy(key).agg(
-        *[e for c in columns for e in (first[c].alias(f"{c}_first"), last[c].alias(f"{c}_last"))]
-    )
+    ends = [e for c in columns for e in (first[c].alias(f"{c}_first"), last[c].alias(f"{c}_last"))]
+    return gather(df, key, [order, *columns], rows_per_task).groupBy(key).agg(*ends)
 
 
 def first_last_delta(
@@ -133,15 +139,17 @@ def first_last_delta(
     key: str = "customer_id",
     order: str = "snapshot_date",
     ties: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Last minus first value per key."""
-    first, last = _ends(columns, order, ties)
-    return df.groupBy(key).agg(*[(last[c] - first[c]).alias(f"{c}_delta") for c in columns])
+    return gather(df, key, [order, *columns], rows_per_task).groupBy(key).agg(*_deltas(columns, order, ties))
 
 
-def activity_statistics(df: DataFrame, columns: Sequence[str], key: str = "customer_id") -> DataFrame:
+def activity_statistics(
+    df: DataFrame, columns: Sequence[str], key: str = "customer_id", rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Mean, sample standard deviation, minimum and maximum of every column per key."""
-    return df.groupBy(key).agg(*_statistics(columns))
+    return gather(df, key, columns, rows_per_task).groupBy(key).agg(*_statistics(columns))
 
 
 def activity_profile(
@@ -150,11 +158,14 @@ def activity_profile(
     key: str = "customer_id",
     order: str = "snapshot_date",
     ties: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Statistics and last-minus-first deltas together, in one aggregation with one shuffle."""
-    first, last = _ends(columns, order, ties)
-    deltas = [(last[c] - first[c]).alias(f"{c}_delta") for c in columns]
-    return df.groupBy(key).agg(*_statistics(columns), *deltas)
+    """Statistics and last-minus-first deltas together, in one aggregation with one shuffle.
+
+    The result of a key is many times as wide as a row, so rows are shuffled and then aggregated.
+    """
+    gathered = gather(df, key, [order, *columns], rows_per_task)
+    return gathered.groupBy(key).agg(*_statistics(columns), *_deltas(columns, order, ties))
 
 
 def snapshot_dates(df: DataFrame, column: str = "snapshot_date") -> DataFrame:

@@ -160,6 +160,19 @@ def balanced_left_join(
     return joined.select([backticked(c) for c in [*left.columns, *added]])
 
 
+def gather(df: DataFrame, key: str, by: Sequence[str] | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Bring the rows of each key into one task, and those of a hot key into as many as it needs.
+
+    For an aggregation by `key` whose result per key is wider than a row, over input that seldom holds two rows
+    of a key in one task, as in snapshots. Combining before the shuffle would then send more than the rows.
+    Rows of hot keys are still combined per task before they meet.
+    """
+    (hot,) = find_hot_keys(([key], {"rows": df}), rows_per_task=rows_per_task)
+    if hot is None:
+        return df.repartition(key)
+    return spread(df, "rows", hot, by).drop(OWNER).repartition(key, SALT)
+
+
 def _salts(rows: int, rows_per_task: int) -> int:
     return min(max(ceil(rows / rows_per_task), 1), MAX_SALTS)
 

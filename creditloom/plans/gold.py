@@ -95,7 +95,7 @@ def customer_matrix(
         .transform(attach, financials, "financials", customer, hot)
         .drop(OWNER)
     )
-    profile = activity_profile(clicks, features)
+    profile = activity_profile(clicks, features, rows_per_task=rows_per_task)
     if hot is None:
         return per_loan.join(profile, customer, "right")
     # A hot customer's profile is repeated per salt. Copies that meet no loan are dropped where the customer

@@ -60,8 +60,10 @@ def test_bad_rate_curve_reads_three_columns(spark, silver):
 
 def test_profile_is_one_hash_aggregation(spark, silver):
     df = activity_profile(spark.read.parquet(str(silver / "clicks")), CLICK_FEATURES)
+    plan = plan_text(df)
     assert exchanges(df) == 1
-    assert "SortAggregate" not in plan_text(df) and "Window" not in plan_text(df)
+    assert "SortAggregate" not in plan and "Window" not in plan
+    assert "Aggregate" not in plan.split("Exchange hashpartitioning", 1)[1]
 
 
 def test_loan_features_shuffle_once(spark, silver):
