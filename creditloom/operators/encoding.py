@@ -7,6 +7,7 @@ brings at most `limit` short values to the driver and fails beyond that.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,20 +42,27 @@ def levels(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).select(column).distinct()
 
 
-def learn(values: DataFrame, limit: int = MAX_VOCABULARY) -> list:
-    """Sorted values of a one-column frame; more than `limit` are an error."""
-    found = [row[0] for row in values.limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} distinct values of {values.columns[0]}; pass the vocabulary")
-    return sorted(found)
+def learn(*values: DataFrame, limit: int = MAX_VOCABULARY) -> list[list[str]]:
+    """Sorted texts of each one-column frame, in one job; more than `limit` in any are an error."""
+    tagged = [
+        df.limit(limit + 1).select(F.lit(i).alias("vocabulary"), F.col(df.columns[0]).cast("string").alias("value"))
+        for i, df in enumerate(values)
+    ]
+    found: list[list[str]] = [[] for _ in values]
+    for row in reduce(DataFrame.unionAll, tagged).collect():
+        found[row.vocabulary].append(row.value)
+    for df, vocabulary in zip(values, found):
+        if len(vocabulary) > limit:
+            raise ValueError(f"more than {limit} distinct values of {df.columns[0]}; pass the vocabulary")
+    return [sorted(vocabulary) for vocabulary in found]
 
 
 def learn_items(df: DataFrame, column: str = "type_of_loan", limit: int = MAX_VOCABULARY, **options) -> list[str]:
-    return learn(list_items(df, column, **options), limit)
+    return learn(list_items(df, column, **options), limit=limit)[0]
 
 
 def learn_levels(df: DataFrame, column: str = "payment_behaviour", limit: int = MAX_VOCABULARY) -> list[str]:
-    return learn(levels(df, column), limit)
+    return learn(levels(df, column), limit=limit)[0]
 
 
 def item_column(item: str) -> str:

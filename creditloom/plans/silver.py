@@ -22,7 +22,16 @@ from creditloom.operators.cleaning import (
 )
 from creditloom.operators.delinquency import days_past_due, installments_missed, month_on_book
 from creditloom.operators.duplicates import shared_count
-from creditloom.operators.encoding import credit_mix_flags, learn_items, learn_levels, multi_hot, one_hot
+from creditloom.operators.encoding import (
+    credit_mix_flags,
+    learn,
+    learn_items,
+    learn_levels,
+    levels,
+    list_items,
+    multi_hot,
+    one_hot,
+)
 from creditloom.sources.schemas import (
     CLICK_FEATURES,
     CUSTOMER,
@@ -80,9 +89,11 @@ def silver_financials(
 ) -> DataFrame:
     """Customer financials with encoded loan types, credit mix and payment behaviour.
 
-    Vocabularies not passed in are learned from the data, in one small job each.
+    Vocabularies not passed in are learned from the data in one small job.
     """
     cleaned = clean_financials(raw, junk_as)
+    if items is None and behaviours is None:
+        items, behaviours = learn(list_items(raw, "type_of_loan"), levels(cleaned, "payment_behaviour"))
     items = learn_items(raw) if items is None else items
     behaviours = learn_levels(cleaned) if behaviours is None else behaviours
     return (
