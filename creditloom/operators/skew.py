@@ -29,7 +29,7 @@ from creditloom.functions.casts import backticked
 ROWS_PER_TASK = 1_000_000  # a key with more rows than this on one side is hot
 BUCKETS = 64  # sketches per side, by key hash, so that many tasks merge them
 LISTED_KEYS = 100  # hot keys kept per sketch
-TRACKED_KEYS = 128  # keys counted per sketch: together some 8,000, the most frequent of each side
+TRACKED_KEYS = 256  # keys counted per sketch: together some 16,000, the most frequent of each side
 MAX_SALTS = 1_000
 
 CODE = "__key"
@@ -67,7 +67,10 @@ def find_hot_keys(
             part = F.struct(F.lit(i).alias("join"), F.lit(side).alias("side"), key_code(keys).alias(CODE))
             frames.setdefault(id(df), (df, []))[1].append(part)
     # A table that takes part in several joins is read once.
-    coded = [df.select(F.explode(F.array(*parts)).alias("part")).select("part.*") for df, parts in frames.values()]
+    coded = [
+        df.select((parts[0] if len(parts) == 1 else F.explode(F.array(*parts))).alias("part")).select("part.*")
+        for df, parts in frames.values()
+    ]
     sketches = (
         reduce(DataFrame.unionAll, coded)
         .groupBy("join", "side", F.pmod(F.xxhash64(CODE), F.lit(BUCKETS)).alias("bucket"))

@@ -6,6 +6,7 @@ Every layer is a dataset partitioned by `snapshot_date`. Running a range again r
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,9 @@ class Mart:
     dpd: int = DEFAULT_DPD
     mob: int = DEFAULT_MOB
     money: str = "float"
+    loan_items: Sequence[str] | None = None  # vocabularies; learned from the data of the run unless given
+    behaviours: Sequence[str] | None = None
+    junk_as: str | None = "0"  # what the junk payment behaviour becomes
     unique_customers: bool = False  # fail when a customer table repeats a customer
 
     def raw(self, table: str) -> str:
@@ -73,7 +77,8 @@ def build_silver(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
     Loans are ordered by month on book, the column that gold filters on.
     """
     attributes = silver_attributes(read_raw(spark, mart.path("bronze", "features_attributes")))
-    financials = silver_financials(read_raw(spark, mart.path("bronze", "features_financials")))
+    raw_financials = read_raw(spark, mart.path("bronze", "features_financials"))
+    financials = silver_financials(raw_financials, mart.loan_items, mart.behaviours, mart.junk_as)
     clicks = silver_clicks(bronze_table(spark, mart, "feature_clickstream"))
     loans = silver_loans(bronze_table(spark, mart, "lms_loan_daily"), mart.money)
     audits = {

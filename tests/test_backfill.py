@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 
@@ -102,6 +103,14 @@ def test_command_line(spark, mart, monkeypatch, capsys):
     assert gold(spark, mart, "label_store").first().label_def == "60dpd_6mob"
 
 
+def test_given_vocabularies_fix_the_columns(spark, mart):
+    fixed = replace(mart, loan_items=["Auto Loan", "Mortgage Loan"], behaviours=["low_spent"], junk_as=None)
+    backfill(spark, fixed)
+    row = gold(spark, mart, "feature_store").where("loan_id = 'L1'").first().asDict()
+    assert (row["auto_loan"], row["mortgage_loan"], row["pb_low_spent"]) == (1, 0, 0)
+    assert not {"payday_loan", "pb_high_spent", "pb_0"} & set(row)
+
+
 def test_silver_types(spark, mart):
     backfill(spark, mart)
     silver = silver_tables(spark, mart)
