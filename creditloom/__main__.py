@@ -18,6 +18,7 @@ def main() -> None:
     parser.add_argument("--dpd", type=int, default=DEFAULT_DPD)
     parser.add_argument("--mob", type=int, default=DEFAULT_MOB)
     parser.add_argument("--money", default="float", help="type of amounts, for example decimal(12,2)")
+    parser.add_argument("--exclude", nargs="*", default=(), help="columns to keep out of the feature store")
     parser.add_argument("--unique-customers", action="store_true", help="fail on repeated customers")
     parser.add_argument("--master", help="Spark master, when not set by spark-submit")
     options = vars(parser.parse_args())

@@ -36,6 +36,7 @@ class Mart:
     loan_items: Sequence[str] | None = None  # vocabularies; learned from the data of the run unless given
     behaviours: Sequence[str] | None = None
     junk_as: str | None = "0"  # what the junk payment behaviour becomes
+    exclude: Sequence[str] = ()  # columns kept out of the feature store
     unique_customers: bool = False  # fail when a customer table repeats a customer
 
     def raw(self, table: str) -> str:
@@ -111,6 +112,7 @@ def build_gold(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
         silver["features_financials"],
         silver["feature_clickstream"],
         mart.mob,
+        mart.exclude,
     )
     return {
         f"gold/{name}": write_snapshots(df, mart.path("gold", name), **mart.months)

@@ -9,6 +9,7 @@ import pytest
 
 from creditloom.__main__ import main
 from creditloom.plans.backfill import Mart, backfill, bronze_table, build_gold, silver_tables
+from helpers import bag
 
 LOANS = """loan_id,Customer_ID,loan_start_date,tenure,installment_num,loan_amt,due_amt,paid_amt,overdue_amt,balance,snapshot_date
 L1,C1,2023-01-01,10,5,1000,100,100,0,500,2023-06-01
@@ -144,6 +145,16 @@ def test_rerun_empties_a_month_that_lost_its_rows(spark, mart, source):
     assert {r.loan_id for r in gold(spark, mart, "label_store").collect()} == {"L1", "L2"}
 
 
+def test_month_by_month_equals_the_whole_range(spark, mart, tmp_path):
+    backfill(spark, mart)
+    single = replace(mart, root=str(tmp_path / "single"), exclude=["installments_missed"])
+    for month in ("2023-06-01", "2023-07-01", "2023-08-01"):
+        backfill(spark, replace(single, start=month, end=month))
+    assert bag(gold(spark, mart, "label_store")) == bag(gold(spark, single, "label_store"))
+    features = gold(spark, single, "feature_store")
+    assert bag(gold(spark, mart, "feature_store").drop("installments_missed")) == bag(features)
+
+
 def test_other_label_definition(spark, mart):
     backfill(spark, mart)
     strict = Mart(mart.source, mart.root, mart.start, mart.end, dpd=60)
