@@ -48,7 +48,10 @@ def write_snapshots(
     writer = out.write.mode("overwrite").partitionBy(SNAPSHOT).option("partitionOverwriteMode", "dynamic")
     _with_header(writer, fmt).format(fmt).save(root)
     audit = WriteAudit(seen.get["rows"], sorted(seen.get["snapshots"]))
-    for month in sorted(stored - set(audit.snapshots)):
+    emptied = stored - set(audit.snapshots)
+    if start is not None and not stored and not audit.snapshots:
+        emptied = {dt.date.fromisoformat(str(start))}  # an empty file, so that the dataset can be read
+    for month in sorted(emptied):
         empty = df.where(F.lit(False)).drop(SNAPSHOT).write.mode("overwrite")
         _with_header(empty, fmt).format(fmt).save(f"{root}/{SNAPSHOT}={month}")
     return audit

@@ -155,6 +155,15 @@ def test_month_by_month_equals_the_whole_range(spark, mart, tmp_path):
     assert bag(gold(spark, mart, "feature_store").drop("installments_missed")) == bag(features)
 
 
+def test_months_without_any_rows_are_valid(spark, mart):
+    early = replace(mart, start="2022-01-01", end="2022-03-01")
+    audits = backfill(spark, early)
+    assert {a.rows for name, a in audits.items() if "features_" not in name} == {0}
+    assert gold(spark, mart, "label_store").count() == gold(spark, mart, "feature_store").count() == 0
+    backfill(spark, mart)
+    assert gold(spark, mart, "feature_store").count() == 3
+
+
 def test_other_label_definition(spark, mart):
     backfill(spark, mart)
     strict = Mart(mart.source, mart.root, mart.start, mart.end, dpd=60)
