@@ -51,15 +51,15 @@ def feature_store(
     attributes = attributes.drop(SNAPSHOT)
     financials = financials.drop(*FINANCIAL_COLUMNS_DROPPED)
     customer, monthly, by = [CUSTOMER], [CUSTOMER, SNAPSHOT], ["loan_id", SNAPSHOT]
-    # Months without a loan at `mob` are left out of the click scan; one date per month is broadcast.
-    months = base.select(SNAPSHOT).distinct()
-    clicks = clicks.join(F.broadcast(months), SNAPSHOT, "left_semi")
     hot_months, hot_customers = find_hot_keys(
         (monthly, {"loans": base, "clicks": clicks}),
         (customer, {"loans": base, "attributes": attributes, "financials": financials}),
         rows_per_task=rows_per_task,
     )
-    with_clicks = spread(base, "loans", hot_months, by).transform(attach, clicks, "clicks", monthly, hot_months)
+    # Months without a loan at `mob` are left out of the click scan; one date per month is broadcast.
+    months = base.select(SNAPSHOT).distinct()
+    needed = clicks.join(F.broadcast(months), SNAPSHOT, "left_semi")
+    with_clicks = spread(base, "loans", hot_months, by).transform(attach, needed, "clicks", monthly, hot_months)
     joined = (
         spread(with_clicks.drop(SALT, OWNER), "loans", hot_customers, by)
         .transform(attach, attributes, "attributes", customer, hot_customers)
