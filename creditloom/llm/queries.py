@@ -2,10 +2,64 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from creditloom.llm import line_dedup, near_dedup
+from creditloom.llm import (
+    language_id,
+    license_scan,
+    line_dedup,
+    mixing,
+    near_dedup,
+    nearest,
+    piece_scan,
+    quality_rules,
+    substring_dedup,
+    token_files,
+)
 from creditloom.llm.common import document_rows
+from creditloom.session import shared_folder
+
+WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
+END_ID = 2
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/tokens"
+    token_files.write_ids(document_rows(spark, sf_dir), path, public_tokenizers.path(WORD_TOKENIZER), END_ID)
+    return token_files.read_ids(spark, path)
+
+
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus read with at most three epochs of any source and each source once at least."""
+    return mixing.mixing_report(document_rows(spark, sf_dir), max_epochs=3.0)
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(document_rows(spark, sf_dir))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(document_rows(spark, sf_dir), window=20).drop("kept")
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_scan.piece_report(document_rows(spark, sf_dir), public_tokenizers.path(PIECE_MODEL))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(document_rows(spark, sf_dir)).drop("spans")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(document_rows(spark, sf_dir))
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,9 +70,42 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(document_rows(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op9_near_duplicates, op10_line_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_files,
+        op2_nearest,
+        op3_mixing,
+        op4_quality_rules,
+        op5_substring_dedup,
+        op6_sentencepiece,
+        op7_license_scan,
+        op8_language_id,
+        op9_near_duplicates,
+        op10_line_dedup,
+    )
+}
 
 ORACLE = {
+    "op5_substring_dedup": r"""
+WITH words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS place
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)),
+starts AS (
+  SELECT doc_id, place, string_agg(word, ' ') OVER ahead AS words, count(*) OVER ahead AS n FROM words
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+repeated AS (
+  SELECT doc_id, place FROM (
+    SELECT doc_id, place, row_number() OVER (PARTITION BY words ORDER BY doc_id, place) AS k FROM starts WHERE n = 20)
+  WHERE k > 1),
+judged AS (
+  SELECT words.doc_id, words.place, word,
+    coalesce(words.place - max(repeated.place) OVER (PARTITION BY words.doc_id ORDER BY words.place) < 20, false) AS gone
+  FROM words LEFT JOIN repeated ON words.doc_id = repeated.doc_id AND words.place = repeated.place)
+SELECT documents.doc_id, count(word) AS n_words, count(*) FILTER (coalesce(gone, false)) AS n_removed,
+  sha256(coalesce(string_agg(word, ' ' ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents LEFT JOIN judged ON documents.doc_id = judged.doc_id GROUP BY documents.doc_id
+""",
     "op10_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
