@@ -33,6 +33,18 @@ def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     return docs.select(known(doc_id).alias("_id"), F.xxhash64(text).alias("_copy"), F.col(text).alias("_text"))
 
 
+def numbered(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, str, str]:
+    """The rows with columns c0, c1, ... so that no name clashes, besides `_id` and `_copy`; and the new names of both columns."""
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*at.values())
+    return rows.withColumns({"_id": known(at[doc_id]), "_copy": F.xxhash64(at[text])}), at[text], at[doc_id]
+
+
+def named(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Back to the columns of `docs`."""
+    return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def groups_for(spark: SparkSession, size: float, most: float) -> int:
     """How many groups hold `size` in all with about `most` in each; at least one for each shuffle partition."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / most))

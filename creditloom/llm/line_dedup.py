@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm import arrays
-from creditloom.llm.common import keyed, known, restored, staged
+from creditloom.llm.common import keyed, named, numbered, restored, staged
 
 ROWS = "h1 long, h2 long, holders int, _id long, _copy long, n_lines int, lines array<int>"
 FIELDS = ("h1", "h2", "holders", "_id", "_copy", "n_lines")
@@ -231,15 +231,10 @@ def apply_bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def drop_shared_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """The rows and columns of `docs`, shared lines removed from their texts. See shared_line_bitmaps."""
     maps = shared_line_bitmaps(docs, text, doc_id, min_chars, min_docs).drop("n_dropped")
-    named = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    rows = named.withColumnsRenamed({at[text]: "_text"}).withColumns(
-        {"_id": known(at[doc_id]), "_copy": F.xxhash64("_text")}
-    )
-    joined = rows.join(maps, ["_id", "_copy"], "left").drop("_id", "_copy")
-    schema = joined.drop("keep", "n_lines").schema
-    kept = joined.mapInArrow(apply_bitmaps, schema)
-    return kept.select(*[F.col("_text" if c == text else at[c]).alias(c) for c in docs.columns])
+    rows, text, _ = numbered(docs, text, doc_id)
+    joined = rows.withColumnRenamed(text, "_text").join(maps, ["_id", "_copy"], "left").drop("_id", "_copy")
+    kept = joined.mapInArrow(apply_bitmaps, joined.drop("keep", "n_lines").schema)
+    return named(kept.withColumnRenamed("_text", text), docs)
 
 
 def line_report(docs: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import known, staged
+from creditloom.llm.common import known, named, numbered, restored, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_DOCS = 1024  # documents that are shuffled within a block; blocks are shuffled within an epoch
@@ -158,15 +158,13 @@ def read_order(copies: Column, position: Column, epochs: Column) -> Column:
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **target) -> DataFrame:
     """The rows of `docs`, each as often as it is read, with all their columns. See schedule."""
     plan = schedule(docs, text, source, doc_id, **target).groupBy("_id", "_copy").agg(F.max("copies").alias("copies"))
-    plan = plan.where("copies > 0").withColumnsRenamed({"_id": "_plan_id", "_copy": "_plan_copy"})
-    here = [F.coalesce(docs[doc_id].cast("bigint"), F.lit(-(1 << 63))) == F.col("_plan_id"), F.xxhash64(docs[text]) == F.col("_plan_copy")]
-    repeated = docs.join(plan, here).withColumn("_time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-    return repeated.drop("_plan_id", "_plan_copy", "copies", "_time")
+    rows, _, _ = numbered(docs, text, doc_id)
+    read = rows.join(plan.where("copies > 0"), ["_id", "_copy"])
+    return named(read.withColumn("time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))), docs)
 
 
 def mixing_report(docs: DataFrame, **target) -> DataFrame:
     """A row for each document and epoch it is read in, and where in the order."""
     plan = schedule(docs, **target).where("copies > 0")
     read = plan.select("*", F.posexplode(read_order(F.col("copies"), F.col("position"), F.col("epochs"))).alias("epoch", "place"))
-    doc_id = F.when(F.col("_id") != -(1 << 63), F.col("_id")).alias("doc_id")
-    return read.select(doc_id, "source", "n_tokens", "weight", F.col("epoch").cast("bigint").alias("epoch"), "place")
+    return read.select(restored("_id").alias("doc_id"), "source", "n_tokens", "weight", F.col("epoch").cast("bigint").alias("epoch"), "place")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm import arrays
-from creditloom.llm.common import NO_ID, keyed, restored, staged
+from creditloom.llm.common import NO_ID, keyed, known, named, numbered, restored, staged
 from creditloom.llm.components import components
 
 SKETCH = 64  # values kept of each set
@@ -312,5 +312,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` that are kept: of each component the document with the smallest id. See near_duplicates."""
-    kept = near_duplicates(docs, text, doc_id, words, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[doc_id].eqNullSafe(F.col("_kept")), "left_semi")
+    kept = near_duplicates(docs, text, doc_id, words, percent).where("kept")
+    kept = kept.select(known("doc_id").alias("_id")).distinct()
+    rows, _, _ = numbered(docs, text, doc_id)
+    return named(rows.join(kept, "_id", "left_semi"), docs)

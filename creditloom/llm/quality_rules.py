@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.llm import arrays
-from creditloom.llm.common import keyed, restored, staged
+from creditloom.llm.common import keyed, named, numbered, restored, staged
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -204,5 +204,5 @@ def quality_report(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of `docs` that are kept; see judge."""
     kept = judge(docs, text, doc_id).where("kept").select("_id", "_copy").distinct()
-    here = [F.coalesce(docs[doc_id].cast("bigint"), F.lit(-(1 << 63))) == F.col("_id"), F.xxhash64(docs[text]) == F.col("_copy")]
-    return docs.join(kept, here, "left_semi")
+    rows, _, _ = numbered(docs, text, doc_id)
+    return named(rows.join(kept, ["_id", "_copy"], "left_semi"), docs)

@@ -128,9 +128,9 @@ def block(bucket: int, ids: np.ndarray, copies: np.ndarray, found: Suffixes) ->
     return bucket, table.tobytes(), entries.tobytes(), found.label.tobytes()
 
 
-def map_suffixes(window: int, buckets: int):
+def map_suffixes(window: int, buckets: int, batch_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.text_slices(batches, "_text", BATCH_BYTES):
+        for batch in arrays.text_slices(batches, "_text", batch_bytes):
             parts, row = [], 0
             for piece in arrays.text_slices(iter([batch]), "_text"):
                 part = suffixes(piece.column("_text"), window)
@@ -225,7 +225,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows = keyed(docs, text, doc_id)
     size = docs.agg(F.sum(F.length(text))).first()[0] or 0  # at most one suffix for two characters, mostly for six
     buckets = groups_for(docs.sparkSession, size / 6 * LEAF_BYTES, GROUP_BYTES)
-    blocks = rows.mapInArrow(map_suffixes(window, buckets), BLOCKS)
+    blocks = rows.mapInArrow(map_suffixes(window, buckets, BATCH_BYTES), BLOCKS)
     found = blocks.groupBy("bucket").applyInArrow(subtree(window), SPANS)
     return found.groupBy("_id", "_copy").agg(F.collect_list("spans").alias("parts")).withColumn(
         "spans", F.aggregate("parts", F.unhex(F.lit("")), lambda a, b: F.concat(a, b))

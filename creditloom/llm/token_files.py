@@ -243,7 +243,7 @@ def decode_block(payload: bytes, table: Table) -> np.ndarray:
 BLOCKS = "shard int, block int, begin long, tokens long, ids array<long>, copies array<long>, pieces array<long>, sizes array<long>, payload binary"
 
 
-def write_blocks(symbols: np.ndarray, frequencies: np.ndarray, dtype: str):
+def write_blocks(symbols: np.ndarray, frequencies: np.ndarray, dtype: str, most: int):
     """Over documents in order: blocks of whole documents as far as they fit, a larger document in several blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,9 +267,9 @@ def write_blocks(symbols: np.ndarray, frequencies: np.ndarray, dtype: str):
             for doc_id, copy, ids in rows:
                 ids = np.frombuffer(ids.as_buffer(), dtype)
                 n_docs += 1
-                for low in range(0, max(1, len(ids)), BLOCK_TOKENS):
-                    piece = ids[low : low + BLOCK_TOKENS]
-                    if held and size + len(piece) > BLOCK_TOKENS:
+                for low in range(0, max(1, len(ids)), most):
+                    piece = ids[low : low + most]
+                    if held and size + len(piece) > most:
                         yield block()
                         held, size, number, begin = [], 0, number + 1, begin + size
                     held.append((doc_id, copy, n_docs, piece.copy()))
@@ -297,7 +297,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None, te
     table = spark.createDataFrame(list(zip(symbols.tolist(), frequencies.tolist(), strict=True)), "symbol long, frequency long")
     table.coalesce(1).write.parquet(f"{path}/table")
     ordered = tokens.repartitionByRange("_id", "_copy").sortWithinPartitions("_id", "_copy")
-    blocks = ordered.mapInArrow(write_blocks(symbols, frequencies, dtype), BLOCKS)
+    blocks = ordered.mapInArrow(write_blocks(symbols, frequencies, dtype, BLOCK_TOKENS), BLOCKS)
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
 
 

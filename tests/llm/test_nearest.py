@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from creditloom.llm import nearest
+
+SCHEMA = "vec_id long, embedding array<float>, label int, id long, chunk string, score int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], 1, 2, "c", 3) for i, v in rows], SCHEMA)
+
+
+def brute(rows, queries, k=5):
+    out = {}
+    for q, x in queries:
+        x = np.asarray(x, np.float32).astype(float)
+        scored = []
+        for i, y in rows:
+            if i != q and len(y) == len(x):
+                y = np.asarray(y, np.float32).astype(float)
+                scored.append((-float(np.sum(x * y) / (np.sqrt(np.sum(x * x)) * np.sqrt(np.sum(y * y)))), i))
+        out[q] = sorted(scored)[:k]
+    return out
+
+
+def answers(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r["rank"])):
+        out.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    return out
+
+
+def clustered(count, seed=1):
+    rnd = np.random.default_rng(seed)
+    centres = rnd.standard_normal((12, 32))
+    return [(k, centres[rnd.integers(12)] + 0.6 * rnd.standard_normal(32)) for k in range(count)]
+
+
+def test_recall_and_scores(spark):
+    rows = clustered(3000)
+    docs = table(spark, rows)
+    found = answers(nearest.nearest(docs, docs.where("vec_id % 50 = 0")))
+    exact = brute(rows, [r for r in rows if r[0] % 50 == 0])
+    hits = sum(len({v for _, v, _ in found[q]} & {i for _, i in exact[q]}) for q in exact)
+    assert hits >= 0.9 * sum(map(len, exact.values()))
+    by_id = dict(rows)
+    for q, list_ in found.items():
+        assert [r for r, _, _ in list_] == [1, 2, 3, 4, 5]
+        assert [s for _, _, s in list_] == sorted((s for _, _, s in list_), reverse=True)
+        for _, v, s in list_:
+            x, y = (by_id[i].astype(np.float32).astype(float) for i in (q, v))
+            assert abs(s - x @ y / np.sqrt((x @ x) * (y @ y))) < 1e-12
+
+
+def test_several_blocks_and_chunks(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(nearest, "CHUNK_QUERIES", 3)
+    rows = clustered(600, seed=2)
+    docs = table(spark, rows)
+    found = answers(nearest.nearest(docs, docs.where("vec_id % 50 = 0")))
+    exact = brute(rows, [r for r in rows if r[0] % 50 == 0])
+    hits = sum(len({v for _, v, _ in found[q]} & {i for _, i in exact[q]}) for q in exact)
+    assert sorted(found) == sorted(exact) and hits >= 0.9 * sum(map(len, exact.values()))
+
+
+def test_many_copies_tie_by_id(spark):
+    rows = [(k, [1.0, 2.0, 3.0]) for k in range(400)] + [(1000 + k, [1.0, -k, 0.5]) for k in range(5)]
+    docs = table(spark, rows)
+    found = answers(nearest.nearest(docs, docs.where("vec_id = 2")))
+    assert [v for _, v, _ in found[2]] == [0, 1, 3, 4, 5] and len({s for _, _, s in found[2]}) == 1
+
+
+def test_odd_vectors_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    odd = [None, [], [0, 0], [1, None], [nan, 1], [1, inf], [-inf, 0]]
+    rows = [(k, v) for k, v in enumerate(odd)] + [(50, [1, 0]), (51, [1, 1]), (52, [1, 2, 3]), (None, [1, 0])]
+    docs = table(spark, rows)
+    found = answers(nearest.nearest(docs, docs))
+    assert {q: [v for _, v, _ in x] for q, x in found.items()} == {50: [51], 51: [50]}
+
+
+def test_repeated_rows_and_no_rows(spark):
+    docs = table(spark, [(0, [1, 0]), (0, [1, 0]), (1, [1, 1]), (1, [1, 1])])
+    found = answers(nearest.nearest(docs, docs.where(F.col("vec_id") == 0)))
+    assert [(r, v) for r, v, _ in found[0]] == [(1, 1)]
+    assert nearest.nearest(table(spark, []), table(spark, [])).count() == 0
+    assert nearest.nearest(docs, table(spark, [])).count() == 0
