@@ -13,8 +13,14 @@ from creditloom.session import shared_folder
 NO_ID = -(1 << 63)
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder and read back: computed once, and not lost with an executor."""
+def staged(df: DataFrame, compact: bool = False) -> DataFrame:
+    """The rows written to the shared folder and read back: computed once, and not lost with an executor.
+
+    `compact` is for narrow rows, as links are: a few tasks for each core of the cluster write them, however many
+    partitions a shuffle has.
+    """
+    if compact:
+        df = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
     path = f"{shared_folder(df.sparkSession)}/rows"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

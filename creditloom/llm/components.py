@@ -23,16 +23,17 @@ def components(links: DataFrame) -> DataFrame:
     Links have no direction; repeated ones and those of a node to itself do no harm.
     """
     high, low = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    links = staged(links.where("a <> b").select(high, low).distinct())
+    links = staged(links.where("a <> b").select(high, low).distinct(), compact=True)
     before = _checksum(links)
     while before[0]:
         # The smallest neighbours are staged so that the join's sides can be split where a node has very many.
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        nearest = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
-        large = staged(both.join(nearest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        lowest = staged(large.groupBy("a").agg(F.min("b").alias("m")))
+        nearest = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), compact=True)
+        large = both.join(nearest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = staged(large.distinct(), compact=True)
+        lowest = staged(large.groupBy("a").agg(F.min("b").alias("m")), compact=True)
         small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        links = staged(small.union(lowest).distinct())
+        links = staged(small.union(lowest).distinct(), compact=True)
         now = _checksum(links)
         if now == before:
             break

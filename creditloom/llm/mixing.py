@@ -71,7 +71,8 @@ def bisect(shares: DataFrame, enough) -> float:
             a, b = (a, middle) if enough(figures[grid[middle - 1]]) else (middle, b)
         edges = [low, *grid, high]
         low, high = edges[a], edges[b]
-    return high
+    # Sums depend on the order of their terms in the last digits; these are not part of the result.
+    return min(1.0, math.ceil(high * 1e9) / 1e9)
 
 
 def mixture(docs: DataFrame, text: str = "text", source: str = "source", entropy: float | None = None, max_epochs: float | None = None, budget: float | None = None) -> Mixture:
@@ -106,7 +107,7 @@ def mixture(docs: DataFrame, text: str = "text", source: str = "source", entropy
     z = shares.agg(F.sum(F.pow("share", F.lit(exponent)))).first()[0]
     spent = budget if budget is not None else total / least
     weight = F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / F.lit(total), F.lit(exponent)) / F.lit(z)).otherwise(0.0)
-    weighted = sizes.withColumn("weight", weight)
+    weighted = sizes.withColumn("weight", F.round(weight, 12))
     epochs = F.coalesce(F.try_divide(F.col("weight") * F.lit(float(spent)), F.col("tokens")), F.lit(0.0))
     # A share of an epoch that is only a rounding error is none.
     return Mixture(exponent, staged(weighted.withColumn("epochs", F.round(epochs, 9))))

@@ -9,8 +9,8 @@
 3. Lists tie classes into homes (connected components of the lists). Sets are computed again for classes in a home of two or more and
    meet there, in blocks of at most `BLOCK` classes. Within a block all pairs on a common list are estimated
    from the sketch of the union, and those left are verified on the full sets.
-4. A home of several blocks gets a second round with other blocks, in which the parts found so far grow together, and
-   a last one in which all classes outside its largest part meet every other block. So all pairs that could join two
+4. A home of several blocks gets a second round with other blocks, in which the parts of the first grow together, and
+   a last one in which all classes outside its largest part meet every block. So all pairs that could join two
    parts are compared, and pairs inside a part, as of thousands of near copies, are not.
 """
 
@@ -81,7 +81,7 @@ def signatures(words: int):
 def indexed(classes: DataFrame, similarity: float) -> DataFrame:
     """`value` and `rep`: each class under its rarest values that other classes hold too."""
     postings = classes.select("rep", "n", F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
-    held = staged(postings.groupBy("value").agg(F.count("rep").alias("held")).where("held > 1"))
+    held = staged(postings.groupBy("value").agg(F.count("rep").alias("held")).where("held > 1"), compact=True)
     by_class = (
         postings.join(held, "value")
         .groupBy("rep")
@@ -90,7 +90,7 @@ def indexed(classes: DataFrame, similarity: float) -> DataFrame:
     needed = F.least(F.lit(SHARED), F.ceil(F.col("n") * similarity - 1e-9)).cast("int")
     rarest = F.slice("found", 1, F.size("found") - needed + 1)
     values = by_class.where(F.size("found") >= needed).select("rep", F.explode(rarest).alias("x"))
-    return staged(values.select("rep", F.col("x.value").alias("value")))
+    return staged(values.select("rep", F.col("x.value").alias("value")), compact=True)
 
 
 def estimates(one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -133,7 +133,7 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> n
 
 
 def compare(left: pd.DataFrame, right: pd.DataFrame | None, percent: int) -> pd.DataFrame:
-    """Links `a`, `b` that join the classes of a block, or of two, into the same parts as all their links do."""
+    """Links `a`, `b` that hold the classes of a block together as all their links do; of two blocks, the parts they are in."""
     none = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
     same = right is None
     if not len(left) or not (same or len(right)):
@@ -175,7 +175,8 @@ def compare(left: pd.DataFrame, right: pd.DataFrame | None, percent: int) -> pd.
         common = overlaps([sets[0][x] for x in rows], [sets[1][x] for x in cols])
     shared = common[np.searchsorted(rows, i), np.searchsorted(cols, j)]
     linked = 100 * shared >= percent * (n[i] + m[j] - shared)
-    return joining(left["rep"].to_numpy()[i[linked]], right["rep"].to_numpy()[j[linked]])
+    name = "rep" if same else "part"
+    return joining(left[name].to_numpy()[i[linked]], right[name].to_numpy()[j[linked]])
 
 
 def joining(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
@@ -224,54 +225,44 @@ def salt(column: str, seed: int, count) -> F.Column:
     return F.pmod(F.xxhash64(F.col(column), F.lit(seed)), count)
 
 
-def class_links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between classes that join them into components."""
+def class_components(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """`rep` and `component` of the classes that are linked with others, but perhaps not of the smallest of a component."""
     lists = indexed(classes, percent / 100)
-    leaders = staged(lists.groupBy("value").agg(F.min("rep").alias("leader"), F.count("rep").alias("size")).where("size > 1"))
-    listed = lists.join(leaders, "value")
+    leaders = lists.groupBy("value").agg(F.min("rep").alias("leader"), F.count("rep").alias("size")).where("size > 1")
+    listed = staged(lists.join(staged(leaders, compact=True), "value"), compact=True)
     homes = components(listed.select(F.col("rep").alias("a"), F.col("leader").alias("b")))
-    homes = homes.union(homes.select(F.col("component"), "component").distinct()).toDF("rep", "home")
+    homes = homes.union(homes.select("component", "component").distinct()).toDF("rep", "home")
+    sizes = staged(homes.groupBy("home").agg(F.count("rep").alias("size")), compact=True)
     held = listed.groupBy("rep").agg(F.collect_list("value").alias("lists"))
+    wanted = staged(homes.join(sizes, "home").join(held, "rep"))
     packed = "_id long, home long, size long, lists array<long>, values binary"
-    sizes = homes.groupBy("home").agg(F.count("rep").alias("size"))
-    wanted = staged(homes.join(staged(sizes), "home").join(held, "rep"))
     texts = rows.join(wanted.withColumnRenamed("rep", "_id"), "_id").dropDuplicates(["_id"])
     sets = texts.select("_id", "home", "size", "lists", "_text").mapInArrow(full_sets(words), packed)
     sets = staged(sets.mapInArrow(pack_lists, "rep long, home long, size long, n long, lists binary, values binary"))
     blocks = F.ceil(F.col("size") / BLOCK)
-    link = "a long, b long"
-    first = staged(
-        sets.withColumn("block", salt("rep", 1, blocks)).groupBy("home", "block").applyInPandas(within_block(percent), link)
-    )
+
+    def inside(table: DataFrame, seed: int) -> DataFrame:
+        grouped = table.withColumn("block", salt("rep", seed, blocks)).groupBy("home", "block")
+        return staged(grouped.applyInPandas(within_block(percent), "a long, b long"), compact=True)
+
     large = sets.where(F.col("size") > BLOCK)
-    second = staged(
-        large.withColumn("block", salt("rep", 2, blocks)).groupBy("home", "block").applyInPandas(within_block(percent), link)
-    )
-    found = first.union(second)
-    # Only homes of several blocks need their parts so far; in the others all pairs have been compared.
-    large_ids = large.select("rep", "home")
-    inner = found.join(large_ids, F.col("a") == F.col("rep"), "left_semi")
-    parts = components(inner).withColumnsRenamed({"node": "rep", "component": "part"})
-    parts = staged(large_ids.join(parts, "rep", "left").withColumn("part", F.coalesce("part", "rep")))
-    sums = staged(parts.groupBy("home", "part").agg(F.count("rep").alias("members")))
-    main = sums.groupBy("home").agg(F.max_by("part", F.struct("members", "part")).alias("main"))
-    outside = parts.groupBy("home").agg(F.count("rep").alias("all")).join(main, "home")
-    counts = sums.join(main, "home").where("part <> main").groupBy("home").agg(F.sum("members").alias("n_outside"))
-    plan = staged(counts.join(outside, "home"))
-    placed = large.join(parts.select("rep", "part"), "rep").join(plan, "home")
-    n_every, n_outside = F.ceil(F.col("all") / BLOCK), F.ceil(F.col("n_outside") / BLOCK)
-    mine, columns = salt("rep", 3, n_every), ["home", "rep", "n", "lists", "values", "part"]
-    every = placed.select(
-        *columns, mine.alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), n_outside - 1)).alias("with"), F.lit(False).alias("outside")
-    )
-    others = placed.where("part <> main").select(
-        *columns,
-        F.explode(F.sequence(F.lit(0).cast("bigint"), n_every - 1)).alias("block"),
-        salt("rep", 4, n_outside).alias("with"),
-        F.lit(True).alias("outside"),
+    found = components(inside(sets, 1).union(inside(large, 2))).toDF("rep", "part")
+    # In a home of one block all pairs have been compared; in the others, those that would join two parts are left.
+    placed = large.join(found, "rep", "left").withColumn("part", F.coalesce("part", "rep"))
+    members = staged(placed.groupBy("home", "part").agg(F.count("rep").alias("members")), compact=True)
+    totals = members.groupBy("home").agg(
+        F.max_by("part", F.struct("members", "part")).alias("main"), F.sum("members").alias("all"), F.max("members").alias("most")
     )
-    last = every.union(others).groupBy("home", "block", "with").applyInPandas(across_blocks(percent), link)
-    return found.union(staged(last))
+    plan = staged(totals.withColumn("others", F.col("all") - F.col("most")).where("others > 0"), compact=True)
+    columns = ["home", "rep", "n", "lists", "values", "part"]
+    split = placed.join(plan, "home")
+    n_all, n_others = F.ceil(F.col("all") / BLOCK), F.ceil(F.col("others") / BLOCK)
+    zero = F.lit(0).cast("bigint")
+    every = split.select(*columns, salt("rep", 3, n_all).alias("block"), F.explode(F.sequence(zero, n_others - 1)).alias("with"), F.lit(False).alias("outside"))
+    outside = split.where("part <> main").select(*columns, F.explode(F.sequence(zero, n_all - 1)).alias("block"), salt("rep", 4, n_others).alias("with"), F.lit(True).alias("outside"))
+    met = every.union(outside).groupBy("home", "block", "with").applyInPandas(across_blocks(percent), "a long, b long")
+    joined = components(met).toDF("part", "whole")
+    return found.join(joined, "part", "left").select("rep", F.coalesce("whole", "part").alias("component")).union(joined.toDF("rep", "component"))
 
 
 def pack_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,11 +286,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows = keyed(docs, text, doc_id).drop("_copy")
     signed = staged(rows.mapInArrow(signatures(words), "_id long, n long, h1 long, h2 long, sketch array<long>"))
     usable = signed.where((F.col("n") > 0) & (F.col("_id") != NO_ID))
-    class_ids = staged(usable.groupBy("h1", "h2").agg(F.min("_id").alias("rep")))
+    class_ids = staged(usable.groupBy("h1", "h2").agg(F.min("_id").alias("rep")), compact=True)
     classes = usable.join(class_ids, ["h1", "h2"]).where("_id = rep").select("rep", "n", "sketch").dropDuplicates(["rep"])
-    found = components(class_links(rows, staged(classes), words, percent))
-    of_class = class_ids.join(found, F.col("rep") == F.col("node"), "left")
-    of_class = staged(of_class.select("h1", "h2", F.coalesce("component", "rep").alias("component")))
+    found = class_components(rows, staged(classes), words, percent).groupBy("rep").agg(F.min("component").alias("component"))
+    of_class = staged(class_ids.join(found, "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component")), compact=True)
     shown = signed.drop("sketch").join(of_class, ["h1", "h2"], "left")
     linked = F.when((F.col("n") > 0) & (F.col("_id") != NO_ID), F.col("component")).otherwise(restored("_id"))
     return shown.select(

@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+
+from corpora import ODD_TEXTS
+from creditloom.llm import language_id
+
+SYLLABLES = {
+    "aa": ["the", "ing", "er", "and", "ou", "wh"],
+    "bb": ["ein", "sch", "ung", "der", "über", "ß"],
+    "cc": ["ción", "que", "ado", "los", "ñ", "ía"],
+}
+
+
+def corpus(seed=1, count=300):
+    rnd = random.Random(seed)
+    rows = []
+    for k in range(count):
+        lang = rnd.choice(sorted(SYLLABLES))
+        words = ["".join(rnd.choice(SYLLABLES[lang]) for _ in range(rnd.randrange(1, 4))) for _ in range(rnd.randrange(5, 60))]
+        rows.append((k, " ".join(words), lang, "src"))
+    return rows
+
+
+def test_held_out_accuracy(make_docs):
+    rows = corpus()
+    found = language_id.identify(make_docs(rows).repartition(3), sample_rows=120, landmarks=30).collect()
+    truth = {r[0]: r[2] for r in rows}
+    out = [r for r in found if r.held_out]
+    assert {r.doc_id for r in out} == {k for k in truth if zlib.crc32(str(k).encode()) % 3 == 1}
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in out]) > 0.97
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_held_out_labels_change_nothing(make_docs):
+    rows = corpus(count=120)
+    other = [(k, t, "zz" if zlib.crc32(str(k).encode()) % 3 == 1 else x, s) for k, t, x, s in rows]
+    one, two = (sorted(map(tuple, language_id.identify(make_docs(r)).collect())) for r in (rows, other))
+    assert one == two
+
+
+def test_odd_texts(make_docs):
+    rows = corpus(count=60) + [(1000 + k, text, "aa", None) for k, text in enumerate([*ODD_TEXTS, "123 !?", "漢"])]
+    rows += [(None, "the ing", "aa", None), (3, "the", None, None)]
+    found = language_id.identify(make_docs(rows)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        text = dict((x[0], x[1]) for x in rows)[r.doc_id]
+        assert (r.lang_pred == "und") == (not any(map(str.isalpha, text or "")))
+    assert [r.held_out for r in found if r.doc_id is None] == [False]
+
+
+def test_nothing_to_learn_and_no_rows(make_docs):
+    docs = make_docs([(k, "some text", None, None) for k in range(5)])
+    assert {(r.lang_pred, r.score) for r in language_id.identify(docs).collect()} == {("und", 0.0)}
+    assert language_id.identify(make_docs([])).count() == 0
+
+
+def test_bins_are_those_of_each_n_gram():
+    text = b"ab ab"
+    assert len(language_id.bins(text)) == 5 + 4 + 3 + 2 + 1
+    assert len(set(language_id.bins(text).tolist())) == 3 + 3 + 3 + 2 + 1
+    assert language_id.bins(b"a  1 b").tolist() == language_id.bins(b"A - B").tolist()
+    assert len(language_id.bins(b"")) == 0
+
+
+def test_folded_weights_equal_the_kernel(make_docs):
+    rows = corpus(count=60)
+    tables = np.packbits(language_id.presence([r[1].encode() for r in rows]) > 0, axis=1)
+    labels = [r[2] for r in rows]
+    model = language_id.fit_kernel(tables, labels, landmarks=9, ridge=1e-3)
+    x = np.unpackbits(tables, axis=1).astype(float)
+    x /= np.sqrt(x.sum(axis=1, keepdims=True))
+    names = np.array(labels)
+    chosen = np.concatenate([np.flatnonzero(names == k)[:3] for k in model.languages])
+    kernel, among = x @ x[chosen].T, x[chosen] @ x[chosen].T
+    targets = np.where(names[:, None] == np.array(model.languages), 1.0, -1.0)
+    alpha = np.linalg.solve(kernel.T @ kernel + 1e-3 * 60 * among + 1e-9 * 60 * np.eye(9), kernel.T @ targets)
+    assert np.allclose(model.scores(language_id.presence([r[1].encode() for r in rows])), kernel @ alpha, atol=1e-3)

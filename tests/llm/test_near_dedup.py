@@ -56,7 +56,7 @@ def corpus(seed=1, singles=60, groups=12, large=0):
         rows += [edited(rnd, base, rnd.randrange(0, 1 + len(base) // 18)) for _ in range(rnd.randrange(2, 6))]
         rows.append(base)
     base = prose(5, 120, 3000)
-    rows += [edited(rnd, base, rnd.randrange(1, 9)) for _ in range(large)]
+    rows += [edited(rnd, base, rnd.randrange(1, 6)) for _ in range(large)]
     rnd.shuffle(rows)
     texts = [" ".join(x) for x in rows] + ODD_TEXTS + ["One", "ONE \n", "Two Words"]
     return [(k * 2 + 5, text) for k, text in enumerate(texts)]

@@ -74,7 +74,7 @@ def test_a_damaged_block_fails():
     ids = np.arange(2000, dtype=np.uint32) % 700
     table = token_files.Table(np.arange(700), token_files.Table.scaled(np.bincount(ids)))
     payload = bytearray(token_files.encode_block(ids, table))
-    payload[-40] ^= 1
+    payload[32 + 16 + 2] ^= 1  # the first lane's state
     with pytest.raises(ValueError, match="checksum"):
         token_files.decode_block(bytes(payload), table)
 
