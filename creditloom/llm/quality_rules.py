@@ -29,17 +29,24 @@ LETTER = UPPER.copy()
 LETTER[0x61:0x7B] = True
 ENDING = np.zeros(256, bool)
 ENDING[list(b".?!:;\"')")] = True
+#: What a plain word is made of: letters, digits, apostrophe, hyphen, characters beyond ASCII; and what may follow it.
+PLAIN = LETTER.copy()
+PLAIN[list(b"0123456789'-")] = True
+PLAIN[0x80:] = True
+POINT = np.zeros(256, bool)
+POINT[list(b".,;:?!")] = True
 
 TRAITS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_ended_lines", "n_upper",
-    "n_letters", "n_distinct", "n_shouted",
+    "n_letters", "n_distinct", "n_shouted", "n_plain",
 )
 
 
 def traits(texts: pa.Array) -> list[np.ndarray]:
     """The traits of each text, in the order of TRAITS.
 
-    Lines count if they hold a word; a shouted word ends in two exclamation or question marks.
+    Lines count if they hold a word. A shouted word ends in two exclamation or question marks; a plain one has no
+    special characters but one stop at its end.
     """
     data, offsets = arrays.text_bytes(texts)
     count = len(offsets) - 1
@@ -79,6 +86,9 @@ def traits(texts: pa.Array) -> list[np.ndarray]:
     for k in range(3):
         repeated[again + k] = True
     last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
+    plain = np.concatenate(([0], np.cumsum(PLAIN[data])))
+    special = (ends - starts) - (plain[ends] - plain[starts])
+    clean = (special == 0) | ((special == 1) & POINT[last] & (ends - starts > 1))
     mark = np.isin(last, [0x21, 0x3F]) & np.isin(before, [0x21, 0x3F]) & (ends - starts > 2)
     return [
         n_words,
@@ -92,6 +102,7 @@ def traits(texts: pa.Array) -> list[np.ndarray]:
         per_text(LETTER[data]),
         distinct(hashes, text),
         np.bincount(text[mark], minlength=count),
+        np.bincount(text[clean], minlength=count),
     ]
 
 
@@ -120,15 +131,21 @@ def share(part: str, whole: str) -> Callable[[], Column]:
     return lambda: F.try_divide(F.col(part), F.col(whole))
 
 
+def never(value: Column) -> Column:
+    return F.lit(False)
+
+
+#: That a text doesn't shout or repeat itself says little for it, so most rules only vote bad or abstain.
 RULES = (
     Rule("symbols", share("n_symbols", "n_words"), lambda x: x < 0.05, lambda x: x > 0.3),
-    Rule("repeated_words", share("n_repeat_words", "n_words"), lambda x: x < 0.15, lambda x: x > 0.35),
-    Rule("capitals", share("n_upper", "n_letters"), lambda x: x < 0.15, lambda x: x > 0.5, lambda: F.col("n_letters") >= 20),
-    Rule("repeated_lines", share("n_dup_lines", "n_lines"), lambda x: x < 0.1, lambda x: x > 0.3, lambda: F.col("n_lines") >= 4),
-    Rule("vocabulary", share("n_distinct", "n_words"), lambda x: x > 0.35, lambda x: x < 0.15, lambda: F.col("n_words") <= 2000),
-    Rule("shouting", share("n_shouted", "n_words"), lambda x: x < 0.02, lambda x: x > 0.2),
-    Rule("word_length", share("word_chars", "n_words"), lambda x: (x > 3.5) & (x < 9), lambda x: (x < 2.5) | (x > 12)),
-    Rule("ended_lines", share("n_ended_lines", "n_lines"), lambda x: x > 0.5, lambda x: x < 0.05, lambda: F.col("n_lines") >= 2),
+    Rule("plain_words", share("n_plain", "n_words"), lambda x: x > 0.9, lambda x: x < 0.7),
+    Rule("ended_lines", share("n_ended_lines", "n_lines"), lambda x: x > 0.8, lambda x: x < 0.2),
+    Rule("repeated_words", share("n_repeat_words", "n_words"), never, lambda x: x > 0.3),
+    Rule("capitals", share("n_upper", "n_letters"), never, lambda x: x > 0.5, lambda: F.col("n_letters") >= 20),
+    Rule("repeated_lines", share("n_dup_lines", "n_lines"), never, lambda x: x > 0.3, lambda: F.col("n_lines") >= 4),
+    Rule("vocabulary", share("n_distinct", "n_words"), never, lambda x: x < 0.15, lambda: F.col("n_words") <= 2000),
+    Rule("shouting", share("n_shouted", "n_words"), never, lambda x: x > 0.2),
+    Rule("word_length", share("word_chars", "n_words"), never, lambda x: (x < 2.5) | (x > 14)),
 )
 
 
@@ -150,7 +167,8 @@ def fit_votes(votes: np.ndarray, counts: np.ndarray, belief: float = 0.9, weight
     """Expectation-maximisation over patterns of votes and how many documents have each.
 
     It starts from rules that are right with probability `belief`, and each rate keeps a prior of `weight` of the documents
-    around it, so that rules which seldom vote can't turn over. Without documents the start is the result.
+    around it. A rule may turn out to say nothing of good or of bad documents, but not to be wrong more often than right:
+    its two rates add up to more than 1. Without documents the start is the result.
     """
     total = counts.sum()
     model = VoteModel(belief, (belief,) * votes.shape[1], (belief,) * votes.shape[1])
@@ -162,9 +180,10 @@ def fit_votes(votes: np.ndarray, counts: np.ndarray, belief: float = 0.9, weight
         rates = []
         for mass, right in ((good * counts, votes > 0), ((1 - good) * counts, votes < 0)):
             hits, cast = (right * mass[:, None]).sum(axis=0), ((votes != 0) * mass[:, None]).sum(axis=0)
-            rates.append(tuple(np.clip((hits + prior * belief) / (cast + prior), 0.51, 0.999)))
+            rates.append(np.clip((hits + prior * belief) / (cast + prior), 0.001, 0.999))
+        rates[1] = np.clip(rates[1], 1.001 - rates[0], 0.999)
         share_good = float(np.clip((good * counts).sum() / total, 0.01, 0.99))
-        now = VoteModel(share_good, *rates)
+        now = VoteModel(share_good, *(tuple(x.tolist()) for x in rates))
         moved = max(abs(now.prior - model.prior), *(abs(a - b) for a, b in zip(now.on_good + now.on_bad, model.on_good + model.on_bad, strict=True)))
         model = now
         if moved < 1e-9:

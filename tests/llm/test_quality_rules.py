@@ -50,7 +50,7 @@ def junk_text(rnd, kind):
 
 def corpus(seed=1, count=200):
     rnd = random.Random(seed)
-    rows = [(k, junk_text(rnd, k % 3) if k % 8 == 0 else prose_text(rnd, rnd.randrange(6, 20))) for k in range(count)]
+    rows = [(k, junk_text(rnd, k % 3) if k % 8 == 0 else prose_text(rnd, rnd.randrange(9, 20))) for k in range(count)]
     lines = "one line of text\nanother line\n" * 30
     return rows + [(1000, lines), (1001, "spam " * 80)] + [(2000 + k, text) for k, text in enumerate(ODD_TEXTS)]
 
