@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from creditloom.operators.encoding import MAX_VOCABULARY
 from creditloom.operators.labels import DEFAULT_DPD, DEFAULT_MOB
 from creditloom.plans.backfill import Mart, backfill
 from creditloom.session import build_session
@@ -19,12 +20,14 @@ def main() -> None:
     parser.add_argument("--mob", type=int, default=DEFAULT_MOB)
     parser.add_argument("--money", default="float", help="type of amounts, for example decimal(12,2)")
     parser.add_argument("--exclude", nargs="*", default=(), help="columns to keep out of the feature store")
+    parser.add_argument("--max-vocabulary", type=int, default=MAX_VOCABULARY, help="values a vocabulary may have")
     parser.add_argument("--unique-customers", action="store_true", help="fail on repeated customers")
     parser.add_argument("--master", help="Spark master, when not set by spark-submit")
     options = vars(parser.parse_args())
     spark = build_session(master=options.pop("master"))
     for table, audit in backfill(spark, Mart(**options)).items():
-        print(f"{table}: {audit.rows} rows, {len(audit.snapshots)} snapshots")
+        lost = f", {audit.rejected} rejected" if audit.rejected else ""
+        print(f"{table}: {audit.rows} rows, {len(audit.snapshots)} snapshots{lost}")
 
 
 if __name__ == "__main__":

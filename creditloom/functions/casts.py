@@ -30,6 +30,11 @@ def text_to_int(text: Column, kind: str = "int") -> Column:
     )
 
 
+def text_to_date(text: Column, fmt: str | None = None) -> Column:
+    """Date in text, in ISO form or by a pattern such as 'dd/MM/yyyy'; NULL where it doesn't fit."""
+    return F.try_to_date(text) if fmt is None else F.try_to_date(text, fmt)
+
+
 def tolerant_cast(value: Column, source: T.DataType, target: str) -> Column:
     """`value` of type `source` as `target`, NULL where it does not fit."""
     if target in WHOLE_TYPES and isinstance(source, T.StringType):

@@ -80,7 +80,7 @@ def yes_flag(df: DataFrame, column: str = "payment_of_min_amount", yes: str = "Y
 def duration_months(df: DataFrame, column: str = "credit_history_age", prefix: str = "credit_history") -> DataFrame:
     """Years, months and total months of text like '22 Years and 1 Months'.
 
-    No years give a NULL total, no months count as zero.
+    No years give a NULL total, no months count as zero. A total that overflows is NULL.
     """
     years = F.regexp_extract(column, YEARS_PATTERN, 1).try_cast("int")
     months = F.regexp_extract(column, MONTHS_PATTERN, 1).try_cast("int")
@@ -88,7 +88,7 @@ def duration_months(df: DataFrame, column: str = "credit_history_age", prefix: s
         {
             f"{prefix}_years": years,
             f"{prefix}_months": months,
-            f"{prefix}_total_months": years * 12 + F.coalesce(months, F.lit(0)),
+            f"{prefix}_total_months": F.try_add(F.try_multiply(years, F.lit(12)), F.coalesce(months, F.lit(0))),
         }
     )
 

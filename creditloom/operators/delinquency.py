@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MAX_MISSED = 12 * 1_000  # a thousand years of months
+
+
 def month_on_book(df: DataFrame, installment: str = "installment_num", out: str = "mob") -> DataFrame:
     return df.withColumn(out, F.col(installment).cast("int"))
 
@@ -40,9 +43,10 @@ def days_past_due(
     """Date of the first missed installment and the days since then.
 
     Calendar months count with their real length: one missed installment is 28 to 31 days. An overdue
-    amount with nothing due has no first missed date, hence a NULL number of days.
+    amount with nothing due has no first missed date, hence a NULL number of days. So has a number of installments
+    beyond `MAX_MISSED`, which would lead out of the calendar.
     """
-    since = F.when(F.col(missed) > 0, F.add_months(F.col(snapshot), -F.col(missed)))
+    since = F.when(F.col(missed).between(1, MAX_MISSED), F.add_months(F.col(snapshot), -F.col(missed)))
     dated = df.withColumn(first_missed, since)
     days = F.datediff(F.col(snapshot), F.col(first_missed))
     return dated.withColumn(out, F.when(F.col(overdue) > 0, days).otherwise(0).cast("int"))

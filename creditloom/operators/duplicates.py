@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditloom.functions.casts import backticked
 from creditloom.functions.flags import flag
-from creditloom.operators.skew import ROWS_PER_TASK, balanced_left_join
+from creditloom.operators.skew import LISTED_KEYS, ROWS_PER_TASK
 
 
 def shared_count(
@@ -17,15 +18,27 @@ def shared_count(
     count: str = "name_shared_count",
     shared: str = "is_name_shared",
     rows_per_task: int = ROWS_PER_TASK,
+    listed_values: int = LISTED_KEYS,
 ) -> DataFrame:
     """How many rows carry the same value, and whether more than one does.
 
     NULL is not a value: its rows get a NULL count and flag 0. The counts are joined back instead of taken
-    over a window, which would put all rows of a common value into one task.
+    over a window, which would put all rows of a common value into one task. The counts themselves tell which values
+    are common: the `listed_values` most frequent ones above `rows_per_task` come by broadcast, and all rows
+    without one of these, NULL rows aside, by a plain join.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(count))
-    joined = balanced_left_join(df, counts, [column], unique_right=True, rows_per_task=rows_per_task)
-    return joined.withColumn(shared, flag(F.col(count) > 1))
+    common = counts.where(F.col(count) > rows_per_task).orderBy(F.desc(count), column).limit(listed_values)
+    marked = df.join(F.broadcast(common.withColumnRenamed(count, "__common")), column, "left")
+    # A row whose count is known, or that has no value, is dealt out by itself and meets nothing in the join.
+    settled = F.col("__common").isNotNull() | F.col(column).isNull()
+    rows = marked.withColumn("__value", F.when(~settled, F.col(column)))
+    rows = rows.withColumn("__spread", F.when(settled, F.xxhash64(*[backticked(c) for c in df.columns])).otherwise(F.lit(0)))
+    others = counts.select(F.col(column).alias("__name"), F.col(count).alias("__count"), F.lit(0).cast("bigint").alias("__zero"))
+    same = (F.col("__value") == F.col("__name")) & (F.col("__spread") == F.col("__zero"))
+    joined = rows.join(others, same, "left")
+    total = F.coalesce("__common", "__count")
+    return joined.select(*[backticked(c) for c in df.columns], total.alias(count), flag(total > 1).alias(shared))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """One-hot and multi-hot columns, with vocabularies learned from the data or passed in.
 
-Learning is the one action that runs while a query is put together, since the columns depend on it. It
-brings at most `limit` short values to the driver and fails beyond that.
+Learning runs while a query is put together, since the columns depend on it. It brings at most `limit` short
+values to the driver and fails beyond that.
 """
 
 from __future__ import annotations
@@ -57,6 +57,24 @@ def learn(*values: DataFrame, limit: int = MAX_VOCABULARY) -> list[list[str]]:
     return [sorted(vocabulary) for vocabulary in found]
 
 
+def learn_both(df: DataFrame, listed: str, single: str, limit: int = MAX_VOCABULARY) -> list[list[str]]:
+    """Items of the lists in one column and levels of another, from a single scan."""
+    parts = F.transform(F.split(F.col(listed), SEPARATOR), lambda part: F.trim(part))
+    items = F.filter(parts, lambda part: (part != "") & ~part.rlike(CONJUNCTION))
+    tagged = F.concat(
+        F.transform(F.coalesce(items, F.array().cast("array<string>")), lambda item: F.struct(F.lit(0).alias("vocabulary"), item.alias("value"))),
+        F.array(F.struct(F.lit(1).alias("vocabulary"), F.col(single).cast("string").alias("value"))),
+    )
+    found = df.select(F.explode(tagged).alias("x")).select("x.*").where(F.col("value").isNotNull()).distinct()
+    out: list[list[str]] = [[], []]
+    for row in found.limit(2 * limit + 1).collect():
+        out[row.vocabulary].append(row.value)
+    for column, vocabulary in zip((listed, single), out):
+        if len(vocabulary) > limit:
+            raise ValueError(f"more than {limit} distinct values of {column}; pass the vocabulary")
+    return [sorted(vocabulary) for vocabulary in out]
+
+
 def learn_items(df: DataFrame, column: str = "type_of_loan", limit: int = MAX_VOCABULARY, **options) -> list[str]:
     return learn(list_items(df, column, **options), limit=limit)[0]
 

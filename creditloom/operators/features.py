@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from creditloom.functions.casts import backticked
 from creditloom.functions.dates import vintage
 from creditloom.functions.flags import flag
-from creditloom.operators.skew import ROWS_PER_TASK, gather
+from creditloom.operators.skew import ROWS_PER_TASK, HotKeys, grouped
 
 VINTAGES = ["old", "mid", "new"]
 
@@ -74,16 +74,19 @@ def loan_features(
     order: str = "snapshot_date",
     owner: str = "customer_id",
     exclude: Sequence[str] = ("due_amt", "loan_start_date", "paid_amt", "first_missed_date"),
+    rows_per_task: int = ROWS_PER_TASK,
+    hot: HotKeys | None | bool = True,
 ) -> DataFrame:
     """One row per loan over its whole history: latest state, totals, vintage, start date parts and flags.
 
     One aggregation serves all of it. The latest row is the maximum of a struct that starts with the date
-    and the customer and holds every column, which is a total order, so partial results combine before the
-    only shuffle. The start date is the earliest known of the loan.
+    and the customer and holds every column, which is a total order. Structs with text can't be aggregated by
+    hash, so rows are shuffled first and sorted once. The start date is the earliest known of the loan.
     """
     rest = [owner, *[c for c in df.columns if c not in (key, order, owner)]]
     newest = F.max(F.struct(*[backticked(c) for c in [order, *rest]])).alias("__newest")
-    folded = df.groupBy(key).agg(newest, *_totals(snapshot=order), F.min("loan_start_date").alias("__started"))
+    aggregates = [newest, *_totals(snapshot=order), F.min("loan_start_date").alias("__started")]
+    folded = grouped(df, key, aggregates, rows_per_task, hot)
     wide = folded.select(
         key,
         *[F.col("__newest").getField(c).alias(c) for c in [order, *rest]],
@@ -100,8 +103,8 @@ def latest_owner(
     df: DataFrame, key: str = "loan_id", order: str = "snapshot_date", owner: str = "customer_id"
 ) -> DataFrame:
     """Customer of each loan's latest row, the same as in `loan_features` but from three columns only."""
-    newest = F.max(F.struct(order, owner)).alias("__newest")
-    return df.groupBy(key).agg(newest).select(key, F.col("__newest").getField(owner).alias(owner))
+    latest = latest_per_key(df.select(key, order, owner), key, order, ties=[owner])
+    return latest.select(key, owner)
 
 
 def _statistics(columns: Sequence[str]) -> list[Column]:
@@ -116,7 +119,7 @@ def _ends(columns: Sequence[str], order: str, ties: Sequence[str]) -> tuple[dict
 
 def _deltas(columns: Sequence[str], order: str, ties: Sequence[str]) -> list[Column]:
     first, last = _ends(columns, order, ties)
-    return [(last[c] - first[c]).alias(f"{c}_delta") for c in columns]
+    return [F.try_subtract(last[c], first[c]).alias(f"{c}_delta") for c in columns]
 
 
 def first_last(
@@ -130,7 +133,7 @@ def first_last(
     """Value at the first and at the last date per key, NULL included. No window and no sort are needed."""
     first, last = _ends(columns, order, ties)
     ends = [e for c in columns for e in (first[c].alias(f"{c}_first"), last[c].alias(f"{c}_last"))]
-    return gather(df, key, [order, *columns], rows_per_task).groupBy(key).agg(*ends)
+    return grouped(df, key, ends, rows_per_task)
 
 
 def first_last_delta(
@@ -141,15 +144,15 @@ def first_last_delta(
     ties: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Last minus first value per key."""
-    return gather(df, key, [order, *columns], rows_per_task).groupBy(key).agg(*_deltas(columns, order, ties))
+    """Last minus first value per key; NULL where that overflows."""
+    return grouped(df, key, _deltas(columns, order, ties), rows_per_task)
 
 
 def activity_statistics(
     df: DataFrame, columns: Sequence[str], key: str = "customer_id", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Mean, sample standard deviation, minimum and maximum of every column per key."""
-    return gather(df, key, columns, rows_per_task).groupBy(key).agg(*_statistics(columns))
+    return grouped(df, key, _statistics(columns), rows_per_task)
 
 
 def activity_profile(
@@ -159,13 +162,13 @@ def activity_profile(
     order: str = "snapshot_date",
     ties: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
+    hot: HotKeys | None | bool = True,
 ) -> DataFrame:
     """Statistics and last-minus-first deltas together, in one aggregation with one shuffle.
 
     The result of a key is many times as wide as a row, so rows are shuffled and then aggregated.
     """
-    gathered = gather(df, key, [order, *columns], rows_per_task)
-    return gathered.groupBy(key).agg(*_statistics(columns), *_deltas(columns, order, ties))
+    return grouped(df, key, [*_statistics(columns), *_deltas(columns, order, ties)], rows_per_task, hot)
 
 
 def snapshot_dates(df: DataFrame, column: str = "snapshot_date") -> DataFrame:

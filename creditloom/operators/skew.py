@@ -10,7 +10,12 @@ rows. Rows of the left side with a NULL key match nothing and are dealt out too.
 Where the right side owns a key, some salts may have no row on the right. The copies of a left row on such
 salts are dropped: the key does occur on the right, so the left row has its matches on other salts.
 
-Without hot keys the joins are plain ones.
+Hot keys are found by an exact count, combined per task before its shuffle. There are at most as many as rows over
+`rows_per_task`; up to `LISTED_KEYS` of them are listed and broadcast, and longer lists stay a table that is
+joined as any other. Without hot keys the joins are plain ones.
+
+Rows that are equal in all columns the salt is taken from share a salt, so they only spread as far as they differ.
+Aggregations don't depend on that: `grouped` splits hot keys off and combines them per task.
 """
 
 from __future__ import annotations
@@ -27,10 +32,7 @@ from pyspark.sql import types as T
 from creditloom.functions.casts import backticked
 
 ROWS_PER_TASK = 1_000_000  # a key with more rows than this on one side is hot
-BUCKETS = 64  # sketches per side, by key hash, so that many tasks merge them
-LISTED_KEYS = 100  # hot keys kept per sketch
-TRACKED_KEYS = 256  # keys counted per sketch: together some 16,000, the most frequent of each side
-MAX_SALTS = 1_000
+LISTED_KEYS = 100_000  # hot keys that are broadcast, some megabytes; more are joined as a table
 
 CODE = "__key"
 OWNER = "__owner"
@@ -41,25 +43,28 @@ MATCHED = "__matched"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hot keys of a join with owner and salts.
-
-    At most BUCKETS * LISTED_KEYS per side, each with over ROWS_PER_TASK rows: small enough to broadcast.
-    """
+    """Hot keys of a join with owner and salts; `listed` if the table is small enough to broadcast."""
 
     keys: tuple[str, ...]
     table: DataFrame
     owners: frozenset[str]
     null_salts: dict[str, int]
+    listed: bool = True
+
+    def small(self, df: DataFrame) -> DataFrame:
+        """A table of hot keys, with a broadcast hint if their number has been checked."""
+        return F.broadcast(df) if self.listed else df
 
 
 def find_hot_keys(
-    *joins: tuple[Sequence[str], Mapping[str, DataFrame]], rows_per_task: int = ROWS_PER_TASK
+    *joins: tuple[Sequence[str], Mapping[str, DataFrame]],
+    rows_per_task: int = ROWS_PER_TASK,
+    listed_keys: int = LISTED_KEYS,
 ) -> list[HotKeys | None]:
     """Hot keys of each join, given as its keys and its sides by name; None for a join without any.
 
-    One job counts the most frequent keys of all sides in bounded sketches. It reads the key columns only and
-    shuffles sketches, not keys. The list is fixed here, so all sides of a join use the same one. A key that a
-    sketch misses has a small share of the rows and is not spread; results never depend on it.
+    One job counts the rows of every key of all sides and keeps those above `rows_per_task`. It reads the key
+    columns only. The list is fixed here, so all sides of a join use the same one.
     """
     frames: dict[int, tuple[DataFrame, list[Column]]] = {}
     for i, (keys, sides) in enumerate(joins):
@@ -71,40 +76,43 @@ def find_hot_keys(
         df.select((parts[0] if len(parts) == 1 else F.explode(F.array(*parts))).alias("part")).select("part.*")
         for df, parts in frames.values()
     ]
-    sketches = (
+    counted = (
         reduce(DataFrame.unionAll, coded)
-        .groupBy("join", "side", F.pmod(F.xxhash64(CODE), F.lit(BUCKETS)).alias("bucket"))
-        .agg(
-            F.expr(f"approx_top_k({CODE}, {LISTED_KEYS}, {TRACKED_KEYS})").alias("top"),
-            F.count_if(F.col(CODE).isNull()).alias("missing"),
-        )
-        .select("join", "side", "missing", F.filter("top", lambda t: t["count"] > rows_per_task).alias("top"))
-        .where((F.size("top") > 0) | (F.col("missing") > rows_per_task))
-        .collect()
+        .groupBy("join", "side", CODE)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where(F.col("rows") > rows_per_task)
     )
-    spark = coded[0].sparkSession
-    return [
-        _hot_keys(spark, keys, [row for row in sketches if row["join"] == i], rows_per_task)
-        for i, (keys, _) in enumerate(joins)
-    ]
+    found = counted.limit(listed_keys + 1).collect()
+    if len(found) > listed_keys:
+        return [_unlisted(counted.where(F.col("join") == i), keys, sides, rows_per_task) for i, (keys, sides) in enumerate(joins)]
+    return [_listed(counted, keys, [row for row in found if row["join"] == i], rows_per_task) for i, (keys, _) in enumerate(joins)]
 
 
-def _hot_keys(spark: SparkSession, keys: Sequence[str], sketches: list, rows_per_task: int) -> HotKeys | None:
+def _listed(counted: DataFrame, keys: Sequence[str], found: list, rows_per_task: int) -> HotKeys | None:
     """Give every hot key to the side with most rows."""
-    if not sketches:
+    if not found:
         return None
-    null_salts: dict[str, int] = {}
+    null_salts = {row.side: _salts(row.rows, rows_per_task) for row in found if row[CODE] is None}
     owners: dict[str, tuple[int, str]] = {}
-    for row in sketches:
-        null_salts[row.side] = max(null_salts.get(row.side, 1), _salts(row.missing, rows_per_task))
-        for key, count in row.top:
-            if key is not None:
-                owners[key] = max(owners.get(key, (0, row.side)), (count, row.side))
+    for row in found:
+        if row[CODE] is not None:
+            owners[row[CODE]] = max(owners.get(row[CODE], (0, row.side)), (row.rows, row.side))
     listed = [(key, side, _salts(count, rows_per_task)) for key, (count, side) in owners.items()]
-    table = spark.createDataFrame(listed, f"{CODE} string, {OWNER} string, {SALTS} int")
+    table = counted.sparkSession.createDataFrame(listed, f"{CODE} string, {OWNER} string, {SALTS} int")
     return HotKeys(tuple(keys), table, frozenset(side for _, side, _ in listed), null_salts)
 
 
+def _unlisted(counted: DataFrame, keys: Sequence[str], sides: Mapping[str, DataFrame], rows_per_task: int) -> HotKeys:
+    """The same as a table, for more keys than may be listed. Any side may own one."""
+    most = F.max(F.struct("rows", "side")).alias("most")
+    salts = F.ceil(F.col("most.rows") / rows_per_task).cast("int")
+    known = counted.where(F.col(CODE).isNotNull()).groupBy(CODE).agg(most)
+    table = known.select(CODE, F.col("most.side").alias(OWNER), salts.alias(SALTS))
+    missing = counted.where(F.col(CODE).isNull()).collect()  # one row for a side at most
+    null_salts = {row.side: _salts(row.rows, rows_per_task) for row in missing}
+    return HotKeys(tuple(keys), table, frozenset(sides), null_salts, listed=False)
+
+
 def key_code(keys: Sequence[str]) -> Column:
     """The key as one text, different for different keys; NULL if any part is NULL."""
     *front, last = [F.col(k).cast("string") for k in keys]
@@ -117,7 +125,7 @@ def spread(df: DataFrame, side: str, hot: HotKeys | None, by: Sequence[str] | No
     if hot is None:
         return df
     by = list(by) if by is not None else _hashable(df)
-    marked = df.join(F.broadcast(hot.table), key_code(hot.keys) == F.col(CODE), "left").drop(CODE)
+    marked = df.join(hot.small(hot.table), key_code(hot.keys) == F.col(CODE), "left").drop(CODE)
     missing = key_code(hot.keys).isNull()
     dealt = F.pmod(
         F.xxhash64(*[backticked(c) for c in by]), F.when(missing, hot.null_salts.get(side, 1)).otherwise(F.col(SALTS))
@@ -163,21 +171,35 @@ def balanced_left_join(
     return joined.select([backticked(c) for c in [*left.columns, *added]])
 
 
-def gather(df: DataFrame, key: str, by: Sequence[str] | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Bring the rows of each key into one task, and those of a hot key into as many as it needs.
+def grouped(
+    df: DataFrame,
+    key: str,
+    aggregates: Sequence[Column],
+    rows_per_task: int = ROWS_PER_TASK,
+    hot: HotKeys | None | bool = True,
+) -> DataFrame:
+    """`aggregates` per value of `key`, for results that are wider than a row or can't be combined by hash.
 
-    For an aggregation by `key` whose result per key is wider than a row, over input that seldom holds two rows
-    of a key in one task, as in snapshots. Combining before the shuffle would then send more than the rows.
-    Rows of hot keys are still combined per task before they meet.
+    Rows are shuffled and then aggregated in one go, as a task of snapshots seldom holds two rows of a key and
+    partial results would be larger than the rows. Rows of hot keys, a NULL one included, are combined per task
+    before their shuffle instead, however alike they are. `hot` are keys found before, None for none.
     """
-    (hot,) = find_hot_keys(([key], {"rows": df}), rows_per_task=rows_per_task)
-    if hot is None:
-        return df.repartition(key)
-    return spread(df, "rows", hot, by).drop(OWNER).repartition(key, SALT)
+    if hot is True:
+        (hot,) = find_hot_keys(([key], {"rows": df}), rows_per_task=rows_per_task)
+    if not hot:
+        return df.repartition(key).groupBy(key).agg(*aggregates)
+    listed = hot.small(hot.table.select(CODE))
+    code = key_code([key])
+    is_hot = code == F.col(CODE)
+    rest, many = df.join(listed, is_hot, "left_anti"), df.join(listed, is_hot, "left_semi")
+    if "rows" in hot.null_salts:
+        rest, many = rest.where(F.col(key).isNotNull()), many.unionAll(df.where(F.col(key).isNull()))
+    few = rest.repartition(key).groupBy(key).agg(*aggregates)
+    return few.unionAll(many.groupBy(key).agg(*aggregates))
 
 
 def _salts(rows: int, rows_per_task: int) -> int:
-    return min(max(ceil(rows / rows_per_task), 1), MAX_SALTS)
+    return max(ceil(rows / rows_per_task), 1)
 
 
 def _hashable(df: DataFrame) -> list[str]:

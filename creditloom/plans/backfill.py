@@ -7,13 +7,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from creditloom.functions.casts import text_to_date
 from creditloom.functions.dates import is_month_start
 from creditloom.operators.duplicates import assert_unique
+from creditloom.operators.encoding import MAX_VOCABULARY
 from creditloom.operators.labels import DEFAULT_DPD, DEFAULT_MOB
 from creditloom.plans.gold import feature_store, label_store
 from creditloom.plans.silver import silver_attributes, silver_clicks, silver_financials, silver_loans
@@ -38,6 +40,7 @@ class Mart:
     junk_as: str | None = "0"  # what the junk payment behaviour becomes
     exclude: Sequence[str] = ()  # columns kept out of the feature store
     unique_customers: bool = False  # fail when a customer table repeats a customer
+    max_vocabulary: int = MAX_VOCABULARY  # values of a vocabulary that may be learned; more are an error
 
     def raw(self, table: str) -> str:
         return f"{self.source}/{table}.csv"
@@ -50,9 +53,17 @@ class Mart:
         return {"start": self.start, "end": self.end}
 
 
-def bronze_snapshots(raw: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
-    """Rows of the month-start snapshots in the range, every column but the date as read."""
-    dated = raw.withColumn(SNAPSHOT, F.col(SNAPSHOT).try_cast("date"))
+def bronze_snapshots(
+    raw: DataFrame, start: str | dt.date, end: str | dt.date, rejected: Observation | None = None
+) -> DataFrame:
+    """Rows of the month-start snapshots in the range, every column but the date as read.
+
+    `rejected` counts the rows that belong to no month: those without a readable date or with one within a month.
+    """
+    dated = raw.withColumn(SNAPSHOT, text_to_date(F.col(SNAPSHOT)))
+    if rejected is not None:
+        lost = F.count_if(~F.coalesce(is_month_start(F.col(SNAPSHOT)), F.lit(False)))
+        dated = dated.observe(rejected, lost.alias("rejected"))
     return between_snapshots(dated, start, end).where(is_month_start(F.col(SNAPSHOT)))
 
 
@@ -62,8 +73,10 @@ def build_bronze(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
     for table in STATIC_TABLES:
         audits[f"bronze/{table}"] = write_table(read_raw(spark, mart.raw(table)), mart.path("bronze", table), "csv")
     for table in MONTHLY_TABLES:
-        kept = bronze_snapshots(read_raw(spark, mart.raw(table)), **mart.months)
-        audits[f"bronze/{table}"] = write_snapshots(kept, mart.path("bronze", table), fmt="csv", **mart.months)
+        rejected = Observation()
+        kept = bronze_snapshots(read_raw(spark, mart.raw(table)), **mart.months, rejected=rejected)
+        audit = write_snapshots(kept, mart.path("bronze", table), fmt="csv", **mart.months)
+        audits[f"bronze/{table}"] = replace(audit, rejected=rejected.get["rejected"])
     return audits
 
 
@@ -79,7 +92,9 @@ def build_silver(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
     """
     attributes = silver_attributes(read_raw(spark, mart.path("bronze", "features_attributes")))
     raw_financials = read_raw(spark, mart.path("bronze", "features_financials"))
-    financials = silver_financials(raw_financials, mart.loan_items, mart.behaviours, mart.junk_as)
+    financials = silver_financials(
+        raw_financials, mart.loan_items, mart.behaviours, mart.junk_as, mart.max_vocabulary
+    )
     clicks = silver_clicks(bronze_table(spark, mart, "feature_clickstream"))
     loans = silver_loans(bronze_table(spark, mart, "lms_loan_daily"), mart.money)
     audits = {
@@ -105,7 +120,7 @@ def build_gold(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
         for table in STATIC_TABLES:
             assert_unique(silver[table], CUSTOMER)
     loans = silver["lms_loan_daily"]
-    labels = label_store(loans, mart.dpd, mart.mob)
+    labels = write_snapshots(label_store(loans, mart.dpd, mart.mob), mart.path("gold", "label_store"), **mart.months)
     features = feature_store(
         loans,
         silver["features_attributes"],
@@ -113,11 +128,10 @@ def build_gold(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
         silver["feature_clickstream"],
         mart.mob,
         mart.exclude,
+        months=labels.snapshots,
     )
-    return {
-        f"gold/{name}": write_snapshots(df, mart.path("gold", name), **mart.months)
-        for name, df in {"label_store": labels, "feature_store": features}.items()
-    }
+    stored = write_snapshots(features, mart.path("gold", "feature_store"), **mart.months)
+    return {"gold/label_store": labels, "gold/feature_store": stored}
 
 
 def backfill(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -36,12 +37,14 @@ def feature_store(
     mob: int = DEFAULT_MOB,
     exclude: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
+    months: Sequence[dt.date] | None = None,
 ) -> DataFrame:
     """Loans at month `mob` with the customer's attributes, financials and clicks of the same snapshot.
 
     All snapshots are built at once: the click join has the snapshot in its key. It comes first, while the
     rows are narrow; the two customer tables follow on one key, so loans move twice and no table more than
-    once. Keys with more than `rows_per_task` rows in any table are spread over tasks. A customer that occurs
+    once. `months` are those with such loans, if known, as from the write of the label store; other click
+    months are then not read. Keys with more than `rows_per_task` rows in any table are spread over tasks. A customer that occurs
     twice in a customer table repeats its loans; check with `assert_unique` first where that must not happen.
 
     The state of the label month (missed installments, overdue amount, both flags) is part of the features.
@@ -56,9 +59,7 @@ def feature_store(
         (customer, {"loans": base, "attributes": attributes, "financials": financials}),
         rows_per_task=rows_per_task,
     )
-    # Months without a loan at `mob` are left out of the click scan; one date per month is broadcast.
-    months = base.select(SNAPSHOT).distinct()
-    needed = clicks.join(F.broadcast(months), SNAPSHOT, "left_semi")
+    needed = clicks if months is None else clicks.where(F.col(SNAPSHOT).isin(list(months)))
     with_clicks = spread(base, "loans", hot_months, by).transform(attach, needed, "clicks", monthly, hot_months)
     joined = (
         spread(with_clicks.drop(SALT, OWNER), "loans", hot_customers, by)
@@ -88,27 +89,29 @@ def customer_matrix(
     customer = [CUSTOMER]
     attributes = attributes.drop(SNAPSHOT)
     financials = financials.drop(*FINANCIAL_COLUMNS_DROPPED)
-    (hot,) = find_hot_keys(
+    hot, hot_loans, hot_clicks = find_hot_keys(
         (customer, {"loans": loans, "attributes": attributes, "financials": financials}),
+        (["loan_id"], {"rows": loans}),
+        (customer, {"rows": clicks}),
         rows_per_task=rows_per_task,
     )
     per_loan = (
-        spread(loan_features(loans), "loans", hot, by=["loan_id"])
+        spread(loan_features(loans, hot=hot_loans), "loans", hot, by=["loan_id"])
         .transform(attach, attributes, "attributes", customer, hot)
         .transform(attach, financials, "financials", customer, hot)
         .drop(OWNER)
     )
-    profile = activity_profile(clicks, features, rows_per_task=rows_per_task)
+    profile = activity_profile(clicks, features, hot=hot_clicks)
     if hot is None:
         return per_loan.join(profile, customer, "right")
     # A hot customer's profile is repeated per salt. Copies that meet no loan are dropped where the customer
     # has loans, and kept once where it has none.
-    hot_customers = F.broadcast(hot.table.select(F.col(CODE).alias(CUSTOMER)))
+    hot_customers = hot.small(hot.table.select(F.col(CODE).alias(CUSTOMER)))
     lending = latest_owner(loans).join(hot_customers, customer, "left_semi").select(CUSTOMER).distinct()
     copies = (
         spread(profile, "profile", hot)
         .drop(OWNER)
-        .join(F.broadcast(lending.withColumn("__has_loans", F.lit(True))), customer, "left")
+        .join(hot.small(lending.withColumn("__has_loans", F.lit(True))), customer, "left")
     )
     joined = per_loan.withColumn("__loan", F.lit(True)).join(copies, [CUSTOMER, SALT], "right")
     kept = F.col("__loan").isNotNull() | (F.col("__has_loans").isNull() & (F.col(SALT) == 0))

@@ -23,12 +23,11 @@ from creditloom.operators.cleaning import (
 from creditloom.operators.delinquency import days_past_due, installments_missed, month_on_book
 from creditloom.operators.duplicates import shared_count
 from creditloom.operators.encoding import (
+    MAX_VOCABULARY,
     credit_mix_flags,
-    learn,
+    learn_both,
     learn_items,
     learn_levels,
-    levels,
-    list_items,
     multi_hot,
     one_hot,
 )
@@ -86,16 +85,17 @@ def silver_financials(
     items: Sequence[str] | None = None,
     behaviours: Sequence[str] | None = None,
     junk_as: str | None = "0",
+    max_vocabulary: int = MAX_VOCABULARY,
 ) -> DataFrame:
     """Customer financials with encoded loan types, credit mix and payment behaviour.
 
-    Vocabularies not passed in are learned from the data in one small job.
+    Vocabularies not passed in are learned from the data in one small job, and fail beyond `max_vocabulary` values each.
     """
     cleaned = clean_financials(raw, junk_as)
     if items is None and behaviours is None:
-        items, behaviours = learn(list_items(raw, "type_of_loan"), levels(cleaned, "payment_behaviour"))
-    items = learn_items(raw) if items is None else items
-    behaviours = learn_levels(cleaned) if behaviours is None else behaviours
+        items, behaviours = learn_both(cleaned, "type_of_loan", "payment_behaviour", max_vocabulary)
+    items = learn_items(raw, limit=max_vocabulary) if items is None else items
+    behaviours = learn_levels(cleaned, limit=max_vocabulary) if behaviours is None else behaviours
     return (
         cleaned.transform(multi_hot, "type_of_loan", items)
         .transform(credit_mix_flags)

@@ -130,6 +130,7 @@ def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[_count(key, i).alias(name) for i, name in enumerate(FINANCIAL_COUNTS, 1)],
         _by_rest(4, {0: "Yes", 1: "No", 2: "NM"}).alias("payment_of_min_amount"),
         F.when(_custkey(31) == 0, None)
+        .when(_custkey(113) == 5, "400000000 Years and 1 Months")
         .when(_custkey(37) == 0, months)
         .when(_custkey(39) == 0, years)
         .otherwise(F.concat(years, F.lit(" and "), months))

@@ -98,7 +98,7 @@ FINANCIALS = f"""raw_financials AS (
     {", ".join(_measure(i, n) for i, n in enumerate(FINANCIAL_MEASURES, 1))},
     {", ".join(_count(i, n) for i, n in enumerate(FINANCIAL_COUNTS, 1))},
     CASE c_custkey % 4 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' WHEN 2 THEN 'NM' END AS payment_of_min_amount,
-    CASE WHEN c_custkey % 31 = 0 THEN NULL WHEN c_custkey % 37 = 0 THEN concat(CAST(c_custkey % 12 AS STRING), ' Months')
+    CASE WHEN c_custkey % 31 = 0 THEN NULL WHEN c_custkey % 113 = 5 THEN '400000000 Years and 1 Months' WHEN c_custkey % 37 = 0 THEN concat(CAST(c_custkey % 12 AS STRING), ' Months')
       WHEN c_custkey % 39 = 0 THEN concat(CAST(c_custkey % 30 AS STRING), ' Years')
       ELSE concat(CAST(c_custkey % 30 AS STRING), ' Years and ', CAST(c_custkey % 12 AS STRING), ' Months') END
       AS credit_history_age,
@@ -118,8 +118,8 @@ MIN_PAYMENT = "CASE WHEN payment_of_min_amount = 'Yes' THEN 1 ELSE 0 END AS paym
 HISTORY = {
     "credit_history_years": "TRY_CAST(regexp_extract(credit_history_age, '([0-9]+) Years', 1) AS INT)",
     "credit_history_months": "TRY_CAST(regexp_extract(credit_history_age, '([0-9]+) Months', 1) AS INT)",
-    "credit_history_total_months": "TRY_CAST(regexp_extract(credit_history_age, '([0-9]+) Years', 1) AS INT) * 12"
-    " + coalesce(TRY_CAST(regexp_extract(credit_history_age, '([0-9]+) Months', 1) AS INT), 0)",
+    "credit_history_total_months": "TRY_CAST(CAST(TRY_CAST(regexp_extract(credit_history_age, '([0-9]+) Years', 1) AS INT)"
+    " AS BIGINT) * 12 + coalesce(TRY_CAST(regexp_extract(credit_history_age, '([0-9]+) Months', 1) AS INT), 0) AS INT)",
 }
 ITEMS = ["Auto Loan", "Credit-Builder Loan", "Home Equity Loan", "Not Specified", "Payday Loan", "Student Loan"]
 ITEM_FLAGS = [

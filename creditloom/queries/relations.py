@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.functions.dates import months_spanned, snapshot_label
 from creditloom.operators.profiling import catalog_counts, row_audit, row_count
-from creditloom.plans.backfill import bronze_snapshots
+from creditloom.functions.casts import text_to_date
+from creditloom.plans.backfill import Mart, backfill, bronze_snapshots
 from creditloom.plans.gold import label_store
 from creditloom.plans.silver import silver_loans
-from creditloom.queries.inputs import attributes, clicks, financials, loan_panel, raw_loans
+from creditloom.queries.inputs import attributes, clicks, financials, loan_panel, raw_clicks, raw_loans, table
 from creditloom.queries.loans import panel
-from creditloom.queries.oracle import ATTRIBUTES, CLICKS, DIRTY, FINANCIALS, LOANS, PANEL
+from creditloom.queries.oracle import (
+    ATTRIBUTES,
+    CLEAN_ATTRIBUTES,
+    CLEAN_FINANCIALS,
+    CLICKS,
+    DIRTY,
+    DIRTY_CLICKS,
+    FINANCIALS,
+    LOANS,
+    PANEL,
+)
 from creditloom.queries.shape import widened
-from creditloom.session import shared_folder
-from creditloom.sources.readers import load_catalog, lookup, read_raw, read_snapshots, register
+from creditloom.session import scratch_folder
+from creditloom.sources.readers import at_snapshot, load_catalog, lookup, read_raw, read_snapshots, register
 from creditloom.sources.writers import write_snapshots, write_table
 
 TABLES = [
@@ -34,10 +47,14 @@ TABLES = [
     "labels",
     "conversations",
 ]
-FIRST, LAST = "1995-01-01", "2002-12-01"
 SCAN_FROM, SCAN_TO = "1997-01-01", "1998-12-01"
 
 
+def _range(rows: DataFrame) -> tuple[dt.date, dt.date]:
+    """First and last snapshot of a table."""
+    return tuple(rows.agg(F.min("snapshot_date"), F.max("snapshot_date")).first())
+
+
 def q33_sql_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equality lookup in SQL, sorted by two columns."""
     register({"attributes": attributes(spark, sf_dir)})
@@ -48,7 +65,7 @@ def q34_sql_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     register({"clickstream": clicks(spark, sf_dir)})
     return spark.sql(
         """
-        SELECT customer_id, snapshot_date, COUNT(snapshot_date) AS distinct_entries
+        SELECT customer_id, snapshot_date, COUNT(snapshot_date) AS entries
         FROM clickstream
         GROUP BY customer_id, snapshot_date
         ORDER BY customer_id, snapshot_date
@@ -83,16 +100,17 @@ def q37_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q38_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text panel to one CSV source, to monthly CSV snapshots, and back to a typed silver table."""
-    folder = shared_folder(spark)
+    folder = scratch_folder(spark, "q38", sf_dir)
     write_table(raw_loans(spark, sf_dir), f"{folder}/source", "csv")
     source = read_raw(spark, f"{folder}/source")
-    write_snapshots(bronze_snapshots(source, FIRST, LAST), f"{folder}/bronze", FIRST, LAST, "csv")
-    return widened(silver_loans(read_snapshots(spark, f"{folder}/bronze", FIRST, LAST, "csv")))
+    months = _range(loan_panel(spark, sf_dir))
+    write_snapshots(bronze_snapshots(source, *months), f"{folder}/bronze", *months, "csv")
+    return widened(silver_loans(read_snapshots(spark, f"{folder}/bronze", *months, "csv")))
 
 
 def q39_snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range of months from a partitioned panel."""
-    folder = shared_folder(spark)
+    folder = scratch_folder(spark, "q39", sf_dir)
     write_snapshots(loan_panel(spark, sf_dir), folder)
     return read_snapshots(spark, folder, SCAN_FROM, SCAN_TO).select("loan_id", "snapshot_date", "due_amt")
 
@@ -103,16 +121,17 @@ def q40_row_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q41_backfill_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label store of all months, then two years of it built again with another definition."""
-    folder = shared_folder(spark)
+    folder = scratch_folder(spark, "q41", sf_dir)
     loans = panel(spark, sf_dir)
-    write_snapshots(label_store(loans), folder, FIRST, LAST)
+    write_snapshots(label_store(loans), folder, *_range(loans))
     part = loans.where(F.col("snapshot_date").between(SCAN_FROM, SCAN_TO))
     write_snapshots(label_store(part, dpd=60), folder, SCAN_FROM, SCAN_TO)
     return read_snapshots(spark, folder)
 
 
 def q42_catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog_counts(load_catalog(spark, sf_dir, "parquet", TABLES))
+    """Rows of every table that a sweep of the folder finds."""
+    return catalog_counts(load_catalog(spark, sf_dir, "parquet"))
 
 
 def q43_projection_basics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +145,69 @@ def q43_projection_basics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q51_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One month of the panel by equality."""
+    return at_snapshot(loan_panel(spark, sf_dir), SCAN_FROM).select("loan_id", "customer_id", "due_amt")
+
+
+def q52_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV with mixed-case names, read with inferred types."""
+    folder = scratch_folder(spark, "q52", sf_dir)
+    renamed = {"o_orderkey": "Order_Key", "o_orderdate": "OrderDate", "o_totalprice": "TOTAL", "o_orderstatus": "status"}
+    orders = table(spark, sf_dir, "orders").select(*[F.col(c).alias(n) for c, n in renamed.items()])
+    write_table(orders.withColumn("OrderDate", F.col("OrderDate").cast("date")), folder, "csv")
+    return read_raw(spark, folder, infer=True)
+
+
+def q53_date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates from text in two layouts, with text that is no date."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    iso = F.when(key % 7 == 0, "unknown").otherwise(day.cast("string"))
+    local = F.when(key % 11 == 0, "31/02/2000").otherwise(F.date_format(day, "dd/MM/yyyy"))
+    orders = table(spark, sf_dir, "orders").select(key.alias("loan_id"), iso.alias("iso"), local.alias("local"))
+    return orders.select(
+        "loan_id", text_to_date(F.col("iso")).alias("iso"), text_to_date(F.col("local"), "dd/MM/yyyy").alias("local")
+    )
+
+
+def q54_faithful_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blanks in keys and flags through a static and a monthly CSV, whose second run has its columns in another order."""
+    folder = scratch_folder(spark, "q54", sf_dir)
+    dirty = attributes(spark, sf_dir).select(
+        F.concat(F.col("customer_id"), F.when(F.col("customer_id").cast("bigint") % 3 == 0, "  ").otherwise("")).alias("customer_id"),
+        "name",
+        F.when(F.col("customer_id").cast("bigint") % 5 == 0, "   ").otherwise(F.col("occupation")).alias("occupation"),
+    )
+    write_table(dirty, f"{folder}/static", "csv")
+    static = read_raw(spark, f"{folder}/static")
+    early, late = F.lit("2023-01-01").cast("date"), F.lit("2023-02-01").cast("date")
+    months = static.withColumn("snapshot_date", F.when(F.length("customer_id") % 2 == 0, early).otherwise(late))
+    monthly = f"{folder}/monthly"
+    write_snapshots(months.where(F.col("snapshot_date") == early), monthly, "2023-01-01", "2023-01-01", "csv")
+    other_order = months.select("occupation", "name", "customer_id", "snapshot_date").where(F.col("snapshot_date") == late)
+    write_snapshots(other_order, monthly, "2023-02-01", "2023-02-01", "csv")
+    return read_snapshots(spark, monthly, fmt="csv").select("customer_id", "name", "occupation", "snapshot_date")
+
+
+def q55_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole mart from CSV sources with mixed-case names: labels with some of the features of the same month."""
+    folder = scratch_folder(spark, "q55", sf_dir)
+    sources = {
+        "lms_loan_daily": raw_loans(spark, sf_dir),
+        "feature_clickstream": raw_clicks(spark, sf_dir),
+        "features_attributes": attributes(spark, sf_dir),
+        "features_financials": financials(spark, sf_dir),
+    }
+    for name, df in sources.items():
+        write_table(df.withColumnRenamed("customer_id", "Customer_ID"), f"{folder}/source/{name}.csv", "csv")
+    first, last = _range(loan_panel(spark, sf_dir))
+    mart = Mart(f"{folder}/source", f"{folder}/mart", first, last)
+    backfill(spark, mart)
+    labels, features = (spark.read.parquet(mart.path("gold", t)) for t in ("label_store", "feature_store"))
+    chosen = features.select("loan_id", "snapshot_date", "installments_missed", "has_overdue_amt", "name_shared_count", "auto_loan", "fe_2")
+    return labels.join(chosen, ["loan_id", "snapshot_date"], "left")
+
+
 def q49_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers of one occupation."""
     found = lookup(attributes(spark, sf_dir), "occupation", " BUILDING")
@@ -152,13 +234,18 @@ QUERIES = {
         q43_projection_basics,
         q49_lookup,
         q50_total_rows,
+        q51_snapshot,
+        q52_inferred_types,
+        q53_date_formats,
+        q54_faithful_bronze,
+        q55_backfill,
     )
 }
 
 ORACLE = {
     "q33_sql_lookup": f"WITH {ATTRIBUTES}\nSELECT * FROM raw_attributes WHERE name = '  Name42 '",
     "q34_sql_group_count": f"""WITH {CLICKS}
-SELECT customer_id, snapshot_date, count(snapshot_date) AS distinct_entries
+SELECT customer_id, snapshot_date, count(snapshot_date) AS entries
 FROM clicks GROUP BY customer_id, snapshot_date""",
     "q35_sql_count": f"WITH {PANEL}\nSELECT count(*) AS row_count FROM panel",
     "q36_sql_limit": f"WITH {FINANCIALS}\nSELECT * FROM raw_financials ORDER BY customer_id LIMIT 1",
@@ -183,5 +270,27 @@ SELECT loan_id, customer_id, CASE WHEN dpd >= threshold THEN 1 ELSE 0 END AS lab
 SELECT DISTINCT customer_id, snapshot_date AS month, installment_num, tenure - installment_num AS remaining,
   'panel' AS source FROM panel""",
     "q49_lookup": f"WITH {ATTRIBUTES}\nSELECT customer_id, name, occupation FROM raw_attributes WHERE occupation = ' BUILDING'",
+    "q51_snapshot": f"""WITH {PANEL}
+SELECT loan_id, customer_id, due_amt FROM panel WHERE snapshot_date = DATE '{SCAN_FROM}'""",
+    "q52_inferred_types": """SELECT CAST(o_orderkey AS INT) AS order_key, CAST(o_orderdate AS DATE) AS orderdate,
+  o_totalprice AS total, o_orderstatus AS status FROM orders""",
+    "q53_date_formats": """SELECT o_orderkey AS loan_id,
+  CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS iso,
+  CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS local FROM orders""",
+    "q54_faithful_bronze": f"""WITH {ATTRIBUTES}, dirty AS (
+  SELECT concat(customer_id, CASE WHEN CAST(customer_id AS BIGINT) % 3 = 0 THEN '  ' ELSE '' END) AS customer_id, name,
+    CASE WHEN CAST(customer_id AS BIGINT) % 5 = 0 THEN '   ' ELSE occupation END AS occupation FROM raw_attributes)
+SELECT *, CASE WHEN length(customer_id) % 2 = 0 THEN DATE '2023-01-01' ELSE DATE '2023-02-01' END AS snapshot_date
+FROM dirty""",
+    "q55_backfill": f"""WITH {DIRTY},
+{DIRTY_CLICKS},
+{CLEAN_ATTRIBUTES},
+{CLEAN_FINANCIALS}
+SELECT l.loan_id, l.customer_id, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label, '30dpd_6mob' AS label_def,
+  l.snapshot_date, installments_missed, CASE WHEN overdue_amt > 0 THEN 1 ELSE 0 END AS has_overdue_amt,
+  name_shared_count, auto_loan, fe_2
+FROM loans l LEFT JOIN attributes a ON l.customer_id = a.customer_id LEFT JOIN financials f ON l.customer_id = f.customer_id
+LEFT JOIN raw_clicks c ON l.customer_id = c.customer_id AND l.snapshot_date = c.snapshot_date
+WHERE mob = 6""",
     "q50_total_rows": f"WITH {LOANS}\nSELECT count(*) AS row_count FROM loans",
 }

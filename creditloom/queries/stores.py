@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from creditloom.functions.casts import retype
 from creditloom.operators.duplicates import keys_with_many
@@ -59,7 +60,11 @@ def q22_click_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q23_click_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_last_delta(clicks(spark, sf_dir), CLICK_FEATURES)
+    """Some customers go from one end of the integers to the other, which has no difference in integers."""
+    odd_month = F.month("snapshot_date") % 2 == 1
+    far = F.when(F.col("customer_id").cast("bigint") % 19 == 0, F.when(odd_month, 2_000_000_000).otherwise(-2_000_000_000))
+    wide = clicks(spark, sf_dir).withColumn("fe_1", F.coalesce(far, "fe_1").cast("int"))
+    return first_last_delta(wide, CLICK_FEATURES)
 
 
 def q24_first_last(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +108,10 @@ QUERIES = {
     )
 }
 
+WIDE_DELTA_COLUMNS = ", ".join(
+    f"TRY_CAST(CAST(arg_max_null({f}, snapshot_date) AS BIGINT) - arg_min_null({f}, snapshot_date) AS INT) AS {f}_delta"
+    for f in FE
+)
 ENDS = ", ".join(
     f"arg_min_null({f}, snapshot_date) AS {f}_first, arg_max_null({f}, snapshot_date) AS {f}_last" for f in FE
 )
@@ -114,7 +123,9 @@ ORACLE = {
 SELECT * FROM raw_clicks WHERE customer_id IS NOT NULL AND snapshot_date IS NOT NULL""",
     "q21_null_profile": f"WITH {DIRTY_CLICKS}\nSELECT {NULLS} FROM raw_clicks",
     "q22_click_profile": f"WITH {CLICKS}\nSELECT customer_id, {PROFILE_COLUMNS} FROM clicks GROUP BY customer_id",
-    "q23_click_delta": f"WITH {CLICKS}\nSELECT customer_id, {DELTA_COLUMNS} FROM clicks GROUP BY customer_id",
+    "q23_click_delta": f"""WITH {CLICKS}, wide AS (SELECT * REPLACE (CASE WHEN CAST(customer_id AS BIGINT) % 19 <> 0 THEN fe_1
+    WHEN month(snapshot_date) % 2 = 1 THEN 2000000000 ELSE -2000000000 END AS fe_1) FROM clicks)
+SELECT customer_id, {WIDE_DELTA_COLUMNS} FROM wide GROUP BY customer_id""",
     "q24_first_last": f"WITH {CLICKS}\nSELECT customer_id, {ENDS} FROM clicks GROUP BY customer_id",
     "q29_feature_store": f"WITH {SILVER},\n{FEATURES}\nSELECT * FROM store",
     "q30_customer_matrix": f"WITH {SILVER},\n{PROFILE},\n{LOAN_FEATURES},\n{MATRIX}\nSELECT * FROM matrix",

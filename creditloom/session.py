@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -30,14 +32,29 @@ def build_session(app: str = "creditloom", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder, readable by every executor, below the cluster's `spark.checkpoint.dir`.
+def shared_root(spark: SparkSession) -> str:
+    """The cluster's `spark.checkpoint.dir`, which every executor can read.
 
-    Only a local session without that setting falls back to a temporary folder of this machine.
+    A session in one process may do without that setting; it then has one temporary folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="creditloom-")
-    return f"{root.rstrip('/')}/creditloom-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return _own_folder()
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="creditloom-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_root(spark)}/creditloom-{uuid.uuid4().hex}"
+
+
+def scratch_folder(spark: SparkSession, name: str, source: str) -> str:
+    """The folder of a query over a source, the same on every call, for tables that each call overwrites."""
+    return f"{shared_root(spark)}/creditloom/{name}-{zlib.crc32(source.encode()):08x}"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,11 +59,11 @@ def read_snapshots(
 
     The range is a filter on the partition column, so other months are never listed for reading.
     `columns` gives the file's columns for formats without a schema; `merge_schema` unites months whose
-    columns differ.
+    columns differ, for formats that store a schema. A CSV month whose header differs from the others fails.
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     if columns is not None:
         reader = reader.schema(text_schema(columns))
     elif merge_schema:
@@ -89,24 +90,42 @@ def register(relations: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv", limit: int = 10_000) -> dict[str, str]:
-    """{name without extension: path} of the files in a folder on any file system Spark reads.
+MAX_TABLES = 10_000  # tables a folder may hold, as each becomes a view on the driver
 
-    Only paths are selected, so no file content is read. More than `limit` files are an error.
+
+def list_tables(spark: SparkSession, folder: str, fmt: str = "csv", limit: int = MAX_TABLES) -> dict[str, str]:
+    """{name: path} of the tables in a folder on any file system Spark reads.
+
+    A file of the format is a table, and so is a sub-folder with such files at any depth, as Spark writes them,
+    partition folders included. The name is without extension; two tables of one name are an error. Only paths
+    are selected, so no file content is read; the driver gets one row for each table, and more than `limit` are an error.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
-    paths = [row.path for row in files.limit(limit + 1).collect()]
-    if len(paths) > limit:
-        raise ValueError(f"more than {limit} files match {pattern} in {folder}")
-    return {path.rsplit("/", 1)[-1].rsplit(".", 1)[0]: path for path in sorted(paths)}
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").option("recursiveFileLookup", True)
+    base = folder.rstrip("/").rsplit("/", 1)[-1]
+    # The path below the folder, whatever scheme the reader gives it.
+    below = F.regexp_extract("path", f"^.*?/{re.escape(base)}/([^/]+)", 1)
+    children = [row[0] for row in reader.load(folder).select(below).distinct().limit(limit + 1).collect()]
+    if len(children) > limit:
+        raise ValueError(f"more than {limit} tables in {folder}")
+    names = [child.removesuffix(f".{fmt}") for child in sorted(children)]
+    twice = sorted({name for name in names if names.count(name) > 1})
+    if twice:
+        raise ValueError(f"several tables are named {twice}")
+    return {name: f"{folder.rstrip('/')}/{child}" for name, child in zip(names, sorted(children))}
 
 
-def load_catalog(spark: SparkSession, folder: str, fmt: str = "csv", names: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """Every file of a folder as a frame and a temp view of the same name."""
+def load_catalog(
+    spark: SparkSession,
+    folder: str,
+    fmt: str = "csv",
+    names: Sequence[str] | None = None,
+    limit: int = MAX_TABLES,
+) -> dict[str, DataFrame]:
+    """Every table of a folder as a frame and a temp view of the same name."""
     paths = (
         {name: f"{folder}/{name}.{fmt}" for name in names}
         if names is not None
-        else list_files(spark, folder, f"*.{fmt}")
+        else list_tables(spark, folder, fmt, limit)
     )
     frames = {
         name: read_raw(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)

@@ -6,11 +6,11 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.sources.readers import Day, between_snapshots
+from creditloom.functions.casts import backticked
+from creditloom.sources.readers import Day
 from creditloom.sources.schemas import SNAPSHOT
 
 
@@ -19,6 +19,7 @@ class WriteAudit:
     """What a write put down, counted while writing."""
 
     rows: int
+    rejected: int = 0  # rows of the source that have no readable month-start date
     snapshots: list[dt.date] = field(default_factory=list)
 
 
@@ -38,16 +39,20 @@ def write_snapshots(
     It splits a month larger than the advisory partition size over several tasks. Rows that already come month
     by month, as from a dataset in the same layout, need no rebalancing and then no shuffle. `sort_by` orders
     the rows of each file, so that a filter on those columns skips pages. Row count and months come from the
-    final stage of the write itself, with no second job.
+    final stage of the write itself, with no second job. CSV has no schema of its own, so its columns are put in the order of
+    the months already there, and other columns than theirs are an error.
     """
-    stored = _stored_months(df, root, start, end, fmt) if start is not None or end is not None else set()
+    held = stored_months(df.sparkSession, root)
+    stored = {m for m in held if within(m, start, end)} if start is not None or end is not None else set()
+    if fmt == "csv" and held:
+        df = _in_stored_order(df, root, min(held))
     out = df.hint("rebalance", SNAPSHOT) if rebalance else df
     out = out.sortWithinPartitions(SNAPSHOT, *sort_by) if sort_by else out
     seen = Observation()
     out = out.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(SNAPSHOT).alias("snapshots"))
     writer = out.write.mode("overwrite").partitionBy(SNAPSHOT).option("partitionOverwriteMode", "dynamic")
     _with_header(writer, fmt).format(fmt).save(root)
-    audit = WriteAudit(seen.get["rows"], sorted(seen.get["snapshots"]))
+    audit = WriteAudit(seen.get["rows"], snapshots=sorted(seen.get["snapshots"]))
     emptied = stored - set(audit.snapshots)
     if start is not None and not stored and not audit.snapshots:
         emptied = {dt.date.fromisoformat(str(start))}  # an empty file, so that the dataset can be read
@@ -66,18 +71,27 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> WriteAudit:
 
 
 def _with_header(writer, fmt: str):
-    return writer.option("header", True) if fmt == "csv" else writer
-
-
-def _stored_months(df: DataFrame, root: str, start: Day, end: Day, fmt: str) -> set[dt.date]:
-    """Months of the range that the dataset holds now: one small row per month, from partition values alone."""
-    schema = df.schema
-    reader = df.sparkSession.read.schema(schema).format(fmt)
-    try:
-        held = _with_header(reader, fmt).load(root)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return set()
-    months = between_snapshots(held, start, end).select(SNAPSHOT).distinct()
-    return {row[0] for row in months.collect()}
+    """CSV with a header and with values as they are: Spark would trim blanks when it writes."""
+    if fmt != "csv":
+        return writer
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return writer.options(header=True, **kept)
+
+
+def _in_stored_order(df: DataFrame, root: str, month: dt.date) -> DataFrame:
+    columns = df.sparkSession.read.option("header", True).csv(f"{root}/{SNAPSHOT}={month}").columns
+    if sorted(columns) != sorted(c for c in df.columns if c != SNAPSHOT):
+        raise ValueError(f"columns differ from those stored in {root}: {columns}")
+    return df.select(*[backticked(c) for c in columns], SNAPSHOT)
+
+
+def stored_months(spark: SparkSession, root: str) -> set[dt.date]:
+    """Months that a dataset holds, from the names of its partition folders."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{SNAPSHOT}=*")
+    folders = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    names = [folder.getPath().getName().partition("=")[2] for folder in folders or []]
+    return {dt.date.fromisoformat(name) for name in names if name[:1].isdigit()}
+
+
+def within(month: dt.date, start: Day, end: Day) -> bool:
+    return (start is None or str(month) >= str(start)) and (end is None or str(month) <= str(end))
