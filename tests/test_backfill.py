@@ -63,6 +63,7 @@ def gold(spark, mart, table):
 
 def test_whole_mart(spark, mart):
     audits = backfill(spark, mart)
+    assert {name: audit.rejected for name, audit in audits.items() if audit.rejected} == {"bronze/lms_loan_daily": 1}
     rows = {name: audit.rows for name, audit in audits.items()}
     assert rows == {
         "bronze/features_attributes": 2,
@@ -172,6 +173,17 @@ def test_other_label_definition(spark, mart):
     assert labels == {"L1": (0, "60dpd_6mob"), "L2": (0, "60dpd_6mob"), "L3": (1, "60dpd_6mob")}
 
 
+def test_vocabularies_have_a_limit(spark, mart):
+    with pytest.raises(ValueError, match="more than 1 distinct"):
+        backfill(spark, replace(mart, max_vocabulary=1))
+
+
+def test_bronze_keeps_blanks(spark, mart, source):
+    (source / "features_financials.csv").write_text(FINANCIALS.replace(",Yes,", ", Yes,"))
+    backfill(spark, mart)
+    assert gold(spark, mart, "feature_store").where("loan_id = 'L2'").first().payment_of_min_amount == 0
+
+
 def test_repeated_customers_can_be_refused(spark, mart, source):
     (source / "features_attributes.csv").write_text(ATTRIBUTES + ATTRIBUTES.splitlines()[1] + "\n")
     backfill(spark, mart)

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from creditloom.functions.casts import digits_to_float, retype, text_to_int
+from creditloom.functions.casts import digits_to_float, retype, text_to_date, text_to_int
 
 WHOLE = [
     ("3.0", 3),
@@ -77,3 +77,9 @@ def test_income_text(spark):
     got = [r[0] for r in df.select(digits_to_float(F.col("t"))).collect()]
     assert got[0] == pytest.approx(34847.84, rel=1e-6)
     assert got[1:] == [None, None, 5.0, None]
+
+
+def test_dates_with_and_without_a_format(spark):
+    df = spark.createDataFrame([("2023-02-01", "01/02/2023"), ("x", "31/02/2000"), (None, None)], "iso string, local string")
+    rows = df.select(text_to_date(F.col("iso")), text_to_date(F.col("local"), "dd/MM/yyyy")).collect()
+    assert [tuple(map(str, r)) for r in rows] == [("2023-02-01", "2023-02-01"), ("None", "None"), ("None", "None")]

@@ -118,3 +118,9 @@ def test_other_measures_keep_their_underscores_and_fail(spark):
     )
     row = clean_financials(raw).first()
     assert row.monthly_balance is None and row.num_of_loan is None and row.annual_income == pytest.approx(5.0)
+
+
+def test_durations_that_overflow_are_null(spark):
+    df = spark.createDataFrame([("400000000 Years and 1 Months",), ("9 Years",)], "credit_history_age string")
+    rows = [tuple(r)[1:] for r in duration_months(df).collect()]
+    assert rows == [(400000000, 1, None), (9, None, 108)]

@@ -120,3 +120,9 @@ def test_days_past_due_on_its_own_columns(spark):
     df = spark.createDataFrame([(dt.date(2024, 3, 31), 1, 5.0)], "snap date, missed int, owed double")
     row = days_past_due(df, "snap", "owed", "missed", "since", "days").first()
     assert (row.since, row.days) == (dt.date(2024, 2, 29), 31)
+
+
+def test_dates_out_of_the_calendar_are_null(spark):
+    df = spark.sql("SELECT date'2023-01-01' snapshot_date, 1.0D overdue_amt, 2147483647 installments_missed")
+    row = days_past_due(df).first()
+    assert row.first_missed_date is None and row.dpd is None

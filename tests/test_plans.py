@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 import pytest
@@ -10,6 +11,7 @@ import __spark_entry__ as entry_point
 from creditloom.operators.features import activity_profile, latest_per_key, loan_features
 from creditloom.operators.labels import bad_rate_curve, dpd_flag
 from creditloom.plans.gold import feature_store, label_store
+from creditloom.queries import QUERIES
 from creditloom.queries.inputs import attributes, clicks, financials
 from creditloom.queries.loans import panel
 from creditloom.plans.silver import silver_attributes, silver_financials
@@ -36,9 +38,9 @@ def silver(spark, tmp_path_factory):
     return root
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_on_the_executors(spark, name):
-    plan = plan_text(entry_point.queries()[name](spark, SF))
+    plan = plan_text(QUERIES[name](spark, SF))
     assert not [node for node in PYTHON_NODES if node in plan]
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
@@ -68,7 +70,10 @@ def test_profile_is_one_hash_aggregation(spark, silver):
 
 def test_loan_features_shuffle_once(spark, silver):
     df = loan_features(spark.read.parquet(str(silver / "loans")))
-    assert exchanges(df) == 1 and "Join" not in plan_text(df)
+    plan = plan_text(df)
+    assert exchanges(df) == 1 and "Join" not in plan
+    assert len(re.findall(r"[-+] Sort \[", plan)) <= 1
+    assert "Aggregate" not in plan.split("Exchange hashpartitioning", 1)[1]  # none before the shuffle
 
 
 def test_latest_row_is_cut_before_the_shuffle(spark, silver):
@@ -91,15 +96,19 @@ def test_feature_store_moves_loans_twice_and_other_tables_once(spark, silver):
             read_snapshots(spark, str(silver / "clicks")),
         )
         plan = plan_text(store)
-        by_month = len(re.findall(r"\bExchange hashpartitioning\(snapshot_date", plan))
-        assert exchanges(store) - by_month == 5  # the others collect the distinct months
+        assert exchanges(store) == 5
         assert plan.count("SortMergeJoin") == 3
         assert "EqualTo(mob,6)" in plan
-        assert "dynamicpruning" in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_feature_store_reads_the_click_months_it_needs(spark, silver):
+    tables = [spark.read.parquet(str(silver / name)) for name in ("loans", "attributes", "financials", "clicks")]
+    plan = plan_text(feature_store(*tables, months=[dt.date(1996, 3, 1)]))
+    assert re.search(r"PartitionFilters: \[[^\]]*snapshot_date#\d+ = 1996-03-01", plan)
+
+
 def test_top_values_need_no_full_sort(spark):
     plan = plan_text(entry_point.queries()["q10_freq_topk"](spark, SF))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan

@@ -13,7 +13,7 @@ from creditloom.operators.features import activity_profile
 from creditloom.plans.gold import customer_matrix, feature_store
 from creditloom.queries.shape import rounded
 from creditloom.sources.schemas import LOAN_AMOUNTS
-from helpers import bag, plan_text
+from helpers import bag, final_plan_text, plan_text
 
 KEYS = st.sampled_from(["a", "b", "c", "d", None])
 
@@ -120,11 +120,58 @@ def test_profile_of_a_hot_customer_is_combined_from_several_tasks(spark):
     )
     plain, spread_out = activity_profile(rows, ["fe_1"]), activity_profile(rows, ["fe_1"], rows_per_task=100)
     assert plan_text(plain).count("Exchange hashpartitioning") == 1
+    # Rows of hot keys are combined on both sides of a shuffle of their own, the others after theirs.
     assert plan_text(spread_out).count("Exchange hashpartitioning") == 2
+    assert plan_text(spread_out).count("HashAggregate") == plan_text(plain).count("HashAggregate") + 2
     columns = ["customer_id", "fe_1_min", "fe_1_max", "fe_1_delta", "round(fe_1_mean, 9)", "round(fe_1_std, 9)"]
     assert bag(plain.selectExpr(*columns)) == bag(spread_out.selectExpr(*columns))
 
 
+def test_like_rows_of_a_hot_customer_are_combined_before_they_meet(spark):
+    rows = spark.range(0, 5_000, 1, 10).selectExpr("'whale' customer_id", "date'2023-01-01' snapshot_date", "1 fe_1")
+    profile = activity_profile(rows, ["fe_1"], rows_per_task=100)
+    assert [(r.customer_id, r.fe_1_mean, r.fe_1_delta) for r in profile.collect()] == [("whale", 1.0, 0)]
+    shuffled = final_plan_text(profile)
+    assert "Exchange hashpartitioning" in shuffled and "partial_avg" in shuffled
+
+
+def test_every_hot_key_is_found(spark):
+    """More than a sketch would hold, and a few among very many single ones."""
+    many = spark.range(40_000).select(F.expr("string(id % 8000)").alias("k"))
+    (hot,) = find_hot_keys((["k"], {"rows": many}), rows_per_task=4)
+    assert hot.table.count() == 8_000
+    few = spark.range(200_000).select(F.expr("if(id < 1001, concat('hot', id % 7), string(id))").alias("k"))
+    (hot,) = find_hot_keys((["k"], {"rows": few}), rows_per_task=100)
+    assert sorted(r[0] for r in hot.table.collect()) == [f"hot{i}" for i in range(7)]
+
+
+def test_no_limit_on_salts(spark):
+    df = spark.range(5_000).select(F.lit("hot").alias("k"), "id")
+    (hot,) = find_hot_keys((["k"], {"left": df}), rows_per_task=2)
+    assert [r[2] for r in hot.table.collect()] == [2_500]
+
+
+def test_more_hot_keys_than_may_be_listed(spark):
+    left = side(spark, "x", [k for k in "abcdef" for _ in range(20)] + [None] * 30 + ["z"])
+    right = side(spark, "y", [k for k in "abq" for _ in range(15)])
+    (hot,) = find_hot_keys((["k"], {"left": left, "right": right}), rows_per_task=10, listed_keys=3)
+    assert not hot.listed and hot.table.count() == 7
+    ours = spread(left, "left", hot).transform(attach, right, "right", ["k"], hot).drop(SALT, OWNER)
+    assert bag(ours) == bag(left.join(right, "k", "left"))
+
+
+def test_shared_count_runs_nothing_when_built(spark):
+    df = spark.createDataFrame([("1", "a")], "customer_id string, name string")
+    failing = df.withColumn("name", F.raise_error(F.lit("was run")).cast("string"))
+    assert shared_count(failing).columns == ["customer_id", "name", "name_shared_count", "is_name_shared"]
+
+
+def test_common_names_beyond_the_listed_ones(spark):
+    df = spark.createDataFrame([(str(i), "abc"[i % 3]) for i in range(90)], "customer_id string, name string")
+    counted = shared_count(df, rows_per_task=5, listed_values=1)
+    assert {(r.name, r.name_shared_count) for r in counted.collect()} == {("a", 30), ("b", 30), ("c", 30)}
+
+
 @pytest.fixture(scope="module")
 def mart(spark):
     """Silver tables where one customer holds most loans, one most attributes, and one has many clicks."""
