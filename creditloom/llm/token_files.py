@@ -16,11 +16,13 @@ import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 from creditloom.llm import arrays
 from creditloom.llm.common import keyed, restored, staged
 
-LANES = 256
+LANES = 1024
 STEPS = 128  # between checkpoints
 BLOCK_TOKENS = 1 << 18
 SCALE_BITS = 20  # frequencies add up to 2**SCALE_BITS, or to more if there are so many symbols
@@ -38,6 +40,7 @@ LOW = np.uint64(1 << 31)  # states stay in [LOW, 2**63)
 WORD = np.uint64(32)
 WORD_MASK = np.uint64(0xFFFFFFFF)
 CACHED = 400_000  # words, and parts of words, whose ids a worker remembers
+SLICE_BYTES = 4 << 20  # text whose distinct words are looked up at a time
 
 #: The steps before merging of a tokenizer that lower-cases and drops white space. Its ids of a text
 #: are those of the text's words in turn.
@@ -49,9 +52,34 @@ WORD_NORMALIZER = [
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 LATIN = "ß-öø-ÿ"
-PLAIN_WORD = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿ]+")  # no apostrophe, no bracket that could open a special token
+PLAIN_WORD = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿ]+")
 PARTS = re.compile(f"[a-z{LATIN}]+|[0-9]|[^a-z0-9{LATIN}]+")
-ODD_BLANKS = re.compile("[\x1c-\x1f]")  # blanks for str.split, but not for the tokenizer
+
+
+def is_plain(word: str) -> bool:
+    """Whether a word has no apostrophe, no bracket that could open a special token, and only letters known as composed."""
+    if word.isascii():
+        return "'" not in word and "<" not in word and word.isprintable()
+    return PLAIN_WORD.fullmatch(word) is not None
+
+
+class Recent(dict):
+    """Remembers about `CACHED` keys, of which those not asked for any more go."""
+
+    def __init__(self):
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes | None:
+        value = self.older.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(self) >= CACHED // 2:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
 
 
 class Encoder:
@@ -62,7 +90,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             config = json.load(file)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         split = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
         self.by_word = (
             (config.get("normalizer") or {}).get("normalizers") == WORD_NORMALIZER
@@ -72,14 +101,13 @@ class Encoder:
             and not config.get("truncation")
         )
         self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = Recent(), Recent()
         bytes_of = ByteLevel(add_prefix_space=False, use_regex=False)
         plain = [chr(c) for c in (*range(0x21, 0x7F), *range(0xDF, 0x100))]
         self.letters = str.maketrans({c: bytes_of.pre_tokenize_str(c)[0][0] for c in plain})
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        return array(self.code, ids).tobytes()
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [self.packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -88,34 +116,49 @@ class Encoder:
         """Ids of a plain word, part by part; all its letters are composed already."""
         out = []
         for part in PARTS.findall(word.lower()):
-            ids = self.parts.get(part)
+            ids = self.parts[part]
             if ids is None:
-                if len(self.parts) >= CACHED:
-                    self.parts.clear()
-                ids = self.parts[part] = self.packed([t.id for t in self.model.tokenize(part.translate(self.letters))])
+                ids = self.packed([t.id for t in self.model.tokenize(part.translate(self.letters))])
+                self.parts.put(part, ids)
             out.append(ids)
         return b"".join(out)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return self.whole(texts)
-        out = []
-        for text in texts:
-            words = re.split(r"[ \t\n\r\f\v]+", text) if ODD_BLANKS.search(text) else text.split()
-            new = set(words).difference(self.words)
-            if len(self.words) + len(new) > CACHED:
-                self.words.clear()
-                new = set(words)
-            odd = []
-            for word in new:
-                if PLAIN_WORD.fullmatch(word):
-                    self.words[word] = self.word(word)
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        out = list(map(self.words.__getitem__, words))
+        odd = []
+        for k, word in enumerate(words):
+            if out[k] is None:
+                if is_plain(word):
+                    out[k] = self.word(word)
+                    self.words.put(word, out[k])
                 else:
-                    odd.append(word)
-            self.words.update(zip(odd, self.whole(odd), strict=True))
-            out.append(b"".join(map(self.words.__getitem__, words)))
+                    odd.append(k)
+        for k, ids in zip(odd, self.whole([words[k] for k in odd]), strict=True):
+            out[k] = ids
+            self.words.put(words[k], ids)
         return out
 
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and how many each has. A null text is empty."""
+        texts = pc.fill_null(texts, "")
+        if not self.by_word:
+            ids = self.whole(texts.to_pylist())
+            return np.frombuffer(b"".join(ids), self.dtype), np.array([len(x) // self.dtype.itemsize for x in ids])
+        # Blanks that only Unicode knows stay within a word, which is then no plain one.
+        lists = pc.ascii_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        ids = self.of_words(words.dictionary.to_pylist())
+        sizes = np.array([len(x) // self.dtype.itemsize for x in ids], np.int64)
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        code = words.indices.to_numpy()
+        counts = sizes[code]
+        ends = np.cumsum(counts)
+        shift = (np.cumsum(sizes) - sizes)[code] - (ends - counts)
+        found = flat[np.repeat(shift, counts) + np.arange(ends[-1] if len(ends) else 0)]
+        edges = np.concatenate(([0], ends))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return found, np.diff(edges)
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -125,10 +168,14 @@ def encoder(path: str) -> Encoder:
 def tokenize(path: str, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
-        end = b"" if end_id is None else coder.packed([end_id])
-        for batch in arrays.text_slices(batches, "_text"):
-            ids = [x + end for x in coder.encode([t or "" for t in batch.column("_text").to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_copy"), pa.array(ids, pa.binary())], names=["_id", "_copy", "ids"])
+        for batch in arrays.text_slices(batches, "_text", SLICE_BYTES):
+            ids, counts = coder.encode(batch.column("_text"))
+            if end_id is not None:
+                ids = np.insert(ids, np.cumsum(counts), end_id)
+                counts = counts + 1
+            offsets = np.concatenate(([0], np.cumsum(counts))) * coder.dtype.itemsize
+            found = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_copy"), found], names=["_id", "_copy", "ids"])
 
     return run
 
@@ -137,11 +184,12 @@ def count_symbols(dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), dtype))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-                total[: len(found)] += found
+            ids = pa.concat_arrays([batch.column("ids")])
+            edges = np.frombuffer(ids.buffers()[1], np.int32)[[ids.offset, ids.offset + len(ids)]]
+            packed = np.frombuffer(ids.buffers()[2] or b"", np.uint8)[edges[0] : edges[1]]
+            found = np.bincount(packed.view(dtype), minlength=len(total))
+            found[: len(total)] += total
+            total = found
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["symbol", "n"])
 
