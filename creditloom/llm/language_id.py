@@ -110,13 +110,17 @@ def learn(docs: DataFrame, text: str, lang: str, doc_id: str, sample_rows: int =
     """
     usable = docs.where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(doc_id))
     rows = usable.select(F.col(lang).alias("lang"), F.xxhash64(F.lit(8), F.col(doc_id), F.col(text)).alias("draw"), F.col(text).alias("_text"))
-    languages = rows.select("lang").distinct().limit(sample_rows + 1).count()
-    if languages > sample_rows:
+    sizes = rows.groupBy("lang").agg(F.count("draw").alias("n")).limit(sample_rows + 1).collect()
+    if len(sizes) > sample_rows:
         raise ValueError(f"more than {sample_rows} languages; raise sample_rows")
-    each = max(1, sample_rows // max(1, languages))
-    # Only ids travel to the choice; the texts of the few rows chosen are found by a broadcast of at most sample_rows rows.
-    first = Window.partitionBy("lang").orderBy("draw")
-    chosen = rows.select("lang", "draw").withColumn("n", F.row_number().over(first)).where(F.col("n") <= each).select("draw")
+    each = max(1, sample_rows // max(1, len(sizes)))
+    # About twice as many rows of each language pass as are wanted, so the choice among them is small at any size. Only
+    # hashes travel to it; the texts of the chosen rows are found by a broadcast of at most sample_rows of them.
+    shares = docs.sparkSession.createDataFrame([(r.lang, min(1.0, (2 * each + 20) / r.n)) for r in sizes], "lang string, share double")
+    place = F.shiftrightunsigned("draw", 11) / float(1 << 53)
+    few = rows.select("lang", "draw", place.alias("place")).join(F.broadcast(shares), "lang").where("place < share")
+    first = Window.partitionBy("lang").orderBy("place", "draw")
+    chosen = few.withColumn("n", F.row_number().over(first)).where(F.col("n") <= each).select("draw")
     found = rows.join(F.broadcast(chosen.distinct()), "draw")
     sample = found.mapInArrow(packed_bins, "lang string, draw long, bits binary").collect()
     sample = sorted({(r.draw, r.lang, bytes(r.bits)) for r in sample})
