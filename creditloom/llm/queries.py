@@ -105,6 +105,29 @@ judged AS (
 SELECT documents.doc_id, count(word) AS n_words, count(*) FILTER (coalesce(gone, false)) AS n_removed,
   sha256(coalesce(string_agg(word, ' ' ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM documents LEFT JOIN judged ON documents.doc_id = judged.doc_id GROUP BY documents.doc_id
+""",
+    "op9_near_duplicates": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4
+    THEN list_transform(range(1, len(w) - 2), lambda k: array_to_string(w[k:k + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other),
+components AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM components LEFT JOIN sizes USING (doc_id)
 """,
     "op10_line_dedup": r"""
 WITH lines AS (
