@@ -35,6 +35,7 @@ BATCH_BYTES = 8 << 20  # text whose repeats are settled before the shuffle
 GROUP_BYTES = 24 << 20  # packed leaves that a group should hold
 
 BLOCKS = "bucket int, docs binary, anchors binary, labels binary"
+PARTS = "part int, docs binary, spans binary"
 SPANS = "_id long, _copy long, spans binary"
 #: A document of a block.
 DOC = np.dtype([("id", "<i8"), ("copy", "<i8")])
@@ -111,6 +112,31 @@ def spans(ids: np.ndarray, copies: np.ndarray, start: np.ndarray, window: int) -
     )
 
 
+def packed_parts(found: pa.RecordBatch, parts: int) -> list[tuple[int, bytes, bytes]]:
+    """Spans of documents as one row for each part: the documents, then the sizes of their spans and the spans themselves.
+
+    All spans of a document go to the same part, by the hash of its text.
+    """
+    part = arrays.mix(found.column("_copy").to_numpy().view(np.uint64)) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    table = np.zeros(len(order), DOC)
+    table["id"], table["copy"] = found.column("_id").to_numpy()[order], found.column("_copy").to_numpy()[order]
+    spans_ = found.column("spans").to_pylist()
+    at = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+    rows = []
+    for k in np.flatnonzero(np.diff(at)):
+        some = [spans_[x] for x in order[at[k] : at[k + 1]]]
+        sizes = np.array([len(x) for x in some], "<u4").tobytes()
+        rows.append((int(k), table[at[k] : at[k + 1]].tobytes(), sizes + b"".join(some)))
+    return rows
+
+
+def unpacked_parts(docs: bytes, packed: bytes) -> tuple[np.ndarray, list[bytes]]:
+    table = np.frombuffer(docs, DOC)
+    at = np.concatenate(([0], np.cumsum(np.frombuffer(packed, "<u4", len(table)), dtype=np.int64))) + 4 * len(table)
+    return table, [packed[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
 def block(bucket: int, ids: np.ndarray, copies: np.ndarray, found: Suffixes) -> tuple:
     """Suffixes in the order of their texts, packed."""
     docs, doc = np.unique(found.doc, return_inverse=True)
@@ -147,16 +173,7 @@ def map_suffixes(window: int, buckets: int, batch_bytes: int):
                 # Settled already: spans of a document, in a bucket of its own choice, without anchors.
                 gone = np.flatnonzero(~stays)
                 done = spans(ids[found.doc[gone]], copies[found.doc[gone]], found.start[gone], window)
-                spread = arrays.mix(done.column("_copy").to_numpy().view(np.uint64)) % np.uint64(buckets)
-                order = np.argsort(spread, kind="stable")
-                packed = done.column("spans").to_pylist()
-                table = np.zeros(len(order), DOC)
-                table["id"], table["copy"] = done.column("_id").to_numpy()[order], done.column("_copy").to_numpy()[order]
-                at = np.searchsorted(spread[order], np.arange(buckets + 1, dtype=np.uint64))
-                for k in np.flatnonzero(np.diff(at)):
-                    some = [packed[x] for x in order[at[k] : at[k + 1]]]
-                    sizes = np.array([len(x) for x in some], "<u4").tobytes()
-                    rows.append((int(k), table[at[k] : at[k + 1]].tobytes(), None, sizes + b"".join(some)))
+                rows += [(k, docs, None, packed) for k, docs, packed in packed_parts(done, buckets)]
                 found = found.take(np.flatnonzero(stays))
             bucket = (arrays.mix(found.anchor) >> np.uint64(32)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
@@ -172,25 +189,16 @@ def map_suffixes(window: int, buckets: int, batch_bytes: int):
     return run
 
 
-def subtree(window: int):
-    """Over the blocks of one bucket: spans of the leaves that aren't the earliest of their node."""
+def subtree(window: int, parts: int):
+    """Over the blocks of one bucket: spans of the leaves that aren't the earliest of their node, by part."""
 
     def run(table: pa.Table) -> pa.Table:
-        out, leaves = [], []
+        rows, leaves = [], []
         for docs, entries, labels in zip(*(table.column(c).to_pylist() for c in ("docs", "anchors", "labels")), strict=True):
-            docs = np.frombuffer(docs, DOC)
             if entries is None:
-                sizes = np.frombuffer(labels, "<u4", len(docs))
-                at = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))) + 4 * len(docs)
-                packed = [labels[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-                out.append(
-                    pa.RecordBatch.from_arrays(
-                        [pa.array(docs["id"]), pa.array(docs["copy"]), pa.array(packed, pa.binary())],
-                        names=["_id", "_copy", "spans"],
-                    )
-                )
+                rows.append((table.column("bucket")[0].as_py(), docs, labels))  # settled, and in its part already
                 continue
-            entries = np.frombuffer(entries, ENTRY)
+            docs, entries = np.frombuffer(docs, DOC), np.frombuffer(entries, ENTRY)
             count = entries["count"].astype(np.int64)
             begin = np.cumsum(count) - count
             step = (np.arange(int(count.sum())) - np.repeat(begin, count)).astype(np.uint32)
@@ -207,13 +215,25 @@ def subtree(window: int):
             start, ids, copies, anchor, label = (np.concatenate(x) for x in zip(*leaves, strict=True))
             gone = np.flatnonzero(~earliest(label, anchor, start, ids))
             if len(gone):
-                out.append(spans(ids[gone], copies[gone], start[gone], window))
-        schema = pa.schema([("_id", pa.int64()), ("_copy", pa.int64()), ("spans", pa.binary())])
-        return pa.Table.from_batches([x.cast(schema) for x in out], schema)
+                rows += packed_parts(spans(ids[gone], copies[gone], start[gone], window), parts)
+        columns = list(zip(*rows, strict=True)) or [[]] * 3
+        return pa.table({"part": pa.array(columns[0], pa.int32()), "docs": pa.array(columns[1], pa.binary()), "spans": pa.array(columns[2], pa.binary())})
 
     return run
 
 
+def whole_documents(table: pa.Table) -> pa.Table:
+    """All spans of each document of a part."""
+    found: dict[tuple[int, int], list[bytes]] = {}
+    for docs, packed in zip(table.column("docs").to_pylist(), table.column("spans").to_pylist(), strict=True):
+        names, pieces = unpacked_parts(docs, packed)
+        for name, piece in zip(names.tolist(), pieces, strict=True):
+            found.setdefault(name, []).append(piece)
+    ids, copies = zip(*found, strict=True) if found else ([], [])
+    joined = pa.array([b"".join(x) for x in found.values()], pa.binary())
+    return pa.table({"_id": pa.array(ids, pa.int64()), "_copy": pa.array(copies, pa.int64()), "spans": joined})
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = 20) -> DataFrame:
     """`_id`, `_copy` and `spans` of the documents that repeat something: words covered by windows that start earlier too.
 
@@ -226,10 +246,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     size = docs.agg(F.sum(F.length(text))).first()[0] or 0  # at most one suffix for two characters, mostly for six
     buckets = groups_for(docs.sparkSession, size / 6 * LEAF_BYTES, GROUP_BYTES)
     blocks = rows.mapInArrow(map_suffixes(window, buckets, BATCH_BYTES), BLOCKS)
-    found = blocks.groupBy("bucket").applyInArrow(subtree(window), SPANS)
-    return found.groupBy("_id", "_copy").agg(F.collect_list("spans").alias("parts")).withColumn(
-        "spans", F.aggregate("parts", F.unhex(F.lit("")), lambda a, b: F.concat(a, b))
-    ).drop("parts")
+    parts = blocks.groupBy("bucket").applyInArrow(subtree(window, buckets), PARTS)
+    return parts.groupBy("part").applyInArrow(whole_documents, SPANS)
 
 
 def covered(spans: bytes | None, n_words: int) -> np.ndarray:
