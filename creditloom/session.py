@@ -40,7 +40,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return _own_folder()
 
