@@ -2,10 +2,10 @@
 
 1. A document's set is the hashes of its distinct word shingles; its sketch is the smallest `SKETCH` of them. Documents
    of equal sets are one class, and only the class with its smallest id goes on.
-2. Inverted lists of the smallest `INDEXED` values. Two sets of similarity 0.8 share some 26 of 32 of them and fewer than
-   `SHARED` about once in ten million pairs, so it is enough to list each class under its rarest
-   INDEXED - SHARED + 1 values: whoever shares SHARED values shares one of these. What many documents hold
-   (a passage, a banner) is seldom among the rarest, and a class with too few values that others hold leaves at once.
+2. Inverted lists of the smallest `INDEXED` values. Two sets of similarity 0.8 share some 26 of 32 of them and fewer than 13
+   about once in ten million pairs, so it is enough to list each class under its rarest 32 - 13 + 1 values: whoever
+   shares 13 values shares one of these. What many documents hold (a passage, a banner) is seldom among the rarest,
+   and a class with too few values that others hold leaves at once.
 3. Lists tie classes into homes (connected components of the lists). Sets are computed again for classes in a home of two or more and
    meet there, in blocks of at most `BLOCK` classes. Within a block all pairs on a common list are estimated
    from the sketch of the union, and those left are verified on the full sets.
@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +31,16 @@ from creditloom.llm.components import components
 
 SKETCH = 64  # values kept of each set
 INDEXED = 32  # of these, the values that are looked up
-SHARED = 13  # of these, what two sets must share at least
+DEVIATIONS = 5.5  # how far below its mean a number of shared values may lie before a pair is given up
 BLOCK = 256  # classes that meet in one task
-LEAST_ESTIMATE = 0.5  # an estimate from 64 values is this far off 0.8 less than once in ten million pairs
 CELLS = 1 << 22  # cells of a matrix of classes and values
 
 
+def least_share(values: int, similarity: float) -> float:
+    """The share of so many values of the union that sets of a similarity have in common but for the rarest accidents."""
+    return similarity - DEVIATIONS * math.sqrt(similarity * (1 - similarity) / values)
+
+
 def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, one after another; and where those of each text begin.
 
@@ -87,7 +92,8 @@ def indexed(classes: DataFrame, similarity: float) -> DataFrame:
         .groupBy("rep")
         .agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("held", "value"))).alias("found"))
     )
-    needed = F.least(F.lit(SHARED), F.ceil(F.col("n") * similarity - 1e-9)).cast("int")
+    shared = max(1, math.floor(INDEXED * least_share(INDEXED, similarity)))
+    needed = F.least(F.lit(shared), F.ceil(F.col("n") * similarity - 1e-9)).cast("int")
     rarest = F.slice("found", 1, F.size("found") - needed + 1)
     values = by_class.where(F.size("found") >= needed).select("rep", F.explode(rarest).alias("x"))
     return staged(values.select("rep", F.col("x.value").alias("value")), compact=True)
@@ -160,7 +166,7 @@ def compare(left: pd.DataFrame, right: pd.DataFrame | None, percent: int) -> pd.
         sketches.append(table)
     likely = np.concatenate(
         [
-            estimates(sketches[0][i[k : k + 8192]], sketches[1][j[k : k + 8192]]) >= LEAST_ESTIMATE
+            estimates(sketches[0][i[k : k + 8192]], sketches[1][j[k : k + 8192]]) >= least_share(SKETCH, percent / 100)
             for k in range(0, len(i), 8192)
         ]
     )
