@@ -23,7 +23,6 @@ from creditloom.queries.oracle import (
     CLEAN_ATTRIBUTES,
     CLEAN_FINANCIALS,
     CLICKS,
-    DELTA_COLUMNS,
     DIRTY_CLICKS,
     FE,
     FEATURES,
