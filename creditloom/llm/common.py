@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import creditloom
 from creditloom.session import shared_folder
 
 #: Stands for a null doc_id while rows are sorted and joined; smaller than every real one.
@@ -26,6 +30,23 @@ def staged(df: DataFrame, compact: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def importable(spark: SparkSession) -> None:
+    """Sends this package's source to the executors, whose Python needn't have it installed; once for an application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(creditloom.__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="creditloom-")) / "creditloom.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(application)
+
+
 def known(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("bigint"), F.lit(NO_ID))
 
@@ -36,6 +57,7 @@ def restored(column: str) -> Column:
 
 def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """`_id`, `_copy` and `_text` of each row. `_copy` tells rows apart that share an id but not the text."""
+    importable(docs.sparkSession)
     return docs.select(known(doc_id).alias("_id"), F.xxhash64(text).alias("_copy"), F.col(text).alias("_text"))
 
 

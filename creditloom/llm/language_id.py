@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.llm import arrays
-from creditloom.llm.common import keyed, restored
+from creditloom.llm.common import importable, keyed, restored
 
 ORDERS = (1, 2, 3, 4, 5)
 BINS = 1 << 15
@@ -108,6 +108,7 @@ def learn(docs: DataFrame, text: str, lang: str, doc_id: str, sample_rows: int =
 
     Learns from rows with a language, an id and a text with letters, and not from those held out.
     """
+    importable(docs.sparkSession)
     usable = docs.where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(doc_id))
     rows = usable.select(F.col(lang).alias("lang"), F.xxhash64(F.lit(8), F.col(doc_id), F.col(text)).alias("draw"), F.col(text).alias("_text"))
     sizes = rows.groupBy("lang").agg(F.count("draw").alias("n")).limit(sample_rows + 1).collect()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import groups_for, staged
+from creditloom.llm.common import groups_for, importable, staged
 
 PROJECTIONS = 64
 COLLISIONS = 45
@@ -128,6 +128,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, vector: str = "e
         return staged(rows.groupBy("id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector")))
 
     spark = vectors.sparkSession
+    importable(spark)
     base, asked = rows_of(vectors), rows_of(queries)
     blocks = groups_for(spark, base.count(), BLOCK_ROWS)
     chunks = max(1, math.ceil(asked.count() / CHUNK_QUERIES))

@@ -30,7 +30,7 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from creditloom.llm import arrays
-from creditloom.llm.common import keyed, restored, staged
+from creditloom.llm.common import importable, keyed, restored, staged
 
 LANES = 1024
 STEPS = 128  # between checkpoints
@@ -415,6 +415,7 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
 
     `with_ids` adds `ids`, unsigned 32-bit integers in little-endian order. A block whose ids don't match their checksums fails.
     """
+    importable(spark)
     table = spark.read.schema("symbol long, frequency long").parquet(f"{path}/table").orderBy("symbol").collect()
     symbols, frequencies = (np.array([r[k] for r in table], np.int64) for k in (0, 1))
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
