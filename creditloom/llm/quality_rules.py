@@ -114,76 +114,88 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes bad above (or below) one bound of a trait and good beyond the other; between them, or unless `applies`, it abstains."""
+    """Votes bad above (or below) one bound of a trait and good beyond the other; between them, or unless `applies`, it abstains.
+
+    A rule without a `good` bound is an alarm: it votes bad or abstains.
+    """
 
     name: str
     value: Callable[[], Column]
-    good: Callable[[Column], Column]
+    good: Callable[[Column], Column] | None
     bad: Callable[[Column], Column]
     applies: Callable[[], Column] = lambda: F.lit(True)
 
     def vote(self) -> Column:
         value = self.value()
-        return F.when(~self.applies() | value.isNull(), 0).when(self.bad(value), -1).when(self.good(value), 1).otherwise(0)
+        good = self.good(value) if self.good else F.lit(False)
+        return F.when(~self.applies() | value.isNull(), 0).when(self.bad(value), -1).when(good, 1).otherwise(0)
 
 
 def share(part: str, whole: str) -> Callable[[], Column]:
     return lambda: F.try_divide(F.col(part), F.col(whole))
 
 
-def never(value: Column) -> Column:
-    return F.lit(False)
-
-
-#: That a text doesn't shout or repeat itself says little for it, so most rules only vote bad or abstain.
+#: That a text doesn't shout or repeat itself says little for it, so most rules are alarms.
 RULES = (
     Rule("symbols", share("n_symbols", "n_words"), lambda x: x < 0.05, lambda x: x > 0.3),
     Rule("plain_words", share("n_plain", "n_words"), lambda x: x > 0.9, lambda x: x < 0.7),
     Rule("ended_lines", share("n_ended_lines", "n_lines"), lambda x: x > 0.8, lambda x: x < 0.2),
-    Rule("repeated_words", share("n_repeat_words", "n_words"), never, lambda x: x > 0.3),
-    Rule("capitals", share("n_upper", "n_letters"), never, lambda x: x > 0.5, lambda: F.col("n_letters") >= 20),
-    Rule("repeated_lines", share("n_dup_lines", "n_lines"), never, lambda x: x > 0.3, lambda: F.col("n_lines") >= 4),
-    Rule("vocabulary", share("n_distinct", "n_words"), never, lambda x: x < 0.15, lambda: F.col("n_words") <= 2000),
-    Rule("shouting", share("n_shouted", "n_words"), never, lambda x: x > 0.2),
-    Rule("word_length", share("word_chars", "n_words"), never, lambda x: (x < 2.5) | (x > 14)),
+    Rule("repeated_words", share("n_repeat_words", "n_words"), None, lambda x: x > 0.3),
+    Rule("capitals", share("n_upper", "n_letters"), None, lambda x: x > 0.5, lambda: F.col("n_letters") >= 20),
+    Rule("repeated_lines", share("n_dup_lines", "n_lines"), None, lambda x: x > 0.3, lambda: F.col("n_lines") >= 4),
+    Rule("vocabulary", share("n_distinct", "n_words"), None, lambda x: x < 0.15, lambda: F.col("n_words") <= 2000),
+    Rule("shouting", share("n_shouted", "n_words"), None, lambda x: x > 0.2),
+    Rule("word_length", share("word_chars", "n_words"), None, lambda x: (x < 2.5) | (x > 14)),
 )
 
 
 @dataclass(frozen=True)
 class VoteModel:
-    """Share of good documents, and each rule's rates of right votes on good and on bad ones."""
+    """Share of good documents, and each rule's rates of right votes on good and on bad ones.
+
+    An alarm that abstains counts as a vote for good; how little that says is in its rates, as it also keeps still on most bad documents.
+    """
 
     prior: float
     on_good: tuple[float, ...]
     on_bad: tuple[float, ...]
+    alarms: tuple[bool, ...]
+
+    def cast(self, votes: np.ndarray) -> np.ndarray:
+        return np.where(np.array(self.alarms) & (votes == 0), 1, votes)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        good, bad = np.array(self.on_good), np.array(self.on_bad)
+        good, bad, votes = np.array(self.on_good), np.array(self.on_bad), self.cast(votes)
         odds = np.where(votes > 0, np.log(good) - np.log1p(-bad), np.where(votes < 0, np.log1p(-good) - np.log(bad), 0.0))
         return 1 / (1 + np.exp(-(math.log(self.prior) - math.log1p(-self.prior) + odds.sum(axis=1))))
 
 
-def fit_votes(votes: np.ndarray, counts: np.ndarray, belief: float = 0.9, weight: float = 0.02, rounds: int = 200) -> VoteModel:
+def fit_votes(
+    votes: np.ndarray, counts: np.ndarray, alarms: tuple[bool, ...] | None = None, belief: float = 0.9, weight: float = 0.02, rounds: int = 200
+) -> VoteModel:
     """Expectation-maximisation over patterns of votes and how many documents have each.
 
-    It starts from rules that are right with probability `belief`, and each rate keeps a prior of `weight` of the documents
-    around it. A rule may turn out to say nothing of good or of bad documents, but not to be wrong more often than right:
+    It starts from rules that are right with probability `belief`, and alarms that ring on a third of the bad documents and hardly on
+    good ones. Each rate keeps a prior of `weight` of the documents around its start. A rule may turn out to say nothing of good or of bad documents, but not to be wrong more often than right:
     its two rates add up to more than 1. Without documents the start is the result.
     """
     total = counts.sum()
-    model = VoteModel(belief, (belief,) * votes.shape[1], (belief,) * votes.shape[1])
+    alarms = alarms or (False,) * votes.shape[1]
+    starts = [np.where(alarms, ring, belief) for ring in (0.98, 0.3)]
+    model = VoteModel(belief, *(tuple(x.tolist()) for x in starts), alarms)
     if not total:
         return model
+    read = model.cast(votes)
     prior = max(1.0, weight * total)
     for _ in range(rounds):
         good = model.posterior(votes)
         rates = []
-        for mass, right in ((good * counts, votes > 0), ((1 - good) * counts, votes < 0)):
-            hits, cast = (right * mass[:, None]).sum(axis=0), ((votes != 0) * mass[:, None]).sum(axis=0)
-            rates.append(np.clip((hits + prior * belief) / (cast + prior), 0.001, 0.999))
+        for mass, right, start in ((good * counts, read > 0, starts[0]), ((1 - good) * counts, read < 0, starts[1])):
+            hits, cast = (right * mass[:, None]).sum(axis=0), ((read != 0) * mass[:, None]).sum(axis=0)
+            rates.append(np.clip((hits + prior * start) / (cast + prior), 0.001, 0.999))
         rates[1] = np.clip(rates[1], 1.001 - rates[0], 0.999)
         share_good = float(np.clip((good * counts).sum() / total, 0.01, 0.99))
-        now = VoteModel(share_good, *(tuple(x.tolist()) for x in rates))
+        now = VoteModel(share_good, *(tuple(x.tolist()) for x in rates), alarms)
         moved = max(abs(now.prior - model.prior), *(abs(a - b) for a, b in zip(now.on_good + now.on_bad, model.on_good + model.on_bad, strict=True)))
         model = now
         if moved < 1e-9:
@@ -205,7 +217,7 @@ def judge(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least: fl
     judged = staged(measured.select("*", failed.alias("base_failed"), votes.alias("votes")))
     patterns = judged.where("NOT base_failed").groupBy("votes").agg(F.count("_copy").alias("n")).orderBy("votes").collect()
     table = np.array([p.votes for p in patterns], int).reshape(-1, len(RULES))
-    model = fit_votes(table, np.array([p.n for p in patterns], float))
+    model = fit_votes(table, np.array([p.n for p in patterns], float), tuple(rule.good is None for rule in RULES))
     # At most 3 ** len(RULES) rows, whatever the corpus.
     rows = [(p.votes, float(q)) for p, q in zip(patterns, model.posterior(table), strict=True)]
     schema = T.StructType([T.StructField("votes", T.ArrayType(T.IntegerType())), T.StructField("quality", T.DoubleType())])

@@ -83,8 +83,9 @@ def test_rates_are_learned_from_votes_alone():
 
 
 def test_one_vote_does_not_outweigh_the_others():
-    patterns = np.array([[1] * len(RULES), [-1] + [1] * (len(RULES) - 1), [-1] * len(RULES)])
-    model = fit_votes(patterns, np.array([900.0, 50.0, 50.0]))
+    patterns = np.array([[rule.good is not None for rule in RULES]] * 3, int) * [[1], [1], [-1]]
+    patterns[1, 0] = -1
+    model = fit_votes(patterns, np.array([900.0, 50.0, 50.0]), tuple(rule.good is None for rule in RULES))
     assert (model.posterior(patterns) >= 0.5).tolist() == [True, True, False]
 
 
