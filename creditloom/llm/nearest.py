@@ -25,9 +25,9 @@ PROJECTIONS = 64
 COLLISIONS = 45
 REACH = 1.25  # half a window over the distance at which 97 of 100 vectors collide often enough
 FIRST_WINDOW = 0.25  # half of it
-GROWTH = 1.3
+GROWTH = 1.4
 BLOCK_ROWS = 32768
-CHUNK_QUERIES = 4096
+CHUNK_QUERIES = 1024
 SEED = 2
 
 FOUND = "query_id long, vec_id long, score double"
@@ -47,45 +47,64 @@ class Index:
         self.lengths = np.sqrt(np.add.reduce(vectors * vectors, axis=1))
         self.lines = np.random.default_rng(SEED).standard_normal((vectors.shape[1], PROJECTIONS))
         places = (vectors / self.lengths[:, None]) @ self.lines
-        self.order = np.argsort(places, axis=0).T.copy()
-        self.sorted = np.take_along_axis(places.T, self.order, axis=1)
+        order = np.argsort(places, axis=0).T
+        self.sorted = np.take_along_axis(places.T, order, axis=1)
+        self.order = order.ravel()  # one line after another
+        self.begins = np.arange(PROJECTIONS) * len(vectors)
 
     def cosines(self, query: np.ndarray, length: float, rows: np.ndarray) -> np.ndarray:
         return np.add.reduce(self.vectors[rows] * query, axis=1) / (self.lengths[rows] * length)
 
-    def search(self, query: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows verified for a query and their cosines, among them its k nearest. `own` are rows that don't count."""
-        length = math.sqrt(np.add.reduce(query * query))
-        place = (query / length) @ self.lines
+    def windows(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where windows begin and end, for bounds of queries (rows) on lines (columns)."""
+        pairs = [(np.searchsorted(x, a, "left"), np.searchsorted(x, b, "right")) for x, a, b in zip(self.sorted, low.T, high.T, strict=True)]
+        return np.stack([a for a, _ in pairs], axis=1), np.stack([b for _, b in pairs], axis=1)
+
+    def rows(self, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The vectors between two places on each line, and so with repetitions."""
+        sizes = ends - begins
+        shift = self.begins.repeat(len(sizes) // PROJECTIONS) + begins - (np.cumsum(sizes) - sizes)
+        return self.order[np.repeat(shift, sizes) + np.arange(sizes.sum())]
+
+    def search(self, queries: np.ndarray, own: list[np.ndarray], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Rows verified for each query and their cosines, among them its k nearest. `own` are rows that don't count."""
         count = len(self.vectors)
-        begins = np.array([np.searchsorted(x, p) for x, p in zip(self.sorted, place, strict=True)])
-        ends = begins.copy()
-        seen = np.zeros(count, np.int64)
-        open_ = np.ones(count, bool)
-        open_[own] = False
-        rows, scores = [], []
+        lengths = np.sqrt(np.add.reduce(queries * queries, axis=1))
+        places = (queries / lengths[:, None]) @ self.lines
+        begins, ends = self.windows(places, places)
+        begins = ends.copy()
+        seen = np.zeros((len(queries), count), np.uint8)  # there are fewer lines than it holds
+        left = np.ones((len(queries), count), bool)
+        for q, rows in enumerate(own):
+            left[q, rows] = False
+        found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in queries]
+        active = np.flatnonzero(left.any(axis=1))
         half = FIRST_WINDOW
-        while open_.any():
-            news = []
-            for line, (x, p) in enumerate(zip(self.sorted, place, strict=True)):
-                low, high = np.searchsorted(x, p - half, "left"), np.searchsorted(x, p + half, "right")
-                low, high = min(low, begins[line]), max(high, ends[line])
-                news += [self.order[line, low : begins[line]], self.order[line, ends[line] : high]]
-                begins[line], ends[line] = low, high
-            seen += np.bincount(np.concatenate(news), minlength=count)
-            hits = np.flatnonzero(open_ & (seen >= COLLISIONS))
-            if len(hits):
-                open_[hits] = False
-                rows.append(hits)
-                scores.append(self.cosines(query, length, hits))
-                best = np.concatenate(scores)
+        while len(active):
+            lows, highs = self.windows(places[active] - half, places[active] + half)
+            lows, highs = np.minimum(lows, begins[active]), np.maximum(highs, ends[active])
+            ended = []
+            for q, low, high in zip(active, lows, highs, strict=True):
+                # What the wider window adds on both sides of each line.
+                sides = np.stack([low, ends[q]], axis=1).ravel(), np.stack([begins[q], high], axis=1).ravel()
+                seen[q] += np.bincount(self.rows(*sides), minlength=count).astype(np.uint8)
+                hits = np.flatnonzero(left[q] & (seen[q] >= COLLISIONS))
+                if not len(hits):
+                    continue
+                left[q, hits] = False
+                found[q].append((hits, self.cosines(queries[q], lengths[q], hits)))
+                best = np.concatenate([scores for _, scores in found[q]])
                 if len(best) >= k:
                     nearest = np.partition(best, len(best) - k)[len(best) - k]
                     if math.sqrt(max(0.0, 2 - 2 * nearest)) * REACH <= half:
-                        break
+                        ended.append(q)
+                if not left[q].any():
+                    ended.append(q)
+            begins[active], ends[active] = lows, highs
+            active = np.setdiff1d(active, ended)
             half *= GROWTH
-        none = np.zeros(0, np.int64)
-        return (np.concatenate(rows), np.concatenate(scores)) if rows else (none, none.astype(float))
+        none = np.zeros(0, np.int64), np.zeros(0)
+        return [tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else none for parts in found]
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -102,9 +121,10 @@ def answer(k: int):
             index = Index(matrix(block.column("vector")))
             ids = block.column("id").to_numpy()
             by_id = np.argsort(ids, kind="stable")
-            for query_id, query in zip(queries.column("id").to_pylist(), matrix(queries.column("vector")), strict=True):
-                a, b = np.searchsorted(ids, [query_id, query_id + 1], sorter=by_id)
-                rows, scores = index.search(query, by_id[a:b], k)
+            asked = queries.column("id").to_numpy()
+            spans = zip(*(np.searchsorted(ids, asked, side, sorter=by_id) for side in ("left", "right")), strict=True)
+            found = index.search(matrix(queries.column("vector")), [by_id[a:b] for a, b in spans], k)
+            for query_id, (rows, scores) in zip(asked.tolist(), found, strict=True):
                 best = np.lexsort((ids[rows], -scores))[:k]
                 out += [(query_id, int(ids[r]), float(s)) for r, s in zip(rows[best], scores[best], strict=True)]
         columns = list(zip(*out, strict=True)) or [[], [], []]
