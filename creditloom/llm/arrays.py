@@ -15,8 +15,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-#: Bytes of text that are turned into arrays at a time.
-CHUNK = 1 << 20
+#: Bytes of text that are turned into arrays at a time: few enough for the arrays to stay in the processor's caches.
+CHUNK = 1 << 18
+
+CHUNK_BITS = 18
 
 _random = np.random.default_rng(20)
 BYTE_CODES = _random.integers(1, 1 << 63, (2, 256), dtype=np.uint64)
@@ -74,7 +76,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return runs(~SPACE[data], offsets)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)  # for the two bases; a longer text replaces what is there
 def powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The first 2**bits powers of an odd base modulo 2**64, and those of its inverse."""
     inverse = U64(pow(base, -1, 1 << 64))
@@ -97,7 +99,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _sums(codes: np.ndarray, base: U64, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial over codes[start:end] of each range, before mixing."""
-    up, down = powers(int(base), max(16, int(len(codes)).bit_length()))
+    up, down = powers(int(base), max(CHUNK_BITS, int(len(codes) - 1).bit_length()))
     total = np.zeros(len(codes) + 1, U64)
     np.cumsum(codes * up[: len(codes)], out=total[1:])
     return (total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64)

@@ -221,8 +221,10 @@ def full_sets(words: int):
         for batch in arrays.text_slices(batches, "_text"):
             values, bounds = shingle_sets(batch.column("_text"), words)
             packed = [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            at = batch.schema.get_field_index("_text")
-            yield batch.set_column(at, "values", pa.array(packed, pa.binary()))
+            lists = [np.asarray(x.values).tobytes() for x in batch.column("lists")]
+            kept = [batch.column(c) for c in ("_id", "home", "size")]
+            found = [pa.array(np.diff(bounds)), pa.array(lists, pa.binary()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*kept, *found], names=["rep", "home", "size", "n", "lists", "values"])
 
     return run
 
@@ -241,10 +243,9 @@ def class_components(rows: DataFrame, classes: DataFrame, words: int, percent: i
     sizes = staged(homes.groupBy("home").agg(F.count("rep").alias("size")), compact=True)
     held = listed.groupBy("rep").agg(F.collect_list("value").alias("lists"))
     wanted = staged(homes.join(sizes, "home").join(held, "rep"))
-    packed = "_id long, home long, size long, lists array<long>, values binary"
+    packed = "rep long, home long, size long, n long, lists binary, values binary"
     texts = rows.join(wanted.withColumnRenamed("rep", "_id"), "_id").dropDuplicates(["_id"])
-    sets = texts.select("_id", "home", "size", "lists", "_text").mapInArrow(full_sets(words), packed)
-    sets = staged(sets.mapInArrow(pack_lists, "rep long, home long, size long, n long, lists binary, values binary"))
+    sets = staged(texts.select("_id", "home", "size", "lists", "_text").mapInArrow(full_sets(words), packed))
     blocks = F.ceil(F.col("size") / BLOCK)
 
     def inside(table: DataFrame, seed: int) -> DataFrame:
@@ -271,16 +272,6 @@ def class_components(rows: DataFrame, classes: DataFrame, words: int, percent: i
     return found.join(joined, "part", "left").select("rep", F.coalesce("whole", "part").alias("component")).union(joined.toDF("rep", "component"))
 
 
-def pack_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lists = [np.asarray(x.values).tobytes() for x in batch.column("lists")]
-        n = [len(x) // 8 for x in batch.column("values").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("_id"), batch.column("home"), batch.column("size"), pa.array(n, pa.int64()), pa.array(lists, pa.binary()), batch.column("values")],
-            names=["rep", "home", "size", "n", "lists", "values"],
-        )
-
-
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, percent: int = 80) -> DataFrame:
     """Per row: `doc_id`, `n_shingles`, `component_id` (the smallest id reachable over links) and `kept`.
 

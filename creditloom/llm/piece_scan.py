@@ -286,11 +286,25 @@ def chunk_ids(path: str):
     return run
 
 
-def encode_plain(path: str):
+REPORT = "_id long, _copy long, n_pieces long, ids_crc32 long, decoded string"
+
+
+def described(library: sentencepiece.SentencePieceProcessor, batch: pa.RecordBatch, ids: list[list[int]]) -> pa.RecordBatch:
+    """Rows of a batch with the number of ids, their checksum, and the text they decode to."""
+    crc = [zlib.crc32(packed(x)) for x in ids]
+    columns = [pa.array([len(x) for x in ids], pa.int64()), pa.array(crc, pa.int64()), pa.array([library.decode(x) for x in ids], pa.string())]
+    kept = [batch.column("_id"), batch.column("_copy")]
+    return pa.RecordBatch.from_arrays([*kept, *columns], names=["_id", "_copy", "n_pieces", "ids_crc32", "decoded"])
+
+
+def encode_plain(path: str, describe: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = pieces(path).library
         for batch in arrays.text_slices(batches, "_text"):
             ids = library.encode([x or "" for x in batch.column("_text").to_pylist()], num_threads=1)
+            if describe:
+                yield described(library, batch, ids)
+                continue
             found = pa.array([packed(x) for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_copy"), found], names=["_id", "_copy", "ids"])
 
@@ -314,45 +328,40 @@ def giant_ids(rows: DataFrame, model: str, chunk: int) -> DataFrame:
     return whole.select("_id", "_copy", F.aggregate("parts.ids", F.unhex(F.lit("")), lambda a, b: F.concat(a, b)).alias("ids"))
 
 
-def encode_pieces(docs: DataFrame, model: str, text: str = "text", doc_id: str = "doc_id", giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
+def encode_pieces(docs: DataFrame, model: str, text: str = "text", doc_id: str = "doc_id", giant: int = GIANT, chunk: int = CHUNK, describe: bool = False) -> DataFrame:
     """`_id`, `_copy` and `ids` (unsigned 32-bit integers in little-endian order) of every row, as the library encodes the text.
 
     A null or empty text has no ids. Texts of more than `giant` characters are cut into chunks of `chunk`. Rows that repeat are encoded
-    each; other columns are not read. An empty table gives no rows.
+    each; other columns are not read. An empty table gives no rows. `describe` gives what decode_pieces does instead of the ids.
     """
     rows = keyed(docs, text, doc_id)
     long = F.coalesce(F.length("_text"), F.lit(0)) > giant
-    plain = rows.where(~long).mapInArrow(encode_plain(model), "_id long, _copy long, ids binary")
+    plain = rows.where(~long).mapInArrow(encode_plain(model, describe), REPORT if describe else "_id long, _copy long, ids binary")
     giants = staged(rows.where(long))
     found = giant_ids(giants.dropDuplicates(["_id", "_copy"]), model, chunk)
-    return plain.union(giants.select("_id", "_copy").join(found, ["_id", "_copy"]))
+    found = giants.select("_id", "_copy").join(found, ["_id", "_copy"])
+    return plain.union(decode_pieces(found, model) if describe else found)
 
 
 def decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = pieces(path).library
         for batch in batches:
-            for row in range(0, batch.num_rows, 256):
-                part = batch.slice(row, 256)
-                ids = [np.frombuffer(x, "<u4").tolist() for x in part.column("ids").to_pylist()]
-                texts = pa.array([library.decode(x) for x in ids], pa.string())
-                n, crc = [len(x) for x in ids], [zlib.crc32(x) for x in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), part.column("_copy"), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), texts],
-                    names=["_id", "_copy", "n_pieces", "ids_crc32", "decoded"],
-                )
+            for row in range(0, batch.num_rows, 64):
+                part = batch.slice(row, 64)
+                yield described(library, part, [np.frombuffer(x, "<u4").tolist() for x in part.column("ids").to_pylist()])
 
     return run
 
 
 def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
     """`_id`, `_copy`, `n_pieces`, `ids_crc32` and `decoded`, the text of the ids."""
-    return encoded.mapInArrow(decode(model), "_id long, _copy long, n_pieces long, ids_crc32 long, decoded string")
+    return encoded.mapInArrow(decode(model), REPORT)
 
 
 def piece_report(docs: DataFrame, model: str, **sizes) -> DataFrame:
     """Per row: its number of pieces, the checksum of their ids, the length of the text, and whether decoding gives it back."""
-    found = decode_pieces(encode_pieces(docs, model, **sizes), model)
+    found = encode_pieces(docs, model, describe=True, **sizes)
     same = F.xxhash64("decoded") == F.col("_copy")
     # The hash of a null text is the seed; it decodes to the empty text.
     null = F.col("_copy") == F.xxhash64(F.lit(None).cast("string"))
