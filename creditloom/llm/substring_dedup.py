@@ -4,7 +4,8 @@ A suffix is a place in a text with the words that follow; as windows of `window`
 off at that depth. Suffixes are split by prefixes of variable length: the prefix of a suffix runs up to the end of its
 anchor, the `ANCHOR` consecutive words of the window with the smallest hash. Equal windows have equal anchors at the
 same place, so all suffixes that can share a deep node meet in the group of their anchor, and the anchor's hash
-says to which memory-sized group a suffix goes. Some seven neighbouring suffixes share an anchor and travel as one
+says to which group a suffix goes. A first pass counts the suffixes of each group, and one that is too large for memory is split by path
+labels, as only leaves with equal labels have to meet. Some seven neighbouring suffixes share an anchor and travel as one
 entry of a packed block: anchor, document, place, and a 64-bit label of each suffix's path.
 
 Within a group, suffixes sorted by path label stand as the leaves of the subtree. Leaves with one label hang below an
@@ -19,6 +20,7 @@ node and batch at most, whether a passage stands in ten documents or in a third
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -154,20 +156,52 @@ def block(bucket: int, ids: np.ndarray, copies: np.ndarray, found: Suffixes) ->
     return bucket, table.tobytes(), entries.tobytes(), found.label.tobytes()
 
 
-def map_suffixes(window: int, buckets: int, batch_bytes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrays.text_slices(batches, "_text", batch_bytes):
-            parts, row = [], 0
-            for piece in arrays.text_slices(iter([batch]), "_text"):
-                part = suffixes(piece.column("_text"), window)
-                part.doc = part.doc + row
-                row += piece.num_rows
-                parts.append(part)
-            if not parts:
-                continue
+def thinned(batches: Iterator[pa.RecordBatch], window: int, batch_bytes: int) -> Iterator[tuple[pa.RecordBatch, Suffixes, np.ndarray]]:
+    """Each batch with its suffixes, and whether each of them goes on."""
+    for batch in arrays.text_slices(batches, "_text", batch_bytes):
+        parts, row = [], 0
+        for piece in arrays.text_slices(iter([batch]), "_text"):
+            part = suffixes(piece.column("_text"), window)
+            part.doc = part.doc + row
+            row += piece.num_rows
+            parts.append(part)
+        if parts:
             found = Suffixes.joined(parts)
+            yield batch, found, earliest(found.label, found.anchor, found.start, batch.column("_id").to_numpy()[found.doc])
+
+
+def anchor_buckets(anchor: np.ndarray, buckets: int) -> np.ndarray:
+    return ((arrays.mix(anchor) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
+def split_buckets(found: Suffixes, buckets: int, pieces: np.ndarray) -> np.ndarray:
+    """The bucket of each suffix by its anchor; of those in several pieces, the first keeps the number and the others follow after all buckets."""
+    bucket = anchor_buckets(found.anchor, buckets)
+    piece = (arrays.mix(found.label) % pieces[bucket].astype(np.uint64)).astype(np.int64)
+    follow = buckets + np.cumsum(pieces - 1) - (pieces - 1)
+    return np.where(piece > 0, follow[bucket] + piece - 1, bucket)
+
+
+def map_sizes(window: int, buckets: int, batch_bytes: int):
+    """How many suffixes go on to each bucket, counted by task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = np.zeros(buckets, np.int64)
+        for _, found, stays in thinned(batches, window, batch_bytes):
+            sizes += np.bincount(anchor_buckets(found.anchor[stays], buckets), minlength=buckets)
+        some = np.flatnonzero(sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(sizes[some])], names=["bucket", "n"])
+
+    return run
+
+
+def map_suffixes(window: int, buckets: int, batch_bytes: int, large: dict[int, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = np.ones(buckets, np.int64)
+        pieces[list(large)] = list(large.values())
+        total = int(pieces.sum())
+        for batch, found, stays in thinned(batches, window, batch_bytes):
             ids, copies = (batch.column(c).to_numpy() for c in ("_id", "_copy"))
-            stays = earliest(found.label, found.anchor, found.start, ids[found.doc])
             rows = []
             if not stays.all():
                 # Settled already: spans of a document, in a bucket of its own choice, without anchors.
@@ -175,9 +209,9 @@ def map_suffixes(window: int, buckets: int, batch_bytes: int):
                 done = spans(ids[found.doc[gone]], copies[found.doc[gone]], found.start[gone], window)
                 rows += [(k, docs, None, packed) for k, docs, packed in packed_parts(done, buckets)]
                 found = found.take(np.flatnonzero(stays))
-            bucket = (arrays.mix(found.anchor) >> np.uint64(32)) % np.uint64(buckets)
+            bucket = split_buckets(found, buckets, pieces)
             order = np.argsort(bucket, kind="stable")
-            at = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+            at = np.searchsorted(bucket[order], np.arange(total + 1))
             for k in np.flatnonzero(np.diff(at)):
                 rows.append(block(int(k), ids, copies, found.take(order[at[k] : at[k + 1]])))
             columns = list(zip(*rows, strict=True)) or [[]] * 4
@@ -245,7 +279,12 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows = keyed(docs, text, doc_id)
     size = docs.agg(F.sum(F.length(text))).first()[0] or 0  # at most one suffix for two characters, mostly for six
     buckets = groups_for(docs.sparkSession, size / 6 * LEAF_BYTES, GROUP_BYTES)
-    blocks = rows.mapInArrow(map_suffixes(window, buckets, BATCH_BYTES), BLOCKS)
+    large = {}
+    if size / 2 * LEAF_BYTES > 2 * GROUP_BYTES:  # else no group can be too large
+        sizes = rows.mapInArrow(map_sizes(window, buckets, BATCH_BYTES), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+        too_large = sizes.where(F.col("n") * LEAF_BYTES > 2 * GROUP_BYTES).collect()  # some of the groups' numbers at most
+        large = {r.bucket: math.ceil(r.n * LEAF_BYTES / GROUP_BYTES) for r in too_large}
+    blocks = rows.mapInArrow(map_suffixes(window, buckets, BATCH_BYTES, large), BLOCKS)
     parts = blocks.groupBy("bucket").applyInArrow(subtree(window, buckets), PARTS)
     return parts.groupBy("part").applyInArrow(whole_documents, SPANS)
 

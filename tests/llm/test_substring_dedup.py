@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from corpora import ODD_TEXTS, prose, words_of
@@ -63,6 +64,31 @@ def test_small_batches_and_many_groups(make_docs, monkeypatch):
     assert found(make_docs(rows).repartition(4)) == brute(rows)
 
 
+def test_a_hot_anchor_is_split(make_docs, monkeypatch):
+    """A phrase of eight words that is the anchor of all windows around it, in otherwise different texts."""
+    most = 9000
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", most)
+    phrases = [prose(k, 8) for k in range(300)]
+    phrase = min(phrases, key=lambda x: substring_dedup.suffixes(pa.array([" ".join(x)]), 8).anchor[0])
+    rows = [(k, " ".join(prose(1000 + k, 20) + phrase + prose(5000 + k, 20))) for k in range(400)]
+    rows += [(1000 + k, text + " end") for k, (_, text) in enumerate(rows[:50])]
+    subtree = substring_dedup.subtree
+
+    def bounded(window, parts):
+        run = subtree(window, parts)
+
+        def checked(table):
+            labels = [x for a, x in zip(table.column("anchors").to_pylist(), table.column("labels").to_pylist(), strict=True) if a is not None]
+            size = sum(map(len, labels)) // 8 * 9
+            assert size <= 2.5 * most, size
+            return run(table)
+
+        return checked
+
+    monkeypatch.setattr(substring_dedup, "subtree", bounded)
+    assert found(make_docs(rows).repartition(4)) == brute(rows)
+
+
 def test_repeated_rows_and_null_ids(make_docs):
     text = " ".join(prose(3, 30))
     rows = [(4, text), (4, text), (9, text), (None, text)]
