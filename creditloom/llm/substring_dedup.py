@@ -117,9 +117,10 @@ def spans(ids: np.ndarray, copies: np.ndarray, start: np.ndarray, window: int) -
 def packed_parts(found: pa.RecordBatch, parts: int) -> list[tuple[int, bytes, bytes]]:
     """Spans of documents as one row for each part: the documents, then the sizes of their spans and the spans themselves.
 
-    All spans of a document go to the same part, by the hash of its text.
+    All spans of a document go to the same part, by its id and the hash of its text; so copies of a text spread over the parts.
     """
-    part = arrays.mix(found.column("_copy").to_numpy().view(np.uint64)) % np.uint64(parts)
+    ids, copies = (found.column(c).to_numpy().view(np.uint64) for c in ("_id", "_copy"))
+    part = arrays.mix(arrays.mix(ids) ^ copies) % np.uint64(parts)
     order = np.argsort(part, kind="stable")
     table = np.zeros(len(order), DOC)
     table["id"], table["copy"] = found.column("_id").to_numpy()[order], found.column("_copy").to_numpy()[order]

@@ -89,6 +89,33 @@ def test_a_hot_anchor_is_split(make_docs, monkeypatch):
     assert found(make_docs(rows).repartition(4)) == brute(rows)
 
 
+def test_copies_spread_over_the_parts(make_docs, monkeypatch):
+    whole_documents, subtree = substring_dedup.whole_documents, substring_dedup.subtree
+
+    def documents(column):
+        return sum(len(x) for x in column.to_pylist()) // 16
+
+    def bounded(table):
+        assert documents(table.column("docs")) <= 150
+        return whole_documents(table)
+
+    def bounded_subtree(window, parts):
+        run = subtree(window, parts)
+
+        def checked(table):
+            settled = table.filter(table.column("anchors").is_null())
+            assert documents(settled.column("docs")) <= 150
+            return run(table)
+
+        return checked
+
+    monkeypatch.setattr(substring_dedup, "whole_documents", bounded)
+    monkeypatch.setattr(substring_dedup, "subtree", bounded_subtree)
+    text = " ".join(prose(1, 60))
+    rows = [(k, text) for k in range(300)] + [(1000 + k, " ".join(prose(50 + k, 40))) for k in range(50)]
+    assert found(make_docs(rows).repartition(4)) == brute(rows)
+
+
 def test_repeated_rows_and_null_ids(make_docs):
     text = " ".join(prose(3, 30))
     rows = [(4, text), (4, text), (9, text), (None, text)]
