@@ -9,8 +9,11 @@
 3. Lists tie classes into homes (connected components of the lists). Sets are computed again for classes in a home of two or more and
    meet there, in blocks of at most `BLOCK` classes. Within a block all pairs on a common list are estimated
    from the sketch of the union, and those left are verified on the full sets.
-4. A home of several blocks gets a second round with other blocks, in which the parts of the first grow together, and
-   a last one in which all classes outside its largest part meet every block. So all pairs that could join two
+4. A home of several blocks gets a second round with other blocks, in which the parts of the first grow together.
+5. What is still in several parts is divided more closely, on full sets. Two sets of similarity 0.8 share one of the first fifth of their values in
+   any order, so classes are listed under these, with the values that are common in their home ordered last, and
+   the lists that tie two parts make closer homes. Classes that share a template, but less than four fifths of their shingles, so part without a comparison.
+6. In a last round all classes outside the largest part of a closer home meet every block of it. So all pairs that could join two
    parts are compared, and pairs inside a part, as of thousands of near copies, are not.
 """
 
@@ -33,6 +36,7 @@ SKETCH = 64  # values kept of each set
 INDEXED = 32  # of these, the values that are looked up
 DEVIATIONS = 5.5  # how far below its mean a number of shared values may lie before a pair is given up
 BLOCK = 256  # classes that meet in one task
+COMMON = 1 << 14  # values of a home that are known as common
 CELLS = 1 << 22  # cells of a matrix of classes and values
 
 
@@ -233,6 +237,53 @@ def salt(column: str, seed: int, count) -> F.Column:
     return F.pmod(F.xxhash64(F.col(column), F.lit(seed)), count)
 
 
+def common_values(rows: pd.DataFrame) -> pd.DataFrame:
+    """The values that several classes of a sample hold, the most common last."""
+    values, counts = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in rows["values"]]), return_counts=True)
+    order = np.lexsort((values, counts))
+    order = order[counts[order] > 2][-COMMON:]
+    return pd.DataFrame({"home": rows["home"].iloc[:1], "all": rows["all"].iloc[:1], "common": [values[order].tobytes()]})
+
+
+def prefixes(percent: int):
+    """The first values of each class, one of which it shares with every class of the similarity."""
+
+    def run(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        common = np.frombuffer(known["common"].iloc[0], np.uint64) if len(known) else np.zeros(0, np.uint64)
+        order = np.argsort(common)
+        ordered, found = common[order], []
+        for packed in rows["values"]:
+            values = np.frombuffer(packed, np.uint64)
+            rank = np.zeros(len(values), np.int64)
+            if len(common):
+                at = np.minimum(np.searchsorted(ordered, values), len(common) - 1)
+                rank = np.where(ordered[at] == values, order[at] + 1, 0)
+            needed = -(-percent * len(values) // 100)
+            found.append(values[np.lexsort((values, rank))[: len(values) - needed + 1]].view(np.int64))
+        counts = [len(x) for x in found]
+        columns = {c: np.repeat(rows[c].to_numpy(np.int64), counts) for c in ("home", "rep", "part")}
+        return pd.DataFrame({**columns, "value": np.concatenate([np.zeros(0, np.int64), *found])})
+
+    return run
+
+
+def closer_homes(apart: DataFrame, percent: int) -> DataFrame:
+    """`rep` and `home` of the classes that could be linked with one of another part: components of the lists of their first values.
+
+    Any order of values gives the same links; common ones are last so that few are listed under them. A sample of one block tells them.
+    """
+    blocks = F.ceil(F.col("all") / BLOCK)
+    sample = apart.select("home", "rep", "all", "values").where(salt("rep", 6, blocks) == 0).drop("rep")
+    common = staged(sample.groupBy("home").applyInPandas(common_values, "home long, all long, common binary"), compact=True)
+    common = common.select("home", "common", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block")).groupBy("home", "block")
+    classes = apart.select("home", "rep", "part", "values", salt("rep", 5, blocks).alias("block")).groupBy("home", "block")
+    postings = staged(classes.cogroup(common).applyInPandas(prefixes(percent), "home long, rep long, part long, value long"))
+    lists = postings.groupBy("home", "value").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min("rep").alias("leader"))
+    lists = staged(lists.where("low < high").select("home", "value", "leader"), compact=True)
+    homes = components(postings.join(lists, ["home", "value"]).select(F.col("rep").alias("a"), F.col("leader").alias("b")))
+    return homes.union(homes.select("component", "component").distinct()).toDF("rep", "home")
+
+
 def class_components(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """`rep` and `component` of the classes that are linked with others, but perhaps not of the smallest of a component."""
     lists = indexed(classes, percent / 100)
@@ -256,6 +307,9 @@ def class_components(rows: DataFrame, classes: DataFrame, words: int, percent: i
     found = components(inside(sets, 1).union(inside(large, 2))).toDF("rep", "part")
     # In a home of one block all pairs have been compared; in the others, those that would join two parts are left.
     placed = large.join(found, "rep", "left").withColumn("part", F.coalesce("part", "rep"))
+    several = placed.groupBy("home").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("rep").alias("all")).where("low < high")
+    apart = placed.join(staged(several.select("home", "all"), compact=True), "home")
+    placed = apart.drop("home", "all").join(staged(closer_homes(apart, percent), compact=True), "rep")
     members = staged(placed.groupBy("home", "part").agg(F.count("rep").alias("members")), compact=True)
     totals = members.groupBy("home").agg(
         F.max_by("part", F.struct("members", "part")).alias("main"), F.sum("members").alias("all"), F.max("members").alias("most")

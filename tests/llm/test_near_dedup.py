@@ -81,6 +81,32 @@ def test_large_home_in_several_blocks(make_docs, monkeypatch):
     assert found(make_docs(rows).repartition(4)) == expected
 
 
+def test_documents_of_a_template_part_before_the_last_round(make_docs, monkeypatch):
+    """Half of each text is a template; only pairs that are near each other are left for the comparison of blocks."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    across_blocks = near_dedup.across_blocks
+
+    def few(percent):
+        run = across_blocks(percent)
+
+        def checked(rows):
+            assert rows["rep"].nunique() <= 4, len(rows)
+            return run(rows)
+
+        return checked
+
+    monkeypatch.setattr(near_dedup, "across_blocks", few)
+    rnd = random.Random(3)
+    template = prose(77, 120, 3000)
+    texts = [template + prose(200 + k, 80, 3000) for k in range(70)]
+    texts += [edited(rnd, x, 2) for x in texts[:25]]
+    rnd.shuffle(texts)
+    rows = [(k, " ".join(x)) for k, x in enumerate(texts)]
+    expected = brute(rows)
+    assert max(np.unique([r[2] for r in expected], return_counts=True)[1]) == 2
+    assert found(make_docs(rows).repartition(4)) == expected
+
+
 def test_copies_and_repeated_rows(make_docs):
     text = " ".join(prose(1, 50))
     rows = [(9, text), (4, text.upper()), (4, text.upper()), (7, text + " more"), (None, text), (1, None)]
