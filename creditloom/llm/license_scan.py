@@ -87,6 +87,17 @@ def exact_places(words: str, phrases: dict[str, str]) -> list[tuple[int, str]]:
     return found
 
 
+def exact_spans(words: str, phrases: dict[str, str]) -> set[tuple[int, str]]:
+    """First character and text of each place where a phrase's words stand consecutively."""
+    found, framed = set(), f" {words} "
+    for phrase in phrases:
+        at = framed.find(f" {phrase} ")
+        while at >= 0:
+            found.add((at, phrase))
+            at = framed.find(f" {phrase} ", at + 1)
+    return found
+
+
 def fuzzy_places(words: str, notices: tuple[Notice, ...]) -> list[tuple[str, int, int, int, float]]:
     """Label, first and last character plus one, edits, and likeness of each notice found, the exact ones included."""
     automaton, patterns = searcher(notices)
@@ -125,8 +136,13 @@ def scan(phrases: dict[str, str], notices: tuple[Notice, ...]):
                 words = normal(text)
                 exact, fuzzy = exact_places(words, phrases), fuzzy_places(words, notices)
                 base = {label for _, label in exact}
-                # An exact phrase has its base label; a likeness label adds those with edits.
-                own = {label for label, *_, edits, _ in fuzzy if edits or not label.startswith("near-") or label == "near-cc"}
+                whole = exact_spans(words, phrases) if exact else ()
+                # An exact phrase has its base label; a likeness label adds finds with edits or inside longer words.
+                own = {
+                    label
+                    for label, first, last, edits, _ in fuzzy
+                    if edits or not label.startswith("near-") or (first, words[first:last]) not in whole
+                }
                 places = [place for place, _ in exact]
                 rows.append(
                     (

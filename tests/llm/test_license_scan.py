@@ -54,6 +54,20 @@ def test_notices_with_errors(make_docs):
     assert labels(make_docs, noise) == ("", 0.0, [])
 
 
+def test_notices_inside_longer_words_have_their_labels(make_docs):
+    noise = " ".join(prose(3, 30))
+    for text, label in [
+        ("general public licenses", "near-gpl"),
+        ("all rights reservedx", "near-reserved"),
+        ("all rights reserved2024", "near-reserved"),
+        ("overall rights reserved", "near-reserved"),
+    ]:
+        assert labels(make_docs, f"{noise} {text} {noise}")[:2] == (label, 1.0), text
+    both = labels(make_docs, f"general public license {noise} general public licenses")
+    assert both[0] == "gpl,near-gpl"
+    assert labels(make_docs, f"all rights reserved {noise} all rights reserved")[0] == "reserved"
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
