@@ -148,8 +148,8 @@ def map_lines(min_chars: int, min_docs: int):
             sure, open_ = settle(Rows.joined(parts), min_docs)
             if len(sure):
                 sure = per_document(sure)
-                # No key of theirs is needed any more; a hash of the document spreads them.
-                sure.columns["h1"] = arrays.mix(sure["_copy"].view(np.uint64)).view(np.int64)
+                # No key of theirs is needed any more; a hash of the document, its id included, spreads them and copies of a text.
+                sure.columns["h1"] = arrays.mix(arrays.mix(sure["_id"].view(np.uint64)) ^ sure["_copy"].view(np.uint64)).view(np.int64)
                 sure.columns["holders"] = np.zeros(len(sure), np.int64)
                 yield sure.arrow(FIELDS)
             yield open_.arrow(FIELDS)

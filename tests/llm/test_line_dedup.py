@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpora import ASCII_LOWER, ODD_TEXTS, SPACE
@@ -104,3 +105,11 @@ def test_low_bounds(make_docs, min_docs):
     rows = [(1, "abc\nabc\nd"), (2, "ABC"), (3, "d")]
     found = sorted(tuple(r)[:2] for r in line_dedup.drop_shared_lines(make_docs(rows), min_chars=1, min_docs=min_docs).select("doc_id", "text").collect())
     assert found == [(1, ""), (2, "ABC"), (3, "d")]
+
+
+def test_settled_copies_spread_over_the_keys():
+    text = "a line that is long enough to count as one that many documents share"
+    columns = {"_id": pa.array(range(300), pa.int64()), "_copy": pa.array([7] * 300, pa.int64()), "_text": pa.array([text] * 300)}
+    out = list(line_dedup.map_lines(40, 5)(iter([pa.RecordBatch.from_pydict(columns)])))
+    keys = [h for batch in out for h, holders in zip(*(batch.column(c).to_pylist() for c in ("h1", "holders")), strict=True) if not holders]
+    assert len(keys) == 299 and len(set(keys)) == 299
