@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.llm import (
+    fill_in_middle,
     language_id,
     license_scan,
     line_dedup,
@@ -16,12 +17,14 @@ from creditloom.llm import (
     piece_scan,
     quality_rules,
     substring_dedup,
+    token_counts,
     token_files,
 )
 from creditloom.llm.common import document_rows
 from creditloom.session import shared_folder
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
 END_ID = 2
 
@@ -70,6 +73,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(document_rows(spark, sf_dir))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(document_rows(spark, sf_dir), public_tokenizers.path(BYTE_TOKENIZER), limit=1024)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(document_rows(spark, sf_dir))
+    text = fill_in_middle.original(F.col("form"), F.col("output"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(text, 256)}
+    return made.withColumns(digests).drop("output")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,6 +97,8 @@ QUERIES = {
         op8_language_id,
         op9_near_duplicates,
         op10_line_dedup,
+        op11_token_counts,
+        op13_fill_in_middle,
     )
 }
 
@@ -146,5 +162,25 @@ judged AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
+""",
+    "op13_fill_in_middle": r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (
+  SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+      WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM units),
+parts AS (
+  SELECT doc_id, n, form, text, array_to_string(u[:least(a, b)], '') AS prefix,
+    array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS middle, array_to_string(u[greatest(a, b) + 1:], '') AS suffix
+  FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
 """,
 }
