@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.llm import (
+    conversation_repair,
     fill_in_middle,
     language_id,
     license_scan,
@@ -77,6 +78,11 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(document_rows(spark, sf_dir), public_tokenizers.path(BYTE_TOKENIZER), limit=1024)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation_repair.repair_report(conversation_repair.damaged(conversations), times="times")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_in_middle.fill_in_middle(document_rows(spark, sf_dir))
     text = fill_in_middle.original(F.col("form"), F.col("output"))
@@ -98,6 +104,7 @@ QUERIES = {
         op9_near_duplicates,
         op10_line_dedup,
         op11_token_counts,
+        op12_conversation_repair,
         op13_fill_in_middle,
     )
 }
@@ -162,6 +169,71 @@ judged AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
+""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE named AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c,
+    string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS letters FROM conversations),
+-- CRC-32 of the letters: eight shifts a letter, with the polynomial where the last bit is set.
+original AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(letters, lambda x: ascii(x)::BIGINT)),
+    lambda crc, letter: list_reduce(list_prepend(xor(crc, letter), list_transform(range(8), lambda x: 0::BIGINT)),
+      lambda x, bit: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT) % 20 AS fate
+  FROM named),
+damaged AS (
+  SELECT c, turn, CASE WHEN fate = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+    unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM original WHERE fate <> 0),
+placed AS (
+  SELECT *, left(role, 1) AS r, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS k FROM damaged),
+judged AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY c, role, text ORDER BY k) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+    coalesce(lag(r) OVER (PARTITION BY c ORDER BY k) || r NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM placed),
+steps AS (SELECT c, k, r, role, text, blank OR again AS must, CASE WHEN cut THEN 3 ELSE 0 END AS late FROM judged),
+-- Least (cost, audit, lines) for each state after k rows and any insertions: z nothing, s system, u user, a assistant.
+walk AS (
+  SELECT DISTINCT c, 0::BIGINT AS k, {'cost': 0, 'audit': '', 'lines': ''} AS z, NULL::STRUCT(cost INTEGER, audit VARCHAR, lines VARCHAR) AS s,
+    {'cost': 3, 'audit': 'I', 'lines': chr(10) || 'user:'} AS u,
+    {'cost': 6, 'audit': 'II', 'lines': chr(10) || 'user:' || chr(10) || 'assistant:'} AS a
+  FROM original
+  UNION ALL
+  SELECT c, k, z, s, u, list_min(list_filter([a, {'cost': u.cost + 3, 'audit': u.audit || 'I', 'lines': u.lines || chr(10) || 'assistant:'}], lambda x: x.cost IS NOT NULL))
+  FROM (
+    SELECT c, k, z, s, a, list_min(list_filter([u,
+      {'cost': z.cost + 3, 'audit': z.audit || 'I', 'lines': z.lines || chr(10) || 'user:'},
+      {'cost': s.cost + 3, 'audit': s.audit || 'I', 'lines': s.lines || chr(10) || 'user:'},
+      {'cost': a.cost + 3, 'audit': a.audit || 'I', 'lines': a.lines || chr(10) || 'user:'}], lambda x: x.cost IS NOT NULL)) AS u
+    FROM (
+      SELECT walk.c, steps.k,
+        {'cost': z.cost + 4, 'audit': z.audit || 'D', 'lines': z.lines} AS z,
+        list_min(list_filter([{'cost': s.cost + 4, 'audit': s.audit || 'D', 'lines': s.lines},
+          CASE WHEN NOT must AND r = 's' THEN {'cost': z.cost + late, 'audit': z.audit || 'K', 'lines': z.lines || chr(10) || role || ':' || text} END],
+          lambda x: x.cost IS NOT NULL)) AS s,
+        list_min(list_filter([{'cost': u.cost + 4, 'audit': u.audit || 'D', 'lines': u.lines},
+          CASE WHEN NOT must THEN list_min(list_filter([
+            CASE WHEN r = 'u' THEN {'cost': z.cost + late, 'audit': z.audit || 'K', 'lines': z.lines || chr(10) || role || ':' || text} END,
+            CASE WHEN r = 'u' THEN {'cost': s.cost + late, 'audit': s.audit || 'K', 'lines': s.lines || chr(10) || role || ':' || text} END,
+            CASE WHEN r = 'u' THEN {'cost': a.cost + late, 'audit': a.audit || 'K', 'lines': a.lines || chr(10) || role || ':' || text} END,
+            {'cost': z.cost + 3 + late, 'audit': z.audit || 'R', 'lines': z.lines || chr(10) || 'user:' || text},
+            {'cost': s.cost + 3 + late, 'audit': s.audit || 'R', 'lines': s.lines || chr(10) || 'user:' || text},
+            {'cost': a.cost + 3 + late, 'audit': a.audit || 'R', 'lines': a.lines || chr(10) || 'user:' || text}],
+            lambda x: x.cost IS NOT NULL)) END], lambda x: x.cost IS NOT NULL)) AS u,
+        list_min(list_filter([{'cost': a.cost + 4, 'audit': a.audit || 'D', 'lines': a.lines},
+          CASE WHEN NOT must AND r = 'a' THEN {'cost': u.cost + late, 'audit': u.audit || 'K', 'lines': u.lines || chr(10) || role || ':' || text} END,
+          CASE WHEN NOT must THEN {'cost': u.cost + 3 + late, 'audit': u.audit || 'R', 'lines': u.lines || chr(10) || 'assistant:' || text} END],
+          lambda x: x.cost IS NOT NULL)) AS a
+      FROM walk JOIN steps ON steps.c = walk.c AND steps.k = walk.k + 1))),
+counted AS (
+  SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT blank AND NOT again) AS truncated,
+    count(*) FILTER (illegal) AS illegal FROM judged GROUP BY c),
+best AS (SELECT walk.c, CASE WHEN a IS NULL OR z < a THEN z ELSE a END AS best FROM walk LEFT JOIN counted ON counted.c = walk.c WHERE k = coalesce(n, 0))
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, best.cost::BIGINT AS cost, best.audit AS audit, sha256(substr(best.lines, 2)) AS repaired_sha256
+FROM best JOIN (SELECT DISTINCT c, conv_id FROM original) AS ids ON ids.c = best.c LEFT JOIN counted ON counted.c = best.c
 """,
     "op13_fill_in_middle": r"""
 WITH units AS (
