@@ -26,8 +26,8 @@ from tokenizers import Tokenizer
 from creditloom.llm import arrays
 from creditloom.llm.common import keyed, restored, staged
 
-#: The most frequent pre-tokens, joined without a shuffle: 20 bytes each on the driver and in every task.
-HEAD = 1 << 16
+#: At most so many of the most frequent pre-tokens are joined without a shuffle: 20 bytes each on the driver and in every task.
+HEAD = 1 << 18
 SLICE_BYTES = 2 << 20
 
 LETTER, DIGIT, OTHER, BLANK, SPACE, SPECIAL = range(6)
@@ -161,7 +161,9 @@ def splitter(path: str) -> Splitter:
 
 
 def hashed(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(arrays.span_hashes(data, begins, ends, k).view(np.int64) for k in (0, 1))
+    """Two independent hashes of each span, of 64 and of 32 bits."""
+    check = arrays.span_hashes(data, begins, ends, 1) >> np.uint64(32)
+    return arrays.span_hashes(data, begins, ends, 0).view(np.int64), check.astype(np.uint32).view(np.int32)
 
 
 def distinct(path: str):
@@ -192,7 +194,7 @@ def count_pieces(path: str):
     return run
 
 
-PER_DOCUMENT = "row long, _id long, n_bytes long, n_head long, h1 array<long>, h2 array<long>, times array<long>"
+PER_DOCUMENT = "row long, _id long, n_bytes long, n_head long, h1 array<long>, h2 array<int>, times array<int>"
 
 
 def frequencies(path: str, head: np.ndarray, head_check: np.ndarray, head_pieces: np.ndarray):
@@ -226,7 +228,7 @@ def frequencies(path: str, head: np.ndarray, head_check: np.ndarray, head_pieces
                 batch.column("_id"),
                 pa.array(np.diff(offsets)),
                 pa.array(total),
-                *(pa.ListArray.from_arrays(lists, pa.array(x, pa.int64())) for x in (values[which], check[which], times)),
+                *(pa.ListArray.from_arrays(lists, pa.array(x)) for x in (values[which], check[which], times.astype(np.int32))),
             ]
             row += count
             yield pa.RecordBatch.from_arrays(columns, names=["row", "_id", "n_bytes", "n_head", "h1", "h2", "times"])
@@ -234,21 +236,35 @@ def frequencies(path: str, head: np.ndarray, head_check: np.ndarray, head_pieces
     return run
 
 
+def frequent(vocabulary: DataFrame, head: int) -> np.ndarray:
+    """Hashes and pieces of at most `head` pre-tokens, all that occur more often than some number, by ascending first hash.
+
+    The number comes from a histogram of the frequencies, eight bins for each doubling, so the driver sees its bins and the head only.
+    """
+    level = F.floor(F.log2("n") * 8).cast("int")
+    sizes = sorted(vocabulary.groupBy(level.alias("level")).agg(F.count("n").alias("size")).collect(), reverse=True)
+    taken, lowest = 0, None
+    for row in sizes:
+        if taken + row.size > head:
+            break
+        taken, lowest = taken + row.size, row.level
+    rows = vocabulary.where(level >= lowest).select("h1", "h2", "pieces").collect() if lowest is not None else []
+    columns = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 3)
+    return columns[np.argsort(columns[:, 0], kind="stable")]
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, head: int = HEAD, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per row: `doc_id`, `n_bytes`, `n_tokens` of the whole text without begin or end, `over_limit` (more tokens than `limit`).
 
     Special strings inside a text are one token each, as the library reads them by default. A null text is empty: no bytes, no
     tokens. Rows that repeat, and rows without an id, are counted each; other columns are not read. An empty table gives no rows.
     A text of any length is split as a whole; one with many rare pre-tokens spreads them over the tasks of the join. Pre-tokens are told
-    apart by two 64-bit hashes, within a slice of text by the first.
+    apart by 96 bits of hashes, within a slice of text by the first 64.
     """
     rows = keyed(docs, text, doc_id).drop("_copy")
     seen = rows.select("_text").mapInArrow(distinct(tokenizer), "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    vocabulary = staged(seen.mapInArrow(count_pieces(tokenizer), "n long, h1 long, h2 long, pieces long"))
-    # At most `head` rows.
-    frequent = vocabulary.orderBy(F.desc("n"), "h1", "h2").limit(head).select("h1", "h2", "pieces").collect()
-    columns = np.array([tuple(r) for r in frequent], np.int64).reshape(-1, 3)
-    columns = columns[np.argsort(columns[:, 0], kind="stable")]
+    vocabulary = staged(seen.mapInArrow(count_pieces(tokenizer), "n long, h1 long, h2 int, pieces long"))
+    columns = frequent(vocabulary, head)
     found = staged(rows.mapInArrow(frequencies(tokenizer, *map(np.ascontiguousarray, columns.T)), PER_DOCUMENT))
     rare = found.select("row", F.explode(F.arrays_zip("h1", "h2", "times")).alias("x")).select("row", "x.h1", "x.h2", "x.times")
     counted = rare.join(vocabulary.select("h1", "h2", "pieces"), ["h1", "h2"]).select(

@@ -36,7 +36,7 @@ def counts(df):
     return Counter((r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in df.collect())
 
 
-@pytest.mark.parametrize("head", [1, 40, token_counts.HEAD])
+@pytest.mark.parametrize("head", [0, 20, 40, token_counts.HEAD])
 def test_counts_are_those_of_the_library(spark, make_docs, head):
     rows = [(k - 3, text) for k, text in enumerate(TEXTS)] + [(None, "no id"), (1, "twice it's"), (1, "twice it's")]
     found = counts(token_counts.count_tokens(make_docs(rows).repartition(4), PATH, limit=50, head=head))
