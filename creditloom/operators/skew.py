@@ -20,7 +20,7 @@ Aggregations don't depend on that: `grouped` splits hot keys off and combines th
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
@@ -76,12 +76,18 @@ def find_hot_keys(
         df.select((parts[0] if len(parts) == 1 else F.explode(F.array(*parts))).alias("part")).select("part.*")
         for df, parts in frames.values()
     ]
-    counted = (
-        reduce(DataFrame.unionAll, coded)
-        .groupBy("join", "side", CODE)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") > rows_per_task)
-    )
+    counted = reduce(DataFrame.unionAll, coded).groupBy("join", "side", CODE).agg(F.count(F.lit(1)).alias("rows"))
+    return choose_hot_keys(counted, joins, rows_per_task, listed_keys)
+
+
+def choose_hot_keys(
+    counted: DataFrame,
+    joins: Sequence[tuple[Sequence[str], Iterable[str]]],
+    rows_per_task: int = ROWS_PER_TASK,
+    listed_keys: int = LISTED_KEYS,
+) -> list[HotKeys | None]:
+    """Hot keys of each join from row counts by number of the join, side and key. A join is given as its keys and sides."""
+    counted = counted.where(F.col("rows") > rows_per_task)
     found = counted.limit(listed_keys + 1).collect()
     if len(found) > listed_keys:
         return [_unlisted(counted.where(F.col("join") == i), keys, sides, rows_per_task) for i, (keys, sides) in enumerate(joins)]
@@ -102,7 +108,7 @@ def _listed(counted: DataFrame, keys: Sequence[str], found: list, rows_per_task:
     return HotKeys(tuple(keys), table, frozenset(side for _, side, _ in listed), null_salts)
 
 
-def _unlisted(counted: DataFrame, keys: Sequence[str], sides: Mapping[str, DataFrame], rows_per_task: int) -> HotKeys:
+def _unlisted(counted: DataFrame, keys: Sequence[str], sides: Iterable[str], rows_per_task: int) -> HotKeys:
     """The same as a table, for more keys than may be listed. Any side may own one."""
     most = F.max(F.struct("rows", "side")).alias("most")
     salts = F.ceil(F.col("most.rows") / rows_per_task).cast("int")

@@ -16,10 +16,13 @@ from creditloom.functions.casts import text_to_date
 from creditloom.functions.dates import is_month_start
 from creditloom.operators.duplicates import assert_unique
 from creditloom.operators.encoding import MAX_VOCABULARY
+from creditloom.operators.key_counts import COUNT_FLOOR, StoredCounts, stored_hot_keys, write_key_counts
 from creditloom.operators.labels import DEFAULT_DPD, DEFAULT_MOB
-from creditloom.plans.gold import feature_store, label_store
+from creditloom.operators.skew import ROWS_PER_TASK, HotKeys
+from creditloom.plans.gold import customer_matrix, feature_store, label_store
 from creditloom.plans.silver import silver_attributes, silver_clicks, silver_financials, silver_loans
-from creditloom.sources.readers import between_snapshots, read_raw, read_snapshots
+from creditloom.sources.buckets import bucket_schema, read_buckets, write_buckets
+from creditloom.sources.readers import between_snapshots, literal, read_raw, read_snapshots, stored_months, within
 from creditloom.sources.schemas import CUSTOMER, MONTHLY_TABLES, SNAPSHOT, STATIC_TABLES
 from creditloom.sources.writers import WriteAudit, write_snapshots, write_table
 
@@ -41,6 +44,9 @@ class Mart:
     exclude: Sequence[str] = ()  # columns kept out of the feature store
     unique_customers: bool = False  # fail when a customer table repeats a customer
     max_vocabulary: int = MAX_VOCABULARY  # values of a vocabulary that may be learned; more are an error
+    buckets: int | None = None  # silver tables in so many buckets by customer, as many as make good files
+    rows_per_task: int = ROWS_PER_TASK  # a key with more rows than this is spread over tasks
+    count_floor: int = COUNT_FLOOR  # rows of a key in a month above which its count is stored
 
     def raw(self, table: str) -> str:
         return f"{self.source}/{table}.csv"
@@ -97,39 +103,120 @@ def build_silver(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
     )
     clicks = silver_clicks(bronze_table(spark, mart, "feature_clickstream"))
     loans = silver_loans(bronze_table(spark, mart, "lms_loan_daily"), mart.money)
-    audits = {
-        f"silver/{name}": write_table(df, mart.path("silver", name))
-        for name, df in {"features_attributes": attributes, "features_financials": financials}.items()
+    tables = {
+        "features_attributes": (attributes, [CUSTOMER]),
+        "features_financials": (financials, [CUSTOMER]),
+        "feature_clickstream": (clicks, [CUSTOMER]),
+        "lms_loan_daily": (loans, ["mob", CUSTOMER]),
     }
-    for name, df, order in (("feature_clickstream", clicks, [CUSTOMER]), ("lms_loan_daily", loans, ["mob", CUSTOMER])):
-        audits[f"silver/{name}"] = write_snapshots(
-            df, mart.path("silver", name), rebalance=False, sort_by=order, **mart.months
-        )
-    return audits
+    return {f"silver/{name}": write_silver_table(mart, name, df, order) for name, (df, order) in tables.items()}
 
 
-def silver_tables(spark: SparkSession, mart: Mart) -> dict[str, DataFrame]:
-    static = {t: spark.read.parquet(mart.path("silver", t)) for t in STATIC_TABLES}
-    monthly = {t: read_snapshots(spark, mart.path("silver", t), **mart.months) for t in MONTHLY_TABLES}
-    return static | monthly
+#: Keys on which gold joins or aggregates each silver table.
+KEYS = {table: {"customer": CUSTOMER} for table in [*STATIC_TABLES, *MONTHLY_TABLES]}
+KEYS["lms_loan_daily"] = {"customer": CUSTOMER, "loan": "loan_id"}
 
 
-def build_gold(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
-    silver = silver_tables(spark, mart)
-    if mart.unique_customers:
-        for table in STATIC_TABLES:
-            assert_unique(silver[table], CUSTOMER)
-    loans = silver["lms_loan_daily"]
-    labels = write_snapshots(label_store(loans, mart.dpd, mart.mob), mart.path("gold", "label_store"), **mart.months)
-    features = feature_store(
-        loans,
+def write_silver_table(mart: Mart, name: str, df: DataFrame, order: Sequence[str]) -> WriteAudit:
+    """One silver table, and the counts of its frequent keys from what was stored."""
+    spark, path, monthly = df.sparkSession, mart.path("silver", name), name in MONTHLY_TABLES
+    months = mart.months if monthly else {}
+    if mart.buckets:
+        audit = write_buckets(df, path, mart.buckets, sort_by=order, monthly=monthly, **months)
+    elif monthly:
+        audit = write_snapshots(df, path, rebalance=False, sort_by=order, **months)
+    else:
+        audit = write_table(df, path)
+    write_key_counts(silver_table(spark, mart, name), mart.path("counts", name), KEYS[name], mart.count_floor, monthly=monthly, **months)
+    return audit
+
+
+def silver_table(spark: SparkSession, mart: Mart, name: str, bucketed: bool = False) -> DataFrame:
+    """A silver table, a monthly one limited to the mart's months. `bucketed` lets joins on the customer use its buckets."""
+    path, months = mart.path("silver", name), mart.months if name in MONTHLY_TABLES else {}
+    if bucketed:
+        return read_buckets(spark, path, **months)
+    schema = bucket_schema(spark, path) if mart.buckets else None
+    if name in MONTHLY_TABLES:
+        return read_snapshots(spark, path, schema=schema, **months)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(literal(path))
+
+
+def silver_tables(spark: SparkSession, mart: Mart, bucketed: bool = False) -> dict[str, DataFrame]:
+    return {table: silver_table(spark, mart, table, bucketed) for table in [*STATIC_TABLES, *MONTHLY_TABLES]}
+
+
+def _counts(spark: SparkSession, mart: Mart, table: str) -> StoredCounts:
+    if table in STATIC_TABLES:
+        return StoredCounts(mart.path("counts", table), floor=mart.count_floor)
+    held = sum(within(month, mart.start, mart.end) for month in stored_months(spark, mart.path("silver", table)))
+    return StoredCounts(mart.path("counts", table), held, mart.count_floor, mart.start, mart.end)
+
+
+def feature_hot_keys(spark: SparkSession, mart: Mart) -> list[HotKeys | None] | None:
+    """Hot keys of the two joins of the feature store, from the counts stored with silver.
+
+    Loans are counted over all their months on book, so a key may be spread that is not quite hot at the label's month.
+    """
+    loans, clicks = (_counts(spark, mart, table) for table in ("lms_loan_daily", "feature_clickstream"))
+    static = {name: (_counts(spark, mart, f"features_{name}"), "customer") for name in ("attributes", "financials")}
+    joins = [
+        ([CUSTOMER, SNAPSHOT], {"loans": (loans, "customer"), "clicks": (clicks, "customer")}),
+        ([CUSTOMER], {"loans": (loans, "customer"), **static}),
+    ]
+    return stored_hot_keys(spark, joins, mart.rows_per_task)
+
+
+def matrix_hot_keys(spark: SparkSession, mart: Mart) -> list[HotKeys | None] | None:
+    """Hot keys of the customer matrix: of its join, of the loans and of the clicks."""
+    loans, clicks = (_counts(spark, mart, table) for table in ("lms_loan_daily", "feature_clickstream"))
+    static = {name: (_counts(spark, mart, f"features_{name}"), "customer") for name in ("attributes", "financials")}
+    joins = [
+        ([CUSTOMER], {"loans": (loans, "customer"), **static}),
+        (["loan_id"], {"rows": (loans, "loan")}),
+        ([CUSTOMER], {"rows": (clicks, "customer")}),
+    ]
+    return stored_hot_keys(spark, joins, mart.rows_per_task)
+
+
+def stored_features(spark: SparkSession, mart: Mart, months: Sequence[dt.date] | None = None) -> DataFrame:
+    """The feature store over stored silver: hot keys from the stored counts, and joins in buckets where no key is hot."""
+    hot = feature_hot_keys(spark, mart)
+    silver = silver_tables(spark, mart, bucketed=mart.buckets is not None and hot is not None and not any(hot))
+    return feature_store(
+        silver["lms_loan_daily"],
         silver["features_attributes"],
         silver["features_financials"],
         silver["feature_clickstream"],
         mart.mob,
         mart.exclude,
-        months=labels.snapshots,
+        mart.rows_per_task,
+        months,
+        hot,
+    )
+
+
+def stored_matrix(spark: SparkSession, mart: Mart) -> DataFrame:
+    """The customer matrix over stored silver, by the same means."""
+    hot = matrix_hot_keys(spark, mart)
+    silver = silver_tables(spark, mart, bucketed=mart.buckets is not None and hot is not None and not any(hot))
+    return customer_matrix(
+        silver["lms_loan_daily"],
+        silver["features_attributes"],
+        silver["features_financials"],
+        silver["feature_clickstream"],
+        rows_per_task=mart.rows_per_task,
+        hot=hot,
     )
+
+
+def build_gold(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
+    if mart.unique_customers:
+        for table in STATIC_TABLES:
+            assert_unique(silver_table(spark, mart, table), CUSTOMER)
+    loans = silver_table(spark, mart, "lms_loan_daily")
+    labels = write_snapshots(label_store(loans, mart.dpd, mart.mob), mart.path("gold", "label_store"), **mart.months)
+    features = stored_features(spark, mart, months=labels.snapshots)
     stored = write_snapshots(features, mart.path("gold", "feature_store"), **mart.months)
     return {"gold/label_store": labels, "gold/feature_store": stored}
 

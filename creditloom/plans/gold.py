@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from creditloom.operators.features import activity_profile, latest_owner, loan_features, risk_flags
 from creditloom.operators.labels import DEFAULT_DPD, DEFAULT_MOB, at_month_on_book, default_label
-from creditloom.operators.skew import CODE, OWNER, ROWS_PER_TASK, SALT, attach, find_hot_keys, spread
+from creditloom.operators.skew import CODE, OWNER, ROWS_PER_TASK, SALT, HotKeys, attach, find_hot_keys, spread
 from creditloom.sources.schemas import CLICK_FEATURES, CUSTOMER, SNAPSHOT
 
 # Columns that do not reach the feature store.
@@ -38,13 +38,15 @@ def feature_store(
     exclude: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
     months: Sequence[dt.date] | None = None,
+    hot: Sequence[HotKeys | None] | None = None,
 ) -> DataFrame:
     """Loans at month `mob` with the customer's attributes, financials and clicks of the same snapshot.
 
     All snapshots are built at once: the click join has the snapshot in its key. It comes first, while the
     rows are narrow; the two customer tables follow on one key, so loans move twice and no table more than
     once. `months` are those with such loans, if known, as from the write of the label store; other click
-    months are then not read. Keys with more than `rows_per_task` rows in any table are spread over tasks. A customer that occurs
+    months are then not read. Keys with more than `rows_per_task` rows in any table are spread over tasks; `hot` are those of both
+    joins (customer and month, customer) if known, as from stored counts, else they are counted first. A customer that occurs
     twice in a customer table repeats its loans; check with `assert_unique` first where that must not happen.
 
     The state of the label month (missed installments, overdue amount, both flags) is part of the features.
@@ -54,7 +56,7 @@ def feature_store(
     attributes = attributes.drop(SNAPSHOT)
     financials = financials.drop(*FINANCIAL_COLUMNS_DROPPED)
     customer, monthly, by = [CUSTOMER], [CUSTOMER, SNAPSHOT], ["loan_id", SNAPSHOT]
-    hot_months, hot_customers = find_hot_keys(
+    hot_months, hot_customers = hot or find_hot_keys(
         (monthly, {"loans": base, "clicks": clicks}),
         (customer, {"loans": base, "attributes": attributes, "financials": financials}),
         rows_per_task=rows_per_task,
@@ -80,16 +82,18 @@ def customer_matrix(
     clicks: DataFrame,
     features: Sequence[str] = CLICK_FEATURES,
     rows_per_task: int = ROWS_PER_TASK,
+    hot: Sequence[HotKeys | None] | None = None,
 ) -> DataFrame:
     """Click profile of every customer with one row per loan, holding loan, attribute and financial features.
 
     Customers without loans keep one row with NULL loan, attribute and financial columns. The loans are the
-    long side and keep one partitioning through all three joins.
+    long side and keep one partitioning through all three joins. `hot` are the hot keys of the customer join, of the loans and of
+    the clicks if known, as from stored counts, else they are counted first.
     """
     customer = [CUSTOMER]
     attributes = attributes.drop(SNAPSHOT)
     financials = financials.drop(*FINANCIAL_COLUMNS_DROPPED)
-    hot, hot_loans, hot_clicks = find_hot_keys(
+    hot, hot_loans, hot_clicks = hot or find_hot_keys(
         (customer, {"loans": loans, "attributes": attributes, "financials": financials}),
         (["loan_id"], {"rows": loans}),
         (customer, {"rows": clicks}),

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.operators.features import latest_per_key, loan_features, loan_totals, loan_vintage, vintage_flags
-from creditloom.operators.labels import bad_rate_curve, dpd_flag, outcomes_at
+from creditloom.operators.labels import bad_rate_curve, default_label, dpd_flag, outcomes_at
 from creditloom.plans.gold import label_store
 from creditloom.plans.silver import silver_loans
 from creditloom.queries.inputs import loan_panel, raw_loans
-from creditloom.queries.oracle import DIRTY, LOAN_FEATURES, LOANS, TOTALS, VINTAGE
+from creditloom.queries.oracle import DIRTY, FAR, LOAN_FEATURES, LOANS, TOTALS, VINTAGE
 from creditloom.queries.shape import widened
 
 CUTOFF = "2000-01-01"
@@ -49,6 +49,18 @@ def q05_dpd_month_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q56_far_overdue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans thousands of years past due, with a first missed date before all calendars, or with more installments than integers."""
+    kind = F.col("loan_id").cast("bigint") % 3
+    due = F.when(kind == 0, 0.25).when(kind == 1, 0.0009765625).otherwise(0.0000152587890625)
+    overdue = F.when(kind == 0, 3750.5).when(kind == 1, 71_000.0).otherwise(70_000.0)
+    far = silver_loans(loan_panel(spark, sf_dir).withColumns({"due_amt": due, "overdue_amt": overdue}))
+    labels = default_label(far).select("loan_id", "snapshot_date", "label")
+    year = F.when(kind == 0, F.year("first_missed_date")).alias("first_missed_year")
+    rows = far.select("loan_id", "snapshot_date", "installments_missed", "dpd", year)
+    return rows.join(labels, ["loan_id", "snapshot_date"], "left")
+
+
 def q25_loan_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loan_totals(panel(spark, sf_dir))
 
@@ -77,6 +89,7 @@ QUERIES = {
         q26_latest_loan,
         q27_vintage,
         q28_loan_features,
+        q56_far_overdue,
     )
 }
 
@@ -95,6 +108,12 @@ FROM loans WHERE loan_start_date < DATE '2000-01-01' AND installment_num = 7""",
 SELECT installments_missed, CAST(month(snapshot_date) AS INT) AS snapshot_month, dpd, count(*) AS n_rows,
   CAST(sum(CASE WHEN dpd >= 30 THEN 1 ELSE 0 END) AS BIGINT) AS n_flagged
 FROM loans GROUP BY 1, 2, 3""",
+    "q56_far_overdue": f"""WITH {FAR},
+counted AS (SELECT *, CAST(least(ceil(overdue_amt / due_amt), 2147483647) AS BIGINT) AS missed FROM far),
+dated AS (SELECT *, CASE WHEN missed < 20000 THEN CAST(snapshot_date - to_months(CAST(missed AS INT)) AS DATE) END AS since FROM counted)
+SELECT loan_id, snapshot_date, CAST(missed AS INT) AS installments_missed,
+  CAST(CASE WHEN since IS NOT NULL THEN date_diff('day', since, snapshot_date) ELSE 2147483647 END AS INT) AS dpd,
+  CAST(year(since) AS INT) AS first_missed_year, CASE WHEN installment_num = 6 THEN 1 END AS label FROM dated""",
     "q25_loan_totals": f"""WITH {LOANS}, {TOTALS}
 SELECT loan_id, total_paid_amt, num_months_overdue, latest_snapshot_date FROM totals""",
     "q26_latest_loan": f"WITH {LOANS}, {TOTALS}\nSELECT * FROM latest",

@@ -47,6 +47,18 @@ typed AS (SELECT * REPLACE (
     CASE WHEN CAST(loan_id AS BIGINT) % 71 = 0 THEN NULL ELSE tenure END AS tenure) FROM panel),
 {silver('typed')}"""
 
+# Amounts of the text panel as they are written.
+RAW_AMOUNTS = f"""{PANEL},
+raw_amounts AS (
+  SELECT loan_id, CASE WHEN CAST(loan_id AS BIGINT) % 53 = 0 THEN '0' WHEN CAST(loan_id AS BIGINT) % 59 <> 0 THEN CAST(due_amt AS STRING) END
+      AS due_text, CAST(balance AS STRING) AS balance_text, snapshot_date FROM panel)"""
+
+# Panel rows whose overdue amount is so large for what is due that it leads thousands of years back, or out of the calendar.
+FAR = f"""{PANEL},
+far AS (SELECT * REPLACE (
+    CASE CAST(loan_id AS BIGINT) % 3 WHEN 0 THEN 0.25 WHEN 1 THEN 0.0009765625 ELSE 0.0000152587890625 END AS due_amt,
+    CASE CAST(loan_id AS BIGINT) % 3 WHEN 0 THEN 3750.5 WHEN 1 THEN 71000 ELSE 70000 END AS overdue_amt) FROM panel)"""
+
 ATTRIBUTES = """raw_attributes AS (
   SELECT CAST(c_custkey AS STRING) AS customer_id,
     CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE concat('  Name', CAST(c_custkey % 700 AS STRING), ' ') END AS name,

@@ -25,6 +25,7 @@ from creditloom.queries.oracle import (
     FINANCIALS,
     LOANS,
     PANEL,
+    RAW_AMOUNTS,
 )
 from creditloom.queries.shape import widened
 from creditloom.session import scratch_folder
@@ -208,6 +209,22 @@ def q55_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.join(chosen, ["loan_id", "snapshot_date"], "left")
 
 
+def q57_month_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV months written by three runs: one has a column more than the others, one a column less and another order."""
+    folder = scratch_folder(spark, "q57", sf_dir)
+    rows = raw_loans(spark, sf_dir).select("loan_id", "due_amt", "balance", F.col("snapshot_date").cast("date").alias("snapshot_date"))
+    day = F.col("snapshot_date")
+    first, last = _range(rows)
+    runs = [
+        (first, "1996-12-01", rows),
+        ("1997-01-01", "1997-12-01", rows.withColumn("channel", F.concat(F.lit(" c"), F.col("loan_id")))),
+        ("1998-01-01", last, rows.select("balance", "loan_id", "snapshot_date")),
+    ]
+    for start, end, months in runs:
+        write_snapshots(months.where(day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))), folder, start, end, "csv")
+    return read_snapshots(spark, folder, fmt="csv").select("loan_id", "due_amt", "balance", "channel", "snapshot_date")
+
+
 def q49_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers of one occupation."""
     found = lookup(attributes(spark, sf_dir), "occupation", " BUILDING")
@@ -239,6 +256,7 @@ QUERIES = {
         q53_date_formats,
         q54_faithful_bronze,
         q55_backfill,
+        q57_month_columns,
     )
 }
 
@@ -292,5 +310,8 @@ SELECT l.loan_id, l.customer_id, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label,
 FROM loans l LEFT JOIN attributes a ON l.customer_id = a.customer_id LEFT JOIN financials f ON l.customer_id = f.customer_id
 LEFT JOIN raw_clicks c ON l.customer_id = c.customer_id AND l.snapshot_date = c.snapshot_date
 WHERE mob = 6""",
+    "q57_month_columns": f"""WITH {RAW_AMOUNTS}
+SELECT loan_id, CASE WHEN snapshot_date < DATE '1998-01-01' THEN due_text END AS due_amt, balance_text AS balance,
+  CASE WHEN year(snapshot_date) = 1997 THEN concat(' c', loan_id) END AS channel, snapshot_date FROM raw_amounts""",
     "q50_total_rows": f"WITH {LOANS}\nSELECT count(*) AS row_count FROM loans",
 }

@@ -15,6 +15,7 @@ from creditloom.operators.features import (
     snapshot_dates,
 )
 from creditloom.operators.profiling import null_counts
+from creditloom.plans.backfill import Mart, stored_features, stored_matrix, write_silver_table
 from creditloom.plans.gold import customer_matrix, feature_store
 from creditloom.plans.silver import silver_attributes, silver_clicks, silver_financials
 from creditloom.queries.inputs import attributes, clicks, financials, raw_clicks
@@ -33,6 +34,7 @@ from creditloom.queries.oracle import (
     PROFILE_COLUMNS,
 )
 from creditloom.queries.shape import rounded, widened
+from creditloom.session import scratch_folder
 from creditloom.sources.schemas import CLICK_FEATURES
 
 
@@ -78,6 +80,28 @@ def q30_customer_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(widened(customer_matrix(*_silver(spark, sf_dir))))
 
 
+def _stored_mart(spark: SparkSession, sf_dir: str, name: str) -> Mart:
+    """Silver tables of all months in eight buckets by customer, with the counts of their frequent keys."""
+    names = ("lms_loan_daily", "features_attributes", "features_financials", "feature_clickstream")
+    tables = dict(zip(names, _silver(spark, sf_dir), strict=True))
+    days = [tables[t].select("snapshot_date") for t in ("lms_loan_daily", "feature_clickstream")]
+    first, last = days[0].union(days[1]).agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
+    mart = Mart("", scratch_folder(spark, name, sf_dir), first, last, buckets=8)
+    for table, df in tables.items():
+        write_silver_table(mart, table, df, ["customer_id"])
+    return mart
+
+
+def q58_stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature store over bucketed silver tables: no count first, and no shuffle below the joins."""
+    return widened(stored_features(spark, _stored_mart(spark, sf_dir, "q58")))
+
+
+def q59_stored_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer matrix over the same."""
+    return rounded(widened(stored_matrix(spark, _stored_mart(spark, sf_dir, "q59"))))
+
+
 def q31_multi_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys_with_many(feature_store(*_silver(spark, sf_dir)), "customer_id", "loan_id")
 
@@ -104,6 +128,8 @@ QUERIES = {
         q31_multi_loan,
         q32_snapshot_dates,
         q48_activity_profile,
+        q58_stored_features,
+        q59_stored_matrix,
     )
 }
 
@@ -134,3 +160,5 @@ SELECT customer_id, count(loan_id) AS no_of_loans FROM store GROUP BY customer_i
 SELECT DISTINCT snapshot_date FROM matrix ORDER BY snapshot_date""",
     "q48_activity_profile": f"WITH {CLICKS},\n{PROFILE}\nSELECT * FROM profile",
 }
+ORACLE["q58_stored_features"] = ORACLE["q29_feature_store"]
+ORACLE["q59_stored_matrix"] = ORACLE["q30_customer_matrix"]

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Tables in buckets by customer are joined on customer and month without a shuffle; hot customers are salted instead.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     # Recording the Python line of every column expression makes tables with hundreds of columns slow to plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

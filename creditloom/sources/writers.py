@@ -6,11 +6,11 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from creditloom.functions.casts import backticked
-from creditloom.sources.readers import Day
+from creditloom.sources.readers import Day, month_headers, stored_months, within
 from creditloom.sources.schemas import SNAPSHOT
 
 
@@ -39,8 +39,8 @@ def write_snapshots(
     It splits a month larger than the advisory partition size over several tasks. Rows that already come month
     by month, as from a dataset in the same layout, need no rebalancing and then no shuffle. `sort_by` orders
     the rows of each file, so that a filter on those columns skips pages. Row count and months come from the
-    final stage of the write itself, with no second job. CSV has no schema of its own, so its columns are put in the order of
-    the months already there, and other columns than theirs are an error.
+    final stage of the write itself, with no second job. CSV columns are put in the order of the months already there; a month may
+    have more columns than those, or fewer, which `read_snapshots` unites by name.
     """
     held = stored_months(df.sparkSession, root)
     stored = {m for m in held if within(m, start, end)} if start is not None or end is not None else set()
@@ -79,19 +79,8 @@ def _with_header(writer, fmt: str):
 
 
 def _in_stored_order(df: DataFrame, root: str, month: dt.date) -> DataFrame:
-    columns = df.sparkSession.read.option("header", True).csv(f"{root}/{SNAPSHOT}={month}").columns
-    if sorted(columns) != sorted(c for c in df.columns if c != SNAPSHOT):
-        raise ValueError(f"columns differ from those stored in {root}: {columns}")
+    """Columns of the month stored first in its order, then the others, so that months with the same columns have one header."""
+    stored = month_headers(df.sparkSession, root, month, month)[month]
+    rank = {name.lower(): place for place, name in enumerate(stored)}
+    columns = sorted((c for c in df.columns if c != SNAPSHOT), key=lambda c: rank.get(c.lower(), len(rank)))
     return df.select(*[backticked(c) for c in columns], SNAPSHOT)
-
-
-def stored_months(spark: SparkSession, root: str) -> set[dt.date]:
-    """Months that a dataset holds, from the names of its partition folders."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{SNAPSHOT}=*")
-    folders = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    names = [folder.getPath().getName().partition("=")[2] for folder in folders or []]
-    return {dt.date.fromisoformat(name) for name in names if name[:1].isdigit()}
-
-
-def within(month: dt.date, start: Day, end: Day) -> bool:
-    return (start is None or str(month) >= str(start)) and (end is None or str(month) <= str(end))

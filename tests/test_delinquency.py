@@ -122,7 +122,36 @@ def test_days_past_due_on_its_own_columns(spark):
     assert (row.since, row.days) == (dt.date(2024, 2, 29), 31)
 
 
-def test_dates_out_of_the_calendar_are_null(spark):
-    df = spark.sql("SELECT date'2023-01-01' snapshot_date, 1.0D overdue_amt, 2147483647 installments_missed")
-    row = days_past_due(df).first()
-    assert row.first_missed_date is None and row.dpd is None
+MOST = (1 << 31) - 1
+
+
+def test_thousands_of_years_past_due(spark):
+    raw = loans(spark, ("2023-06-01", "6", "0.25", "3750"), ("2023-06-01", "6", "0.25", "3000"), ("2023-06-01", "6", "0.25", "5000"))
+    silver = silver_loans(raw)
+    assert by_loan(silver, "installments_missed", "first_missed_date")[:2] == [(15_000, dt.date(773, 6, 1)), (12_000, dt.date(1023, 6, 1))]
+    assert by_loan(silver, "dpd")[0] == ((dt.date(2023, 6, 1) - dt.date(773, 6, 1)).days,)
+    assert by_loan(label_store(silver), "label") == [(1,), (1,), (1,)]
+
+
+@pytest.mark.parametrize("missed", [70_500_000, 70_555_965, 70_555_967, 70_555_968, 70_600_000, MOST])
+def test_dates_out_of_the_calendar_stay_overdue(spark, missed):
+    """The last count whose first missed month the date type holds is 70,555,967 before June 2023."""
+    df = spark.sql(f"SELECT date'2023-06-15' snapshot_date, 1.0D overdue_amt, {missed} installments_missed")
+    row = days_past_due(df).selectExpr("dpd", "unix_date(first_missed_date) since", "month(first_missed_date) month").first()
+    assert row.since < -2_145_000_000 and row.dpd == min(MOST, 19_523 - row.since)
+    assert row.month == (7 if missed >= 70_555_967 else (5 - missed) % 12 + 1)
+
+
+@pytest.mark.parametrize("due, overdue", [("0.0000152587890625", "70000"), ("0.25", "Infinity"), ("1", "2147483648")])
+def test_more_installments_than_integers(spark, due, overdue):
+    silver = silver_loans(loans(spark, ("2023-06-01", "6", due, overdue))).select("installments_missed", "dpd")
+    assert tuple(silver.first()) == (MOST, MOST)
+    decimal = spark.createDataFrame([(1,)], "x int").selectExpr("9999999999.99D overdue_amt", "cast(0.01 as decimal(12,2)) due_amt")
+    assert installments_missed(decimal.selectExpr("cast(overdue_amt as decimal(12,2)) overdue_amt", "due_amt")).first().installments_missed == MOST
+
+
+def test_far_dates_survive_parquet(spark, tmp_path):
+    silver = silver_loans(loans(spark, ("2023-06-01", "6", "0.25", "3750"), ("2023-06-01", "6", "0.0009765625", "71000")))
+    silver.write.parquet(str(tmp_path / "far"))
+    stored = spark.read.parquet(str(tmp_path / "far")).selectExpr("loan_id", "unix_date(first_missed_date) since", "dpd")
+    assert by_loan(stored, "since", "dpd") == by_loan(silver.selectExpr("loan_id", "unix_date(first_missed_date) since", "dpd"), "since", "dpd")

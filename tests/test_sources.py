@@ -10,13 +10,16 @@ from creditloom.session import scratch_folder, shared_folder
 from creditloom.sources.readers import (
     at_snapshot,
     list_tables,
+    literal,
     load_catalog,
     lookup,
     lower_names,
+    month_headers,
     read_raw,
     read_snapshots,
+    stored_months,
 )
-from creditloom.sources.writers import stored_months, write_snapshots, write_table
+from creditloom.sources.writers import write_snapshots, write_table
 from helpers import bag, plan_text
 
 
@@ -146,18 +149,65 @@ def test_csv_keeps_blanks(spark, tmp_path):
     assert bag(read_snapshots(spark, str(tmp_path / "monthly"), fmt="csv")) == bag(monthly)
 
 
+def day(text):
+    return F.lit(text).cast("date").alias("snapshot_date")
+
+
 def test_csv_months_keep_their_columns_apart(spark, tmp_path):
     root = str(tmp_path / "drift")
-    month = lambda day: F.lit(day).cast("date").alias("snapshot_date")
-    write_snapshots(spark.sql("SELECT '1' due_amt, '2' paid_amt").select("*", month("2023-01-01")), root, fmt="csv")
-    write_snapshots(spark.sql("SELECT '4' paid_amt, '3' due_amt").select("*", month("2023-02-01")), root, fmt="csv")
-    rows = read_snapshots(spark, root, fmt="csv").collect()
-    assert {(r.due_amt, r.paid_amt) for r in rows} == {("1", "2"), ("3", "4")}
-    with pytest.raises(ValueError, match="differ"):
-        write_snapshots(spark.sql("SELECT '4' paid_amt, '3' other").select("*", month("2023-03-01")), root, fmt="csv")
+    write_snapshots(spark.sql("SELECT '1' due_amt, '2' paid_amt").select("*", day("2023-01-01")), root, fmt="csv")
+    write_snapshots(spark.sql("SELECT '4' paid_amt, '3' due_amt").select("*", day("2023-02-01")), root, fmt="csv")
+    assert set(month_headers(spark, root).values()) == {("due_amt", "paid_amt")}
     spark.sql("SELECT '6' paid_amt, '5' due_amt").write.option("header", True).csv(f"{root}/snapshot_date=2023-04-01")
-    with pytest.raises(Exception, match="header"):  # written by someone else in another order
-        read_snapshots(spark, root, fmt="csv").collect()
+    rows = read_snapshots(spark, root, fmt="csv").collect()  # the last month was written by someone else in another order
+    assert {(r.due_amt, r.paid_amt) for r in rows} == {("1", "2"), ("3", "4"), ("5", "6")}
+
+
+def test_csv_months_with_other_columns(spark, tmp_path):
+    root = str(tmp_path / "a [b] {c}")
+    write_snapshots(spark.sql("SELECT '1' a, '2' b").select("*", day("2023-01-01")), root, fmt="csv")
+    write_snapshots(spark.sql("SELECT '3' `more, or \"less\"`, '4' B, '5' a").select("*", day("2023-02-01")), root, fmt="csv")
+    write_snapshots(spark.sql("SELECT '6' b").select("*", day("2023-03-01")), root, fmt="csv")
+    empty = spark.sql("SELECT '7' only").where("1 = 0").select("*", day("2023-04-01"))
+    write_snapshots(empty, root, "2023-04-01", "2023-04-01", "csv")
+    df = read_snapshots(spark, root, fmt="csv")
+    assert df.columns == ["a", "b", 'more, or "less"', "only", "snapshot_date"]
+    assert sorted(tuple(r)[:4] for r in df.collect()) == sorted([("1", "2", None, None), ("5", "4", "3", None), (None, "6", None, None)], key=str)
+    january = read_snapshots(spark, root, "2023-01-01", "2023-01-31", "csv")
+    assert january.columns == ["a", "b", "snapshot_date"] and january.count() == 1
+    with pytest.raises(Exception, match="header"):  # columns that are asserted
+        read_snapshots(spark, literal(root), fmt="csv", columns=["a", "b", "snapshot_date"]).collect()
+
+
+def test_headers_of_compressed_files(spark, tmp_path):
+    root = str(tmp_path / "packed")
+    spark.sql("SELECT '1' one, '2' two").write.option("header", True).option("compression", "gzip").csv(f"{root}/snapshot_date=2023-01-01")
+    (tmp_path / "packed" / "snapshot_date=2023-02-01" / "_temporary").mkdir(parents=True)
+    (tmp_path / "packed" / "snapshot_date=2023-02-01" / "_temporary" / "part.csv").write_text("wrong\n1\n")
+    assert month_headers(spark, root) == {dt.date(2023, 1, 1): ("one", "two"), dt.date(2023, 2, 1): ()}
+    assert [tuple(r)[:2] for r in read_snapshots(spark, root, fmt="csv").collect()] == [("1", "2")]
+    with pytest.raises(FileNotFoundError):
+        read_snapshots(spark, str(tmp_path / "nothing"), fmt="csv")
+
+
+@pytest.mark.parametrize("above", ["a", "a b", "x[1]{2}*?", "100%20+é"])
+def test_folder_sweep_under_any_path(spark, tmp_path, above):
+    folder = tmp_path / above / above / "a" / "a"
+    (folder / "deep [1]" / "k=1").mkdir(parents=True)
+    (folder / "t.csv").write_text("x\n1\n")
+    (folder / "t {2} *.csv").write_text("x\n1\n2\n")
+    (folder / "deep [1]" / "k=1" / "part.csv").write_text("x\n1\n2\n3\n")
+    (folder / "_hidden").mkdir()
+    (folder / "_hidden" / "h.csv").write_text("x\n1\n")
+    (folder / "unfinished" / "_temporary").mkdir(parents=True)
+    (folder / "unfinished" / "_temporary" / "h.csv").write_text("x\n1\n")
+    paths = list_tables(spark, str(folder))
+    counts = {name: read_raw(spark, path).count() for name, path in paths.items()}
+    assert counts == {"t": 1, "t {2} *": 2, "deep [1]": 3}
+    (named,) = load_catalog(spark, str(folder), names=["t {2} *"]).values()
+    assert named.count() == 2
+    with pytest.raises(FileNotFoundError):
+        list_tables(spark, str(folder / "nothing"))
 
 
 def test_stored_months_come_from_folder_names(spark, store, tmp_path):
