@@ -14,11 +14,10 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +38,8 @@ SCALE_BITS = 20  # frequencies add up to 2**SCALE_BITS, or to more if there are
 LOW = np.uint64(1 << 31)  # states stay in [LOW, 2**63)
 WORD = np.uint64(32)
 WORD_MASK = np.uint64(0xFFFFFFFF)
-CACHED = 400_000  # words, and parts of words, whose ids a worker remembers
-SLICE_BYTES = 4 << 20  # text whose distinct words are looked up at a time
+CACHED = 400_000  # parts of words whose ids a worker remembers
+SLICE_BYTES = 4 << 20  # text whose distinct parts are looked up at a time
 
 #: The steps before merging of a tokenizer that lower-cases and drops white space. Its ids of a text
 #: are those of the text's words in turn.
@@ -51,47 +50,59 @@ WORD_NORMALIZER = [
 ]
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-LATIN = "ß-öø-ÿ"
-PLAIN_WORD = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿ]+")
-PARTS = re.compile(f"[a-z{LATIN}]+|[0-9]|[^a-z0-9{LATIN}]+")
-
-
-def is_plain(word: str) -> bool:
-    """Whether a word has no apostrophe, no bracket that could open a special token, and only letters known as composed."""
-    if word.isascii():
-        return "'" not in word and "<" not in word and word.isprintable()
-    return PLAIN_WORD.fullmatch(word) is not None
-
-
-class Recent(dict):
-    """Remembers about `CACHED` keys, of which those not asked for any more go."""
-
-    def __init__(self):
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, key: str) -> bytes | None:
-        value = self.older.get(key)
-        if value is not None:
-            self.put(key, value)
-        return value
-
-    def put(self, key: str, value: bytes) -> None:
-        if len(self) >= CACHED // 2:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
+#: Kinds of bytes. Runs of letters and of signs are parts of a word, and each digit is one. ODD is all else: an apostrophe, a
+#: bracket that could open a special token, control characters, and characters beyond Latin-1, whose words the library takes whole.
+GAP, LETTER, DIGIT, SIGN, ODD = range(5)
+KINDS = np.full(256, ODD, np.uint8)
+KINDS[0x21:0x7F] = SIGN
+KINDS[0x30:0x3A] = DIGIT
+KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+KINDS[[ord("'"), ord("<")]] = ODD
+KINDS[arrays.SPACE] = GAP
+#: The second bytes of Latin-1 letters, and of those among them that are capitals.
+LATIN, LATIN_CAPITAL = np.zeros((2, 256), bool)
+LATIN[0x80:0xC0] = True
+LATIN_CAPITAL[0x80:0x9F] = True
+LATIN[[0x97, 0xB7]] = LATIN_CAPITAL[0x97] = False
+
+
+def parts_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Parts of the words of many texts: their bytes in lower case without gaps, where each begins there, whether it is an odd
+    word as a whole (as it stands in the text), and the number of the first part of each text."""
+    kind = KINDS[data]
+    second = np.flatnonzero((data[:-1] == 0xC3) & LATIN[data[1:]]) + 1
+    kind[second] = kind[second - 1] = LETTER
+    small = arrays.LOWER[data]
+    small[second[LATIN_CAPITAL[data[second]]]] += 0x20
+    if (kind == ODD).any():
+        starts, ends, _ = arrays.runs(kind != GAP, offsets)
+        upto = np.concatenate(([0], np.cumsum(kind == ODD)))
+        holds = upto[ends] > upto[starts]
+        marks = np.zeros(len(data) + 1, np.int8)
+        marks[starts[holds]] += 1
+        marks[ends[holds]] -= 1
+        odd = np.cumsum(marks[:-1], dtype=np.int8).view(bool)
+        kind[odd] = ODD
+        small[odd] = data[odd]
+    begins = (kind != GAP) & (kind != ODD)
+    begins[1:] = (kind[1:] != GAP) & ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT))
+    edges = offsets[offsets < len(data)]
+    begins[edges] = kind[edges] != GAP
+    at = np.flatnonzero(begins)
+    inside = kind != GAP
+    before = np.cumsum(inside) - inside
+    return small[inside], before[at], kind[at] == ODD, np.searchsorted(at, offsets)
 
 
 class Encoder:
-    """Texts to ids. With a word tokenizer, ids of words and of their parts are remembered."""
+    """Texts to ids. With a word tokenizer, distinct parts of words are looked up, and their ids are remembered."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             config = json.load(file)
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         split = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
         self.by_word = (
             (config.get("normalizer") or {}).get("normalizers") == WORD_NORMALIZER
@@ -101,63 +112,59 @@ class Encoder:
             and not config.get("truncation")
         )
         self.model = self.tokenizer.model
-        self.words, self.parts = Recent(), Recent()
         bytes_of = ByteLevel(add_prefix_space=False, use_regex=False)
-        plain = [chr(c) for c in (*range(0x21, 0x7F), *range(0xDF, 0x100))]
-        self.letters = str.maketrans({c: bytes_of.pre_tokenize_str(c)[0][0] for c in plain})
-
-    def packed(self, ids: list[int]) -> bytes:
-        return array(self.code, ids).tobytes()
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [self.packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def word(self, word: str) -> bytes:
-        """Ids of a plain word, part by part; all its letters are composed already."""
-        out = []
-        for part in PARTS.findall(word.lower()):
-            ids = self.parts[part]
-            if ids is None:
-                ids = self.packed([t.id for t in self.model.tokenize(part.translate(self.letters))])
-                self.parts.put(part, ids)
-            out.append(ids)
-        return b"".join(out)
-
-    def of_words(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words."""
-        out = list(map(self.words.__getitem__, words))
-        odd = []
-        for k, word in enumerate(words):
-            if out[k] is None:
-                if is_plain(word):
-                    out[k] = self.word(word)
-                    self.words.put(word, out[k])
-                else:
-                    odd.append(k)
-        for k, ids in zip(odd, self.whole([words[k] for k in odd]), strict=True):
-            out[k] = ids
-            self.words.put(words[k], ids)
-        return out
+        self.letters = str.maketrans({c: bytes_of.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100))})
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = pa.array([], pa.binary())
+        self.ids, self.sizes = np.zeros(0, self.dtype), np.zeros(0, np.int64)
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def look_up(self, parts: pa.Array, odd: np.ndarray) -> np.ndarray:
+        """Places in `known` of distinct parts; those not there yet go through the tokenizer."""
+        place = pc.index_in(parts, value_set=self.known)
+        if place.null_count and len(self.known) + place.null_count > CACHED:
+            self.forget()
+            place = pc.index_in(parts, value_set=self.known)
+        new = np.flatnonzero(place.is_null().to_numpy(zero_copy_only=False))
+        if len(new):
+            tokenize, letters = self.model.tokenize, self.letters
+            texts = parts.take(pa.array(new)).cast(pa.string()).to_pylist()
+            plain = [[t.id for t in tokenize(x if x.isascii() else x.translate(letters))] for x, o in zip(texts, odd[new].tolist(), strict=True) if not o]
+            found, others = iter(plain), iter(self.whole([texts[k] for k in np.flatnonzero(odd[new])]))
+            ids = [next(others if o else found) for o in odd[new].tolist()]
+            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(ids), self.dtype)))
+            self.sizes = np.concatenate((self.sizes, np.fromiter(map(len, ids), np.int64, len(ids))))
+            out = place.fill_null(0).to_numpy().astype(np.int64)
+            out[new] = len(self.known) + np.arange(len(new))
+            self.known = pa.concat_arrays([self.known, parts.take(pa.array(new))])
+            return out
+        return place.to_numpy().astype(np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and how many each has. A null text is empty."""
-        texts = pc.fill_null(texts, "")
         if not self.by_word:
-            ids = self.whole(texts.to_pylist())
-            return np.frombuffer(b"".join(ids), self.dtype), np.array([len(x) // self.dtype.itemsize for x in ids])
-        # Blanks that only Unicode knows stay within a word, which is then no plain one.
-        lists = pc.ascii_split_whitespace(texts)
-        words = lists.flatten().dictionary_encode()
-        ids = self.of_words(words.dictionary.to_pylist())
-        sizes = np.array([len(x) // self.dtype.itemsize for x in ids], np.int64)
-        flat = np.frombuffer(b"".join(ids), self.dtype)
-        code = words.indices.to_numpy()
-        counts = sizes[code]
+            ids = self.whole(pc.fill_null(texts, "").to_pylist())
+            return np.fromiter(chain.from_iterable(ids), self.dtype), np.array([len(x) for x in ids])
+        data, offsets = arrays.text_bytes(texts)
+        if not len(data):
+            return np.zeros(0, self.dtype), np.zeros(len(texts), np.int64)
+        small, begins, odd, first = parts_of(data, offsets)
+        ends = np.append(begins[1:], len(small)).astype(np.int32)
+        buffers = [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32)), pa.py_buffer(small)]
+        parts = pa.Array.from_buffers(pa.binary(), len(begins), buffers).dictionary_encode()
+        code = parts.indices.to_numpy()
+        strange = np.zeros(len(parts.dictionary), bool)
+        strange[code[odd]] = True
+        place = self.look_up(parts.dictionary, strange)[code]
+        counts = self.sizes[place]
         ends = np.cumsum(counts)
-        shift = (np.cumsum(sizes) - sizes)[code] - (ends - counts)
-        found = flat[np.repeat(shift, counts) + np.arange(ends[-1] if len(ends) else 0)]
-        edges = np.concatenate(([0], ends))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-        return found, np.diff(edges)
+        shift = (np.cumsum(self.sizes) - self.sizes)[place] - (ends - counts)
+        found = self.ids[np.repeat(shift, counts) + np.arange(ends[-1] if len(ends) else 0)]
+        return found, np.diff(np.concatenate(([0], ends))[first])
 
 
 @lru_cache(maxsize=2)
