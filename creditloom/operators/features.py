@@ -13,6 +13,8 @@ from creditloom.functions.flags import flag
 from creditloom.operators.skew import ROWS_PER_TASK, HotKeys, grouped
 
 VINTAGES = ["old", "mid", "new"]
+# Columns of a loan's latest row that are no features.
+NOT_FEATURES = ("due_amt", "loan_start_date", "paid_amt", "first_missed_date")
 
 
 def risk_flags(df: DataFrame, overdue: str = "overdue_amt", first_missed: str = "first_missed_date") -> DataFrame:
@@ -73,7 +75,7 @@ def loan_features(
     key: str = "loan_id",
     order: str = "snapshot_date",
     owner: str = "customer_id",
-    exclude: Sequence[str] = ("due_amt", "loan_start_date", "paid_amt", "first_missed_date"),
+    exclude: Sequence[str] = NOT_FEATURES,
     rows_per_task: int = ROWS_PER_TASK,
     hot: HotKeys | None | bool = True,
 ) -> DataFrame:
@@ -83,13 +85,22 @@ def loan_features(
     and the customer and holds every column, which is a total order. Structs with text can't be aggregated by
     hash, so rows are shuffled first and sorted once. The start date is the earliest known of the loan.
     """
-    rest = [owner, *[c for c in df.columns if c not in (key, order, owner)]]
+    folded = grouped(df, key, loan_aggregates(df.columns, key, order, owner), rows_per_task, hot)
+    return loan_columns(folded, key, exclude)
+
+
+def loan_aggregates(columns: Sequence[str], key: str = "loan_id", order: str = "snapshot_date", owner: str = "customer_id") -> list[Column]:
+    """What `loan_columns` needs of a loan's rows."""
+    rest = [owner, *[c for c in columns if c not in (key, order, owner)]]
     newest = F.max(F.struct(*[backticked(c) for c in [order, *rest]])).alias("__newest")
-    aggregates = [newest, *_totals(snapshot=order), F.min("loan_start_date").alias("__started")]
-    folded = grouped(df, key, aggregates, rows_per_task, hot)
+    return [newest, *_totals(snapshot=order), F.min("loan_start_date").alias("__started")]
+
+
+def loan_columns(folded: DataFrame, key: str, exclude: Sequence[str]) -> DataFrame:
+    columns = folded.schema["__newest"].dataType.names
     wide = folded.select(
         key,
-        *[F.col("__newest").getField(c).alias(c) for c in [order, *rest]],
+        *[F.col("__newest").getField(c).alias(c) for c in columns],
         "total_paid_amt",
         "num_months_overdue",
         vintage(F.col("latest_snapshot_date"), F.col("__started")).alias("loan_vintage"),

@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.operators.features import latest_per_key, loan_features, loan_totals, loan_vintage, vintage_flags
+from creditloom.operators.history import loan_history, loan_states, merge_loans
 from creditloom.operators.labels import bad_rate_curve, default_label, dpd_flag, outcomes_at
 from creditloom.plans.gold import label_store
 from creditloom.plans.silver import silver_loans
 from creditloom.queries.inputs import loan_panel, raw_loans
 from creditloom.queries.oracle import DIRTY, FAR, LOAN_FEATURES, LOANS, TOTALS, VINTAGE
 from creditloom.queries.shape import widened
+from creditloom.session import scratch_folder
+from creditloom.sources.readers import read_snapshots
+from creditloom.sources.writers import write_snapshots
 
 CUTOFF = "2000-01-01"
 FINAL_INSTALLMENT = 7
@@ -77,6 +81,17 @@ def q28_loan_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return widened(loan_features(panel(spark, sf_dir)))
 
 
+def q61_loans_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loan features merged from months, of which two years were wrong at first and have been built again."""
+    folder = scratch_folder(spark, "q61", sf_dir)
+    rows = panel(spark, sf_dir)
+    again = F.col("snapshot_date").between(F.lit("1996-01-01").cast("date"), F.lit("1997-12-01").cast("date"))
+    wrong = rows.withColumn("paid_amt", F.when(again, 1.0).otherwise(F.col("paid_amt")))
+    write_snapshots(loan_states(wrong), folder)
+    write_snapshots(loan_states(rows.where(again)), folder, "1996-01-01", "1997-12-01")
+    return widened(loan_history(merge_loans(read_snapshots(spark, folder))))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -90,6 +105,7 @@ QUERIES = {
         q27_vintage,
         q28_loan_features,
         q56_far_overdue,
+        q61_loans_by_month,
     )
 }
 
@@ -126,3 +142,4 @@ SELECT loan_id, started AS loan_start_date, latest_snapshot_date, vintage AS loa
 FROM aged""",
     "q28_loan_features": f"WITH {LOANS}, {LOAN_FEATURES}\nSELECT * FROM loan_features",
 }
+ORACLE["q61_loans_by_month"] = ORACLE["q28_loan_features"]

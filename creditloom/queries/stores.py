@@ -14,6 +14,7 @@ from creditloom.operators.features import (
     first_last_delta,
     snapshot_dates,
 )
+from creditloom.operators.history import merge_profiles, profile_states, profiles
 from creditloom.operators.profiling import null_counts
 from creditloom.plans.backfill import Mart, stored_features, stored_matrix, write_silver_table
 from creditloom.plans.gold import customer_matrix, feature_store
@@ -35,7 +36,11 @@ from creditloom.queries.oracle import (
 )
 from creditloom.queries.shape import rounded, widened
 from creditloom.session import scratch_folder
+from creditloom.sources.readers import read_snapshots
 from creditloom.sources.schemas import CLICK_FEATURES
+from creditloom.sources.writers import write_snapshots
+
+REBUILT = "1996-05-01"
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -102,6 +107,20 @@ def q59_stored_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(widened(stored_matrix(spark, _stored_mart(spark, sf_dir, "q59"))))
 
 
+def q60_profiles_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles merged from months, one of which was wrong at first and has been built again; early months merged for good."""
+    folder = scratch_folder(spark, "q60", sf_dir)
+    rows = clicks(spark, sf_dir)
+    wrong = rows.withColumn("fe_3", F.when(F.col("snapshot_date") != F.lit(REBUILT).cast("date"), F.col("fe_3")))
+    write_snapshots(profile_states(wrong, CLICK_FEATURES), folder)
+    again = rows.where(F.col("snapshot_date") == F.lit(REBUILT).cast("date"))
+    write_snapshots(profile_states(again, CLICK_FEATURES), folder, REBUILT, REBUILT)
+    states = read_snapshots(spark, folder).withColumn("early", F.col("snapshot_date") < F.lit("1997-01-01").cast("date"))
+    early = merge_profiles(states.where("early"), CLICK_FEATURES)
+    late = states.where("not early").select(early.columns)
+    return rounded(profiles(merge_profiles(early.union(late), CLICK_FEATURES), CLICK_FEATURES))
+
+
 def q31_multi_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys_with_many(feature_store(*_silver(spark, sf_dir)), "customer_id", "loan_id")
 
@@ -130,6 +149,7 @@ QUERIES = {
         q48_activity_profile,
         q58_stored_features,
         q59_stored_matrix,
+        q60_profiles_by_month,
     )
 }
 
@@ -161,4 +181,5 @@ SELECT DISTINCT snapshot_date FROM matrix ORDER BY snapshot_date""",
     "q48_activity_profile": f"WITH {CLICKS},\n{PROFILE}\nSELECT * FROM profile",
 }
 ORACLE["q58_stored_features"] = ORACLE["q29_feature_store"]
+ORACLE["q60_profiles_by_month"] = ORACLE["q48_activity_profile"]
 ORACLE["q59_stored_matrix"] = ORACLE["q30_customer_matrix"]
