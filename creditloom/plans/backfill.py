@@ -7,9 +7,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.functions.casts import text_to_date
@@ -20,11 +21,26 @@ from creditloom.operators.key_counts import COUNT_FLOOR, StoredCounts, stored_ho
 from creditloom.operators.labels import DEFAULT_DPD, DEFAULT_MOB
 from creditloom.operators.skew import ROWS_PER_TASK, HotKeys
 from creditloom.plans.gold import customer_matrix, feature_store, label_store
-from creditloom.plans.silver import silver_attributes, silver_clicks, silver_financials, silver_loans
+from creditloom.operators.vocabulary import extend_vocabularies, read_encoded, stored_vocabularies
+from creditloom.plans.silver import learn_vocabularies, silver_attributes, silver_clicks, silver_financials, silver_loans
 from creditloom.sources.buckets import bucket_schema, read_buckets, write_buckets
-from creditloom.sources.readers import between_snapshots, literal, read_raw, read_snapshots, stored_months, within
+from creditloom.sources.readers import (
+    between_snapshots,
+    children,
+    csv_header,
+    first_file,
+    literal,
+    read_raw,
+    read_snapshots,
+    stored_months,
+    text_schema,
+    within,
+)
 from creditloom.sources.schemas import CUSTOMER, MONTHLY_TABLES, SNAPSHOT, STATIC_TABLES
-from creditloom.sources.writers import WriteAudit, write_snapshots, write_table
+from creditloom.sources.writers import KEPT, OUTCOME, WriteAudit, outcome_path, write_outcomes, write_snapshots, write_table
+
+
+DATE_TEXT = "snapshot_text"
 
 
 @dataclass(frozen=True)
@@ -38,8 +54,9 @@ class Mart:
     dpd: int = DEFAULT_DPD
     mob: int = DEFAULT_MOB
     money: str = "float"
-    loan_items: Sequence[str] | None = None  # vocabularies; learned from the data of the run unless given
+    loan_items: Sequence[str] | None = None  # vocabularies; what is stored with what the data of the run add, unless given
     behaviours: Sequence[str] | None = None
+    vocabulary: str | None = None  # where vocabularies are stored; below the root unless given
     junk_as: str | None = "0"  # what the junk payment behaviour becomes
     exclude: Sequence[str] = ()  # columns kept out of the feature store
     unique_customers: bool = False  # fail when a customer table repeats a customer
@@ -59,36 +76,58 @@ class Mart:
         return {"start": self.start, "end": self.end}
 
 
-def bronze_snapshots(
-    raw: DataFrame, start: str | dt.date, end: str | dt.date, rejected: Observation | None = None
-) -> DataFrame:
-    """Rows of the month-start snapshots in the range, every column but the date as read.
-
-    `rejected` counts the rows that belong to no month: those without a readable date or with one within a month.
-    """
+def bronze_snapshots(raw: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
+    """Rows of the month-start snapshots in the range, every column but the date as read."""
     dated = raw.withColumn(SNAPSHOT, text_to_date(F.col(SNAPSHOT)))
-    if rejected is not None:
-        lost = F.count_if(~F.coalesce(is_month_start(F.col(SNAPSHOT)), F.lit(False)))
-        dated = dated.observe(rejected, lost.alias("rejected"))
     return between_snapshots(dated, start, end).where(is_month_start(F.col(SNAPSHOT)))
 
 
+def bronze_outcomes(raw: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
+    """The same rows as `kept`, and those that belong to no month with the reason why: `no_date`, `unreadable_date`, or `within_month`.
+
+    A date within a month puts the row beside its month; the others have none. `DATE_TEXT` is the date of a rejected row as read. Rows of
+    other months than those of the range are left out.
+    """
+    text, day = F.col(SNAPSHOT), text_to_date(F.col(SNAPSHOT))
+    outcome = (
+        F.when(text.isNull(), "no_date").when(day.isNull(), "unreadable_date").when(is_month_start(day), KEPT).otherwise("within_month")
+    )
+    parted = raw.withColumns({OUTCOME: outcome, DATE_TEXT: text, SNAPSHOT: F.trunc(day, "MM")})
+    parted = parted.withColumn(DATE_TEXT, F.when(F.col(OUTCOME) != KEPT, F.col(DATE_TEXT)))
+    inside = F.col(SNAPSHOT).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    return parted.where(F.col(SNAPSHOT).isNull() | inside)
+
+
 def build_bronze(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
-    """Copy the customer tables whole and the monthly tables by snapshot; each source is scanned once."""
+    """Copy the customer tables whole and the monthly tables by snapshot, rejected rows aside; each source is scanned once."""
     audits = {}
     for table in STATIC_TABLES:
         audits[f"bronze/{table}"] = write_table(read_raw(spark, mart.raw(table)), mart.path("bronze", table), "csv")
     for table in MONTHLY_TABLES:
-        rejected = Observation()
-        kept = bronze_snapshots(read_raw(spark, mart.raw(table)), **mart.months, rejected=rejected)
-        audit = write_snapshots(kept, mart.path("bronze", table), fmt="csv", **mart.months)
-        audits[f"bronze/{table}"] = replace(audit, rejected=rejected.get["rejected"])
+        parted = bronze_outcomes(read_raw(spark, mart.raw(table)), **mart.months)
+        audits[f"bronze/{table}"] = write_outcomes(parted, mart.path("bronze", table), fmt="csv", **mart.months)
     return audits
 
 
 def bronze_table(spark: SparkSession, mart: Mart, table: str) -> DataFrame:
     """A monthly bronze table, limited to the mart's months by partition."""
-    return read_snapshots(spark, mart.path("bronze", table), fmt="csv", **mart.months)
+    return read_snapshots(spark, outcome_path(mart.path("bronze", table)), fmt="csv", **mart.months).drop(DATE_TEXT)
+
+
+def rejected_rows(spark: SparkSession, mart: Mart, table: str) -> DataFrame:
+    """Rows of a monthly table that its last runs rejected, as read, with `outcome` as the reason, all their columns text."""
+    root = mart.path("bronze", table)
+    names = [x.getPath().getName() for x in children(spark, root)]
+    found = [name.partition("=")[2] for name in names if name != f"{OUTCOME}={KEPT}" and first_file(spark, f"{root}/{name}")]
+    parts = []
+    for name in sorted(found):
+        path = outcome_path(root, name)
+        schema = text_schema([*csv_header(spark, first_file(spark, path)), SNAPSHOT])
+        rows = spark.read.option("header", True).schema(schema).csv(literal(path))
+        parts.append(rows.withColumn(OUTCOME, F.lit(name)))
+    if not parts:
+        return bronze_table(spark, mart, table).where(F.lit(False)).withColumns({DATE_TEXT: F.lit(""), OUTCOME: F.lit("")})
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
 
 
 def build_silver(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
@@ -98,9 +137,8 @@ def build_silver(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
     """
     attributes = silver_attributes(read_raw(spark, mart.path("bronze", "features_attributes")))
     raw_financials = read_raw(spark, mart.path("bronze", "features_financials"))
-    financials = silver_financials(
-        raw_financials, mart.loan_items, mart.behaviours, mart.junk_as, mart.max_vocabulary
-    )
+    items, behaviours = vocabularies(spark, mart, raw_financials)
+    financials = silver_financials(raw_financials, items, behaviours, mart.junk_as, mart.max_vocabulary)
     clicks = silver_clicks(bronze_table(spark, mart, "feature_clickstream"))
     loans = silver_loans(bronze_table(spark, mart, "lms_loan_daily"), mart.money)
     tables = {
@@ -112,6 +150,29 @@ def build_silver(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
     return {f"silver/{name}": write_silver_table(mart, name, df, order) for name, (df, order) in tables.items()}
 
 
+def vocabularies(spark: SparkSession, mart: Mart, raw_financials: DataFrame) -> tuple[Sequence[str], Sequence[str]]:
+    """Loan items and behaviours: those given, else those stored by earlier runs and then those new in this run's data."""
+    if mart.loan_items is not None and mart.behaviours is not None:
+        return mart.loan_items, mart.behaviours
+    items, behaviours = learn_vocabularies(raw_financials, mart.junk_as, mart.max_vocabulary)
+    found = {} if mart.loan_items is not None else {"loan_items": items}
+    found |= {} if mart.behaviours is not None else {"behaviours": behaviours}
+    known = extend_vocabularies(spark, vocabulary_root(mart), found, mart.max_vocabulary)
+    given = {"loan_items": mart.loan_items, "behaviours": mart.behaviours}
+    return tuple(known[name] if values is None else values for name, values in given.items())
+
+
+def vocabulary_root(mart: Mart) -> str:
+    return mart.vocabulary or mart.path("vocabulary", "encoded")
+
+
+def feature_months(spark: SparkSession, mart: Mart) -> DataFrame:
+    """The stored feature store of the mart's months with the columns of the whole vocabulary."""
+    known = stored_vocabularies(spark, vocabulary_root(mart))
+    items, behaviours = (given if given is not None else known.get(name, []) for name, given in (("loan_items", mart.loan_items), ("behaviours", mart.behaviours)))
+    return read_encoded(spark, mart.path("gold", "feature_store"), items, behaviours, **mart.months)
+
+
 #: Keys on which gold joins or aggregates each silver table.
 KEYS = {table: {"customer": CUSTOMER} for table in [*STATIC_TABLES, *MONTHLY_TABLES]}
 KEYS["lms_loan_daily"] = {"customer": CUSTOMER, "loan": "loan_id"}

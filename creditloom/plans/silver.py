@@ -80,6 +80,11 @@ def clean_financials(raw: DataFrame, junk_as: str | None = "0") -> DataFrame:
     )
 
 
+def learn_vocabularies(raw: DataFrame, junk_as: str | None = "0", limit: int = MAX_VOCABULARY) -> list[list[str]]:
+    """Loan items and payment behaviours of the raw financials, in one small job."""
+    return learn_both(clean_financials(raw, junk_as), "type_of_loan", "payment_behaviour", limit)
+
+
 def silver_financials(
     raw: DataFrame,
     items: Sequence[str] | None = None,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 from creditloom.functions.dates import months_spanned, snapshot_label
 from creditloom.operators.profiling import catalog_counts, row_audit, row_count
 from creditloom.functions.casts import text_to_date
-from creditloom.plans.backfill import Mart, backfill, bronze_snapshots
+from creditloom.operators.encoding import learn_items, multi_hot
+from creditloom.operators.vocabulary import extend_vocabularies, read_encoded, stored_vocabularies
+from creditloom.plans.backfill import Mart, backfill, bronze_outcomes, bronze_snapshots, bronze_table, rejected_rows
 from creditloom.plans.gold import label_store
+from creditloom.plans.publish import publish, published
 from creditloom.plans.silver import silver_loans
 from creditloom.queries.inputs import attributes, clicks, financials, loan_panel, raw_clicks, raw_loans, table
 from creditloom.queries.loans import panel
@@ -23,14 +27,15 @@ from creditloom.queries.oracle import (
     DIRTY,
     DIRTY_CLICKS,
     FINANCIALS,
+    ITEM_FLAGS,
     LOANS,
     PANEL,
     RAW_AMOUNTS,
 )
 from creditloom.queries.shape import widened
-from creditloom.session import scratch_folder
+from creditloom.session import scratch_folder, shared_folder
 from creditloom.sources.readers import at_snapshot, load_catalog, lookup, read_raw, read_snapshots, register
-from creditloom.sources.writers import write_snapshots, write_table
+from creditloom.sources.writers import write_outcomes, write_snapshots, write_table
 
 TABLES = [
     "region",
@@ -193,14 +198,7 @@ def q54_faithful_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q55_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole mart from CSV sources with mixed-case names: labels with some of the features of the same month."""
     folder = scratch_folder(spark, "q55", sf_dir)
-    sources = {
-        "lms_loan_daily": raw_loans(spark, sf_dir),
-        "feature_clickstream": raw_clicks(spark, sf_dir),
-        "features_attributes": attributes(spark, sf_dir),
-        "features_financials": financials(spark, sf_dir),
-    }
-    for name, df in sources.items():
-        write_table(df.withColumnRenamed("customer_id", "Customer_ID"), f"{folder}/source/{name}.csv", "csv")
+    _write_sources(spark, sf_dir, f"{folder}/source")
     first, last = _range(loan_panel(spark, sf_dir))
     mart = Mart(f"{folder}/source", f"{folder}/mart", first, last)
     backfill(spark, mart)
@@ -225,6 +223,57 @@ def q57_month_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshots(spark, folder, fmt="csv").select("loan_id", "due_amt", "balance", "channel", "snapshot_date")
 
 
+def q62_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze clicks with missing, unreadable and mid-month dates: kept and rejected rows by reason and month."""
+    folder = scratch_folder(spark, "q62", sf_dir)
+    key, text = F.col("customer_id").cast("bigint"), F.col("snapshot_date")
+    dates = F.when(key % 43 == 0, F.lit(None)).when(key % 47 == 0, F.concat(F.substring(text, 1, 8), F.lit("15"))).otherwise(text)
+    source = raw_clicks(spark, sf_dir).withColumn("snapshot_date", dates)
+    write_table(source, f"{folder}/source/feature_clickstream.csv", "csv")
+    first, last = _range(clicks(spark, sf_dir))
+    mart = Mart(f"{folder}/source", f"{folder}/mart", first, last)
+    parted = bronze_outcomes(read_raw(spark, mart.raw("feature_clickstream")), **mart.months)
+    write_outcomes(parted, mart.path("bronze", "feature_clickstream"), fmt="csv", **mart.months)
+    kept = bronze_table(spark, mart, "feature_clickstream").withColumns({"outcome": F.lit("kept"), "snapshot_text": F.lit(None).cast("string")})
+    both = kept.unionByName(rejected_rows(spark, mart, "feature_clickstream"))
+    return both.groupBy("outcome", "snapshot_date", "snapshot_text").agg(F.count("fe_2").alias("known"), F.count(F.lit(1)).alias("row_count"))
+
+
+def q63_vocabulary_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loan types of two runs: the second brings new ones, and the first one's month reads 0 for them."""
+    folder = shared_folder(spark)
+    raw = financials(spark, sf_dir).select("customer_id", "type_of_loan", F.lit(1).alias("has_valid_payment_behavior"))
+    few = F.coalesce(F.col("type_of_loan"), F.lit("")).isin("", "Auto Loan", "Not Specified")
+    for month, rows in (("2023-01-01", raw.where(few)), ("2023-02-01", raw.where(~few))):
+        items = extend_vocabularies(spark, f"{folder}/vocabulary", {"loan_items": learn_items(rows)})["loan_items"]
+        encoded = multi_hot(rows, "type_of_loan", items).withColumn("snapshot_date", F.lit(month).cast("date"))
+        write_snapshots(encoded, f"{folder}/months", month, month)
+    known = stored_vocabularies(spark, f"{folder}/vocabulary")["loan_items"]
+    return read_encoded(spark, f"{folder}/months", known).drop("has_valid_payment_behavior")
+
+
+def q64_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of all months published by one run, and of a year of them by a second one with another definition."""
+    folder = shared_folder(spark)
+    _write_sources(spark, sf_dir, f"{folder}/source")
+    first, last = _range(loan_panel(spark, sf_dir))
+    mart = Mart(f"{folder}/source", f"{folder}/mart", first, last)
+    publish(spark, mart, "first")
+    publish(spark, replace(mart, start="1997-01-01", end="1997-12-01", dpd=60), "second")
+    return published(spark, mart.root, "gold/label_store").select("loan_id", "customer_id", "label", "label_def", "snapshot_date")
+
+
+def _write_sources(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    sources = {
+        "lms_loan_daily": raw_loans(spark, sf_dir),
+        "feature_clickstream": raw_clicks(spark, sf_dir),
+        "features_attributes": attributes(spark, sf_dir),
+        "features_financials": financials(spark, sf_dir),
+    }
+    for name, df in sources.items():
+        write_table(df.withColumnRenamed("customer_id", "Customer_ID"), f"{folder}/{name}.csv", "csv")
+
+
 def q49_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers of one occupation."""
     found = lookup(attributes(spark, sf_dir), "occupation", " BUILDING")
@@ -257,6 +306,9 @@ QUERIES = {
         q54_faithful_bronze,
         q55_backfill,
         q57_month_columns,
+        q62_rejected_rows,
+        q63_vocabulary_runs,
+        q64_publication,
     )
 }
 
@@ -310,6 +362,22 @@ SELECT l.loan_id, l.customer_id, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label,
 FROM loans l LEFT JOIN attributes a ON l.customer_id = a.customer_id LEFT JOIN financials f ON l.customer_id = f.customer_id
 LEFT JOIN raw_clicks c ON l.customer_id = c.customer_id AND l.snapshot_date = c.snapshot_date
 WHERE mob = 6""",
+    "q62_rejected_rows": f"""WITH {CLICKS}, dated AS (
+  SELECT fe_2, CAST(customer_id AS BIGINT) AS k, CAST(customer_id AS BIGINT) % 50 <> 0 AS named, snapshot_date AS month FROM clicks),
+parted AS (SELECT *, CASE WHEN named AND k % 43 = 0 THEN 'no_date' WHEN k % 41 = 0 THEN 'unreadable_date'
+    WHEN named AND k % 47 = 0 THEN 'within_month' ELSE 'kept' END AS outcome FROM dated)
+SELECT outcome, CASE WHEN outcome IN ('kept', 'within_month') THEN month END AS snapshot_date,
+  CASE outcome WHEN 'within_month' THEN strftime(month, '%Y-%m-15') WHEN 'unreadable_date' THEN CASE WHEN named AND k % 47 = 0 THEN 'unknown' || '15' ELSE 'unknown' END END
+    AS snapshot_text, count(fe_2) AS known, count(*) AS row_count
+FROM parted GROUP BY 1, 2, 3""",
+    "q63_vocabulary_runs": f"""WITH {FINANCIALS}
+SELECT customer_id, type_of_loan, {", ".join(ITEM_FLAGS)},
+  CASE WHEN coalesce(type_of_loan, '') IN ('', 'Auto Loan', 'Not Specified') THEN DATE '2023-01-01' ELSE DATE '2023-02-01' END AS snapshot_date
+FROM (SELECT * FROM raw_financials)""",
+    "q64_publication": f"""WITH {DIRTY}, labelled AS (
+  SELECT *, CASE WHEN year(snapshot_date) = 1997 THEN 60 ELSE 30 END AS threshold FROM loans WHERE mob = 6)
+SELECT loan_id, customer_id, CASE WHEN dpd >= threshold THEN 1 ELSE 0 END AS label,
+  concat(CAST(threshold AS STRING), 'dpd_6mob') AS label_def, snapshot_date FROM labelled""",
     "q57_month_columns": f"""WITH {RAW_AMOUNTS}
 SELECT loan_id, CASE WHEN snapshot_date < DATE '1998-01-01' THEN due_text END AS due_amt, balance_text AS balance,
   CASE WHEN year(snapshot_date) = 1997 THEN concat(' c', loan_id) END AS channel, snapshot_date FROM raw_amounts""",

@@ -7,7 +7,6 @@ the way for tables whose hot customers would fill a bucket.
 
 from __future__ import annotations
 
-import json
 import zlib
 from collections.abc import Sequence
 
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.functions.casts import backticked
+from creditloom.sources.files import read_json, write_json
 from creditloom.sources.readers import Day, between_snapshots, file_system, stored_months, within
 from creditloom.sources.schemas import CUSTOMER, SNAPSHOT
 from creditloom.sources.writers import WriteAudit
@@ -42,7 +42,7 @@ def write_buckets(
     if monthly:
         df = df.select(*[backticked(c) for c in df.columns if c != SNAPSHOT], SNAPSHOT)
     held = {m for m in stored_months(spark, path) if within(m, start, end)} if monthly and start is not None else set()
-    describe(spark, path, {"schema": df.schema.jsonValue(), "count": count, "by": by, "monthly": monthly})
+    write_json(spark, description(path), {"schema": df.schema.jsonValue(), "count": count, "by": by, "monthly": monthly})
     name = enter(spark, path)
     months = F.collect_set(SNAPSHOT) if monthly else F.array()
     seen = Observation()
@@ -70,33 +70,20 @@ def read_buckets(spark: SparkSession, path: str, start: Day = None, end: Day = N
 
 def bucket_schema(spark: SparkSession, path: str) -> T.StructType:
     """The columns of a bucketed table, also where it has no rows."""
-    return T.StructType.fromJson(described(spark, path)["schema"])
+    return T.StructType.fromJson(read_json(spark, description(path))["schema"])
 
 
-def description(spark: SparkSession, path: str) -> tuple:
+def description(path: str) -> str:
     """The file beside a table's folder, hidden from Spark's readers, as a whole table's write replaces its folder."""
     above, _, name = path.rstrip("/").rpartition("/")
-    return file_system(spark, f"{above}/_{name}.buckets.json")
-
-
-def describe(spark: SparkSession, path: str, table: dict) -> None:
-    system, file = description(spark, path)
-    out = system.create(file, True)
-    out.write(json.dumps(table).encode())
-    out.close()
-
-
-def described(spark: SparkSession, path: str) -> dict:
-    system, file = description(spark, path)
-    text = spark._jvm.org.apache.commons.io.IOUtils.toString(system.open(file), "UTF-8")
-    return json.loads(text)
+    return f"{above}/_{name}.buckets.json"
 
 
 def enter(spark: SparkSession, path: str) -> str:
     """Enter the table into the session's catalog with its buckets and stored months; its name there."""
     system, folder = file_system(spark, path)
     place = system.makeQualified(folder).toString()
-    table = described(spark, path)
+    table = read_json(spark, description(path))
     schema = T.StructType.fromJson(table["schema"])
     name = f"buckets_{zlib.crc32(place.encode()):08x}"
     columns = ", ".join(f"{backticked(f.name)} {f.dataType.simpleString()}" for f in schema.fields)

@@ -10,16 +10,20 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from creditloom.functions.casts import backticked
-from creditloom.sources.readers import Day, month_headers, stored_months, within
+from creditloom.sources.readers import Day, children, file_system, month_headers, stored_months, within
 from creditloom.sources.schemas import SNAPSHOT
 
 
+OUTCOME, KEPT = "outcome", "kept"
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder for a NULL
+
+
 @dataclass(frozen=True)
 class WriteAudit:
     """What a write put down, counted while writing."""
 
     rows: int
-    rejected: int = 0  # rows of the source that have no readable month-start date
+    rejected: int = 0  # rows put down as rejected
     snapshots: list[dt.date] = field(default_factory=list)
 
 
@@ -62,6 +66,52 @@ def write_snapshots(
     return audit
 
 
+def write_outcomes(
+    df: DataFrame,
+    root: str,
+    start: Day = None,
+    end: Day = None,
+    fmt: str = "parquet",
+    outcome: str = OUTCOME,
+    kept: str = KEPT,
+) -> WriteAudit:
+    """One write that parts rows by their outcome: `kept` ones, and rejected ones under the reason why, each by month.
+
+    Below each outcome lies a dataset by `snapshot_date`, so kept rows are read as any snapshots, from `outcome_path`. Rejected rows
+    without a month are replaced by every write, those with one when their month is. The audit's rows are the kept ones.
+    """
+    spark = df.sparkSession
+    kept_path = outcome_path(root, kept, outcome)
+    held = stored_months(spark, kept_path)
+    if fmt == "csv" and held:
+        df = _in_stored_order(df, kept_path, min(held), last=[outcome, SNAPSHOT])
+    seen = Observation()
+    place = F.struct(F.col(outcome).alias("outcome"), F.col(SNAPSHOT).alias("month"))
+    is_kept = F.col(outcome) == kept
+    out = df.hint("rebalance", outcome, SNAPSHOT).observe(
+        seen, F.count_if(is_kept).alias("rows"), F.count_if(~is_kept).alias("rejected"), F.collect_set(place).alias("places")
+    )
+    writer = out.write.mode("overwrite").partitionBy(outcome, SNAPSHOT).option("partitionOverwriteMode", "dynamic")
+    _with_header(writer, fmt).format(fmt).save(root)
+    written = {(p["outcome"], p["month"]) for p in seen.get["places"]}
+    for name in [x.getPath().getName().partition("=")[2] for x in children(spark, root)]:
+        path = outcome_path(root, name, outcome)
+        months = {month for month in stored_months(spark, path) if within(month, start, end)}
+        for month in [*months, *[None] * (name != kept)]:
+            if (name, month) not in written:
+                system, folder = file_system(spark, f"{path}/{SNAPSHOT}={month or NO_MONTH}")
+                system.delete(folder, True)
+    snapshots = sorted(month for name, month in written if name == kept)
+    if start is not None and not stored_months(spark, kept_path):
+        empty = df.where(F.lit(False)).drop(outcome, SNAPSHOT).write.mode("overwrite")  # so that the dataset can be read
+        _with_header(empty, fmt).format(fmt).save(f"{kept_path}/{SNAPSHOT}={start}")
+    return WriteAudit(seen.get["rows"], seen.get["rejected"], snapshots)
+
+
+def outcome_path(root: str, name: str = KEPT, outcome: str = OUTCOME) -> str:
+    return f"{root}/{outcome}={name}"
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> WriteAudit:
     """Write a table without snapshots, replacing it as a whole."""
     seen = Observation()
@@ -78,9 +128,9 @@ def _with_header(writer, fmt: str):
     return writer.options(header=True, **kept)
 
 
-def _in_stored_order(df: DataFrame, root: str, month: dt.date) -> DataFrame:
+def _in_stored_order(df: DataFrame, root: str, month: dt.date, last: Sequence[str] = (SNAPSHOT,)) -> DataFrame:
     """Columns of the month stored first in its order, then the others, so that months with the same columns have one header."""
     stored = month_headers(df.sparkSession, root, month, month)[month]
     rank = {name.lower(): place for place, name in enumerate(stored)}
-    columns = sorted((c for c in df.columns if c != SNAPSHOT), key=lambda c: rank.get(c.lower(), len(rank)))
-    return df.select(*[backticked(c) for c in columns], SNAPSHOT)
+    columns = sorted((c for c in df.columns if c not in last), key=lambda c: rank.get(c.lower(), len(rank)))
+    return df.select(*[backticked(c) for c in columns], *last)
