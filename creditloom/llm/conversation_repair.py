@@ -445,7 +445,8 @@ def ordered_rows(conversations: DataFrame, conv_id: str, turn: str, role: str, t
     like = rows.groupBy("_id", "_turn", "role", "text").agg(F.sum("times").alias("times"))
     like = staged(like.withColumns({"blank": ~F.col("text").rlike(f"[^{BLANK}]"), "k1": F.xxhash64(F.lit(1), "role", "text"), "k2": F.xxhash64(F.lit(2), "role", "text")}))
     said = like.where(~F.col("blank")).groupBy("_id", "k1", "k2").agg(F.min("_turn").alias("earliest"), F.count("k1").alias("n"))
-    again = said.where("n > 1").drop("n")
+    # Written first, so that the join knows its size and moves the texts only where it is large.
+    again = staged(said.where("n > 1").drop("n"))
     later = F.coalesce(F.col("_turn") > F.col("earliest"), F.lit(False))
     truncated = ~F.col("text").rlike(rf"[.!?][{BLANK}]*\z")
     judged = like.join(again, ["_id", "k1", "k2"], "left").select("_id", "_turn", "role", "text", "times", "blank", truncated.alias("truncated"), later.alias("later"))

@@ -106,25 +106,26 @@ def held_out(doc_id: str) -> Column:
 def learn(docs: DataFrame, text: str, lang: str, doc_id: str, sample_rows: int = 2048, landmarks: int = 256, ridge: float = 1e-5) -> KernelModel:
     """A model of at most `sample_rows` texts, as many of each language as there are, drawn by a hash of the id.
 
-    Learns from rows with a language, an id and a text with letters, and not from those held out.
+    Learns from rows with a language, an id and a text with letters, and not from those held out. Rows that repeat id, text and language
+    are one draw wherever draws are counted, ranked or read, so neither do they crowd out other texts nor come to the driver twice.
     """
     importable(docs.sparkSession)
     usable = docs.where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(doc_id))
     rows = usable.select(F.col(lang).alias("lang"), F.xxhash64(F.lit(8), F.col(doc_id), F.col(text)).alias("draw"), F.col(text).alias("_text"))
-    sizes = rows.groupBy("lang").agg(F.count("draw").alias("n")).limit(sample_rows + 1).collect()
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("draw", 0.02).alias("n")).limit(sample_rows + 1).collect()
     if len(sizes) > sample_rows:
         raise ValueError(f"more than {sample_rows} languages; raise sample_rows")
     each = max(1, sample_rows // max(1, len(sizes)))
-    # About twice as many rows of each language pass as are wanted, so the choice among them is small at any size. Only
-    # hashes travel to it; the texts of the chosen rows are found by a broadcast of at most sample_rows of them.
+    # About twice as many draws of each language pass as are wanted, so the choice among them is small at any size. Only
+    # hashes travel to it; the texts of the chosen draws are found by a broadcast of at most sample_rows of them.
     shares = docs.sparkSession.createDataFrame([(r.lang, min(1.0, (2 * each + 20) / r.n)) for r in sizes], "lang string, share double")
     place = F.shiftrightunsigned("draw", 11) / float(1 << 53)
-    few = rows.select("lang", "draw", place.alias("place")).join(F.broadcast(shares), "lang").where("place < share")
-    first = Window.partitionBy("lang").orderBy("place", "draw")
-    chosen = few.withColumn("n", F.row_number().over(first)).where(F.col("n") <= each).select("draw")
-    found = rows.join(F.broadcast(chosen.distinct()), "draw")
+    few = rows.select("lang", "draw").join(F.broadcast(shares), "lang").where(place < F.col("share")).select("lang", "draw").distinct()
+    first = Window.partitionBy("lang").orderBy(place, "draw")
+    chosen = few.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= each).select("lang", "draw")
+    found = rows.join(F.broadcast(chosen), ["lang", "draw"]).dropDuplicates(["lang", "draw"])
     sample = found.mapInArrow(packed_bins, "lang string, draw long, bits binary").collect()
-    sample = sorted({(r.draw, r.lang, bytes(r.bits)) for r in sample})
+    sample = sorted((r.draw, r.lang, bytes(r.bits)) for r in sample)
     tables = np.array([np.frombuffer(r[2], np.uint8) for r in sample]).reshape(-1, BINS // 8)
     return fit_kernel(tables, [r[1] for r in sample], landmarks, ridge)
 

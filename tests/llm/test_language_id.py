@@ -80,3 +80,25 @@ def test_folded_weights_equal_the_kernel(make_docs):
     targets = np.where(names[:, None] == np.array(model.languages), 1.0, -1.0)
     alpha = np.linalg.solve(kernel.T @ kernel + 1e-3 * 60 * among + 1e-9 * 60 * np.eye(9), kernel.T @ targets)
     assert np.allclose(model.scores(language_id.presence([r[1].encode() for r in rows])), kernel @ alpha, atol=1e-3)
+
+
+def learned(monkeypatch, docs, **bounds):
+    """Languages of the texts that were learned from."""
+    seen = []
+    fit = language_id.fit_kernel
+    monkeypatch.setattr(language_id, "fit_kernel", lambda tables, labels, *rest: seen.append(labels) or fit(tables, labels, *rest))
+    language_id.learn(docs, "text", "lang", "doc_id", **bounds)
+    return sorted(seen[0])
+
+
+def test_repeated_rows_are_one_draw(spark, make_docs, monkeypatch):
+    """However often a row stands there, it takes one place of its language, and other languages keep theirs."""
+    few = [(k, text, lang, "s") for k, text, lang, _ in corpus(count=200) if lang == "bb" and zlib.crc32(str(k).encode()) % 3 != 1][:8]
+    many = make_docs([(0, "the ing er and ou wh", "aa", "s")]).crossJoin(spark.range(20_000).drop("id"))
+    assert learned(monkeypatch, many.union(make_docs(few))) == ["aa"] + ["bb"] * 8
+
+
+def test_the_sample_stays_bounded_where_rows_repeat(spark, make_docs, monkeypatch):
+    rows = make_docs(corpus(count=400)).crossJoin(spark.range(30).drop("id"))
+    names = learned(monkeypatch, rows, sample_rows=60)
+    assert len(names) <= 60 and {x: names.count(x) for x in names} == {"aa": 20, "bb": 20, "cc": 20}
