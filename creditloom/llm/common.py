@@ -20,11 +20,12 @@ NO_ID = -(1 << 63)
 def staged(df: DataFrame, compact: bool = False) -> DataFrame:
     """The rows written to the shared folder and read back: computed once, and not lost with an executor.
 
-    `compact` is for narrow rows, as links are: a few tasks for each core of the cluster write them, however many
-    partitions a shuffle has.
+    `compact` is for joins and aggregations of narrow rows, as links are: an eighth of a shuffle's partitions, or a few tasks for each core,
+    do them and write few files. A shuffle has the more partitions the larger the data, so the tasks don't grow.
     """
     if compact:
-        df = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+        spark = df.sparkSession
+        df = df.coalesce(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     path = f"{shared_folder(df.sparkSession)}/rows"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

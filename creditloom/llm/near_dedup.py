@@ -274,7 +274,7 @@ def closer_homes(apart: DataFrame, percent: int) -> DataFrame:
     """
     blocks = F.ceil(F.col("all") / BLOCK)
     sample = apart.select("home", "rep", "all", "values").where(salt("rep", 6, blocks) == 0).drop("rep")
-    common = staged(sample.groupBy("home").applyInPandas(common_values, "home long, all long, common binary"), compact=True)
+    common = staged(sample.groupBy("home").applyInPandas(common_values, "home long, all long, common binary"))
     common = common.select("home", "common", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block")).groupBy("home", "block")
     classes = apart.select("home", "rep", "part", "values", salt("rep", 5, blocks).alias("block")).groupBy("home", "block")
     postings = staged(classes.cogroup(common).applyInPandas(prefixes(percent), "home long, rep long, part long, value long"))
@@ -301,7 +301,7 @@ def class_components(rows: DataFrame, classes: DataFrame, words: int, percent: i
 
     def inside(table: DataFrame, seed: int) -> DataFrame:
         grouped = table.withColumn("block", salt("rep", seed, blocks)).groupBy("home", "block")
-        return staged(grouped.applyInPandas(within_block(percent), "a long, b long"), compact=True)
+        return staged(grouped.applyInPandas(within_block(percent), "a long, b long"))
 
     large = sets.where(F.col("size") > BLOCK)
     found = components(inside(sets, 1).union(inside(large, 2))).toDF("rep", "part")
@@ -309,7 +309,7 @@ def class_components(rows: DataFrame, classes: DataFrame, words: int, percent: i
     placed = large.join(found, "rep", "left").withColumn("part", F.coalesce("part", "rep"))
     several = placed.groupBy("home").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("rep").alias("all")).where("low < high")
     apart = placed.join(staged(several.select("home", "all"), compact=True), "home")
-    placed = apart.drop("home", "all").join(staged(closer_homes(apart, percent), compact=True), "rep")
+    placed = apart.drop("home", "all").join(staged(closer_homes(apart, percent)), "rep")
     members = staged(placed.groupBy("home", "part").agg(F.count("rep").alias("members")), compact=True)
     totals = members.groupBy("home").agg(
         F.max_by("part", F.struct("members", "part")).alias("main"), F.sum("members").alias("all"), F.max("members").alias("most")
