@@ -128,7 +128,8 @@ class Rule:
     def vote(self) -> Column:
         value = self.value()
         good = self.good(value) if self.good else F.lit(False)
-        return F.when(~self.applies() | value.isNull(), 0).when(self.bad(value), -1).when(good, 1).otherwise(0)
+        silent = 0 if self.good else 1
+        return F.when(~self.applies() | value.isNull(), 0).when(self.bad(value), -1).when(good, 1).otherwise(silent)
 
 
 def share(part: str, whole: str) -> Callable[[], Column]:
@@ -151,21 +152,14 @@ RULES = (
 
 @dataclass(frozen=True)
 class VoteModel:
-    """Share of good documents, and each rule's rates of right votes on good and on bad ones.
-
-    An alarm that abstains counts as a vote for good; how little that says is in its rates, as it also keeps still on most bad documents.
-    """
+    """Share of good documents, and each rule's rates of right votes on good and on bad ones. An abstention says nothing."""
 
     prior: float
     on_good: tuple[float, ...]
     on_bad: tuple[float, ...]
-    alarms: tuple[bool, ...]
-
-    def cast(self, votes: np.ndarray) -> np.ndarray:
-        return np.where(np.array(self.alarms) & (votes == 0), 1, votes)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        good, bad, votes = np.array(self.on_good), np.array(self.on_bad), self.cast(votes)
+        good, bad, votes = np.array(self.on_good), np.array(self.on_bad), votes
         odds = np.where(votes > 0, np.log(good) - np.log1p(-bad), np.where(votes < 0, np.log1p(-good) - np.log(bad), 0.0))
         return 1 / (1 + np.exp(-(math.log(self.prior) - math.log1p(-self.prior) + odds.sum(axis=1))))
 
@@ -182,20 +176,19 @@ def fit_votes(
     total = counts.sum()
     alarms = alarms or (False,) * votes.shape[1]
     starts = [np.where(alarms, ring, belief) for ring in (0.98, 0.3)]
-    model = VoteModel(belief, *(tuple(x.tolist()) for x in starts), alarms)
+    model = VoteModel(belief, *(tuple(x.tolist()) for x in starts))
     if not total:
         return model
-    read = model.cast(votes)
     prior = max(1.0, weight * total)
     for _ in range(rounds):
         good = model.posterior(votes)
         rates = []
-        for mass, right, start in ((good * counts, read > 0, starts[0]), ((1 - good) * counts, read < 0, starts[1])):
-            hits, cast = (right * mass[:, None]).sum(axis=0), ((read != 0) * mass[:, None]).sum(axis=0)
+        for mass, right, start in ((good * counts, votes > 0, starts[0]), ((1 - good) * counts, votes < 0, starts[1])):
+            hits, cast = (right * mass[:, None]).sum(axis=0), ((votes != 0) * mass[:, None]).sum(axis=0)
             rates.append(np.clip((hits + prior * start) / (cast + prior), 0.001, 0.999))
         rates[1] = np.clip(rates[1], 1.001 - rates[0], 0.999)
         share_good = float(np.clip((good * counts).sum() / total, 0.01, 0.99))
-        now = VoteModel(share_good, *(tuple(x.tolist()) for x in rates), alarms)
+        now = VoteModel(share_good, *(tuple(x.tolist()) for x in rates))
         moved = max(abs(now.prior - model.prior), *(abs(a - b) for a, b in zip(now.on_good + now.on_bad, model.on_good + model.on_bad, strict=True)))
         model = now
         if moved < 1e-9:
