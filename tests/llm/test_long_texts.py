@@ -1,0 +1,81 @@
+"""A text of some megabytes goes through each operator as any other: whole, and without disturbing its neighbours."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from corpora import prose, words_of
+from creditloom.llm import language_id, license_scan, line_dedup, mixing, near_dedup, piece_scan, quality_rules, substring_dedup, token_files
+
+LONG = "\n".join(" ".join(prose(k, 12, 100_000)) + "." for k in range(40_000))
+SHORT = "A short text of a few words.\nIt has two lines."
+ROWS = [(1, LONG), (2, SHORT), (3, LONG + " with an end"), (4, None)]
+
+
+@pytest.fixture(scope="module")
+def sizes():
+    assert len(LONG) > 3 << 20
+    return {k: len(words_of(text)) for k, text in ROWS}
+
+
+def by_id(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_token_files(spark, make_docs, tmp_path):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_ids(make_docs(ROWS[:2]), str(tmp_path / "files"), path, 2)
+    found = by_id(token_files.read_ids(spark, str(tmp_path / "files")))
+    library = Tokenizer.from_file(path)
+    for k, text in ROWS[:2]:
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        assert (found[k].n_tokens, found[k].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
+def test_mixing_and_quality(make_docs, sizes):
+    docs = make_docs([(k, text, None, f"s{k}") for k, text in ROWS])
+    assert {r.doc_id: r.n_tokens for r in mixing.mixing_report(docs, max_epochs=1000.0).collect()} == {k: n for k, n in sizes.items() if n}
+    found = by_id(quality_rules.quality_report(docs))
+    assert {k: r.n_words for k, r in found.items()} == sizes
+    assert not found[1].base_failed and found[2].base_failed
+
+
+def test_substrings(make_docs, sizes):
+    found = by_id(substring_dedup.without_repeats(make_docs(ROWS), window=20))
+    assert {k: r.n_words for k, r in found.items()} == sizes
+    # The copy keeps what the first one doesn't have: a window that reaches over its end is new, and the words before are covered.
+    assert found[1].n_removed == 0 and found[3].n_removed == sizes[1]
+    assert found[3].kept_sha256 == hashlib.sha256(b"with an end").hexdigest()
+
+
+def test_pieces(make_docs):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    found = by_id(piece_scan.piece_report(make_docs(ROWS[:2]), public_tokenizers.path("piece_bpe_32k.model")))
+    for k, text in ROWS[:2]:
+        assert found[k].ids_crc32 == zlib.crc32(piece_scan.packed(library.encode(text)))
+
+
+def test_licences(make_docs, sizes):
+    found = by_id(license_scan.scan_licenses(make_docs([(1, LONG + " All rights reserved"), (2, SHORT)])))
+    assert (found[1].n_base, found[1].first_word, found[1].base_labels) == (1, found[1].n_words - 3, "reserved")
+    assert found[2].n_base == 0
+
+
+def test_languages(make_docs):
+    rows = [(k, f"the words of text number {k}", "en", "s") for k in range(30)] + [(100, LONG, None, "s")]
+    assert by_id(language_id.identify(make_docs(rows)))[100].lang_pred == "en"
+
+
+def test_near_duplicates_and_lines(make_docs):
+    found = by_id(near_dedup.near_duplicates(make_docs(ROWS)))
+    assert {k: r.component_id for k, r in found.items()} == {1: 1, 2: 2, 3: 1, 4: 4}
+    lines = by_id(line_dedup.line_report(make_docs(ROWS)))
+    assert (lines[1].n_lines, lines[1].n_dropped) == (40_000, 0)
+    assert lines[1].kept_sha256 == hashlib.sha256(LONG.encode()).hexdigest()

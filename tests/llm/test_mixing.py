@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import math
 import random
+import struct
 
+import numpy as np
 import pytest
+import xxhash
 
 from corpora import ODD_TEXTS, prose, words_of
 from creditloom.llm import mixing
@@ -86,6 +89,55 @@ def test_blocks_are_permuted_and_sources_read_alongside(make_docs, monkeypatch):
     assert hot != sorted(hot)
 
 
+def hashed(*values):
+    """Spark's 64-bit hash of columns: of each value with the hash of those before as the seed."""
+    seed = 42
+    for value in values:
+        packed = value if isinstance(value, bytes) else struct.pack("<i" if isinstance(value, np.int32) else "<q", value)
+        seed = xxhash.xxh64_intdigest(packed, seed)
+    return struct.unpack("<q", struct.pack("<Q", seed))[0]
+
+
+def brute_schedule(rows, max_epochs, block_docs, seed=3):
+    """(doc_id, source, tokens, epoch, place) of every reading, source by source and document by document."""
+    sizes, seed = tokens(rows), np.int32(seed)
+    total = sum(sizes.values())
+
+    def spread(exponent):
+        gains = [(n / total) ** (exponent - 1) for n in sizes.values()]
+        return max(gains) / min(gains)
+
+    low, high = 0.0, 1.0
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (low, middle) if spread(middle) <= max_epochs else (middle, high)
+    exponent = math.ceil((0.0 if spread(0.0) <= max_epochs else high) * 1e9) / 1e9
+    weight = weights(sizes, exponent)
+    spent = max(n / weight[s] for s, n in sizes.items())
+    out = []
+    for source, size in sizes.items():
+        own = [(k, hashed((text or "").encode()), len(words_of(text))) for k, text, _, s in rows if s == source]
+        epochs = round(round(weight[source], 12) * spent / size, 9)
+        whole, n_blocks = math.floor(epochs), -(-len(own) // block_docs)
+        block = {k: hashed(k, copy, seed) % n_blocks for k, copy, _ in own}
+        outer = {b: (hashed(seed, whole, b), b) for b in set(block.values())}
+        own.sort(key=lambda d: (outer[block[d[0]]], hashed(seed, whole, d[0], d[1]), d[0], d[1]))
+        before = 0
+        for k, _, n in own:
+            copies = whole + (before < (epochs - whole) * size)
+            out += [(k, source, n, e, round(before / size / epochs + e / epochs, 7)) for e in range(copies)]
+            before += n
+    return sorted(out)
+
+
+@pytest.mark.parametrize("max_epochs", [1.0, 1.7, 3.0, 50.0])
+def test_schedule_equals_brute_force(make_docs, monkeypatch, max_epochs):
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 10)
+    rows = corpus(seed=4)
+    report = mixing.mixing_report(make_docs(rows).repartition(3), max_epochs=max_epochs).collect()
+    assert sorted((r.doc_id, r.source, r.n_tokens, r.epoch, round(r.place, 7)) for r in report) == brute_schedule(rows, max_epochs, 10)
+
+
 def test_same_rows_on_every_run(make_docs):
     rows = corpus(seed=2)
     one = sorted(map(tuple, mixing.mixing_report(make_docs(rows).repartition(2), max_epochs=1.7).collect()))
