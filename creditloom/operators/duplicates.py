@@ -24,12 +24,14 @@ def shared_count(
 
     NULL is not a value: its rows get a NULL count and flag 0. The counts are joined back instead of taken
     over a window, which would put all rows of a common value into one task. The counts themselves tell which values
-    are common: the `listed_values` most frequent ones above `rows_per_task` come by broadcast, and all rows
-    without one of these, NULL rows aside, by a plain join.
+    are common: the `listed_values` most frequent ones above `rows_per_task` come by broadcast, as hashes of 128 bits so that long values
+    don't matter, and all rows without one of these, NULL rows aside, by a plain join.
     """
+    hashes = {"__h1": F.xxhash64(column), "__h2": F.xxhash64(F.lit(1), column)}
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(count))
     common = counts.where(F.col(count) > rows_per_task).orderBy(F.desc(count), column).limit(listed_values)
-    marked = df.join(F.broadcast(common.withColumnRenamed(count, "__common")), column, "left")
+    listed = common.withColumns(hashes).select(*hashes, F.col(count).alias("__common"))
+    marked = df.withColumns(hashes).join(F.broadcast(listed), list(hashes), "left")
     # A row whose count is known, or that has no value, is dealt out by itself and meets nothing in the join.
     settled = F.col("__common").isNotNull() | F.col(column).isNull()
     rows = marked.withColumn("__value", F.when(~settled, F.col(column)))
