@@ -406,15 +406,21 @@ def read_blocks(symbols: np.ndarray, frequencies: np.ndarray, with_ids: bool):
     return run
 
 
-def join_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for pieces in batch.column("pieces").to_pylist():
-            crc = pieces[0]["crc"]
-            for piece in pieces[1:]:
-                crc = crc32_joined(crc, piece["crc"], 4 * piece["size"])
-            out.append(crc)
-        yield batch.drop_columns(["pieces"]).append_column("ids_crc32", pa.array(out, pa.int64()))
+def join_pieces(with_ids: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            checksums, ids = [], []
+            for pieces in batch.column("pieces").to_pylist():
+                crc = pieces[0]["crc"]
+                for piece in pieces[1:]:
+                    crc = crc32_joined(crc, piece["crc"], 4 * piece["size"])
+                checksums.append(crc)
+                if with_ids:
+                    ids.append(b"".join(piece["part"] for piece in pieces))
+            batch = batch.drop_columns(["pieces"]).append_column("ids_crc32", pa.array(checksums, pa.int64()))
+            yield batch.append_column("ids", pa.array(ids, pa.binary())) if with_ids else batch
+
+    return run
 
 
 def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -435,10 +441,8 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
         F.sum("size").alias("n_tokens"),
         F.array_sort(F.collect_list(F.struct(*fields))).alias("pieces"),
     )
-    if with_ids:
-        whole = whole.withColumn("ids", F.aggregate("pieces.part", F.unhex(F.lit("")), lambda a, b: F.concat(a, b)))
-    kept = [f"{c} {'binary' if c == 'ids' else 'int' if c == 'shard' else 'long'}" for c in whole.columns if c != "pieces"]
-    whole = whole.mapInArrow(join_pieces, ", ".join([*kept, "ids_crc32 long"]))
+    kept = [f"{c} {'int' if c == 'shard' else 'long'}" for c in whole.columns if c != "pieces"]
+    whole = whole.mapInArrow(join_pieces(with_ids), ", ".join([*kept, "ids_crc32 long", *["ids binary"] * with_ids]))
     # There is one row for each shard, the output of a task.
     sizes = blocks.groupBy("shard").agg(F.sum("tokens").alias("tokens"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
