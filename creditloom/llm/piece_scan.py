@@ -8,8 +8,8 @@ minus infinity if not, and just one path from the start to any place is finite.
 
 A chunk is cut off at any character. The state at a boundary is the last piece that begins before it: how far back it begins and
 how far it reaches over. A chunk's transfer matrix holds the weight of the best path from each state at its
-beginning to each at its end. Matrices are combined associatively along a document, which gives the states at all
-boundaries, and each chunk then traces its own path back. No piece of the vocabulary goes on with a blank after
+beginning to each at its end. Products are associative, so they are taken up a tree, a fan of neighbouring matrices at a time and all fans in
+parallel; down the same tree go the states at the boundaries, and each chunk then traces its own path back. No piece of the vocabulary goes on with a blank after
 another character, so paths in a chunk meet at such places; between the first and the last of them the library encodes the chunk.
 """
 
@@ -20,7 +20,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -31,6 +30,7 @@ from creditloom.llm.common import keyed, restored, staged
 
 GIANT = 32768  # characters beyond which a document is cut into chunks
 CHUNK = 16384
+FAN = 64  # matrices that are multiplied in one group
 BLANK = "▁"  # what the library writes for a blank
 NONE = float("-inf")
 START = -1  # the state before the first piece
@@ -184,18 +184,19 @@ def product(one: Matrix, two: Matrix) -> Matrix:
     return out
 
 
-def boundaries(matrices: list[Matrix]) -> list[tuple[int, int]]:
-    """The states before and after each chunk on the best path of a document."""
-    fronts: list[Matrix] = [{START: {START: 0.0}}]
+def boundaries(matrices: list[Matrix], source: int = START, target: int | None = None) -> list[tuple[int, int]]:
+    """The states before and after each chunk on the best path from a state to another, by default to the best one."""
+    fronts: list[Matrix] = [{source: {source: 0.0}}]
     for matrix in matrices:
         fronts.append(product(fronts[-1], matrix))
-    last = max(fronts[-1][START], key=fronts[-1][START].get)
+    ends = fronts[-1][source]
+    last = max(ends, key=ends.get) if target is None else target
     out = []
     for matrix, front in zip(reversed(matrices), reversed(fronts[:-1]), strict=True):
-        begun = front[START]
-        source = max((s for s in begun if last in matrix.get(s, {})), key=lambda s: begun[s] + matrix[s][last])
-        out.append((source, last))
-        last = source
+        begun = front[source]
+        middle = max((s for s in begun if last in matrix.get(s, {})), key=lambda s: begun[s] + matrix[s][last])
+        out.append((middle, last))
+        last = middle
     return out[::-1]
 
 
@@ -246,32 +247,71 @@ def split_giants(longest: int, size: int):
     return run
 
 
+CELLS = pa.list_(pa.struct([("source", pa.int32()), ("target", pa.int32()), ("weight", pa.float64())]))
+MATRICES = "_id long, _copy long, chunk long, cells array<struct<source: int, target: int, weight: double>>"
+STATES = "_id long, _copy long, chunk long, source int, target int"
+
+
+def flat(matrix: Matrix) -> list[dict]:
+    return [{"source": s, "target": t, "weight": w} for s, row in matrix.items() for t, w in row.items()]
+
+
+def unflat(cells: list[dict]) -> Matrix:
+    matrix: Matrix = {}
+    for cell in cells:
+        matrix.setdefault(cell["source"], {})[cell["target"]] = cell["weight"]
+    return matrix
+
+
 def chunk_matrices(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(path)
         for batch in batches:
             rows = []
             for k, low, high, part in zip(*(batch.column(c).to_pylist() for c in ("chunk", "low", "high", "part")), strict=True):
-                matrix = transfer(vocabulary, part, low, high, k == 0)
-                rows.append([{"source": s, "target": t, "weight": w} for s, row in matrix.items() for t, w in row.items()])
-            cells = pa.list_(pa.struct([("source", pa.int32()), ("target", pa.int32()), ("weight", pa.float64())]))
+                rows.append(flat(transfer(vocabulary, part, low, high, k == 0)))
             kept = [batch.column(c) for c in ("_id", "_copy", "chunk")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, cells)], names=["_id", "_copy", "chunk", "cells"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, CELLS)], names=["_id", "_copy", "chunk", "cells"])
 
     return run
 
 
-def scan_document(rows: pd.DataFrame) -> pd.DataFrame:
-    """States at the boundaries of one document's chunks; repeated rows give the same ones."""
-    rows = rows.drop_duplicates("chunk").sort_values("chunk", ignore_index=True)
-    matrices: list[Matrix] = []
-    for cells in rows["cells"]:
-        matrix: Matrix = {}
-        for cell in cells:
-            matrix.setdefault(cell["source"], {})[cell["target"]] = cell["weight"]
-        matrices.append(matrix)
-    found = boundaries(matrices)
-    return rows[["_id", "_copy", "chunk"]].assign(source=[s for s, _ in found], target=[t for _, t in found])
+def fan_product(rows: pa.Table) -> pa.Table:
+    """The product of a fan of matrices, which may be taken without the others as products are associative."""
+    rows = rows.sort_by("chunk").to_pydict()
+    total = unflat(rows["cells"][0])
+    for cells in rows["cells"][1:]:
+        total = product(total, unflat(cells))
+    columns = {"_id": rows["_id"][:1], "_copy": rows["_copy"][:1], "chunk": rows["fan"][:1]}
+    return pa.table({**{c: pa.array(x, pa.int64()) for c, x in columns.items()}, "cells": pa.array([flat(total)], CELLS)})
+
+
+def fan_states(rows: pa.Table) -> pa.Table:
+    """The states at the boundaries within a fan, from those before and after it; before the first fan and after the last the best."""
+    rows = rows.sort_by("chunk").to_pydict()
+    found = boundaries([unflat(cells) for cells in rows["cells"]], rows["source"][0], rows["target"][0])
+    columns = {c: pa.array(rows[c], pa.int64()) for c in ("_id", "_copy", "chunk")}
+    states = {"source": [s for s, _ in found], "target": [t for _, t in found]}
+    return pa.table({**columns, **{c: pa.array(x, pa.int32()) for c, x in states.items()}})
+
+
+def scan(matrices: DataFrame, most: int) -> DataFrame:
+    """States before and after every chunk: products up a tree of fans, and states down again. `most` is the largest chunk number."""
+    keys = ["_id", "_copy", "fan"]
+    tasks = int(matrices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    levels = [matrices]
+    while most:
+        dealt = levels[-1].withColumn("fan", F.expr(f"chunk div {FAN}")).repartition(tasks, *keys)
+        levels.append(staged(dealt.groupBy(*keys).applyInArrow(fan_product, MATRICES)))
+        most //= FAN
+    down = levels[-1].select("_id", "_copy", F.col("chunk").alias("fan"), F.lit(START).alias("source"), F.lit(None).cast("int").alias("target"))
+    if len(levels) == 1:
+        return matrices.withColumn("fan", F.col("chunk")).join(down, keys).groupBy(*keys).applyInArrow(fan_states, STATES)
+    for below in reversed(levels[:-1]):
+        told = below.withColumn("fan", F.expr(f"chunk div {FAN}")).join(down, keys).repartition(tasks, *keys)
+        states = staged(told.groupBy(*keys).applyInArrow(fan_states, STATES))
+        down = states.withColumnRenamed("chunk", "fan")
+    return states
 
 
 def chunk_ids(path: str):
@@ -286,6 +326,12 @@ def chunk_ids(path: str):
     return run
 
 
+def join_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = [b"".join(parts.as_py()) for parts in batch.column("parts")]
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_copy"), pa.array(ids, pa.binary())], names=["_id", "_copy", "ids"])
+
+
 REPORT = "_id long, _copy long, n_pieces long, ids_crc32 long, decoded string"
 
 
@@ -318,14 +364,13 @@ def giant_ids(rows: DataFrame, model: str, chunk: int) -> DataFrame:
         raise ValueError("a chunk must be longer than the longest piece")
     spread = rows.mapInArrow(split_giants(size, chunk), CHUNKS)
     chunks = staged(spread)
-    cells = "array<struct<source: int, target: int, weight: double>>"
-    matrices = chunks.repartition("_id", "_copy", "chunk").mapInArrow(chunk_matrices(model), f"_id long, _copy long, chunk long, cells {cells}")
-    states = matrices.groupBy("_id", "_copy").applyInPandas(scan_document, "_id long, _copy long, chunk long, source int, target int")
     keys = ["_id", "_copy", "chunk"]
+    matrices = staged(chunks.dropDuplicates(keys).repartition(*keys).mapInArrow(chunk_matrices(model), MATRICES))
+    states = scan(matrices, matrices.agg(F.max("chunk")).first()[0] or 0)
     placed = chunks.dropDuplicates(keys).join(states, keys)
     encoded = placed.mapInArrow(chunk_ids(model), "_id long, _copy long, chunk long, ids binary")
     whole = encoded.groupBy("_id", "_copy").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
-    return whole.select("_id", "_copy", F.aggregate("parts.ids", F.unhex(F.lit("")), lambda a, b: F.concat(a, b)).alias("ids"))
+    return whole.select("_id", "_copy", F.col("parts.ids").alias("parts")).mapInArrow(join_ids, "_id long, _copy long, ids binary")
 
 
 def encode_pieces(docs: DataFrame, model: str, text: str = "text", doc_id: str = "doc_id", giant: int = GIANT, chunk: int = CHUNK, describe: bool = False) -> DataFrame:

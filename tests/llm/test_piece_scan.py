@@ -51,6 +51,24 @@ def test_products_are_associative():
     assert product(product(a, b), c) == product(a, product(b, c)) and START in product(product(a, b), c)
 
 
+@pytest.mark.parametrize("fan", [2, 3, 64])
+def test_a_tree_of_fans_gives_the_states_of_the_whole(make_docs, monkeypatch, fan):
+    monkeypatch.setattr(piece_scan, "FAN", fan)
+    library = piece_scan.Pieces(PATH).library
+    rows = [(k, text * 6) for k, text in enumerate(samples(9, 9))] + [(100, "representations of " * 400), (101, "x")]
+    found = piece_scan.encode_pieces(make_docs(rows), PATH, giant=30, chunk=20).collect()
+    assert {r._id: bytes(r.ids) for r in found} == {k: packed(library.encode(t)) for k, t in rows}
+
+
+def test_boundaries_between_given_states():
+    vocabulary = piece_scan.pieces(PATH)
+    text = "the representations of internationally known 漢字 things " * 4
+    matrices = [transfer(vocabulary, part, a, b, k == 0) for k, (part, a, b) in enumerate(chunked(vocabulary, text, 20))]
+    whole = boundaries(matrices)
+    for a, b in ((0, 4), (3, 9), (5, 6), (8, len(matrices))):
+        assert boundaries(matrices[a:b], whole[a][0], whole[b - 1][1]) == whole[a:b]
+
+
 def test_documents(make_docs):
     library = piece_scan.Pieces(PATH).library
     texts = [*ODD_TEXTS, *samples(1, 12), " ".join(prose(1, 900)), "nospaces" * 60, " " * 300]
