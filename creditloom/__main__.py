@@ -7,6 +7,7 @@ import argparse
 from creditloom.operators.encoding import MAX_VOCABULARY
 from creditloom.operators.labels import DEFAULT_DPD, DEFAULT_MOB
 from creditloom.plans.backfill import Mart, backfill
+from creditloom.plans.publish import publish
 from creditloom.session import build_session
 
 
@@ -22,10 +23,13 @@ def main() -> None:
     parser.add_argument("--exclude", nargs="*", default=(), help="columns to keep out of the feature store")
     parser.add_argument("--max-vocabulary", type=int, default=MAX_VOCABULARY, help="values a vocabulary may have")
     parser.add_argument("--unique-customers", action="store_true", help="fail on repeated customers")
+    parser.add_argument("--buckets", type=int, help="buckets by customer of the silver tables")
+    parser.add_argument("--run", help="build in a run of this name and publish it as a whole, or resume it")
     parser.add_argument("--master", help="Spark master, when not set by spark-submit")
     options = vars(parser.parse_args())
-    spark = build_session(master=options.pop("master"))
-    for table, audit in backfill(spark, Mart(**options)).items():
+    spark, run = build_session(master=options.pop("master")), options.pop("run")
+    mart = Mart(**options)
+    for table, audit in (publish(spark, mart, run) if run else backfill(spark, mart)).items():
         lost = f", {audit.rejected} rejected" if audit.rejected else ""
         print(f"{table}: {audit.rows} rows, {len(audit.snapshots)} snapshots{lost}")
 

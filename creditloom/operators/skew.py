@@ -14,8 +14,8 @@ Hot keys are found by an exact count, combined per task before its shuffle. Ther
 `rows_per_task`; up to `LISTED_KEYS` of them are listed and broadcast, and longer lists stay a table that is
 joined as any other. Without hot keys the joins are plain ones.
 
-Rows that are equal in all columns the salt is taken from share a salt, so they only spread as far as they differ.
-Aggregations don't depend on that: `grouped` splits hot keys off and combines them per task.
+Rows of hot keys that are alike in all columns are counted first, combined per task, and dealt out in pieces, so a group of copies spreads too.
+Aggregations need no salt: `grouped` splits hot keys off and combines them per task.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from creditloom.functions.casts import backticked
 
 ROWS_PER_TASK = 1_000_000  # a key with more rows than this on one side is hot
+ALIKE_ROWS = 10_000  # like rows of a hot key that share a salt
 LISTED_KEYS = 100_000  # hot keys that are broadcast, some megabytes; more are joined as a table
 
 CODE = "__key"
@@ -39,6 +40,8 @@ OWNER = "__owner"
 SALTS = "__salts"
 SALT = "__salt"
 MATCHED = "__matched"
+TIMES = "__times"
+PIECE = "__piece"
 
 
 @dataclass(frozen=True)
@@ -133,14 +136,35 @@ def spread(df: DataFrame, side: str, hot: HotKeys | None, by: Sequence[str] | No
     by = list(by) if by is not None else _hashable(df)
     marked = df.join(hot.small(hot.table), key_code(hot.keys) == F.col(CODE), "left").drop(CODE)
     missing = key_code(hot.keys).isNull()
-    dealt = F.pmod(
-        F.xxhash64(*[backticked(c) for c in by]), F.when(missing, hot.null_salts.get(side, 1)).otherwise(F.col(SALTS))
-    ).cast("int")
-    own = missing | (F.col(OWNER) == side)
-    if hot.owners <= {side}:
-        return marked.withColumn(SALT, F.when(own, dealt).otherwise(0)).drop(SALTS)
     all_salts = F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)
-    return marked.withColumn(SALT, F.explode(F.when(own, F.array(dealt)).otherwise(all_salts))).drop(SALTS)
+    repeated = F.lit(0) if hot.owners <= {side} else F.explode(all_salts)
+    own = F.lit(False)
+    if side in hot.owners:
+        own = own | F.coalesce(F.col(OWNER) == side, F.lit(False))
+    if side in hot.null_salts:
+        own = own | missing
+        marked = marked.withColumn(SALTS, F.when(missing, hot.null_salts[side]).otherwise(F.col(SALTS)))
+    if side not in hot.owners and side not in hot.null_salts:
+        return marked.withColumn(SALT, repeated).drop(SALTS)
+    dealt = _deal(marked.where(own), by)
+    return marked.where(~own).withColumn(SALT, repeated).drop(SALTS).unionByName(dealt)
+
+
+def _deal(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of hot keys with a salt below `SALTS`, from a hash of the row. Like rows are counted, cut into pieces of at most `ALIKE_ROWS`, and
+    dealt by piece, so that a group of copies spreads as well as rows that differ do."""
+    values = [backticked(c) for c in by]
+    if len(_hashable(rows)) < len(rows.columns):
+        return rows.withColumn(SALT, F.pmod(F.xxhash64(*values), F.col(SALTS)).cast("int")).drop(SALTS)
+    columns = [backticked(c) for c in rows.columns]
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(TIMES)).withColumn(PIECE, F.lit(0).cast("bigint"))
+    cut = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({TIMES} - 1) div {ALIKE_ROWS}")))
+    many = counted.where(F.col(TIMES) > ALIKE_ROWS).withColumn(PIECE, cut)
+    many = many.withColumn(TIMES, F.least(F.lit(ALIKE_ROWS), F.col(TIMES) - F.col(PIECE) * ALIKE_ROWS)).repartition(*columns, PIECE)
+    pieces = counted.where(F.col(TIMES) <= ALIKE_ROWS).unionByName(many)
+    salted = pieces.withColumn(SALT, F.pmod(F.xxhash64(*values, PIECE), F.col(SALTS)).cast("int"))
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(TIMES)))
+    return salted.withColumn(TIMES, each).drop(TIMES, PIECE, SALTS)
 
 
 def attach(left: DataFrame, right: DataFrame, side: str, keys: Sequence[str], hot: HotKeys | None) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from creditloom.__main__ import main
 from creditloom.operators.vocabulary import extend_vocabularies, read_encoded, stored_vocabularies
 from creditloom.plans import backfill as plans
 from creditloom.plans.backfill import backfill, bronze_table, feature_months, rejected_rows
@@ -121,6 +122,14 @@ def test_unused_runs_are_removed_and_months_without_rows_are_taken_over(spark, m
         published(spark, mart.root, "gold/nothing")
 
 
+def test_command_line_publishes_a_run(spark, mart, monkeypatch, capsys):  # noqa: F811
+    options = {"source": mart.source, "root": mart.root, "start": "2023-06-01", "end": "2023-08-01", "run": "one", "buckets": "2"}
+    monkeypatch.setattr("sys.argv", ["creditloom", *[part for k, v in options.items() for part in (f"--{k}", v)]])
+    main()
+    assert "gold/label_store: 3 rows" in capsys.readouterr().out
+    assert labels(spark, mart) == {"L1": 1, "L2": 0, "L3": 1}
+
+
 def test_months_of_a_range(mart):  # noqa: F811
     assert months_of(mart) == ["2023-06-01", "2023-07-01", "2023-08-01"]
     assert months_of(replace(mart, start="2022-11-15", end="2023-02-10")) == ["2022-12-01", "2023-01-01", "2023-02-01"]

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from creditloom.operators.duplicates import assert_unique, keys_with_many, shared_count, top_values, value_counts
+from creditloom.operators import skew
 from creditloom.operators.skew import OWNER, SALT, attach, balanced_left_join, find_hot_keys, key_code, spread
 from creditloom.operators.features import activity_profile
 from creditloom.plans.gold import customer_matrix, feature_store
@@ -46,6 +47,30 @@ def test_rows_that_are_all_alike(spark):
     assert ours.count() == 300 * 400
 
 
+def test_like_rows_are_spread_in_pieces(spark, monkeypatch):
+    """A group of copies with a third of all rows, on either side, with NULLs in its columns and as its key."""
+    monkeypatch.setattr(skew, "ALIKE_ROWS", 50)
+    copies = spark.range(3_000).selectExpr("if(id % 3 = 0, 'hot', if(id % 7 = 0, null, cast(id as string))) k", "if(id % 3 = 0, null, 1) x")
+    (hot,) = find_hot_keys((["k"], {"left": copies}), rows_per_task=100)
+    dealt = spread(copies, "left", hot)
+    assert bag(dealt.select("k", "x")) == bag(copies)
+    for key in ("k = 'hot'", "k IS NULL"):
+        sizes = [r["count"] for r in dealt.where(key).groupBy(SALT).count().collect()]
+        assert len(sizes) >= 3 and max(sizes) < 300
+    few = spark.createDataFrame([("hot", 1), ("hot", 1), ("4", 2)], "k string, y int")
+    assert bag(balanced_left_join(copies, few, ["k"], rows_per_task=100)) == bag(copies.join(few, "k", "left"))
+    other = few.union(copies.where("k = 'hot'").selectExpr("k", "7")).toDF("k", "z")
+    small = spark.createDataFrame([("hot", 1), ("4", 1), (None, 1)], "k string, x int")
+    assert bag(balanced_left_join(small, other, ["k"], rows_per_task=100)) == bag(small.join(other, "k", "left"))
+
+
+def test_rows_with_maps_are_dealt_by_their_other_columns(spark):
+    left = spark.range(400).selectExpr("'hot' k", "id", "map('a', id) m")
+    right = spark.createDataFrame([("hot", 2)], "k string, y int")
+    joined = balanced_left_join(left, right, ["k"], by=["id"], rows_per_task=50)
+    assert joined.count() == 400 and joined.selectExpr("sum(m['a'])").first()[0] == 399 * 200
+
+
 def test_several_keys_and_shared_columns(spark):
     left = spark.createDataFrame([("a", 1, i) for i in range(60)] + [("a", 11, 0), (None, 1, 0)], "k string, n int, x int")
     right = spark.createDataFrame([("a", 1, 1), ("a", 11, 2), ("a1", 1, 3)], "k string, n int, y int")
