@@ -148,7 +148,7 @@ def at_snapshot(df: DataFrame, day: str | dt.date, column: str = SNAPSHOT) -> Da
 def register(relations: Mapping[str, DataFrame]) -> None:
     """Make frames visible to SQL under the given names."""
     for name, df in relations.items():
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(backticked(name))
 
 
 MAX_TABLES = 10_000  # tables a folder may hold, as each becomes a view on the driver
