@@ -7,7 +7,8 @@ query. A query ends once its k-th best distance is so small that a nearer vector
 everything has been verified.
 
 The rows are split into blocks of at most some `BLOCK_ROWS`, each with arrays of its own, and every block answers all queries;
-the answers of the blocks are merged. Queries travel in chunks, so neither side of a task grows with the table.
+the answers of the blocks are merged. Queries travel in large chunks, each of which meets the arrays of a block once, so neither
+side of a task grows with the table.
 """
 
 from __future__ import annotations
@@ -21,13 +22,15 @@ from pyspark.sql import functions as F
 
 from creditloom.llm.common import groups_for, importable, staged
 
-PROJECTIONS = 64
-COLLISIONS = 45
-REACH = 1.25  # half a window over the distance at which 97 of 100 vectors collide often enough
+PROJECTIONS = 128
+COLLISIONS = 90
+REACH = 1.18  # half a window over the distance at which 97 of 100 vectors collide often enough
 FIRST_WINDOW = 0.25  # half of it
-GROWTH = 1.4
-BLOCK_ROWS = 32768
-CHUNK_QUERIES = 1024
+GROWTH, FINE = 1.4, 1.05  # of a window that holds few of the rows, and of one that holds many, where each step adds much to verify
+MANY = 0.6
+BLOCK_ROWS, LEAST_ROWS = 32768, 4096  # of a block; small ones cost more for each row
+CHUNK_QUERIES = 16384  # that meet a block in one task, on the same arrays
+QUERIES = 512  # of them at a time
 SEED = 2
 
 FOUND = "query_id long, vec_id long, score double"
@@ -101,8 +104,9 @@ class Index:
                 if not left[q].any():
                     ended.append(q)
             begins[active], ends[active] = lows, highs
+            held = (highs - lows).mean() / count
             active = np.setdiff1d(active, ended)
-            half *= GROWTH
+            half *= FINE if held > MANY else GROWTH
         none = np.zeros(0, np.int64), np.zeros(0)
         return [tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else none for parts in found]
 
@@ -123,10 +127,14 @@ def answer(k: int):
             by_id = np.argsort(ids, kind="stable")
             asked = queries.column("id").to_numpy()
             spans = zip(*(np.searchsorted(ids, asked, side, sorter=by_id) for side in ("left", "right")), strict=True)
-            found = index.search(matrix(queries.column("vector")), [by_id[a:b] for a, b in spans], k)
-            for query_id, (rows, scores) in zip(asked.tolist(), found, strict=True):
-                best = np.lexsort((ids[rows], -scores))[:k]
-                out += [(query_id, int(ids[r]), float(s)) for r, s in zip(rows[best], scores[best], strict=True)]
+            own = [by_id[a:b] for a, b in spans]
+            points = matrix(queries.column("vector"))
+            for at in range(0, len(asked), QUERIES):
+                some = slice(at, at + QUERIES)
+                found = index.search(points[some], own[some], k)
+                for query_id, (rows, scores) in zip(asked[some].tolist(), found, strict=True):
+                    best = np.lexsort((ids[rows], -scores))[:k]
+                    out += [(query_id, int(ids[r]), float(s)) for r, s in zip(rows[best], scores[best], strict=True)]
         columns = list(zip(*out, strict=True)) or [[], [], []]
         return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
 
@@ -150,7 +158,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, vector: str = "e
     spark = vectors.sparkSession
     importable(spark)
     base, asked = rows_of(vectors), rows_of(queries)
-    blocks = groups_for(spark, base.count(), BLOCK_ROWS)
+    count = base.count()
+    blocks = max(1, math.ceil(count / BLOCK_ROWS), min(groups_for(spark, 0, 1), count // LEAST_ROWS))
     chunks = max(1, math.ceil(asked.count() / CHUNK_QUERIES))
     placed = base.select(
         "id", "vector", "dim", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")

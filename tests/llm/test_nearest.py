@@ -54,8 +54,25 @@ def test_recall_and_scores(spark):
             assert abs(s - x @ y / np.sqrt((x @ x) * (y @ y))) < 1e-12
 
 
+def test_few_rows_are_verified(spark):
+    """On vectors whose fifth neighbour is hardly nearer than any: the index saves most of the comparisons."""
+    stored = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").where(nearest.usable("embedding")).collect()
+    ids, vectors = np.array([r.vec_id for r in stored]), np.array([r.embedding for r in stored], float)
+    asked = np.flatnonzero(ids % 50 == 0)
+    found = nearest.Index(vectors).search(vectors[asked], [np.array([k]) for k in asked], 5)
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    scores = unit[asked] @ unit.T
+    scores[np.arange(len(asked)), asked] = -2
+    exact = np.argsort(-scores, axis=1)[:, :5]
+    hits = sum(len(set(rows[np.argsort(-s)[:5]]) & set(best)) for (rows, s), best in zip(found, exact, strict=True))
+    assert hits >= 0.95 * exact.size
+    assert sum(len(rows) for rows, _ in found) < 0.35 * len(asked) * len(vectors)
+
+
 def test_several_blocks_and_chunks(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "QUERIES", 2)
     monkeypatch.setattr(nearest, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(nearest, "LEAST_ROWS", 30)
     monkeypatch.setattr(nearest, "CHUNK_QUERIES", 3)
     rows = clustered(600, seed=2)
     docs = table(spark, rows)
