@@ -39,7 +39,7 @@ LOW = np.uint64(1 << 31)  # states stay in [LOW, 2**63)
 WORD = np.uint64(32)
 WORD_MASK = np.uint64(0xFFFFFFFF)
 CACHED = 400_000  # parts of words whose ids a worker remembers
-SLICE_BYTES = 4 << 20  # text whose distinct parts are looked up at a time
+SLICE_BYTES = 2 << 20  # text whose distinct parts are looked up at a time
 
 #: The steps before merging of a tokenizer that lower-cases and drops white space. Its ids of a text
 #: are those of the text's words in turn.
@@ -76,7 +76,7 @@ def parts_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     small[second[LATIN_CAPITAL[data[second]]]] += 0x20
     if (kind == ODD).any():
         starts, ends, _ = arrays.runs(kind != GAP, offsets)
-        upto = np.concatenate(([0], np.cumsum(kind == ODD)))
+        upto = np.concatenate(([0], np.cumsum(kind == ODD, dtype=np.int32)))
         holds = upto[ends] > upto[starts]
         marks = np.zeros(len(data) + 1, np.int8)
         marks[starts[holds]] += 1
@@ -90,7 +90,7 @@ def parts_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     begins[edges] = kind[edges] != GAP
     at = np.flatnonzero(begins)
     inside = kind != GAP
-    before = np.cumsum(inside) - inside
+    before = np.cumsum(inside, dtype=np.int32) - inside
     return small[inside], before[at], kind[at] == ODD, np.searchsorted(at, offsets)
 
 
