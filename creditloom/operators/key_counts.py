@@ -13,15 +13,17 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.operators.skew import CODE, ROWS_PER_TASK, HotKeys, choose_hot_keys, key_code
+from creditloom.operators.skew import CODE, LISTED_KEYS, ROWS_PER_TASK, HotKeys, choose_hot_keys, key_code
 from creditloom.sources.readers import Day, between_snapshots, children, file_system, literal, stored_months, within
 from creditloom.sources.schemas import SNAPSHOT
 
 MONTHS = 240  # of which the default floor lets frequent keys be told
 COUNT_FLOOR = ROWS_PER_TASK // MONTHS
+SLOTS = 1 << 14  # slots of keys of a month
+SLOT = "__slot"
 
 
 def write_key_counts(
@@ -35,13 +37,15 @@ def write_key_counts(
 ) -> None:
     """Store the counts of the frequent keys of `rows`, by month if they are `monthly`; `keys` are columns by name.
 
-    One aggregation counts all keys, combined per task before its shuffle, and reads the key columns only. Months between `start`
+    Keys are counted by slot first, many keys to a slot, as such counts combine per task to a few; only keys in slots with more than `floor`
+    rows can be frequent and are counted one by one. Both passes read the key columns only. Months between `start`
     and `end` are replaced, also those that have no frequent key any more; a table without months is replaced as a whole.
     """
     by = [SNAPSHOT] if monthly else []
     parts = [F.struct(F.lit(name).alias("key"), F.col(column).cast("string").alias("code")) for name, column in keys.items()]
     listed = rows.select(*by, F.explode(F.array(*parts)).alias("part")).select(*by, "part.*")
-    counted = listed.groupBy(*by, "key", "code").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > floor)
+    candidates = _in_full_slots(listed, [*by, "key"], floor)
+    counted = candidates.groupBy(*by, "key", "code").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > floor)
     seen, spark = Observation(), rows.sparkSession
     written = F.collect_set(SNAPSHOT) if by else F.count(F.lit(1))
     out = counted.observe(seen, written.alias("written")).write.mode("overwrite")
@@ -56,6 +60,21 @@ def write_key_counts(
             remove(spark, root)
 
 
+def _in_full_slots(listed: DataFrame, by: Sequence[str], floor: int) -> DataFrame:
+    """Rows whose slot holds more than `floor` rows. Where more slots do than may be broadcast, all rows."""
+    slot = F.pmod(F.xxhash64("code"), F.lit(SLOTS)).cast("int")
+    slotted = listed.withColumn(SLOT, slot)
+    full = slotted.groupBy(*by, SLOT).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > floor).select(*by, SLOT)
+    found = full.limit(LISTED_KEYS + 1).collect()
+    if len(found) > LISTED_KEYS:
+        return listed
+    if not found:
+        return listed.where(F.lit(False))
+    known = listed.sparkSession.createDataFrame(found, full.schema)
+    same = reduce(Column.__and__, [F.col(f"rows.{c}").eqNullSafe(F.col(f"full.{c}")) for c in [*by, SLOT]])
+    return slotted.alias("rows").join(F.broadcast(known.alias("full")), same, "left_semi").drop(SLOT)
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     system, path = file_system(spark, folder)
     system.delete(path, True)

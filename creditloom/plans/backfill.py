@@ -76,6 +76,15 @@ class Mart:
         return {"start": self.start, "end": self.end}
 
 
+LEAST_BUCKETS = 8
+
+
+def bucket_count(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Buckets for tables with so many rows in all, so that a bucket, which is one task's when it is written, sorted and joined, stays as
+    large as it is while the tables grow."""
+    return max(LEAST_BUCKETS, -(-rows // rows_per_task))
+
+
 def bronze_snapshots(raw: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
     """Rows of the month-start snapshots in the range, every column but the date as read."""
     dated = raw.withColumn(SNAPSHOT, text_to_date(F.col(SNAPSHOT)))

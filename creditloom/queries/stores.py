@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from creditloom.operators.features import (
 )
 from creditloom.operators.history import merge_profiles, profile_states, profiles
 from creditloom.operators.profiling import null_counts
-from creditloom.plans.backfill import Mart, stored_features, stored_matrix, write_silver_table
+from creditloom.plans.backfill import Mart, bucket_count, stored_features, stored_matrix, write_silver_table
 from creditloom.plans.gold import customer_matrix, feature_store
 from creditloom.plans.silver import silver_attributes, silver_clicks, silver_financials
 from creditloom.queries.inputs import attributes, clicks, financials, raw_clicks
@@ -37,7 +39,7 @@ from creditloom.queries.oracle import (
 from creditloom.queries.shape import rounded, widened
 from creditloom.session import scratch_folder
 from creditloom.sources.readers import read_snapshots
-from creditloom.sources.schemas import CLICK_FEATURES
+from creditloom.sources.schemas import CLICK_FEATURES, MONTHLY_TABLES
 from creditloom.sources.writers import write_snapshots
 
 REBUILT = "1996-05-01"
@@ -86,12 +88,14 @@ def q30_customer_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_mart(spark: SparkSession, sf_dir: str, name: str) -> Mart:
-    """Silver tables of all months in eight buckets by customer, with the counts of their frequent keys."""
+    """Silver tables of all months in buckets by customer, as many as their rows make, with the counts of their frequent keys."""
     names = ("lms_loan_daily", "features_attributes", "features_financials", "feature_clickstream")
     tables = dict(zip(names, _silver(spark, sf_dir), strict=True))
-    days = [tables[t].select("snapshot_date") for t in ("lms_loan_daily", "feature_clickstream")]
-    first, last = days[0].union(days[1]).agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
-    mart = Mart("", scratch_folder(spark, name, sf_dir), first, last, buckets=8)
+    undated = F.lit(None).cast("date").alias("snapshot_date")
+    days = [df.select("snapshot_date" if t in MONTHLY_TABLES else undated) for t, df in tables.items()]
+    counted = reduce(DataFrame.union, days).agg(F.min("snapshot_date"), F.max("snapshot_date"), F.count(F.lit(1)))
+    first, last, rows = counted.first()
+    mart = Mart("", scratch_folder(spark, name, sf_dir), first, last, buckets=bucket_count(rows))
     for table, df in tables.items():
         write_silver_table(mart, table, df, ["customer_id"])
     return mart
