@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from creditloom.operators.skew import ROWS_PER_TASK, HotKeys
 from creditloom.plans.gold import customer_matrix, feature_store, label_store
 from creditloom.operators.vocabulary import extend_vocabularies, read_encoded, stored_vocabularies
 from creditloom.plans.silver import learn_vocabularies, silver_attributes, silver_clicks, silver_financials, silver_loans
+from creditloom.session import side_by_side
 from creditloom.sources.buckets import bucket_schema, read_buckets, write_buckets
 from creditloom.sources.readers import (
     between_snapshots,
@@ -109,13 +110,14 @@ def bronze_outcomes(raw: DataFrame, start: str | dt.date, end: str | dt.date) ->
 
 def build_bronze(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
     """Copy the customer tables whole and the monthly tables by snapshot, rejected rows aside; each source is scanned once."""
-    audits = {}
-    for table in STATIC_TABLES:
-        audits[f"bronze/{table}"] = write_table(read_raw(spark, mart.raw(table)), mart.path("bronze", table), "csv")
-    for table in MONTHLY_TABLES:
-        parted = bronze_outcomes(read_raw(spark, mart.raw(table)), **mart.months)
-        audits[f"bronze/{table}"] = write_outcomes(parted, mart.path("bronze", table), fmt="csv", **mart.months)
-    return audits
+
+    def copied(table: str) -> WriteAudit:
+        raw, path = read_raw(spark, mart.raw(table)), mart.path("bronze", table)
+        if table in STATIC_TABLES:
+            return write_table(raw, path, "csv")
+        return write_outcomes(bronze_outcomes(raw, **mart.months), path, fmt="csv", **mart.months)
+
+    return side_by_side(spark, {f"bronze/{table}": partial(copied, table) for table in [*STATIC_TABLES, *MONTHLY_TABLES]})
 
 
 def bronze_table(spark: SparkSession, mart: Mart, table: str) -> DataFrame:
@@ -156,7 +158,10 @@ def build_silver(spark: SparkSession, mart: Mart) -> dict[str, WriteAudit]:
         "feature_clickstream": (clicks, [CUSTOMER]),
         "lms_loan_daily": (loans, ["mob", CUSTOMER]),
     }
-    return {f"silver/{name}": write_silver_table(mart, name, df, order) for name, (df, order) in tables.items()}
+    parts = {f"silver/{name}": partial(write_silver_table, mart, name, df, order) for name, (df, order) in tables.items()}
+    if mart.buckets:  # their writes set the session's overwrite mode, so they run one after the other
+        return {name: part() for name, part in parts.items()}
+    return side_by_side(spark, parts)
 
 
 def vocabularies(spark: SparkSession, mart: Mart, raw_financials: DataFrame) -> tuple[Sequence[str], Sequence[str]]:

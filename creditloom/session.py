@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Runtime settings the operators are written for. Partition counts are left to adaptive execution, which
@@ -60,3 +63,11 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_folder(spark: SparkSession, name: str, source: str) -> str:
     """The folder of a query over a source, the same on every call, for tables that each call overwrites."""
     return f"{shared_root(spark)}/creditloom/{name}-{zlib.crc32(source.encode()):08x}"
+
+
+def side_by_side(spark: SparkSession, parts: Mapping[str, Callable]) -> dict:
+    """Results by name of parts that need nothing of each other, run at the same time so that a small one fills the cores that the last tasks
+    of a large one leave idle. Each keeps the caller's local properties; all have ended when one that failed is raised."""
+    with ThreadPoolExecutor(len(parts)) as pool:
+        begun = {name: pool.submit(inheritable_thread_target(spark)(part)) for name, part in parts.items()}
+    return {name: job.result() for name, job in begun.items()}
