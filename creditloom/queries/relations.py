@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import replace
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.functions.dates import months_spanned, snapshot_label
@@ -33,7 +34,7 @@ from creditloom.queries.oracle import (
     RAW_AMOUNTS,
 )
 from creditloom.queries.shape import widened
-from creditloom.session import scratch_folder, shared_folder
+from creditloom.session import scratch_folder, shared_folder, side_by_side
 from creditloom.sources.readers import at_snapshot, load_catalog, lookup, read_raw, read_snapshots, register
 from creditloom.sources.writers import write_outcomes, write_snapshots, write_table
 
@@ -198,8 +199,7 @@ def q54_faithful_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q55_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole mart from CSV sources with mixed-case names: labels with some of the features of the same month."""
     folder = scratch_folder(spark, "q55", sf_dir)
-    _write_sources(spark, sf_dir, f"{folder}/source")
-    first, last = _range(loan_panel(spark, sf_dir))
+    first, last = _write_sources(spark, sf_dir, f"{folder}/source")
     mart = Mart(f"{folder}/source", f"{folder}/mart", first, last)
     backfill(spark, mart)
     labels, features = (spark.read.parquet(mart.path("gold", t)) for t in ("label_store", "feature_store"))
@@ -255,24 +255,29 @@ def q63_vocabulary_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q64_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of all months published by one run, and of a year of them by a second one with another definition."""
     folder = shared_folder(spark)
-    _write_sources(spark, sf_dir, f"{folder}/source")
-    first, last = _range(loan_panel(spark, sf_dir))
+    first, last = _write_sources(spark, sf_dir, f"{folder}/source")
     mart = Mart(f"{folder}/source", f"{folder}/mart", first, last)
     publish(spark, mart, "first")
     publish(spark, replace(mart, start="1997-01-01", end="1997-12-01", dpd=60), "second")
     return published(spark, mart.root, "gold/label_store").select("loan_id", "customer_id", "label", "label_def", "snapshot_date")
 
 
-def _write_sources(spark: SparkSession, sf_dir: str, folder: str) -> None:
+def _write_sources(spark: SparkSession, sf_dir: str, folder: str) -> tuple[dt.date, dt.date]:
+    """Write the four sources; first and last snapshot of the loans, seen while they are written."""
+    seen, day = Observation(), F.col("snapshot_date").cast("date")
     sources = {
-        "lms_loan_daily": raw_loans(spark, sf_dir),
+        "lms_loan_daily": raw_loans(spark, sf_dir).observe(seen, F.min(day).alias("first"), F.max(day).alias("last")),
         "feature_clickstream": raw_clicks(spark, sf_dir),
         "features_attributes": attributes(spark, sf_dir),
         "features_financials": financials(spark, sf_dir),
     }
-    for name, df in sources.items():
+
+    def written(name: str, df: DataFrame) -> None:
         write_table(df.withColumnRenamed("customer_id", "Customer_ID"), f"{folder}/{name}.csv", "csv")
 
+    side_by_side(spark, {name: partial(written, name, df) for name, df in sources.items()})
+    return seen.get["first"], seen.get["last"]
+
 
 def q49_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers of one occupation."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import replace
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from creditloom.operators.vocabulary import extend_vocabularies, read_encoded, s
 from creditloom.plans import backfill as plans
 from creditloom.plans.backfill import backfill, bronze_table, feature_months, rejected_rows
 from creditloom.plans.publish import manifest, months_of, publish, published, remove_unused
+from creditloom.queries import loans, relations
+from creditloom.queries.inputs import loan_panel
+from creditloom.session import side_by_side
 from creditloom.sources.files import newest, numbered, read_json, write_json
 from creditloom.sources.readers import children, read_snapshots
 from creditloom.sources.writers import outcome_path, write_outcomes, write_snapshots
@@ -162,3 +166,49 @@ def test_outcomes_of_one_write(spark, tmp_path):
     empty = str(tmp_path / "nothing")
     assert write_outcomes(rows.where("1 = 0"), empty, JULY, AUGUST).rows == 0
     assert read_snapshots(spark, outcome_path(empty)).columns == ["k", "snapshot_date"]
+
+
+def test_parts_run_side_by_side(spark):
+    met, ended = Barrier(2, timeout=60), []
+
+    def fails():
+        met.wait()
+        raise RuntimeError("lost")
+
+    def lasts():
+        met.wait()
+        ended.append(spark.range(100).count())
+
+    with pytest.raises(RuntimeError, match="lost"):
+        side_by_side(spark, {"one": fails, "two": lasts})
+    assert ended == [100]
+    assert side_by_side(spark, {"b": lambda: 1, "a": lambda: 2}) == {"b": 1, "a": 2}
+
+
+def test_layers_build_their_tables_side_by_side(spark, mart, source, monkeypatch):  # noqa: F811
+    """All four tables of a layer are under way before any is written."""
+    for layer, writers in (("bronze", ("write_table", "write_outcomes")), ("silver", ("write_table", "write_snapshots"))):
+        met = Barrier(4, timeout=60)
+
+        def waiting(write):
+            return lambda *a, **b: (met.wait(), write(*a, **b))[1]
+
+        with monkeypatch.context() as patched:
+            for name in writers:
+                patched.setattr(plans, name, waiting(getattr(plans, name)))
+            audits = getattr(plans, f"build_{layer}")(spark, mart)
+        assert [name.partition("/")[2] for name in audits][:2] == ["features_attributes", "features_financials"] and len(audits) == 4
+
+
+def test_sources_tell_their_months_while_they_are_written(spark, tmp_path, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    expected = relations._range(loan_panel(spark, sf))
+    monkeypatch.setattr(relations, "loan_panel", None)  # no second computation of the panel
+    assert relations._write_sources(spark, sf, str(tmp_path / "source")) == expected
+
+
+def test_loan_states_are_written_where_they_lie(spark, monkeypatch):
+    sf, plain, seen = "/root/testdata/sf0.001", loans.write_snapshots, []
+    monkeypatch.setattr(loans, "write_snapshots", lambda *a, **b: (seen.append(b.get("rebalance", True)), plain(*a, **b))[1])
+    assert bag(loans.q61_loans_by_month(spark, sf)) == bag(loans.q28_loan_features(spark, sf))
+    assert seen == [False, False]
