@@ -78,6 +78,7 @@ def loan_features(
     exclude: Sequence[str] = NOT_FEATURES,
     rows_per_task: int = ROWS_PER_TASK,
     hot: HotKeys | None | bool = True,
+    tasks: int | None = None,
 ) -> DataFrame:
     """One row per loan over its whole history: latest state, totals, vintage, start date parts and flags.
 
@@ -85,7 +86,7 @@ def loan_features(
     and the customer and holds every column, which is a total order. Structs with text can't be aggregated by
     hash, so rows are shuffled first and sorted once. The start date is the earliest known of the loan.
     """
-    folded = grouped(df, key, loan_aggregates(df.columns, key, order, owner), rows_per_task, hot)
+    folded = grouped(df, key, loan_aggregates(df.columns, key, order, owner), rows_per_task, hot, tasks)
     return loan_columns(folded, key, exclude)
 
 
@@ -174,12 +175,13 @@ def activity_profile(
     ties: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
     hot: HotKeys | None | bool = True,
+    placed: bool = False,
 ) -> DataFrame:
-    """Statistics and last-minus-first deltas together, in one aggregation with one shuffle.
+    """Statistics and last-minus-first deltas together, in one aggregation with one shuffle, or none if rows are `placed` in buckets by key.
 
     The result of a key is many times as wide as a row, so rows are shuffled and then aggregated.
     """
-    return grouped(df, key, [*_statistics(columns), *_deltas(columns, order, ties)], rows_per_task, hot)
+    return grouped(df, key, [*_statistics(columns), *_deltas(columns, order, ties)], rows_per_task, hot, placed=placed)
 
 
 def snapshot_dates(df: DataFrame, column: str = "snapshot_date") -> DataFrame:

@@ -207,17 +207,24 @@ def grouped(
     aggregates: Sequence[Column],
     rows_per_task: int = ROWS_PER_TASK,
     hot: HotKeys | None | bool = True,
+    tasks: int | None = None,
+    placed: bool = False,
 ) -> DataFrame:
     """`aggregates` per value of `key`, for results that are wider than a row or can't be combined by hash.
 
     Rows are shuffled and then aggregated in one go, as a task of snapshots seldom holds two rows of a key and
     partial results would be larger than the rows. Rows of hot keys, a NULL one included, are combined per task
     before their shuffle instead, however alike they are. `hot` are keys found before, None for none.
+
+    Without hot keys, `tasks` is how many tasks the rows go to, as many as the session says if not given; rows that are `placed` lie in
+    buckets of the key and stay where they are.
     """
     if hot is True:
         (hot,) = find_hot_keys(([key], {"rows": df}), rows_per_task=rows_per_task)
     if not hot:
-        return df.repartition(key).groupBy(key).agg(*aggregates)
+        if not placed:
+            df = df.repartition(tasks, key) if tasks else df.repartition(key)
+        return df.groupBy(key).agg(*aggregates)
     listed = hot.small(hot.table.select(CODE))
     code = key_code([key])
     is_hot = code == F.col(CODE)

@@ -274,7 +274,8 @@ def stored_features(spark: SparkSession, mart: Mart, months: Sequence[dt.date] |
 def stored_matrix(spark: SparkSession, mart: Mart) -> DataFrame:
     """The customer matrix over stored silver, by the same means."""
     hot = matrix_hot_keys(spark, mart)
-    silver = silver_tables(spark, mart, bucketed=mart.buckets is not None and hot is not None and not any(hot))
+    bucketed = mart.buckets is not None and hot is not None and not any(hot)
+    silver = silver_tables(spark, mart, bucketed)
     return customer_matrix(
         silver["lms_loan_daily"],
         silver["features_attributes"],
@@ -282,6 +283,7 @@ def stored_matrix(spark: SparkSession, mart: Mart) -> DataFrame:
         silver["feature_clickstream"],
         rows_per_task=mart.rows_per_task,
         hot=hot,
+        buckets=mart.buckets if bucketed else None,
     )
 
 

@@ -83,12 +83,15 @@ def customer_matrix(
     features: Sequence[str] = CLICK_FEATURES,
     rows_per_task: int = ROWS_PER_TASK,
     hot: Sequence[HotKeys | None] | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Click profile of every customer with one row per loan, holding loan, attribute and financial features.
 
     Customers without loans keep one row with NULL loan, attribute and financial columns. The loans are the
     long side and keep one partitioning through all three joins. `hot` are the hot keys of the customer join, of the loans and of
-    the clicks if known, as from stored counts, else they are counted first.
+    the clicks if known, as from stored counts, else they are counted first. Without hot keys, `buckets` is in how many buckets by customer
+    all tables lie: clicks are then aggregated where they are, and loans go to so many tasks by loan and by customer, so the memory of a task
+    is that of a bucket, whatever the session's number of shuffle partitions.
     """
     customer = [CUSTOMER]
     attributes = attributes.drop(SNAPSHOT)
@@ -100,12 +103,12 @@ def customer_matrix(
         rows_per_task=rows_per_task,
     )
     per_loan = (
-        spread(loan_features(loans, hot=hot_loans), "loans", hot, by=["loan_id"])
+        spread(loan_features(loans, hot=hot_loans, tasks=buckets), "loans", hot, by=["loan_id"])
         .transform(attach, attributes, "attributes", customer, hot)
         .transform(attach, financials, "financials", customer, hot)
         .drop(OWNER)
     )
-    profile = activity_profile(clicks, features, hot=hot_clicks)
+    profile = activity_profile(clicks, features, hot=hot_clicks, placed=buckets is not None)
     if hot is None:
         return per_loan.join(profile, customer, "right")
     # A hot customer's profile is repeated per salt. Copies that meet no loan are dropped where the customer

@@ -195,6 +195,12 @@ def test_matrix_over_buckets_moves_the_aggregated_tables_only(spark, bucketed):
     assert jobs == 0 and len(re.findall(r"Exchange hashpartitioning", text)) <= 4
 
 
+def test_tasks_of_the_matrix_over_buckets_are_the_buckets(spark, bucketed):
+    """Also the aggregations and the last join, whatever the session's number of partitions; clicks stay where they are."""
+    text = without_broadcasts(spark, lambda: plan_text(stored_matrix(spark, bucketed)))
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\d+)\)", text) == [("customer_id", "4"), ("loan_id", "4")]
+
+
 def test_stores_over_buckets_equal_plain_ones(spark, tables, bucketed):
     amounts = lambda df: df.drop(*LOAN_AMOUNTS)
     assert bag(amounts(stored_features(spark, bucketed))) == bag(amounts(feature_store(*tables)))
