@@ -1,20 +1,22 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
-1. A document's set is the hashes of its distinct word shingles; its sketch is the smallest `SKETCH` of them. Documents
-   of equal sets are one class, and only the class with its smallest id goes on.
+1. A document's set is the hashes of its distinct word shingles; its sketch is the smallest `SKETCH` of them, of which `INDEXED` are
+   stored for step 2. Documents of equal sets are one class, and only the class with its smallest id goes on.
 2. Inverted lists of the smallest `INDEXED` values. Two sets of similarity 0.8 share some 26 of 32 of them and fewer than 13
    about once in ten million pairs, so it is enough to list each class under its rarest 32 - 13 + 1 values: whoever
-   shares 13 values shares one of these. What many documents hold (a passage, a banner) is seldom among the rarest,
+   shares 13 values shares one of these. Sets of fewer than 76 values share more than 13 for certain, up to all that are looked up, and
+   are listed under fewer (`least_shared`). What many documents hold (a passage, a banner) is seldom among the rarest,
    and a class with too few values that others hold leaves at once.
-3. Lists tie classes into homes (connected components of the lists). Sets are computed again for classes in a home of two or more and
-   meet there, in blocks of at most `BLOCK` classes. Within a block all pairs on a common list are estimated
+3. Lists tie classes into homes (connected components of the lists). Sets are computed again for classes in a home of two or more
+   (a bitmap of them tells most other texts apart before the shuffle) and meet there, in blocks of at most `BLOCK` classes. Within a block all pairs on a common list are estimated
    from the sketch of the union, and those left are verified on the full sets.
 4. A home of several blocks gets a second round with other blocks, in which the parts of the first grow together.
 5. What is still in several parts is divided more closely, on full sets. Two sets of similarity 0.8 share one of the first fifth of their values in
    any order, so classes are listed under these, with the values that are common in their home ordered last, and
    the lists that tie two parts make closer homes. Classes that share a template, but less than four fifths of their shingles, so part without a comparison.
 6. In a last round all classes outside the largest part of a closer home meet every block of it. So all pairs that could join two
-   parts are compared, and pairs inside a part, as of thousands of near copies, are not.
+   parts are compared, and pairs inside a part, as of thousands of near copies, are not. A class is sent once for each block it meets,
+   so these blocks grow with the root of the home, up to `WIDE` classes.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ SKETCH = 64  # values kept of each set
 INDEXED = 32  # of these, the values that are looked up
 DEVIATIONS = 5.5  # how far below its mean a number of shared values may lie before a pair is given up
 BLOCK = 256  # classes that meet in one task
+WIDE = 8  # times as many at most, in the last round
+BITS = 1 << 24  # of the bitmap of classes whose sets are computed again, at most
 COMMON = 1 << 14  # values of a home that are known as common
 CELLS = 1 << 22  # cells of a matrix of classes and values
 
@@ -70,7 +74,7 @@ def signatures(words: int):
             sizes = np.diff(bounds)
             other = np.concatenate(([0], np.cumsum(arrays.mix(values ^ arrays.GRAM_BASE))))
             plain = np.concatenate(([0], np.cumsum(arrays.mix(values))))
-            kept = np.minimum(sizes, SKETCH)
+            kept = np.minimum(sizes, INDEXED)
             offsets = np.concatenate(([0], np.cumsum(kept)))
             sketch = values[np.repeat(bounds[:-1] - offsets[:-1], kept) + np.arange(offsets[-1])].view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -87,17 +91,29 @@ def signatures(words: int):
     return run
 
 
-def indexed(classes: DataFrame, similarity: float) -> DataFrame:
+def least_shared(n: F.Column, percent: int) -> F.Column:
+    """How many of the smallest `INDEXED` values a set of `n` values has in common with any other set of the similarity.
+
+    Of sets that share all but d values of the larger one, the k-th shared value is the (k + d)-th of either at most. So they have all shared
+    values in common, or `INDEXED` - d of them; for small sets that is more than what is left but for the rarest accidents.
+    """
+    accident = max(1, math.floor(INDEXED * least_share(INDEXED, percent / 100)))
+    all_shared = F.ceil(n * percent / 100)
+    largest = F.floor(n * 100 / max(1, percent))
+    certain = F.least(all_shared, INDEXED - F.floor(largest * (100 - percent) / 100))
+    return F.greatest(F.least(F.lit(accident), all_shared), certain).cast("int")
+
+
+def indexed(classes: DataFrame, percent: int) -> DataFrame:
     """`value` and `rep`: each class under its rarest values that other classes hold too."""
-    postings = classes.select("rep", "n", F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
+    postings = classes.select("rep", "n", F.explode("sketch").alias("value"))
     held = staged(postings.groupBy("value").agg(F.count("rep").alias("held")).where("held > 1"), compact=True)
     by_class = (
         postings.join(held, "value")
         .groupBy("rep")
         .agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("held", "value"))).alias("found"))
     )
-    shared = max(1, math.floor(INDEXED * least_share(INDEXED, similarity)))
-    needed = F.least(F.lit(shared), F.ceil(F.col("n") * similarity - 1e-9)).cast("int")
+    needed = least_shared(F.col("n"), percent)
     rarest = F.slice("found", 1, F.size("found") - needed + 1)
     values = by_class.where(F.size("found") >= needed).select("rep", F.explode(rarest).alias("x"))
     return staged(values.select("rep", F.col("x.value").alias("value")), compact=True)
@@ -233,6 +249,16 @@ def full_sets(words: int):
     return run
 
 
+def perhaps_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose `_id` is a `rep` of `ids`, and few others: a bitmap by hash tells, so the other texts needn't be shuffled."""
+    bits = min(BITS, 8 << ids.count().bit_length())
+    place = lambda column: F.pmod(F.xxhash64(column), F.lit(bits))
+    word, bit = (lambda x: F.shiftright(x, 6)), (lambda x: x.bitwiseAND(63).cast("int"))
+    words = ids.select(place("rep").alias("at")).groupBy(word(F.col("at")).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, int(at & 63))")).alias("_bits"))
+    found = rows.withColumn("_word", word(place("_id"))).join(F.broadcast(words), "_word")
+    return found.where(F.getbit("_bits", bit(place("_id"))) == 1).drop("_word", "_bits")
+
+
 def salt(column: str, seed: int, count) -> F.Column:
     return F.pmod(F.xxhash64(F.col(column), F.lit(seed)), count)
 
@@ -286,7 +312,7 @@ def closer_homes(apart: DataFrame, percent: int) -> DataFrame:
 
 def class_components(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """`rep` and `component` of the classes that are linked with others, but perhaps not of the smallest of a component."""
-    lists = indexed(classes, percent / 100)
+    lists = indexed(classes, percent)
     leaders = lists.groupBy("value").agg(F.min("rep").alias("leader"), F.count("rep").alias("size")).where("size > 1")
     listed = staged(lists.join(staged(leaders, compact=True), "value"), compact=True)
     homes = components(listed.select(F.col("rep").alias("a"), F.col("leader").alias("b")))
@@ -295,7 +321,7 @@ def class_components(rows: DataFrame, classes: DataFrame, words: int, percent: i
     held = listed.groupBy("rep").agg(F.collect_list("value").alias("lists"))
     wanted = staged(homes.join(sizes, "home").join(held, "rep"))
     packed = "rep long, home long, size long, n long, lists binary, values binary"
-    texts = rows.join(wanted.withColumnRenamed("rep", "_id"), "_id").dropDuplicates(["_id"])
+    texts = perhaps_among(rows, wanted).join(wanted.withColumnRenamed("rep", "_id"), "_id").dropDuplicates(["_id"])
     sets = staged(texts.select("_id", "home", "size", "lists", "_text").mapInArrow(full_sets(words), packed))
     blocks = F.ceil(F.col("size") / BLOCK)
 
@@ -317,7 +343,8 @@ def class_components(rows: DataFrame, classes: DataFrame, words: int, percent: i
     plan = staged(totals.withColumn("others", F.col("all") - F.col("most")).where("others > 0"), compact=True)
     columns = ["home", "rep", "n", "lists", "values", "part"]
     split = placed.join(plan, "home")
-    n_all, n_others = F.ceil(F.col("all") / BLOCK), F.ceil(F.col("others") / BLOCK)
+    wide = F.least(F.lit(BLOCK * WIDE), F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(F.col("all") * BLOCK) / 2)))
+    n_all, n_others = F.ceil(F.col("all") / wide), F.ceil(F.col("others") / wide)
     zero = F.lit(0).cast("bigint")
     every = split.select(*columns, salt("rep", 3, n_all).alias("block"), F.explode(F.sequence(zero, n_others - 1)).alias("with"), F.lit(False).alias("outside"))
     outside = split.where("part <> main").select(*columns, F.explode(F.sequence(zero, n_all - 1)).alias("block"), salt("rep", 4, n_others).alias("with"), F.lit(True).alias("outside"))

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+import uuid
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpora import ASCII_LOWER, ODD_TEXTS, prose, words_of
 from creditloom.llm import near_dedup
@@ -107,6 +109,79 @@ def test_documents_of_a_template_part_before_the_last_round(make_docs, monkeypat
     assert found(make_docs(rows).repartition(4)) == expected
 
 
+def test_short_documents_that_share_half_are_not_fetched(make_docs, monkeypatch):
+    """Two thirds of their shingles are less than sets of 33 and of the similarity have in common for certain."""
+
+    def none(percent):
+        def run(rows):
+            raise AssertionError(f"{len(rows)} sets")
+
+        return run
+
+    monkeypatch.setattr(near_dedup, "within_block", none)
+    shared = prose(7, 26, 3000)
+    rows = [(k, " ".join(shared + prose(100 + k, 11, 3000))) for k in range(12)]
+    expected = brute(rows)
+    assert [r[1] for r in expected] == [33] * 12 and all(r[3] for r in expected)
+    assert found(make_docs(rows)) == expected
+
+
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_values_shared_for_certain(spark, percent):
+    """Sets that just reach the similarity, with the values of one alone below all others, hold as many values together as each is taken to."""
+    least = spark.range(1, 150).select("id", near_dedup.least_shared(F.col("id"), percent).alias("least"))
+    least = {r.id: r.least for r in least.collect()}
+    accident = max(1, int(near_dedup.INDEXED * near_dedup.least_share(near_dedup.INDEXED, percent / 100)))
+    assert all(near_dedup.INDEXED >= least[n] >= min(accident, -(-percent * n // 100)) for n in least)
+    for n in least:
+        for m in range(n, min(100 * n // percent, 149) + 1):
+            both = -(-percent * (n + m) // (100 + percent))  # the least intersection
+            if both > n:
+                continue
+            for low in (np.arange(m - both), np.arange(n - both)):  # in the larger or in the smaller set
+                shared = np.arange(1000, 1000 + both)
+                rest = np.arange(5000, 5000 + n + m - 2 * both - len(low))
+                one, two = np.concatenate([low, shared])[: near_dedup.INDEXED], np.concatenate([shared, rest])[: near_dedup.INDEXED]
+                together = len(np.intersect1d(one, two))
+                assert all(together >= least[x] or least[x] <= accident for x in (n, m)), (n, m)
+
+
+def test_last_round_sends_a_class_to_few_blocks(make_docs, monkeypatch, tmp_path):
+    """Copies of one text that are tied but no two of which are near: each meets all others, in blocks that grow with the home."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    across_blocks = near_dedup.across_blocks
+
+    def counted(percent):
+        run = across_blocks(percent)
+
+        def noted(rows):
+            (tmp_path / uuid.uuid4().hex).write_text(f"{len(rows)} {rows['rep'].nunique()}")
+            return run(rows)
+
+        return noted
+
+    monkeypatch.setattr(near_dedup, "across_blocks", counted)
+    rnd = random.Random(8)
+    base = prose(9, 200, 3000)
+    rows = [(k, " ".join(edited(rnd, base, 6))) for k in range(160)]
+    expected = brute(rows)
+    assert found(make_docs(rows).repartition(4)) == expected
+    sent = [tuple(map(int, x.read_text().split())) for x in tmp_path.iterdir()]
+    assert max(x[1] for x in sent) > 8
+    assert sum(x[0] for x in sent) < 40 * len(rows)
+
+
+def test_bitmap_holds_all_ids_and_few_others(spark):
+    ids = spark.range(5, 50_000, 50).select(F.col("id").alias("rep")).union(spark.createDataFrame([(-3,)], "rep long"))
+    rows = spark.range(-100, 50_000).select(F.col("id").alias("_id"), F.lit("x").alias("_text"))
+    kept = near_dedup.perhaps_among(rows, ids)
+    assert kept.columns == ["_id", "_text"]
+    kept = [r._id for r in kept.collect()]
+    assert {-3, *range(5, 50_000, 50)} <= set(kept)
+    assert len(kept) == len(set(kept)) < 15_000
+    assert near_dedup.perhaps_among(rows, ids.where("false")).count() == 0
+
+
 def test_copies_and_repeated_rows(make_docs):
     text = " ".join(prose(1, 50))
     rows = [(9, text), (4, text.upper()), (4, text.upper()), (7, text + " more"), (None, text), (1, None)]
