@@ -230,8 +230,10 @@ def within_block(percent: int):
 def across_blocks(percent: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rep", ignore_index=True)
-        outside, every = rows[rows["outside"]], rows[~rows["outside"]]
-        return compare(outside.reset_index(drop=True), every.reset_index(drop=True), percent)
+        outside, every = (rows[x].reset_index(drop=True) for x in (rows["outside"], ~rows["outside"]))
+        # A few at a time, so that the pairs of a wide block needn't all be held.
+        parts = [outside[k : k + BLOCK].reset_index(drop=True) for k in range(0, max(1, len(outside)), BLOCK)]
+        return pd.concat([compare(x, every, percent) for x in parts], ignore_index=True)
 
     return run
 
